@@ -17,6 +17,7 @@ class Params:
     s4_cutoff: dt.date = dt.date(1998, 7, 16)      # hybrid gate: slot before/at, tech after
     two_tier_before: str = "1998-08"               # two-tier install rate applies to months < this
     events_since: dt.datetime = dt.datetime(2024, 1, 9)
+    funnel_since: dt.datetime = dt.datetime(1998, 7, 9)   # attempts created since (funnel window)
     engagement_start: dt.datetime = dt.datetime(2024, 1, 5, 12, 30)
     floor: int = 10000
     rate: int = 300
