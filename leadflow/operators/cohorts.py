@@ -60,3 +60,123 @@ def in_roster(df: DataFrame, roster: DataFrame, key: str = "partner_id") -> Data
 def not_in_roster(df: DataFrame, roster: DataFrame, key: str = "partner_id") -> DataFrame:
     """NOT IN (subquery): a NULL id never passes; plain anti join on the rest."""
     return df.where(C(key).isNotNull()).join(small(roster.select(C("partner_id").alias(key))), key, "left_anti")
+
+
+# --------------------------------------------------------------- efficiency
+def period_of(col: str, periods: list[tuple[str, object, object]]):
+    """label by [start, end) periods (end None = open-ended); first match wins, else NULL."""
+    from leadflow.functions.timecols import date_lit
+    out = None
+    for name, start, end in periods:
+        cond = F.col(col) >= date_lit(start)
+        if end is not None:
+            cond = cond & (F.col(col) < date_lit(end))
+        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
+    return out
+
+
+def efficiency(bucketed: DataFrame, rosters: DataFrame, periods: list[tuple[str, object, object]], strict: bool = True) -> DataFrame:
+    """(period x category) partners with resolved leads, leads, installs, aggregate %, secured, % secured."""
+    from leadflow.functions.arith import at_gate, pct1_half_up
+    b = F.col("bucket")
+    slot = F.col("reached_slot") == 1
+    per = (bucketed.withColumn("period", period_of("last_date", periods)).where(F.col("period").isNotNull())
+           .groupBy("partner_id", "period").agg(
+               F.count_if((b == "installed") & slot).alias("installs"),
+               F.count_if(slot & ~b.isin("open", "system_other")).alias("denom"))
+           .where(F.col("denom") > 0))
+    cat = roster_label(per, rosters).withColumn(
+        "category", F.when(F.col("category") == "rest", "nonmbg").otherwise(F.col("category")))
+    sec = at_gate(C("installs"), C("denom"), 3, 5, strict=strict)
+    g = cat.groupBy("period", "category").agg(
+        F.count(F.lit(1)).alias("partners"), F.sum("denom").cast("bigint").alias("leads"),
+        F.sum("installs").cast("bigint").alias("installs"), F.count_if(sec).alias("secured"))
+    return g.select("period", "category", "partners", "leads", "installs",
+                    pct1_half_up(C("installs"), C("leads")).alias("agg_eff"), "secured",
+                    pct1_half_up(C("secured"), C("partners")).alias("pct_secured"))
+
+
+def roster_breakdown(bucketed: DataFrame, enrolled: DataFrame, since, strict: bool = True) -> DataFrame:
+    """One row of roster coverage: with leads, above / at-or-below gate, pending only, no activity."""
+    from leadflow.functions.timecols import date_lit
+    b = F.col("bucket")
+    slot = F.col("reached_slot") == 1
+    recent = F.col("last_date") >= date_lit(since)
+    m = bucketed.groupBy("partner_id").agg(
+        F.count_if((b == "installed") & slot & recent).alias("installs"),
+        F.count_if(slot & ~b.isin("open", "system_other") & recent).alias("leads"),
+        F.count_if(b == "open").alias("pending"))
+    j = roster_left(enrolled, m, ["installs", "leads", "pending"])
+    i, l, p = C("installs"), C("leads"), C("pending")
+    above = (5 * i > 3 * l) if strict else (5 * i >= 3 * l)
+    return j.agg(
+        F.lit("ROSTER").alias("grp"), F.count(F.lit(1)).alias("enrolled_total"), F.count_if(l > 0).alias("with_leads"),
+        F.count_if((l > 0) & above).alias("eff_60_plus"), F.count_if((l > 0) & ~above).alias("eff_60_minus"),
+        F.count_if((l == 0) & (p > 0)).alias("pending_only"), F.count_if((l == 0) & (p == 0)).alias("no_activity"),
+        F.sum("installs").cast("bigint").alias("total_installs"), F.sum("leads").cast("bigint").alias("total_leads"))
+
+
+def roster_left(roster: DataFrame, metrics: DataFrame, cols) -> DataFrame:
+    """Roster universe left-joined to metrics so partners without activity stay (zeros)."""
+    out = roster.select("partner_id").distinct().join(metrics, "partner_id", "left")
+    return out.select("partner_id", *[F.coalesce(C(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
+
+
+def dashboard_doc(eff: DataFrame, grid: DataFrame) -> DataFrame:
+    """K4: every (period, category) cell present; absent cells are zeros."""
+    cols = ["partners", "leads", "installs", "agg_eff", "secured", "pct_secured"]
+    j = grid.join(eff, ["period", "category"], "left")
+    return j.select("period", "category", *[F.coalesce(C(c), F.lit(0)).alias(c) for c in cols])
+
+
+# --------------------------------------------------------------- enrolment / cohort
+def enrolment_dates(optins: DataFrame, audits: DataFrame, rosters: DataFrame, offset_minutes: int = 330) -> DataFrame:
+    """Flow 1 = first opt-in, flow 2 = last completed audit; local date."""
+    from leadflow.functions.timecols import local_date
+    f1 = rosters.where(C("flow") == 1).select("partner_id")
+    f2 = rosters.where(C("flow") == 2).select("partner_id")
+    a = optins.join(small(f1), "partner_id", "left_semi").groupBy("partner_id").agg(F.min("opted_at").alias("at")) \
+        .withColumn("flow", F.lit(1))
+    b = audits.join(small(f2), "partner_id", "left_semi").groupBy("partner_id").agg(F.max("scan_complete_at").alias("at")) \
+        .withColumn("flow", F.lit(2))
+    u = a.unionByName(b)
+    return u.select("partner_id", "flow", local_date(C("at"), offset_minutes).alias("enrolled_on"))
+
+
+def build_cohort(rosters: DataFrame, optins: DataFrame, audits: DataFrame) -> DataFrame:
+    """(flow 1 ∪ flow 2) ∩ opted in; flow 2 must also be audited."""
+    opted = optins.where(C("opted_at").isNotNull()).select("partner_id").distinct()
+    audited = audits.where(C("scan_complete_at").isNotNull()).select("partner_id").distinct()
+    f1 = rosters.where(C("flow") == 1).select("partner_id")
+    f2 = rosters.where(C("flow") == 2).select("partner_id").join(audited, "partner_id", "left_semi")
+    return f1.unionByName(f2).distinct().join(opted, "partner_id", "left_semi")
+
+
+def identities(roster: DataFrame, users: DataFrame) -> DataFrame:
+    """Partner list -> every active user id in the three roles (user ids, never partner ids)."""
+    u = users.where((C("status") == "ACTIVE") & C("role").isin("OWNER", "MANAGER", "MANAGER_PLUS"))
+    return u.join(small(roster.select("partner_id").distinct()), "partner_id", "left_semi").select("user_id", "partner_id")
+
+
+def map_accounts(df: DataFrame, accounts: DataFrame, how: str = "left") -> DataFrame:
+    """External account name <-> partner id."""
+    return df.join(accounts.select("partner_id", "account_name"), "partner_id", how)
+
+
+def lapse_breakdown(bucketed: DataFrame, universe: DataFrame, start, end) -> DataFrame:
+    """Partners without a resolved lead this month: truly none vs all lapsed, by lapse cause."""
+    from leadflow.functions.timecols import date_lit
+    b = F.col("bucket")
+    m = (F.col("last_date") >= date_lit(start)) & (F.col("last_date") < date_lit(end))
+    per = bucketed.groupBy("partner_id").agg(
+        F.count_if(m & (F.col("reached_slot") == 1) & ~b.isin("open", "system_other")).alias("denom"),
+        F.count(F.lit(1)).alias("leads"))
+    u = roster_left(universe, per, ["denom", "leads"]).where(C("denom") == 0)
+    none = u.where(C("leads") == 0).select("partner_id", F.lit("truly_none").alias("kind"), F.lit("none").alias("cause"),
+                                           F.lit(0).cast("bigint").alias("n"))
+    lapsed_p = u.where(C("leads") > 0).select("partner_id")
+    causes = (bucketed.join(lapsed_p, "partner_id", "left_semi")
+              .groupBy("partner_id", F.col("bucket").alias("cause")).agg(F.count(F.lit(1)).alias("n"))
+              .select("partner_id", F.lit("all_lapsed").alias("kind"), "cause", "n"))
+    return none.unionByName(causes).groupBy("kind", "cause").agg(
+        F.countDistinct("partner_id").alias("partners"), F.sum("n").cast("bigint").alias("leads"))

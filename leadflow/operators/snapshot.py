@@ -116,3 +116,12 @@ def null_safe_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]
     kind = (F.when(F.col("_o").isNull(), "added").when(F.col("_n").isNull(), "removed")
             .when(~same, "changed"))
     return j.select(key, kind.alias("kind")).where(F.col("kind").isNotNull())
+
+
+def keep_active_or_enrolled(agg: DataFrame, enrol: DataFrame) -> DataFrame:
+    """F8: keep a partner row with any activity, or when enrolled (kept = active / enrolled)."""
+    en = enrol.select("partner_id").distinct().withColumn("_e", F.lit(True))
+    j = agg.join(small(en), "partner_id", "left")
+    act = (F.col("installs") + F.col("denom") + F.col("pending") + F.col("leads_m1")) > 0
+    return (j.where(act | F.col("_e").isNotNull())
+            .withColumn("kept", F.when(act, "active").otherwise("enrolled")).drop("_e"))
