@@ -28,4 +28,4 @@ def query(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its registrations run."""
-    from leadflow.plans import q_cohorts, q_engagement, q_leads, q_misc, q_payout, q_snapshot  # noqa: F401
+    from leadflow.plans import q_cohorts, q_engagement, q_leads, q_misc, q_payout, q_snapshot, q_streaming  # noqa: F401

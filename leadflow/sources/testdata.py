@@ -85,33 +85,7 @@ class TestData:
     # ---------------------------------------------------------------- attempts
     @cached_property
     def attempts(self) -> DataFrame:
-        li = self.raw("lineitem")
-        pk, ln = F.col("l_partkey"), F.col("l_linenumber")
-        ship = F.col("l_shipdate")
-        otp = (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 10)
-        slot_at = F.when(pk % 10 < 7, ship)
-        h = (pk + 3 * ln) % 20
-        return li.select(
-            F.col("l_suppkey").alias("partner_id"),
-            F.floor(F.col("l_orderkey") / 4).cast("bigint").alias("connection_id"),
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                        F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("attempt_id"),
-            _case(h, STATE_BLOCK, 0).alias("current_state"),
-            _case(h, STATE_BLOCK, 1).alias("reason_code"),
-            _case(h, STATE_BLOCK, 2).alias("failure_reason"),
-            _case(h, STATE_BLOCK, 3).alias("failure_subreason"),
-            F.concat(F.lit("zone_"), pk % 40).alias("zone_id"),
-            F.when(otp | (ln >= 6) | (F.col("l_linestatus") == "O"), F.concat(F.lit("t"), pk % 50)).alias("executor_id"),
-            otp.alias("otp_verified"),
-            ln.alias("completed_step"),
-            _minutes(ship, (pk * 7 + ln * 131) % 1440).alias("updated_at"),
-            _minutes(ship, -1440 * (pk % 10 + 1)).alias("created_at"),
-            slot_at.alias("confirmed_slot_at"),
-            _minutes(_minutes(slot_at, 1440 * (F.col("l_suppkey") % 3)), F.lit(-1440)).cast("date").alias("confirmed_slot_date"),
-            F.when(pk % 10 < 8, ship.cast("date")).alias("proposed_slot_date"),
-            F.when(ln == 6, ship).alias("installation_completed_at"),
-            (pk % 17 != 0).alias("active"),
-        )
+        return map_attempts(self.raw("lineitem"))
 
     @cached_property
     def transitions(self) -> DataFrame:
@@ -153,13 +127,7 @@ class TestData:
     # ---------------------------------------------------------- events/profiles
     @cached_property
     def events(self) -> DataFrame:
-        e = self.raw("events")
-        return e.select(
-            "event_id",
-            F.col("user_id").alias("profile_id"),
-            F.when(F.col("event_type") == "view", "banner_opened").otherwise(F.col("event_type")).alias("event_name"),
-            "ts",
-        )
+        return map_events(self.raw("events"))
 
     @cached_property
     def profiles(self) -> DataFrame:
@@ -227,3 +195,51 @@ class TestData:
     def accounts(self) -> DataFrame:
         s = self.raw("supplier")
         return s.select(F.col("s_name").alias("account_name"), F.col("s_suppkey").alias("partner_id"))
+
+
+def map_attempts(lineitem: DataFrame) -> DataFrame:
+    """attempts <- lineitem (works on batch and streaming DataFrames alike)."""
+    return _map_attempts(lineitem)
+
+
+def map_events(events: DataFrame) -> DataFrame:
+    """events <- raw events (view -> banner_opened); batch or streaming."""
+    return _map_events(events)
+
+
+def _map_attempts(li: DataFrame) -> DataFrame:
+    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
+    ship = F.col("l_shipdate")
+    otp = (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 10)
+    slot_at = F.when(pk % 10 < 7, ship)
+    h = (pk + 3 * ln) % 20
+    return li.select(
+        F.col("l_suppkey").alias("partner_id"),
+        F.floor(F.col("l_orderkey") / 4).cast("bigint").alias("connection_id"),
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                    F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("attempt_id"),
+        _case(h, STATE_BLOCK, 0).alias("current_state"),
+        _case(h, STATE_BLOCK, 1).alias("reason_code"),
+        _case(h, STATE_BLOCK, 2).alias("failure_reason"),
+        _case(h, STATE_BLOCK, 3).alias("failure_subreason"),
+        F.concat(F.lit("zone_"), pk % 40).alias("zone_id"),
+        F.when(otp | (ln >= 6) | (F.col("l_linestatus") == "O"), F.concat(F.lit("t"), pk % 50)).alias("executor_id"),
+        otp.alias("otp_verified"),
+        ln.alias("completed_step"),
+        _minutes(ship, (pk * 7 + ln * 131) % 1440).alias("updated_at"),
+        _minutes(ship, -1440 * (pk % 10 + 1)).alias("created_at"),
+        slot_at.alias("confirmed_slot_at"),
+        _minutes(_minutes(slot_at, 1440 * (F.col("l_suppkey") % 3)), F.lit(-1440)).cast("date").alias("confirmed_slot_date"),
+        F.when(pk % 10 < 8, ship.cast("date")).alias("proposed_slot_date"),
+        F.when(ln == 6, ship).alias("installation_completed_at"),
+        (pk % 17 != 0).alias("active"),
+    )
+
+
+def _map_events(e: DataFrame) -> DataFrame:
+    return e.select(
+        "event_id",
+        F.col("user_id").alias("profile_id"),
+        F.when(F.col("event_type") == "view", "banner_opened").otherwise(F.col("event_type")).alias("event_name"),
+        "ts",
+    )
