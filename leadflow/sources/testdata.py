@@ -70,6 +70,8 @@ def _case(key: Column, mapping: dict, pos: int | None = None) -> Column:
 class TestData:
     """Lazy logical tables over ``{sf_dir}/<table>.parquet``."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
