@@ -48,7 +48,7 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def lead_bucket(variant: str = "full") -> Column:
+def lead_bucket(variant: str = "full", installed: str = "has_installed", slot: str = "reached_slot") -> Column:
     """Ordered terminal-outcome classification of a collapsed lead (first match wins).
 
     Needs columns has_installed, reached_slot, last_state, rc, fr, fsc.
@@ -57,13 +57,13 @@ def lead_bucket(variant: str = "full") -> Column:
     st, rc, fr, fsc = F.col("last_state"), F.col("rc"), F.col("fr"), F.col("fsc")
     up = st == "CANCELLED_BY_UPSTREAM"
     cust = st == "CANCELLED_BY_CUSTOMER"
-    b = (F.when(F.col("has_installed") == 1, "installed")
+    b = (F.when(F.col(installed) == 1, "installed")
          .when(st == "DECLINED", "csp_denied")
          .when(up & (fr == "TIMEOUT_P74") & (fsc == "CSP_NO_SHOW") & (rc == "ALLOCATION_ACCEPTED"), "csp_no_show")
          .when(fsc == "CSP_NO_SHOW", "csp_abandoned")
          .when(up & (rc == "TIMEOUT_P41"), "csp_timeout")
-         .when(cust & (F.col("reached_slot") == 1), "cust_cancel_after_slot")
-         .when(cust & (F.col("reached_slot") == 0), "cust_cancel_before_slot")
+         .when(cust & (F.col(slot) == 1), "cust_cancel_after_slot")
+         .when(cust & (F.col(slot) == 0), "cust_cancel_before_slot")
          .when(st == "INSTALLATION_REPORTED_FAILED", "install_failed"))
     if variant == "full":
         b = b.when(up & (rc == "RETRY_EXHAUSTION"), "csp_retryx")

@@ -40,12 +40,17 @@ def ledger_month(df: DataFrame, start: dt.date, end: dt.date, offset_minutes: in
 
 
 # ------------------------------------------------------------- collapse (A1, A2)
-def collapse_attempts(df: DataFrame, offset_minutes: int = 330) -> DataFrame:
+def collapse_attempts(df: DataFrame, offset_minutes: int = 330, window_from: dt.datetime | dt.date | None = None) -> DataFrame:
     """One row per (connection, partner): value-at-latest fields and sticky max flags.
 
     All latest fields come from ONE max_by over a struct ordered by (updated_at, attempt_id),
     so ties on updated_at never mix fields of different attempts, and NULL values of the
     latest attempt are kept (own_slot_latest depends on that).
+
+    With ``window_from`` the same single aggregation also yields the rolling-window view
+    (``w_present`` and windowed ``w_*`` flags): the latest attempt of a group that has any
+    row in the window is itself in the window, so only the sticky flags need a filter.
+    One scan and one shuffle then serve both the full-history metric and the open-lead view.
     """
     latest = F.max_by(
         F.struct(
@@ -59,19 +64,53 @@ def collapse_attempts(df: DataFrame, offset_minutes: int = 330) -> DataFrame:
         ),
         F.struct("updated_at", "attempt_id"),
     )
-    g = df.groupBy("connection_id", "partner_id").agg(
-        latest.alias("l"),
-        F.max(flag(is_installed(True))).alias("has_installed"),
-        F.max(flag(F.col("confirmed_slot_at").isNotNull())).alias("reached_slot"),
-        F.max(flag(F.col("executor_id").isNotNull())).alias("tech_assigned"),
-        F.max("updated_at").alias("last_update"),
-    )
+    inst = flag(is_installed(True))
+    slot = flag(F.col("confirmed_slot_at").isNotNull())
+    tech = flag(F.col("executor_id").isNotNull())
+    aggs = [latest.alias("l"), F.max(inst).alias("has_installed"), F.max(slot).alias("reached_slot"),
+            F.max(tech).alias("tech_assigned"), F.max("updated_at").alias("last_update")]
+    extra = []
+    if window_from is not None:
+        in_w = F.col("updated_at") >= ts_lit(window_from)
+        aggs += [F.max(flag(in_w)).alias("w_present"), F.max(F.when(in_w, inst)).alias("w_has_installed"),
+                 F.max(F.when(in_w, slot)).alias("w_reached_slot"), F.max(F.when(in_w, tech)).alias("w_tech_assigned")]
+        extra = ["w_present", "w_has_installed", "w_reached_slot", "w_tech_assigned"]
+    g = df.groupBy("connection_id", "partner_id").agg(*aggs)
     return g.select(
         "connection_id", "partner_id",
         "l.last_state", "l.rc", "l.fr", "l.fsc", "l.rep_attempt_id", "l.offered",
         "has_installed", "reached_slot", "tech_assigned",
         flag(F.col("l.latest_slot_at").isNotNull()).alias("own_slot_latest"),
         local_date(F.col("last_update"), offset_minutes).alias("last_date"),
+        *extra,
+    )
+
+
+def window_view(dual: DataFrame) -> DataFrame:
+    """The rolling-window leads of a dual collapse, shaped exactly like a windowed collapse."""
+    out = dual.where(F.col("w_present") == 1)
+    for c in ("has_installed", "reached_slot", "tech_assigned"):
+        out = out.withColumn(c, F.col(f"w_{c}"))
+    return out.drop("w_present", "w_has_installed", "w_reached_slot", "w_tech_assigned")
+
+
+def collapse_dual(attempts: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Full-history collapse plus the rolling-window flags, in one aggregation."""
+    start = p.as_of.date() - dt.timedelta(days=p.window_days)
+    return collapse_attempts(active_attempts(attempts, p.as_of, days=None), p.offset_minutes, window_from=start)
+
+
+def partner_month_counts(dual: DataFrame, p: Params = DEFAULT, variant: str = "full") -> DataFrame:
+    """installs / denom (v3, full history) and pending / committed (rolling window) per
+    partner in ONE aggregation over a dual collapse (R5: one scan, two shuffles)."""
+    m = in_month(p.month_start, p.month_end)
+    wb = lead_bucket(variant, installed="w_has_installed", slot="w_reached_slot")
+    open_w = (F.col("w_present") == 1) & (wb == "open")
+    return dual.groupBy("partner_id").agg(
+        F.count_if(m & (F.col("has_installed") == 1)).alias("installs"),
+        F.count_if(m & (F.col("tech_assigned") == 1)).alias("denom"),
+        F.count_if(open_w).alias("pending"),
+        F.count_if(open_w & (F.col("own_slot_latest") == 1)).alias("committed"),
     )
 
 
@@ -85,14 +124,16 @@ def in_month(start: dt.date, end: dt.date | None, col: str = "last_date") -> Col
 
 
 # ----------------------------------------------------------------- v3 metric (A3)
-def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None,
+                leads: DataFrame | None = None) -> DataFrame:
     """installs and tech-assigned leads per partner whose lead closed in the month (local date).
 
     Full history (no rolling window): the month is decided by the lead's LAST update, so
     every row of a touched lead is needed. An impacted connection leaves the denominator
-    unless it installed.
+    unless it installed. ``leads`` may pass an already collapsed (e.g. dual) frame.
     """
-    leads = collapse_attempts(active_attempts(attempts, p.as_of, days=None), p.offset_minutes)
+    if leads is None:
+        leads = collapse_attempts(active_attempts(attempts, p.as_of, days=None), p.offset_minutes)
     m = in_month(p.month_start, p.month_end)
     if impacted is not None:
         leads = with_flag(leads, impacted, "connection_id", "is_impacted")

@@ -71,10 +71,17 @@ def month_snapshot(attempts: DataFrame, ledger: DataFrame, users: DataFrame, enr
 
     Kept: any activity, or enrolled (a 0/0/0 enrolled partner must still be found).
     """
-    mg = L.metric_tech(attempts, p, impacted)
-    open_ = L.open_pipeline(L.bucketed_window(attempts, p))
-    led = L.metric_ontime(ledger, p)
-    agg = merge_sources(mg, open_, led)
+    dual = L.collapse_dual(attempts, p)  # one scan + aggregation serves both views
+    if impacted is None:
+        core = L.partner_month_counts(dual, p)
+        led = L.metric_ontime(ledger, p).select("partner_id", F.col("ontime").alias("ontime_m1"),
+                                                F.col("late").alias("late_m1"), F.col("denom").alias("leads_m1"))
+        agg = core.join(led, "partner_id", "full_outer").select(
+            "partner_id", *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x) for x in METRIC_COLS])
+    else:
+        mg = L.metric_tech(attempts, p, impacted, leads=dual)
+        open_ = L.open_pipeline(L.with_bucket(L.window_view(dual)))
+        agg = merge_sources(mg, open_, L.metric_ontime(ledger, p))
     tk = pivot_tickets(top_tickets(L.active_attempts(attempts, p.as_of, None)))
     own = owner_of(users)
     en = enrol.select("partner_id").distinct().withColumn("_enrolled", F.lit(True))
