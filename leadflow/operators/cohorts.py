@@ -180,3 +180,25 @@ def lapse_breakdown(bucketed: DataFrame, universe: DataFrame, start, end) -> Dat
               .select("partner_id", F.lit("all_lapsed").alias("kind"), "cause", "n"))
     return none.unionByName(causes).groupBy("kind", "cause").agg(
         F.countDistinct("partner_id").alias("partners"), F.sum("n").cast("bigint").alias("leads"))
+
+
+def with_overlay(record: DataFrame, overlay: DataFrame, key: str = "partner_id") -> DataFrame:
+    """Record ⟕ overlay on the normalised (lower-cased text) id; on a clash the overlay wins.
+
+    Columns only in the overlay are added; columns in both become coalesce(overlay, record).
+    """
+    norm = F.lower(F.col(key).cast("string"))
+    ov_cols = [c for c in overlay.columns if c != key]
+    o = overlay.select(norm.alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in ov_cols])
+    j = record.withColumn("_k", norm).join(small(o), "_k", "left").drop("_k")
+    out = []
+    for c in record.columns:
+        out.append(F.coalesce(F.col(f"_o_{c}"), F.col(c)).alias(c) if c in ov_cols else F.col(c))
+    out += [F.col(f"_o_{c}").alias(c) for c in ov_cols if c not in record.columns]
+    return j.select(*out)
+
+
+def active_users(users: DataFrame) -> DataFrame:
+    """S3: active users in the three partner roles (a pushed-down filter)."""
+    return users.where((F.col("status") == "ACTIVE") & F.col("role").isin("OWNER", "MANAGER", "MANAGER_PLUS")
+                       & F.col("user_id").isNotNull())

@@ -233,3 +233,24 @@ def cohort_explode(spark, sf):
     g = PO.outcome_group(_settled(spark, sf))
     docs = g.select(F.to_json(F.create_map(C("partner_id").cast("string"), C("outcome"))).alias("json"))
     return cohort_rows(docs)
+
+
+@query("scan_users_active", W("""
+SELECT user_id, partner_id, role FROM f_users
+WHERE status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS') AND user_id IS NOT NULL"""))
+def scan_users_active(spark, sf):
+    return CO.active_users(TestData(spark, sf).users).select("user_id", "partner_id", "role")
+
+
+@query("overlay_merge", W(f"""
+ed AS (SELECT o.partner_id, 1 AS flow, CAST(min(o.opted_at) + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE) AS joined
+  FROM f_optins o JOIN f_rosters r ON r.partner_id = o.partner_id AND r.flow = 1 GROUP BY o.partner_id
+  UNION ALL
+  SELECT a.partner_id, 2, CAST(max(a.scan_complete_at) + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)
+  FROM f_audits a JOIN f_rosters r ON r.partner_id = a.partner_id AND r.flow = 2 GROUP BY a.partner_id)
+SELECT ed.partner_id, ed.flow, COALESCE(o.joined, ed.joined) AS joined, o.rate_before, o.rate_after, o.switch
+FROM ed LEFT JOIN f_overlay o ON lower(CAST(o.partner_id AS VARCHAR)) = lower(CAST(ed.partner_id AS VARCHAR))"""))
+def overlay_merge(spark, sf):
+    t = TestData(spark, sf)
+    rec = CO.enrolment_dates(t.optins, t.audits, t.rosters, P.offset_minutes).withColumnRenamed("enrolled_on", "joined")
+    return CO.with_overlay(rec, t.overlay)
