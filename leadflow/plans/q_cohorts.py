@@ -15,7 +15,7 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import agg_sql
 from leadflow.plans.sqlparts import bucketed_sql
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col
@@ -51,7 +51,7 @@ SELECT connection_id, partner_id,
 FROM ({bucketed_sql(P, 'legacy')}) b
 WHERE CASE WHEN last_date >= {JULY} THEN 'july' WHEN last_date >= {JUNE} AND last_date < {JULY} THEN 'june' END IS NOT NULL"""))
 def period_label(spark, sf):
-    b = _legacy(TestData(spark, sf)).withColumn("period", CO.period_of("last_date", PERIODS))
+    b = _legacy(tables(spark, sf)).withColumn("period", CO.period_of("last_date", PERIODS))
     return b.where(C("period").isNotNull()).select("connection_id", "partner_id", "period")
 
 
@@ -59,14 +59,14 @@ def period_label(spark, sf):
 SELECT a.partner_id, a.n, COALESCE(r.category, 'rest') AS category
 FROM (SELECT partner_id, count(*) AS n FROM f_attempts GROUP BY partner_id) a LEFT JOIN f_rosters r ON r.partner_id = a.partner_id"""))
 def roster_label(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     a = t.attempts.groupBy("partner_id").agg(F.count(F.lit(1)).alias("n"))
     return CO.roster_label(a, t.rosters)
 
 
 @query("efficiency", W(EFF_SQL + "\nSELECT * FROM eff"))
 def efficiency(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.efficiency(_legacy(t), t.rosters, PERIODS)
 
 
@@ -77,7 +77,7 @@ SELECT g.period, g.category, COALESCE(e.partners, 0) AS partners, COALESCE(e.lea
   COALESCE(e.pct_secured, 0) AS pct_secured
 FROM grid g LEFT JOIN eff e ON e.period = g.period AND e.category = g.category"""))
 def dashboard_pivot(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     grid = spark.createDataFrame([(p, c) for p, _, _ in PERIODS for c in CATEGORIES], "period string, category string")
     return CO.dashboard_doc(CO.efficiency(_legacy(t), t.rosters, PERIODS), grid)
 
@@ -102,13 +102,13 @@ SELECT 'ROSTER' AS grp, count(*) AS enrolled_total, count(*) FILTER (WHERE leads
   count(*) FILTER (WHERE leads = 0 AND pending = 0) AS no_activity,
   CAST(sum(installs) AS BIGINT) AS total_installs, CAST(sum(leads) AS BIGINT) AS total_leads FROM j"""))
 def enrolled_roster(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.roster_breakdown(_legacy(t), t.rosters.where(C("category") == "enrolled"), P.month_start)
 
 
 @query("roster_left_metrics", W(ROSTER_SQL + "\nSELECT * FROM j"))
 def roster_left_metrics(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     b = _legacy(t)
     bb = C("bucket")
     recent = C("last_date") >= F.lit(P.month_start.isoformat()).cast("date")
@@ -126,7 +126,7 @@ UNION ALL
 SELECT a.partner_id, 2, CAST(max(a.scan_complete_at) + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)
 FROM f_audits a JOIN f_rosters r ON r.partner_id = a.partner_id AND r.flow = 2 GROUP BY a.partner_id"""))
 def enrolment_date(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.enrolment_dates(t.optins, t.audits, t.rosters, P.offset_minutes)
 
 
@@ -140,7 +140,7 @@ cohort AS (SELECT DISTINCT partner_id FROM (
 
 @query("cohort_build", W(COHORT_SQL + "\nSELECT partner_id FROM cohort"))
 def cohort_build(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.build_cohort(t.rosters, t.optins, t.audits)
 
 
@@ -151,7 +151,7 @@ FROM (SELECT partner_id FROM f_rosters WHERE category = 'enrolled') a FULL OUTER
 WHERE a.partner_id IS NULL OR b.partner_id IS NULL"""))
 def roster_drift(spark, sf):
     from leadflow.operators.quality import roster_drift as rd
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return rd(t.rosters.where(C("category") == "enrolled").select("partner_id"),
               CO.build_cohort(t.rosters, t.optins, t.audits), "partner_id")
 
@@ -161,7 +161,7 @@ SELECT u.user_id, u.partner_id FROM f_users u
 WHERE u.status = 'ACTIVE' AND u.role IN ('OWNER','MANAGER','MANAGER_PLUS')
   AND u.partner_id IN (SELECT partner_id FROM f_rosters WHERE category = 'enrolled')"""))
 def segment_identities(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.identities(t.rosters.where(C("category") == "enrolled"), t.users)
 
 
@@ -169,7 +169,7 @@ def segment_identities(spark, sf):
 SELECT x.partner_id, a.account_name, x.total FROM {settle_sql('SELECT * FROM inp')} x
 LEFT JOIN f_accounts a ON a.partner_id = x.partner_id"""))
 def account_map(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.map_accounts(_settled(spark, sf).select("partner_id", "total"), t.accounts).select(
         "partner_id", "account_name", "total")
 
@@ -187,7 +187,7 @@ rows_ AS (SELECT partner_id, 'truly_none' AS kind, 'none' AS cause, 0 AS n FROM
   GROUP BY b.partner_id, b.bucket)
 SELECT kind, cause, count(DISTINCT partner_id) AS partners, CAST(sum(n) AS BIGINT) AS leads FROM rows_ GROUP BY kind, cause"""))
 def lapse_breakdown(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return CO.lapse_breakdown(L.bucketed_window(t.attempts, P), t.rosters.where(C("category") == "enrolled"),
                               P.month_start, P.month_end)
 
@@ -197,7 +197,7 @@ SELECT a.partner_id, CASE WHEN (a.installs + a.denom + a.pending + a.leads_m1) >
 FROM {agg_sql(P)} a LEFT JOIN (SELECT DISTINCT partner_id FROM f_overlay WHERE joined IS NOT NULL) e ON e.partner_id = a.partner_id
 WHERE (a.installs + a.denom + a.pending + a.leads_m1) > 0 OR e.partner_id IS NOT NULL"""))
 def keep_enrolled_zero_rows(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     agg = S.merge_sources(L.metric_tech(t.attempts, P), L.open_pipeline(L.bucketed_window(t.attempts, P)),
                           L.metric_ontime(t.ledger, P))
     enrol = t.overlay.where(C("joined").isNotNull())
@@ -209,7 +209,7 @@ SELECT r.partner_id, r.category, o.joined FROM f_rosters r LEFT JOIN f_overlay o
 WHERE r.category = 'enrolled'"""))
 def roster_literal(spark, sf):
     from leadflow.sources.inputs import roster
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     # the enrol-date table as the reference inlines it: (partner, joined) rows, built from the data
     lit = roster(spark, [], "partner_id bigint, category string")
     en = t.rosters.where(C("category") == "enrolled").select("partner_id", "category").unionByName(lit)
@@ -219,7 +219,7 @@ def roster_literal(spark, sf):
 @query("overlay_explode", W("SELECT CAST(partner_id AS VARCHAR) AS partner_key, joined, rate_before, rate_after, switch FROM f_overlay"))
 def overlay_explode(spark, sf):
     from leadflow.sources.inputs import overlay_rows
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     docs = t.overlay.select(F.to_json(F.create_map(C("partner_id").cast("string"),
                                                    F.struct("joined", "rate_before", "rate_after", "switch"))).alias("json"))
     return overlay_rows(docs)
@@ -239,7 +239,7 @@ def cohort_explode(spark, sf):
 SELECT user_id, partner_id, role FROM f_users
 WHERE status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS') AND user_id IS NOT NULL"""))
 def scan_users_active(spark, sf):
-    return CO.active_users(TestData(spark, sf).users).select("user_id", "partner_id", "role")
+    return CO.active_users(tables(spark, sf).users).select("user_id", "partner_id", "role")
 
 
 @query("overlay_merge", W(f"""
@@ -251,6 +251,6 @@ ed AS (SELECT o.partner_id, 1 AS flow, CAST(min(o.opted_at) + to_minutes(CAST({P
 SELECT ed.partner_id, ed.flow, COALESCE(o.joined, ed.joined) AS joined, o.rate_before, o.rate_after, o.switch
 FROM ed LEFT JOIN f_overlay o ON lower(CAST(o.partner_id AS VARCHAR)) = lower(CAST(ed.partner_id AS VARCHAR))"""))
 def overlay_merge(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     rec = CO.enrolment_dates(t.optins, t.audits, t.rosters, P.offset_minutes).withColumnRenamed("enrolled_on", "joined")
     return CO.with_overlay(rec, t.overlay)

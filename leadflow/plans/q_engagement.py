@@ -12,7 +12,7 @@ from leadflow.operators.cohorts import in_roster, not_in_roster
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, _route_input, _settled, settle_input_sql, settle_sql
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col
@@ -22,7 +22,7 @@ TASK0 = sql_ts(P.funnel_since)
 
 
 def _t(spark, sf):
-    return TestData(spark, sf)
+    return tables(spark, sf)
 
 
 def _roster(t):

@@ -12,7 +12,7 @@ from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.sqlparts import (INSTALLED_FUNNEL_SQL, INSTALLED_SQL, active_sql, bucket_sql, bucketed_sql,
                                      collapse_sql, dedupe_ledger_sql, in_month_sql, local_range_sql)
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 OFF = P.offset_minutes
@@ -21,7 +21,7 @@ OFF = P.offset_minutes
 @query("scan_active_attempts", W(f"""
 SELECT attempt_id, connection_id, partner_id, current_state, updated_at FROM ({active_sql(P, P.window_days)}) a"""))
 def scan_active_attempts(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.active_attempts(t.attempts, P.as_of, P.window_days).select(
         "attempt_id", "connection_id", "partner_id", "current_state", "updated_at")
 
@@ -30,7 +30,7 @@ def scan_active_attempts(spark, sf):
 SELECT ledger_id, connection_id, partner_id, terminal_outcome, terminal_at FROM f_ledger
 WHERE partner_id IS NOT NULL AND {local_range_sql('terminal_at', P.month_start, P.month_end, OFF)}"""))
 def scan_ledger_month(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.ledger_month(t.ledger, P.month_start, P.month_end, OFF).select(
         "ledger_id", "connection_id", "partner_id", "terminal_outcome", "terminal_at")
 
@@ -39,14 +39,14 @@ def scan_ledger_month(spark, sf):
 SELECT attempt_id, CASE WHEN {INSTALLED_SQL} THEN 1 ELSE 0 END AS installed,
   CASE WHEN {INSTALLED_FUNNEL_SQL} THEN 1 ELSE 0 END AS installed_funnel FROM f_attempts"""))
 def flag_installed(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.attempts.select("attempt_id", flag(is_installed(True)).alias("installed"),
                              flag(is_installed(False)).alias("installed_funnel"))
 
 
 @query("latest_attempt", W(f"SELECT * FROM ({collapse_sql(active_sql(P, P.window_days))}) c"))
 def latest_attempt(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, P.window_days), OFF)
 
 
@@ -54,7 +54,7 @@ def latest_attempt(spark, sf):
 SELECT partner_id, count(*) AS leads, sum(reached_slot) AS sticky_slot, sum(own_slot_latest) AS current_slot
 FROM ({collapse_sql(active_sql(P, P.window_days))}) c GROUP BY partner_id"""))
 def current_slot_flag(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     c = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, P.window_days), OFF)
     return c.groupBy("partner_id").agg(F.count(F.lit(1)).alias("leads"), F.sum("reached_slot").alias("sticky_slot"),
                                        F.sum("own_slot_latest").alias("current_slot"))
@@ -64,7 +64,7 @@ def current_slot_flag(spark, sf):
 SELECT connection_id, partner_id, {bucket_sql('full')} AS bucket, {bucket_sql('legacy')} AS bucket_legacy
 FROM ({collapse_sql(active_sql(P, P.window_days))}) c"""))
 def bucket_leads(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     c = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, P.window_days), OFF)
     return c.select("connection_id", "partner_id", lead_bucket("full").alias("bucket"),
                     lead_bucket("legacy").alias("bucket_legacy"))
@@ -80,7 +80,7 @@ SELECT attempt_id,
 FROM f_attempts"""))
 def stage_flags(spark, sf):
     from leadflow.operators.funnels import stage_flags as sf_
-    return sf_(TestData(spark, sf).attempts).select(
+    return sf_(tables(spark, sf).attempts).select(
         "attempt_id", "slot_proposed", "slot_confirmed", "tech", "arrived", "installed")
 
 
@@ -90,7 +90,7 @@ SELECT attempt_id, CAST(updated_at + to_minutes(CAST({OFF} AS BIGINT)) AS DATE)
 FROM f_attempts"""))
 def month_flag_ist(spark, sf):
     from leadflow.functions.timecols import in_local_range
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.attempts.select("attempt_id", local_date(F.col("updated_at"), OFF).alias("local_day"),
                              flag(in_local_range(F.col("updated_at"), P.month_start, P.month_end, OFF)).alias("in_month"))
 
@@ -102,7 +102,7 @@ WHERE current_state IN ('ACCEPTED','AWAITING_SLOT_PROPOSAL','SLOT_SELECTED','AWA
   'ARRIVED_AT_SITE','INSTALLATION_IN_PROGRESS_PRE_FEE','FEE_COLLECTION_PENDING','INSTALLATION_IN_PROGRESS_POST_FEE',
   'AWAITING_CUSTOMER_OTP')"""))
 def open_ticket_filter(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.active_attempts(t.attempts, P.as_of, None).where(is_open_ticket()).select(
         "attempt_id", "partner_id", "current_state")
 
@@ -112,7 +112,7 @@ SELECT attempt_id, CASE WHEN {INSTALLED_SQL} AND installation_completed_at IS NO
   AND CAST(installation_completed_at + to_minutes(CAST({OFF} AS BIGINT)) AS DATE) <= confirmed_slot_date THEN 1 ELSE 0 END AS on_time
 FROM f_attempts"""))
 def ontime_flag(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.attempts.select("attempt_id", flag(is_on_time(OFF)).alias("on_time"))
 
 
@@ -128,20 +128,20 @@ SELECT * FROM mg"""
 
 @query("metric_tech", W(_TECH_SQL.replace("{imp}", "")))
 def metric_tech(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.metric_tech(t.attempts, P)
 
 
 @query("impacted_exclusion", W(_TECH_SQL.replace(
     "{imp}", "AND NOT (has_installed = 0 AND connection_id IN (SELECT connection_id FROM f_impacted))")))
 def impacted_exclusion(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.metric_tech(t.attempts, P, impacted=t.impacted)
 
 
 @query("dedupe_ledger", W(dedupe_ledger_sql(P)))
 def dedupe_ledger(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.dedupe_ledger(t.ledger, P)
 
 
@@ -163,7 +163,7 @@ FROM agg"""
 
 @query("metric_ontime", W(_ONTIME_SQL.replace("{imp}", "")))
 def metric_ontime(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.metric_ontime(t.ledger, P)
 
 
@@ -171,7 +171,7 @@ def metric_ontime(spark, sf):
     "{imp}", "AND NOT (connection_id IN (SELECT connection_id FROM f_impacted) "
              "AND terminal_outcome IN ('REPORTED_FAILED','CANCELLED_ONSITE'))")))
 def metric_ontime_impacted(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.metric_ontime(t.ledger, P, impacted=t.impacted)
 
 
@@ -183,7 +183,7 @@ SELECT partner_id,
   CAST(count(*) FILTER (WHERE bucket = 'open') AS BIGINT) AS pending
 FROM b GROUP BY partner_id"""))
 def metric_slot(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.metric_slot(L.bucketed_window(t.attempts, P), P.month_start, P.month_end)
 
 
@@ -193,7 +193,7 @@ SELECT partner_id, CAST(count(*) FILTER (WHERE bucket = 'open') AS BIGINT) AS pe
   CAST(count(*) FILTER (WHERE bucket = 'open' AND own_slot_latest = 1) AS BIGINT) AS committed
 FROM b GROUP BY partner_id"""))
 def open_pipeline(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.open_pipeline(L.bucketed_window(t.attempts, P))
 
 
@@ -208,7 +208,7 @@ g AS (
 
 @query("s4_hybrid_gate", W(_GATE_SQL + "\nSELECT connection_id, partner_id, bucket, gate_ok FROM g"))
 def s4_hybrid_gate(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return L.hybrid_gate(L.bucketed_window(t.attempts, P), t.transitions, P.s4_cutoff, OFF).select(
         "connection_id", "partner_id", "bucket", "gate_ok")
 
@@ -219,6 +219,6 @@ SELECT partner_id,
   CAST(count(*) FILTER (WHERE {in_month_sql(P)} AND gate_ok = 1 AND bucket NOT IN ('open','system_other')) AS BIGINT) AS denom
 FROM g GROUP BY partner_id"""))
 def metric_s4(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     g = L.hybrid_gate(L.bucketed_window(t.attempts, P), t.transitions, P.s4_cutoff, OFF)
     return L.metric_s4(g, P.month_start, P.month_end)

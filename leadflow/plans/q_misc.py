@@ -17,7 +17,7 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, SETTLE_COLS, _route_input, _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import snapshot_sql
 from leadflow.plans.sqlparts import bucketed_sql, tech_collapse_sql, tech_metric_sql
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col
@@ -31,7 +31,7 @@ SELECT attempt_id, CAST(updated_at + {OFFS} AS DATE) AS local_day,
   CAST(CAST(updated_at AS DATE) - INTERVAL 120 DAY AS DATE) AS window_start
 FROM f_attempts"""))
 def scalar_time(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     d = local_date(C("updated_at"), P.offset_minutes)
     return t.attempts.select("attempt_id", d.alias("local_day"), F.trunc(d, "month").alias("month_start"),
                              F.add_months(F.trunc(d, "month"), 1).alias("next_month"),
@@ -46,7 +46,7 @@ FROM {snapshot_sql(P)} s"""))
 def scalar_conditional(spark, sf):
     from leadflow.operators.cohorts import roster_label
     from leadflow.plans.q_snapshot import _snapshot
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     s = roster_label(_snapshot(spark, sf), t.rosters)
     return s.select("partner_id", F.nullif(C("denom"), F.lit(0)).alias("denom_or_null"),
                     F.coalesce(C("t1_no"), F.lit("-")).alias("first_ticket"),
@@ -80,7 +80,7 @@ FROM {snapshot_sql(P)} s LEFT JOIN f_accounts a ON a.partner_id = s.partner_id""
 def scalar_string(spark, sf):
     from leadflow.functions.leads import ticket_no
     from leadflow.plans.q_snapshot import _snapshot
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     s = _snapshot(spark, sf).join(t.accounts, "partner_id", "left")
     return s.select("partner_id", zero_pad(C("user_id"), 6).alias("mbg_id"), F.lower("account_name").alias("account_lower"),
                     "t1_no", ticket_no(C("t1_cid")).alias("t1_no_rebuilt"),
@@ -89,7 +89,7 @@ def scalar_string(spark, sf):
 
 @query("sanitize_id", W("SELECT partner_id, regexp_replace(lower(account_name), '[^a-z0-9]', '', 'g') AS clean_id FROM f_accounts"))
 def sanitize_id_q(spark, sf):
-    return TestData(spark, sf).accounts.select("partner_id", sanitize_id(C("account_name")).alias("clean_id"))
+    return tables(spark, sf).accounts.select("partner_id", sanitize_id(C("account_name")).alias("clean_id"))
 
 
 @query("event_ts_int", W("""
@@ -98,7 +98,7 @@ SELECT event_id, CAST(strftime(ts, '%Y%m%d%H%M%S') AS BIGINT) AS ts_int,
   CAST(strptime(strftime(ts, '%Y%m%d%H%M%S'), '%Y%m%d%H%M%S') AS DATE) AS day
 FROM f_events"""))
 def event_ts_int_q(spark, sf):
-    ev = TestData(spark, sf).events.select("event_id", F.date_format("ts", "yyyyMMddHHmmss").cast("bigint").alias("ts_int"))
+    ev = tables(spark, sf).events.select("event_id", F.date_format("ts", "yyyyMMddHHmmss").cast("bigint").alias("ts_int"))
     return ev.select("event_id", "ts_int", event_ts_int(C("ts_int")).alias("ts_parsed"),
                      event_ts_int(C("ts_int")).cast("date").alias("day"))
 
@@ -140,7 +140,7 @@ fl AS (SELECT profile_id, 'opened_last_day' AS flag,
   FROM f_events GROUP BY profile_id)
 SELECT profile_id, flag, 'false' AS value FROM fl WHERE value = 'true'"""))
 def clear_flags_q(spark, sf):
-    ev = TestData(spark, sf).events
+    ev = tables(spark, sf).events
     last_day = ev.select(F.max(C("ts").cast("date"))).scalar()
     flags = ev.groupBy("profile_id").agg(
         F.max(F.when(C("event_name") == "banner_opened", C("ts").cast("date"))).alias("d"))
@@ -162,7 +162,7 @@ SELECT COALESCE(a.partner_id, b.partner_id) AS partner_id,
 FROM a FULL OUTER JOIN b ON a.partner_id = b.partner_id
 WHERE COALESCE(a.installs, 0) <> COALESCE(b.installs, 0) OR COALESCE(a.denom, 0) <> COALESCE(b.denom, 0)"""))
 def metric_reconcile(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     a = L.metric_tech(t.attempts, P)
     b = L.metric_slot(L.bucketed_window(t.attempts, P), P.month_start, P.month_end)
     return Q.metric_reconcile(a, b, "partner_id", ["installs", "denom"])
@@ -170,7 +170,7 @@ def metric_reconcile(spark, sf):
 
 @query("subset_check", W(f"SELECT connection_id, partner_id FROM ({tech_collapse_sql(P)}) c WHERE has_installed = 1 AND tech_assigned = 0"))
 def subset_check(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
     return Q.subset_check(leads).select("connection_id", "partner_id")
 
@@ -179,7 +179,7 @@ def subset_check(spark, sf):
 SELECT partner_id FROM f_rosters WHERE category = 'enrolled'
   AND partner_id NOT IN (SELECT partner_id FROM f_profiles WHERE NOT coalesce(deleted, false) AND partner_id IS NOT NULL)"""))
 def coverage_gate(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     cohort = t.rosters.where(C("category") == "enrolled").select("partner_id")
     resolvable = E.profile_bridge(t.profiles).select("partner_id")
     # slack = the whole cohort here, so the check reports instead of aborting
@@ -193,7 +193,7 @@ SELECT partner_id, count(DISTINCT profile_id) AS profiles,
     SELECT profile_id FROM f_profiles GROUP BY profile_id HAVING count(DISTINCT partner_id) > 1)) AS shared_profiles
 FROM f_profiles WHERE partner_id IS NOT NULL GROUP BY partner_id"""))
 def bridge_fanout(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     bridge = t.profiles.where(C("partner_id").isNotNull()).select("profile_id", "partner_id")
     fan = Q.bridge_fanout(bridge).select("profile_id", F.lit(True).alias("_shared"))
     j = bridge.join(fan, "profile_id", "left")
@@ -205,6 +205,6 @@ def bridge_fanout(spark, sf):
 SELECT {SETTLE_SQL_COLS} FROM {settle_sql('SELECT * FROM inp')} x
 WHERE partner_id NOT IN (SELECT partner_id FROM f_rosters WHERE is_test)"""))
 def test_partner_exclude(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     tests = t.rosters.where(C("is_test")).select("partner_id")
     return _settled(spark, sf).join(tests, "partner_id", "left_anti").select(*SETTLE_COLS)

@@ -13,7 +13,7 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
 from leadflow.plans.q_snapshot import PREV, _snapshot, snapshot_sql
 from leadflow.plans.sqlparts import in_month_sql, tech_collapse_sql, tech_metric_sql
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col
@@ -81,7 +81,7 @@ SETTLE_SQL_COLS = ("partner_id, installs, denom, floor_amt AS floor, pay AS inst
 
 
 def _settled(spark, sf, p: Params = P):
-    return PO.settle(settle_input(TestData(spark, sf), p), p)
+    return PO.settle(settle_input(tables(spark, sf), p), p)
 
 
 @query("settlement", W(settle_input_sql(P) + f"\nSELECT {SETTLE_SQL_COLS} FROM {settle_sql('SELECT * FROM inp')} x"))
@@ -104,7 +104,7 @@ SELECT partner_id, joined, CAST(CASE WHEN joined IS NOT NULL AND strftime(joined
   THEN floor({P.floor} * ({P.days_in_month} - day(joined) + 1) / {P.days_in_month}.0 + 0.5) ELSE {P.floor} END AS BIGINT) AS floor
 FROM f_overlay"""))
 def prorata_floor(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.overlay.select("partner_id", "joined", PO.prorata(C("joined"), P.month_start, P.days_in_month, P.floor).alias("floor"))
 
 
@@ -126,7 +126,7 @@ def payout_totals(spark, sf):
 
 @query("rate_split_counts", W(settle_input_sql(P) + "\nSELECT partner_id, installs, inst_before, inst_after FROM split"))
 def rate_split_counts(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
     inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
     return PO.rate_split(inst, t.overlay)
@@ -138,7 +138,7 @@ FROM split s LEFT JOIN mg ON mg.partner_id = s.partner_id
 WHERE s.inst_before + s.inst_after <> COALESCE(mg.installs, 0)"""))
 def rate_split_reconcile(spark, sf):
     from leadflow.operators.quality import rate_split_reconcile as rsr
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
     inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
     return rsr(PO.rate_split(inst, t.overlay), L.metric_tech(t.attempts, P))
@@ -146,7 +146,7 @@ def rate_split_reconcile(spark, sf):
 
 # ---------------------------------------------------------- banner metrics
 def _route_input(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     snap = _snapshot(spark, sf)
     leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
     nl = PO.new_leads_since_crossing(leads, P)
@@ -174,7 +174,7 @@ rt AS (SELECT *, CASE WHEN denom + pending = 0 THEN 'noleads'
 
 @query("dropped_crossing", W(NEW_LEADS_SQL + "\nSELECT partner_id, new_leads FROM nl"))
 def dropped_crossing(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
     return PO.new_leads_since_crossing(leads, P)
 
@@ -220,7 +220,7 @@ SELECT attempt_id, CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGIN
   GREATEST(1, month(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)) - 6) AS program_month
 FROM f_attempts"""))
 def calendar_facts(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.attempts.select("attempt_id", *PO.calendar(C("updated_at"), P.offset_minutes))
 
 
@@ -241,7 +241,7 @@ prec AS (SELECT s.partner_id, s.installs, s.denom, o.joined, o.rate_after, o.swi
 
 def _prev_totals(spark, sf):
     """Previous month's settled total for enrolled partners that have a record that month."""
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     en = t.rosters.where(C("category") == "enrolled").select("partner_id")
     rec = _snapshot(spark, sf, PREV).select("partner_id", "installs", "denom").join(en, "partner_id", "left_semi")
     ov = t.overlay.select("partner_id", "joined", "rate_after", "switch")
@@ -271,7 +271,7 @@ qb AS (SELECT partner_id, tier, CAST(CASE WHEN tier IS NULL THEN NULL ELSE COALE
 
 def _quality_bonus(spark, sf):
     from leadflow.operators.cohorts import quality_bonus
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return quality_bonus(t.quality, t.rosters)
 
 
@@ -282,7 +282,7 @@ def quality_bonus(spark, sf):
 
 @query("tier_alias", W(f"SELECT partner_id, tier AS raw_tier, {TIER_SQL} AS tier FROM f_quality"))
 def tier_alias_q(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return t.quality.select("partner_id", C("tier").alias("raw_tier"), tier_alias(C("tier")).alias("tier"))
 
 

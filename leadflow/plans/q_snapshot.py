@@ -17,7 +17,7 @@ from leadflow.plans.params import Params
 from leadflow.plans.sqlparts import active_sql, bucketed_sql, collapse_sql, dedupe_ledger_sql, in_month_sql
 from leadflow.session import checkpoint_dir
 from leadflow.sources import snapshots as SNAP
-from leadflow.sources.testdata import TestData
+from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 PREV = replace(P, month_start=P.prev_start, month_end=P.month_start, as_of=dt.datetime(1998, 7, 1))
@@ -96,31 +96,31 @@ WHERE (a.installs + a.denom + a.pending + a.leads_m1) > 0 OR e.partner_id IS NOT
 
 
 def _snapshot(spark, sf, p: Params = P):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     enrol = t.overlay.where(F.col("joined").isNotNull())
     return S.month_snapshot(t.attempts, t.ledger, t.users, enrol, p)
 
 
 @query("ticket_topk", W(tickets_sql(P).strip() and f"SELECT partner_id, attempt_id, zone_id, rnk, rn FROM ({tickets_sql(P)}) x"))
 def ticket_topk(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return S.top_tickets(L.active_attempts(t.attempts, P.as_of, None)).select("partner_id", "attempt_id", "zone_id", "rnk", "rn")
 
 
 @query("ticket_pivot", W(PIVOT_SQL.format(tickets=tickets_sql(P))))
 def ticket_pivot(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return S.pivot_tickets(S.top_tickets(L.active_attempts(t.attempts, P.as_of, None)))
 
 
 @query("owner_pick", W(OWNER_SQL))
 def owner_pick(spark, sf):
-    return S.owner_of(TestData(spark, sf).users)
+    return S.owner_of(tables(spark, sf).users)
 
 
 @query("full_outer_sources", W(f"SELECT * FROM {agg_sql(P)} a"))
 def full_outer_sources(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return S.merge_sources(L.metric_tech(t.attempts, P), L.open_pipeline(L.bucketed_window(t.attempts, P)),
                            L.metric_ontime(t.ledger, P))
 
@@ -159,7 +159,7 @@ SELECT r.partner_id, CAST(COALESCE(s.installs, 0) AS BIGINT) AS installs, CAST(C
   CASE WHEN s.partner_id IS NULL THEN 0 ELSE 1 END AS found
 FROM (SELECT DISTINCT partner_id FROM f_rosters) r LEFT JOIN {snapshot_sql(P)} s ON s.partner_id = r.partner_id"""))
 def point_lookup(spark, sf):
-    t = TestData(spark, sf)
+    t = tables(spark, sf)
     return S.lookup(_snapshot(spark, sf), t.rosters)
 
 

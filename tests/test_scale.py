@@ -63,3 +63,15 @@ def test_ticket_topk_limits_before_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "WindowGroupLimit" in plan
+
+
+def test_size_check_broadcasts_small_sides_only(spark):
+    from leadflow.functions.joins import estimated_bytes, small
+    t = TestData(spark, MID)
+    assert 0 < estimated_bytes(t.rosters) < 1 << 20
+    hinted = small(t.rosters)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower() or \
+        "BroadcastHint" in hinted._jdf.queryExecution().logical().toString() or \
+        "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+    assert small(t.attempts, limit=1024) is not None
+    assert "ResolvedHint" not in small(t.attempts, limit=1024)._jdf.queryExecution().analyzed().toString()
