@@ -233,32 +233,43 @@ def map_events(events: DataFrame) -> DataFrame:
     return _map_events(events)
 
 
+def _sql_map(mapping: dict, pos: int | None = None) -> str:
+    """A Spark SQL map literal built from a fixed-value table (NULL entries left out)."""
+    parts = []
+    for k, v in mapping.items():
+        val = v if pos is None else v[pos]
+        if val is not None:
+            parts.append(f"{k}, '{val}'")
+    return f"map({', '.join(parts)})"
+
+
 def _map_attempts(li: DataFrame) -> DataFrame:
-    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
-    ship = F.col("l_shipdate")
-    otp = (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 10)
-    slot_at = F.when(pk % 10 < 7, ship)
-    h = (pk + 3 * ln) % 20
-    return li.select(
-        F.col("l_suppkey").alias("partner_id"),
-        F.floor(F.col("l_orderkey") / 4).cast("bigint").alias("connection_id"),
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("attempt_id"),
-        _case(h, STATE_BLOCK, 0).alias("current_state"),
-        _case(h, STATE_BLOCK, 1).alias("reason_code"),
-        _case(h, STATE_BLOCK, 2).alias("failure_reason"),
-        _case(h, STATE_BLOCK, 3).alias("failure_subreason"),
-        F.concat(F.lit("zone_"), pk % 40).alias("zone_id"),
-        F.when(otp | (ln >= 6) | (F.col("l_linestatus") == "O"), F.concat(F.lit("t"), pk % 50)).alias("executor_id"),
-        otp.alias("otp_verified"),
-        ln.alias("completed_step"),
-        _minutes(ship, (pk * 7 + ln * 131) % 1440).alias("updated_at"),
-        _minutes(ship, -1440 * (pk % 10 + 1)).alias("created_at"),
-        slot_at.alias("confirmed_slot_at"),
-        _minutes(_minutes(slot_at, 1440 * (F.col("l_suppkey") % 3)), F.lit(-1440)).cast("date").alias("confirmed_slot_date"),
-        F.when(pk % 10 < 8, ship.cast("date")).alias("proposed_slot_date"),
-        F.when(ln == 6, ship).alias("installation_completed_at"),
-        (pk % 17 != 0).alias("active"),
+    """SQL-text projection: one analyzer call instead of hundreds of Column round trips."""
+    pre = li.selectExpr(
+        "*", "CAST((l_partkey + 3 * l_linenumber) % 20 AS INT) AS h",
+        "(l_returnflag = 'A' AND l_quantity > 10) AS otp",
+        "CASE WHEN l_partkey % 10 < 7 THEN l_shipdate END AS slot_at")
+    return pre.selectExpr(
+        "l_suppkey AS partner_id",
+        "CAST(FLOOR(l_orderkey / 4) AS BIGINT) AS connection_id",
+        "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, "
+        "CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS attempt_id",
+        f"try_element_at({_sql_map(STATE_BLOCK, 0)}, h) AS current_state",
+        f"try_element_at({_sql_map(STATE_BLOCK, 1)}, h) AS reason_code",
+        f"try_element_at({_sql_map(STATE_BLOCK, 2)}, h) AS failure_reason",
+        f"try_element_at({_sql_map(STATE_BLOCK, 3)}, h) AS failure_subreason",
+        "concat('zone_', l_partkey % 40) AS zone_id",
+        "CASE WHEN otp OR l_linenumber >= 6 OR l_linestatus = 'O' THEN concat('t', l_partkey % 50) END AS executor_id",
+        "otp AS otp_verified",
+        "l_linenumber AS completed_step",
+        "timestampadd(MINUTE, CAST((l_partkey * 7 + l_linenumber * 131) % 1440 AS INT), l_shipdate) AS updated_at",
+        "timestampadd(MINUTE, CAST(-1440 * (l_partkey % 10 + 1) AS INT), l_shipdate) AS created_at",
+        "slot_at AS confirmed_slot_at",
+        "CAST(timestampadd(MINUTE, -1440, timestampadd(MINUTE, CAST(1440 * (l_suppkey % 3) AS INT), slot_at)) AS DATE)"
+        " AS confirmed_slot_date",
+        "CASE WHEN l_partkey % 10 < 8 THEN CAST(l_shipdate AS DATE) END AS proposed_slot_date",
+        "CASE WHEN l_linenumber = 6 THEN l_shipdate END AS installation_completed_at",
+        "l_partkey % 17 <> 0 AS active",
     )
 
 
