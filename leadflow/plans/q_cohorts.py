@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leadflow.functions.timecols import sql_date
 from leadflow.operators import cohorts as CO
@@ -15,7 +14,7 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import agg_sql
 from leadflow.plans.sqlparts import bucketed_sql
-from leadflow.sources.testdata import TestData, tables
+from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col

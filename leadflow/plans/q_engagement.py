@@ -11,8 +11,8 @@ from leadflow.operators import payout as PO
 from leadflow.operators.cohorts import in_roster, not_in_roster
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
-from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, _route_input, _settled, settle_input_sql, settle_sql
-from leadflow.sources.testdata import TestData, tables
+from leadflow.plans.q_payout import NEW_LEADS_SQL, _route_input, _settled, settle_input_sql, settle_sql
+from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col

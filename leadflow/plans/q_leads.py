@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadflow.functions.arith import pct_half_up
 from leadflow.functions.leads import flag, is_installed, is_on_time, is_open_ticket, lead_bucket
 from leadflow.functions.timecols import local_date, sql_date
 from leadflow.operators import leads as L
@@ -12,7 +11,7 @@ from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.sqlparts import (INSTALLED_FUNNEL_SQL, INSTALLED_SQL, active_sql, bucket_sql, bucketed_sql,
                                      collapse_sql, dedupe_ledger_sql, in_month_sql, local_range_sql)
-from leadflow.sources.testdata import TestData, tables
+from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 OFF = P.offset_minutes

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from leadflow.functions.arith import pct_half_even, pct_half_up
 from leadflow.functions.scalars import event_ts_int, grouped, sanitize_id, zero_pad
-from leadflow.functions.timecols import date_lit, local_date, sql_date
+from leadflow.functions.timecols import local_date, sql_date
 from leadflow.operators import engagement as E
 from leadflow.operators import leads as L
 from leadflow.operators import payout as PO
@@ -17,7 +17,7 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, SETTLE_COLS, _route_input, _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import snapshot_sql
 from leadflow.plans.sqlparts import bucketed_sql, tech_collapse_sql, tech_metric_sql
-from leadflow.sources.testdata import TestData, tables
+from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 C = F.col

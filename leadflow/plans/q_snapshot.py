@@ -8,7 +8,6 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from leadflow.functions.timecols import sql_ts
 from leadflow.operators import leads as L
 from leadflow.operators import snapshot as S
 from leadflow.plans.catalog import query
@@ -17,7 +16,7 @@ from leadflow.plans.params import Params
 from leadflow.plans.sqlparts import active_sql, bucketed_sql, collapse_sql, dedupe_ledger_sql, in_month_sql
 from leadflow.session import checkpoint_dir
 from leadflow.sources import snapshots as SNAP
-from leadflow.sources.testdata import TestData, tables
+from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
 PREV = replace(P, month_start=P.prev_start, month_end=P.month_start, as_of=dt.datetime(1998, 7, 1))
