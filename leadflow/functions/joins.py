@@ -38,12 +38,19 @@ def small(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def with_flag(df: DataFrame, keys: DataFrame, on: str | Sequence[str], name: str) -> DataFrame:
-    """Add boolean ``name``: the row's key exists in ``keys`` (an existence join, never a fan-out)."""
+    """Add boolean ``name``: the row's key exists in ``keys``.
+
+    Written as a correlated EXISTS, which Catalyst plans as one existence join: the key
+    side is neither deduplicated nor allowed to fan rows out, and a NULL key is False.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    marks = keys.select(*on).where(F.greatest(*[F.col(c).isNotNull() for c in on]) if len(on) > 1
-                                   else F.col(on[0]).isNotNull()).distinct().withColumn(name, F.lit(True))
-    out = df.join(small(marks), on, "left")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    left = df.alias("_fl")
+    right = small(keys.select(*on)).alias("_fr")
+    cond = None
+    for c in on:
+        eq = F.col(f"_fr.{c}") == F.col(f"_fl.{c}").outer()
+        cond = eq if cond is None else cond & eq
+    return left.withColumn(name, right.where(cond).exists())
 
 
 def left_fill(left: DataFrame, right: DataFrame, on: str | Sequence[str], cols: Sequence[str], fill=0) -> DataFrame:
