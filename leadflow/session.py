@@ -42,3 +42,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+# Settings we run with on a large cluster (~100 TB inputs). AQE starts from a generous
+# shuffle partition count and coalesces to ~256 MB partitions; scans split at 256 MB;
+# skewed join partitions are split at runtime; broadcasts stay under 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Apply CLUSTER_CONF to a session (runtime SQL settings only)."""
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)

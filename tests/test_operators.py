@@ -96,3 +96,21 @@ def test_quality_bonus_month_then_default(spark):
     ids = spark.createDataFrame([(1,), (2,), (3,), (4,)], "partner_id long")
     got = {r["partner_id"]: (r["tier"], r["amount"], r["ready"]) for r in quality_bonus(month, ids, fallback).collect()}
     assert got == {1: ("verygood", 2000, True), 2: (None, None, False), 3: ("basic", 700, True), 4: (None, None, False)}
+
+
+def test_refresh_jobs_write_month_and_refuse_frozen(spark):
+    from leadflow.plans.refresh import dashboard_documents, engagement_documents, month_params, refresh_snapshot, write_documents
+    from leadflow.sources.testdata import tables
+    from conftest import SMALL
+
+    t = tables(spark, SMALL)
+    out = f"{checkpoint_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    p = month_params("1998-07", as_of=dt.datetime(1998, 8, 15))
+    assert (p.month_start, p.month_end, p.prev_start) == (dt.date(1998, 7, 1), dt.date(1998, 8, 1), dt.date(1998, 6, 1))
+    refresh_snapshot(t, p, out)
+    with pytest.raises(SNAP.FrozenMonthError):
+        refresh_snapshot(t, p, out, frozen=["1998-07"])
+    assert spark.read.parquet(f"{out}/snapshot").where(F.col("month") == "1998-07").count() > 0
+    write_documents(dashboard_documents(t, p), f"{out}/dashboard", "1998-07")
+    write_documents(engagement_documents(t, p), f"{out}/engagement", "1998-07")
+    assert spark.read.json(f"{out}/dashboard/efficiency/month=1998-07").count() == 6
