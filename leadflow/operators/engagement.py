@@ -40,9 +40,22 @@ def attribute(events: DataFrame, bridge: DataFrame) -> DataFrame:
     return events.join(bridge, "profile_id", "inner")
 
 
-def click_counts(attributed: DataFrame) -> DataFrame:
-    """Events per partner."""
-    return attributed.groupBy("partner_id").agg(F.count(F.lit(1)).alias("n_clicks"))
+def per_profile(events: DataFrame, name: str, start: dt.datetime, by_day: bool = False) -> DataFrame:
+    """Named events reduced to (profile[, day]) counts and first/last time BEFORE any join.
+
+    Events are the largest input; combining them map-side per profile means a profile with
+    a third of all events costs one partial row per task, and only per-profile rows reach
+    the shuffle join with the bridge.
+    """
+    keys = [C("profile_id")] + ([C("ts").cast("date").alias("day")] if by_day else [])
+    return events_since(events, name, start).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("mn"), F.max("ts").alias("mx"))
+
+
+def click_counts(profile_counts: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Events per partner (per-profile counts attributed, then summed)."""
+    return (profile_counts.join(bridge, "profile_id", "inner")
+            .groupBy("partner_id").agg(F.sum("n").cast("bigint").alias("n_clicks")))
 
 
 def partner_funnel(attempts: DataFrame, since: dt.datetime) -> DataFrame:
@@ -65,9 +78,10 @@ def click_histogram(base: DataFrame, group: str = "grp") -> DataFrame:
         F.count_if(n >= 4).alias("c4plus"))
 
 
-def profiles_by_group(attributed: DataFrame, base: DataFrame, group: str = "grp") -> DataFrame:
-    """A10: distinct profiles per group (profiles of partners present in ``base``)."""
-    j = attributed.select("profile_id", "partner_id").join(base.select("partner_id", group), "partner_id", "inner")
+def profiles_by_group(profile_counts: DataFrame, bridge: DataFrame, base: DataFrame, group: str = "grp") -> DataFrame:
+    """A10: distinct profiles per group (profiles with events, of partners present in ``base``)."""
+    j = (profile_counts.select("profile_id").join(bridge, "profile_id", "inner")
+         .join(base.select("partner_id", group), "partner_id", "inner"))
     return j.groupBy(group).agg(F.countDistinct("profile_id").alias("ct_profiles"))
 
 
@@ -75,15 +89,15 @@ def engagement_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFram
                       events_start: dt.datetime, tasks_since: dt.datetime) -> DataFrame:
     """Programme vs rest clickers, clicks, stages, histogram and profile counts."""
     bridge = profile_bridge(profiles, undeleted=False)
-    clicks_ev = attribute(events_since(events, "banner_opened", events_start), bridge)
-    clicks = click_counts(clicks_ev)
+    per = per_profile(events, "banner_opened", events_start)
+    clicks = click_counts(per, bridge)
     inst = partner_funnel(attempts, tasks_since)
     base = left_fill(clicks, inst, "partner_id", ["slot_conf", "exec_assigned", "installed"])
     prog = small(roster.select("partner_id").distinct().withColumn("_in", F.lit(True)))
     base = base.join(prog, "partner_id", "left").withColumn(
         "grp", F.when(C("_in").isNotNull(), "MBG").otherwise("Non-MBG")).drop("_in")
     agg = click_histogram(base)
-    prof = profiles_by_group(clicks_ev, base)
+    prof = profiles_by_group(per, bridge, base)
     return agg.join(prof, "grp", "inner")
 
 
@@ -91,7 +105,8 @@ def segment_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFrame,
                    events_start: dt.datetime, tasks_since: dt.datetime) -> DataFrame:
     """Roster clicked / roster not clicked / outside the roster: partners and tasks per stage."""
     bridge = profile_bridge(profiles, undeleted=False)
-    clickers = attribute(events_since(events, "banner_opened", events_start), bridge).select("partner_id").distinct()
+    clickers = (per_profile(events, "banner_opened", events_start).select("profile_id")
+                .join(bridge, "profile_id", "inner").select("partner_id").distinct())
     a = attempts.where(C("active") & (C("created_at") >= ts_lit(tasks_since)))
     inst = a.groupBy("partner_id").agg(
         F.count(F.lit(1)).alias("connections"),
@@ -124,10 +139,12 @@ def union_segments(roster: DataFrame, clickers: DataFrame, inst: DataFrame) -> D
 
 
 def daily_opens(events: DataFrame, bridge: DataFrame, start: dt.datetime) -> DataFrame:
-    """Per (partner, day): opens, first and last open (the engagement job's remote grain)."""
-    ev = attribute(events_since(events, "banner_opened", start), bridge)
-    return ev.groupBy("partner_id", C("ts").cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("ts").alias("mn"), F.max("ts").alias("mx"))
+    """Per (partner, day): opens, first and last open (the engagement job's remote grain).
+
+    Pre-aggregated per (profile, day) before the bridge join (see ``per_profile``)."""
+    per = per_profile(events, "banner_opened", start, by_day=True).join(bridge, "profile_id", "inner")
+    return per.groupBy("partner_id", "day").agg(
+        F.sum("n").cast("bigint").alias("n"), F.min("mn").alias("mn"), F.max("mx").alias("mx"))
 
 
 def daily_engagement(opens: DataFrame) -> DataFrame:

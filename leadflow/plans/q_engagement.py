@@ -33,6 +33,14 @@ def _clicks_ev(t):
     return E.attribute(E.events_since(t.events, "banner_opened", P.events_since), E.profile_bridge(t.profiles, undeleted=False))
 
 
+def _per_profile(t):
+    return E.per_profile(t.events, "banner_opened", P.events_since)
+
+
+def _bridge_all(t):
+    return E.profile_bridge(t.profiles, undeleted=False)
+
+
 BASE_SQL = f"""
 prof AS (SELECT DISTINCT profile_id, partner_id FROM f_profiles WHERE partner_id IS NOT NULL),
 cev AS (SELECT e.event_id, e.profile_id, p.partner_id, e.ts FROM f_events e JOIN prof p ON p.profile_id = e.profile_id
@@ -58,7 +66,7 @@ agg AS (SELECT grp, count(*) AS clickers, CAST(sum(n_clicks) AS BIGINT) AS total
 
 
 def _base(t):
-    clicks = E.click_counts(_clicks_ev(t))
+    clicks = E.click_counts(_per_profile(t), _bridge_all(t))
     inst = E.partner_funnel(t.attempts, P.funnel_since)
     base = left_fill(clicks, inst, "partner_id", ["slot_conf", "exec_assigned", "installed"])
     prog = _roster(t).withColumn("_in", F.lit(True))
@@ -86,7 +94,8 @@ def events_to_partner(spark, sf):
 
 @query("click_counts", W(BASE_SQL + "\nSELECT partner_id, n_clicks FROM clicks"))
 def click_counts(spark, sf):
-    return E.click_counts(_clicks_ev(_t(spark, sf)))
+    t = _t(spark, sf)
+    return E.click_counts(_per_profile(t), _bridge_all(t))
 
 
 @query("partner_funnel", W(BASE_SQL + "\nSELECT * FROM inst"))
@@ -107,14 +116,14 @@ def click_frequency(spark, sf):
 @query("distinct_profiles", W(BASE_SQL + "\nSELECT * FROM ctprof"))
 def distinct_profiles(spark, sf):
     t = _t(spark, sf)
-    return E.profiles_by_group(_clicks_ev(t), _base(t))
+    return E.profiles_by_group(_per_profile(t), _bridge_all(t), _base(t))
 
 
 @query("group_join_counts", W(BASE_SQL + "\nSELECT a.grp, a.clickers, c.ct_profiles FROM agg a JOIN ctprof c ON c.grp = a.grp"))
 def group_join_counts(spark, sf):
     t = _t(spark, sf)
     base = _base(t)
-    return E.click_histogram(base).join(E.profiles_by_group(_clicks_ev(t), base), "grp", "inner").select(
+    return E.click_histogram(base).join(E.profiles_by_group(_per_profile(t), _bridge_all(t), base), "grp", "inner").select(
         "grp", "clickers", "ct_profiles")
 
 
@@ -159,14 +168,15 @@ def segment_funnel(spark, sf):
 @query("segment_union", W(SEG_SQL + "\nSELECT partner_id, segment FROM seg"))
 def segment_union(spark, sf):
     t = _t(spark, sf)
-    clickers = _clicks_ev(t).select("partner_id").distinct()
+    clickers = _per_profile(t).select("profile_id").join(_bridge_all(t), "profile_id").select("partner_id").distinct()
     inst = E.partner_funnel(t.attempts, P.funnel_since)
     return E.union_segments(_roster(t), clickers, inst)
 
 
 @query("distinct_clickers", W(SEG_SQL + "\nSELECT partner_id FROM clickers"))
 def distinct_clickers(spark, sf):
-    return _clicks_ev(_t(spark, sf)).select("partner_id").distinct()
+    t = _t(spark, sf)
+    return _per_profile(t).select("profile_id").join(_bridge_all(t), "profile_id").select("partner_id").distinct()
 
 
 @query("anti_roster", W(SEG_SQL + "\nSELECT i.partner_id FROM sinst i WHERE i.partner_id NOT IN (SELECT partner_id FROM mbg)"))
@@ -281,6 +291,6 @@ def coverage(spark, sf):
     t = _t(spark, sf)
     screens = PO.standing(_route_input(spark, sf), P).select("partner_id", "screen")
     base = t.users.where(C("status") == "ACTIVE").groupBy("partner_id").agg(F.count(F.lit(1)).alias("base"))
-    views = E.attribute(E.events_since(t.events, "banner_opened", P.engagement_start),
-                        E.profile_bridge(t.profiles)).groupBy("partner_id").agg(F.count(F.lit(1)).alias("n"))
+    views = E.click_counts(E.per_profile(t.events, "banner_opened", P.engagement_start),
+                           E.profile_bridge(t.profiles)).withColumnRenamed("n_clicks", "n")
     return E.coverage(screens, views, base)

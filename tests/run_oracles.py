@@ -1,5 +1,6 @@
 """Run every registered query against its oracle: python tests/run_oracles.py [sf_dir] [key ...]"""
 
+import os
 import sys
 import time
 
@@ -14,6 +15,8 @@ from leadflow.session import local_session  # noqa: E402
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = set(sys.argv[2:])
 spark = local_session(8)
+if os.environ.get("ORACLE_TZ"):  # prove results do not depend on the session zone
+    spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
 con = duck(sf)
 qs, orc = E.queries(), E.oracle_sql()
 bad = 0

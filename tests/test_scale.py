@@ -75,3 +75,19 @@ def test_size_check_broadcasts_small_sides_only(spark):
         "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
     assert small(t.attempts, limit=1024) is not None
     assert "ResolvedHint" not in small(t.attempts, limit=1024)._jdf.queryExecution().analyzed().toString()
+
+
+def test_hot_profile_click_counts_match_brute_force(spark):
+    from leadflow.operators import engagement as E
+    t = TestData(spark, MID)
+    ev = t.events.withColumn("profile_id", F.when(F.col("event_id") % 3 == 0, F.lit(5)).otherwise(F.col("profile_id")))
+    bridge = E.profile_bridge(t.profiles, undeleted=False)
+    got = {r["partner_id"]: r["n_clicks"] for r in E.click_counts(E.per_profile(ev, "banner_opened", P.events_since), bridge).collect()}
+    pe = ev.where((F.col("event_name") == "banner_opened") & (F.col("ts") >= F.lit("2024-01-09").cast("timestamp_ntz"))) \
+        .select("profile_id").toPandas()
+    pb = bridge.toPandas()
+    want = pe.merge(pb, on="profile_id").groupby("partner_id").size().to_dict()
+    assert got == {int(k): int(v) for k, v in want.items()}
+    plan = _plan(E.click_counts(E.per_profile(ev, "banner_opened", P.events_since), bridge))
+    # events are combined per profile before the join's exchange
+    assert plan.index("partial_count") > plan.index("Join")
