@@ -43,9 +43,6 @@ STATE_BLOCK = {
     19: ("AWAITING_CUSTOMER_OTP", None, None, None),
 }
 
-# inputs that grow with the scale factor (candidates for spreading a single-split test file)
-LARGE_TABLES = {"lineitem", "orders", "events", "customer", "documents", "pages", "conversations"}
-
 # fixed values: ledger outcome by o_orderkey % 8
 LEDGER_OUTCOME = {
     0: "ON_TIME_ACTIVE", 1: "ON_TIME_ACTIVE", 2: "ON_TIME_ACTIVE", 3: "LATE_ACTIVE",
@@ -93,14 +90,7 @@ class TestData:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            # A test file may be a single Parquet row group, i.e. one scan task. Spread such
-            # inputs round-robin over the cores so mapping and partial aggregation run in
-            # parallel; a real table has far more splits than cores and is left as is.
-            cores = self.spark.sparkContext.defaultParallelism
-            if name in LARGE_TABLES and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores)
-            self._raw[name] = df
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     @cached_property
