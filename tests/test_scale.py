@@ -5,7 +5,7 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import MID
+from conftest import MID, SMALL
 from leadflow.operators import leads as L
 from leadflow.operators import snapshot as S
 from leadflow.plans.params import DEFAULT as P
@@ -42,9 +42,21 @@ def test_metric_aggregates_partially_before_shuffle(spark):
 
 
 def test_ledger_month_filter_reaches_parquet(spark):
-    df = L.ledger_month(TestData(spark, MID).ledger, P.month_start, P.month_end)
-    plan = _plan(df)
-    assert "PushedFilters" in plan and "o_orderdate" in plan.split("PushedFilters")[1][:400]
+    """The local-month bound is written on the raw instant, so on a table where
+    terminal_at is a stored column it becomes a Parquet pushed filter."""
+    import uuid
+
+    from leadflow.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    TestData(spark, SMALL).ledger.write.parquet(path)
+    df = L.ledger_month(spark.read.parquet(path), P.month_start, P.month_end)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        pushed = _plan(df).split("PushedFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(terminal_at,1998-06-30T18:30)" in pushed
+    assert "LessThan(terminal_at,1998-07-31T18:30)" in pushed
 
 
 def test_scan_prunes_columns(spark):
