@@ -85,14 +85,33 @@ def in_month(start: dt.date, end: dt.date | None, col: str = "last_date") -> Col
 
 
 # ----------------------------------------------------------------- v3 metric (A3)
-def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+def touched_history(attempts: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The full history of only those leads touched since the month start.
+
+    A lead's last local date is >= ms iff it has a row with updated_at >= ms - offset, so
+    the semi join keeps exactly the leads that can fall in the month, with all of their rows
+    (the sticky flags need the whole history). The touched keys come from a range scan of
+    recent rows; Catalyst broadcasts them when small, or injects them as a runtime bloom
+    filter into the history scan when that scan is large, so old untouched leads are dropped
+    before the aggregation shuffle. Its exchange is on the grouping keys, which the
+    aggregation then reuses.
+    """
+    active = active_attempts(attempts, p.as_of, days=None)
+    since = dt.datetime.combine(p.month_start, dt.time()) - dt.timedelta(minutes=p.offset_minutes)
+    touched = active.where(F.col("updated_at") >= ts_lit(since)).select("connection_id", "partner_id").distinct()
+    return active.join(touched, ["connection_id", "partner_id"], "left_semi")
+
+
+def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None,
+                leads: DataFrame | None = None) -> DataFrame:
     """installs and tech-assigned leads per partner whose lead closed in the month (local date).
 
     Full history (no rolling window): the month is decided by the lead's LAST update, so
     every row of a touched lead is needed. An impacted connection leaves the denominator
-    unless it installed.
+    unless it installed. ``leads`` may pass an already collapsed frame.
     """
-    leads = collapse_attempts(active_attempts(attempts, p.as_of, days=None), p.offset_minutes)
+    if leads is None:
+        leads = collapse_attempts(touched_history(attempts, p), p.offset_minutes)
     m = in_month(p.month_start, p.month_end)
     if impacted is not None:
         leads = with_flag(leads, impacted, "connection_id", "is_impacted")
