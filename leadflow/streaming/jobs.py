@@ -31,18 +31,23 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
-def stream_table(spark: SparkSession, folder: str, file_name: str, schema: T.StructType) -> DataFrame:
-    """An append-only Parquet folder as a stream (one named file in tests)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_name)
+def stream_table(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType) -> DataFrame:
+    """An append-only Parquet folder as a stream (files matching ``file_glob``)."""
+    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
             .option("maxFilesPerTrigger", 100).parquet(folder))
 
 
 def run_upsert(stream: DataFrame, keys: Sequence[str], name: str, spark: SparkSession,
-               root: str | None = None, mode: str = "update") -> DataFrame:
+               root: str | None = None, mode: str = "update", run_dir: str | None = None) -> DataFrame:
     """Run ``stream`` to the end of the available input (availableNow) and return the
-    latest row per key from its upsert log."""
+    latest row per key from its upsert log.
+
+    ``run_dir`` makes runs incremental: the checkpoint (offsets, state, watermark) and the
+    log live there, so the next run only reads new files and late rows are judged against
+    the watermark the previous run left. Without it every call starts afresh.
+    """
     root = (root or checkpoint_dir(spark)).rstrip("/")
-    run = f"{root}/{name}-{uuid.uuid4().hex}"
+    run = run_dir.rstrip("/") if run_dir else f"{root}/{name}-{uuid.uuid4().hex}"
     log_path = f"{run}/log"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -117,11 +122,14 @@ def event_counts_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame
             .select(C("w.start").alias("w_start"), "day", "event_name", "events", "max_ts"))
 
 
-def event_counts(spark: SparkSession, folder: str, lateness_days: int = 1) -> DataFrame:
+def event_counts(spark: SparkSession, folder: str, lateness_days: int = 1, file_glob: str = "events.parquet",
+                 run_dir: str | None = None) -> DataFrame:
     """ST3: daily counts per event; a day is final once the watermark (max event time minus
-    the allowed lateness) has passed its end, otherwise provisional."""
-    src = stream_table(spark, folder, "events.parquet", EVENTS_SCHEMA)
-    rows = run_upsert(event_counts_stream(src, f"{lateness_days} day"), ["w_start", "day", "event_name"], "st3-counts", spark)
+    the allowed lateness) has passed its end, otherwise provisional. Events later than the
+    watermark of the previous micro-batch are dropped (not counted into closed days)."""
+    src = stream_table(spark, folder, file_glob, EVENTS_SCHEMA)
+    rows = run_upsert(event_counts_stream(src, f"{lateness_days} day"), ["w_start", "day", "event_name"], "st3-counts",
+                      spark, run_dir=run_dir)
     rows = rows.groupBy("day", "event_name").agg(F.sum("events").cast("bigint").alias("events"), F.max("max_ts").alias("max_ts"))
     # the final watermark as a scalar subquery (one value, no join)
     wm = F.timestamp_add("DAY", F.lit(-lateness_days), rows.select(F.max("max_ts")).scalar())

@@ -22,3 +22,33 @@ def test_event_counts_final_flag(spark):
     days = sorted({r["day"] for r in rows})
     assert all(r["final"] for r in rows if r["day"] < days[-2])
     assert not any(r["final"] for r in rows if r["day"] == days[-1])
+
+
+def test_incremental_run_drops_late_events(spark, tmp_path_factory):
+    """Two availableNow runs on one checkpoint: the second run's events older than the
+    first run's watermark are dropped; new days are added; closed days keep their counts."""
+    import uuid
+
+    import pyarrow.parquet as pq
+    from pyarrow import compute as pc
+
+    from leadflow.session import checkpoint_dir
+
+    base = f"{checkpoint_dir(spark)}/st3-incr-{uuid.uuid4().hex}"
+    src, run = f"{base}/src", f"{base}/run"
+    import os
+    os.makedirs(src)
+    raw = pq.read_table(f"{SMALL}/events.parquet")
+    cut = pc.less(raw["ts"], pc.strptime("2024-01-20", format="%Y-%m-%d", unit="us"))
+    first, rest = raw.filter(cut), raw.filter(pc.invert(cut))
+    pq.write_table(first, f"{src}/a.parquet")
+    r1 = {(r["day"], r["event_name"]): r["events"] for r in ST.event_counts(spark, src, file_glob="*.parquet", run_dir=run).collect()}
+    late = first.slice(0, 5)  # re-delivered early-January events, now far behind the watermark
+    import pyarrow as pa
+    pq.write_table(pa.concat_tables([rest, late]), f"{src}/b.parquet")
+    r2 = {(r["day"], r["event_name"]): r["events"] for r in ST.event_counts(spark, src, file_glob="*.parquet", run_dir=run).collect()}
+    late_days = {(d.as_py().date(), ) for d in late["ts"]}
+    for (day, name), n in r1.items():
+        if (day,) in late_days:
+            assert r2[(day, name)] == n  # late copies were not counted
+    assert max(d for d, _ in r2) > max(d for d, _ in r1)
