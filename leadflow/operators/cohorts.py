@@ -85,8 +85,7 @@ def efficiency(bucketed: DataFrame, rosters: DataFrame, periods: list[tuple[str,
                F.count_if((b == "installed") & slot).alias("installs"),
                F.count_if(slot & ~b.isin("open", "system_other")).alias("denom"))
            .where(F.col("denom") > 0))
-    cat = roster_label(per, rosters).withColumn(
-        "category", F.when(F.col("category") == "rest", "nonmbg").otherwise(F.col("category")))
+    cat = roster_label(per, rosters)
     sec = at_gate(C("installs"), C("denom"), 3, 5, strict=strict)
     g = cat.groupBy("period", "category").agg(
         F.count(F.lit(1)).alias("partners"), F.sum("denom").cast("bigint").alias("leads"),

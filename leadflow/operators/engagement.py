@@ -95,7 +95,7 @@ def engagement_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFram
     base = left_fill(clicks, inst, "partner_id", ["slot_conf", "exec_assigned", "installed"])
     prog = small(roster.select("partner_id").distinct().withColumn("_in", F.lit(True)))
     base = base.join(prog, "partner_id", "left").withColumn(
-        "grp", F.when(C("_in").isNotNull(), "MBG").otherwise("Non-MBG")).drop("_in")
+        "grp", F.when(C("_in").isNotNull(), "programme").otherwise("rest")).drop("_in")
     agg = click_histogram(base)
     prof = profiles_by_group(per, bridge, base)
     return agg.join(prof, "grp", "inner")
@@ -121,9 +121,9 @@ def segment_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFrame,
     seg = union_segments(roster, clickers, inst)
     j = seg.join(inst, "partner_id", "left")
     sums = ["f_slot", "f_tech", "f_install", "connections", "t_slot_prop", "t_slot_conf", "t_tech", "t_arrived", "t_install"]
-    names = {"f_slot": "slot_csps", "f_tech": "tech_csps", "f_install": "install_csps"}
+    names = {"f_slot": "slot_partners", "f_tech": "tech_partners", "f_install": "install_partners"}
     return j.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("base_csps"), F.count(C("connections")).alias("active_csps"),
+        F.count(F.lit(1)).alias("base_partners"), F.count(C("connections")).alias("active_partners"),
         *[F.sum(F.coalesce(C(c), F.lit(0))).cast("bigint").alias(names.get(c, c)) for c in sums])
 
 
@@ -134,7 +134,7 @@ def union_segments(roster: DataFrame, clickers: DataFrame, inst: DataFrame) -> D
     a = r.join(c, "partner_id", "left").select(
         "partner_id", F.when(C("_c").isNotNull(), "A_clicked").otherwise("B_noclick").alias("segment"))
     outside = (inst.select("partner_id").where(C("partner_id").isNotNull())
-               .join(small(r), "partner_id", "left_anti").withColumn("segment", F.lit("C_nonmbg")))
+               .join(small(r), "partner_id", "left_anti").withColumn("segment", F.lit("C_outside")))
     return a.unionByName(outside)
 
 

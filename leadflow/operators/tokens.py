@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 C = F.col
 
 
-def profile_tokens(df: DataFrame, identity: str, tokens: Sequence[str], prefix: str = "mbg_") -> DataFrame:
+def profile_tokens(df: DataFrame, identity: str, tokens: Sequence[str], prefix: str = "banner_") -> DataFrame:
     """K5: (identity, token, value-as-string) rows via unpivot; NULL values become ''."""
     wide = df.select(identity, *[F.coalesce(C(t).cast("string"), F.lit("")).alias(f"{prefix}{t}") for t in tokens])
     return wide.unpivot([identity], [f"{prefix}{t}" for t in tokens], "token", "value")

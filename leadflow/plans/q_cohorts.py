@@ -20,7 +20,7 @@ from leadflow.sources.testdata_sql import with_fixtures as W
 C = F.col
 PERIODS = [("june", P.prev_start, P.month_start), ("july", P.month_start, None)]
 JUNE, JULY = sql_date(P.prev_start), sql_date(P.month_start)
-CATEGORIES = ["enrolled", "eligible", "nonmbg"]
+CATEGORIES = ["enrolled", "eligible", "rest"]
 
 
 def _legacy(t):
@@ -35,7 +35,7 @@ per AS (SELECT partner_id,
     count(*) FILTER (WHERE reached_slot = 1 AND bucket NOT IN ('open','system_other')) AS denom
   FROM b GROUP BY partner_id, 2),
 cat AS (SELECT per.*, CASE WHEN r.category = 'enrolled' THEN 'enrolled' WHEN r.category = 'eligible' THEN 'eligible'
-                          ELSE 'nonmbg' END AS category
+                          ELSE 'rest' END AS category
   FROM per LEFT JOIN f_rosters r ON r.partner_id = per.partner_id WHERE period IS NOT NULL AND denom > 0),
 eff AS (SELECT period, category, count(*) AS partners, CAST(sum(denom) AS BIGINT) AS leads, CAST(sum(installs) AS BIGINT) AS installs,
     ((2000 * sum(installs) + sum(denom)) // (2 * sum(denom))) / 10.0 AS agg_eff,
@@ -70,7 +70,7 @@ def efficiency(spark, sf):
 
 
 @query("dashboard_pivot", W(EFF_SQL + """,
-grid AS (SELECT * FROM (VALUES ('june'), ('july')) p(period), (VALUES ('enrolled'), ('eligible'), ('nonmbg')) c(category))
+grid AS (SELECT * FROM (VALUES ('june'), ('july')) p(period), (VALUES ('enrolled'), ('eligible'), ('rest')) c(category))
 SELECT g.period, g.category, COALESCE(e.partners, 0) AS partners, COALESCE(e.leads, 0) AS leads,
   COALESCE(e.installs, 0) AS installs, COALESCE(e.agg_eff, 0) AS agg_eff, COALESCE(e.secured, 0) AS secured,
   COALESCE(e.pct_secured, 0) AS pct_secured

@@ -73,7 +73,7 @@ def scalar_math(spark, sf):
 
 @query("scalar_string", W(f"""
 SELECT s.partner_id,
-  CASE WHEN length(CAST(s.user_id AS VARCHAR)) >= 6 THEN CAST(s.user_id AS VARCHAR) ELSE lpad(CAST(s.user_id AS VARCHAR), 6, '0') END AS mbg_id,
+  CASE WHEN length(CAST(s.user_id AS VARCHAR)) >= 6 THEN CAST(s.user_id AS VARCHAR) ELSE lpad(CAST(s.user_id AS VARCHAR), 6, '0') END AS banner_id,
   lower(a.account_name) AS account_lower, s.t1_no, '#' || right(s.t1_cid, 4) AS t1_no_rebuilt,
   format('{{:,}}', {P.rate} * s.installs) AS installpay_text
 FROM {snapshot_sql(P)} s LEFT JOIN f_accounts a ON a.partner_id = s.partner_id"""))
@@ -82,7 +82,7 @@ def scalar_string(spark, sf):
     from leadflow.plans.q_snapshot import _snapshot
     t = tables(spark, sf)
     s = _snapshot(spark, sf).join(t.accounts, "partner_id", "left")
-    return s.select("partner_id", zero_pad(C("user_id"), 6).alias("mbg_id"), F.lower("account_name").alias("account_lower"),
+    return s.select("partner_id", zero_pad(C("user_id"), 6).alias("banner_id"), F.lower("account_name").alias("account_lower"),
                     "t1_no", ticket_no(C("t1_cid")).alias("t1_no_rebuilt"),
                     grouped(F.lit(P.rate) * C("installs")).alias("installpay_text"))
 
@@ -107,7 +107,6 @@ TOKENS = ["screen", "installs", "denom", "pending", "needed", "pct", "next_pct",
 
 
 def _banner(spark, sf):
-    from leadflow.plans.q_snapshot import _snapshot  # noqa: F401
     df = PO.standing(_route_input(spark, sf), P)
     return PO.progress(df, P)
 
@@ -116,8 +115,9 @@ def _banner(spark, sf):
 pg AS (SELECT rt.*, CAST(CASE WHEN denom > 0 THEN ROUND(100.0 * installs / denom) ELSE 0 END AS BIGINT) AS pct,
     CAST(ROUND(100.0 * (installs + 1) / (denom + 1)) AS BIGINT) AS next_pct,
     CAST(CASE WHEN denom > 0 THEN GREATEST(0, CEIL((3 * denom - 5 * installs) / 2.0)) WHEN pending > 0 THEN 1 ELSE 0 END AS BIGINT) AS needed,
-    format('{:,}', 300 * installs) AS installpay_text, CAST(GREATEST(0, 10000 - 300 * installs) AS BIGINT) AS topup FROM rt)
-SELECT partner_id, 'mbg_' || token AS token, value FROM (
+    format('{:,}', 300 * installs) AS installpay_text, CAST(GREATEST(0, 10000 - 300 * installs) AS BIGINT) AS topup FROM rt),
+ids AS (SELECT user_id, partner_id FROM f_users WHERE status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS'))
+SELECT ids.user_id, 'banner_' || x.token AS token, x.value FROM ids JOIN (
   SELECT partner_id, 'screen' AS token, screen AS value FROM pg
   UNION ALL SELECT partner_id, 'installs', CAST(installs AS VARCHAR) FROM pg
   UNION ALL SELECT partner_id, 'denom', CAST(denom AS VARCHAR) FROM pg
@@ -128,9 +128,13 @@ SELECT partner_id, 'mbg_' || token AS token, value FROM (
   UNION ALL SELECT partner_id, 'installpay_text', installpay_text FROM pg
   UNION ALL SELECT partner_id, 'topup', CAST(topup AS VARCHAR) FROM pg
   UNION ALL SELECT partner_id, 't1_no', COALESCE(t1_no, '') FROM pg
-  UNION ALL SELECT partner_id, 't1_area', COALESCE(t1_area, '') FROM pg) x"""))
+  UNION ALL SELECT partner_id, 't1_area', COALESCE(t1_area, '') FROM pg) x ON x.partner_id = ids.partner_id"""))
 def profile_tokens_q(spark, sf):
-    return profile_tokens(_banner(spark, sf), "partner_id", TOKENS)
+    """K5: tokens per identity — every active user of the partner in the three roles."""
+    from leadflow.operators.cohorts import identities
+    banner = _banner(spark, sf)
+    ids = identities(banner.select("partner_id"), tables(spark, sf).users)
+    return profile_tokens(ids.join(banner.drop("user_id"), "partner_id", "inner"), "user_id", TOKENS)
 
 
 @query("clear_flags", W("""

@@ -50,7 +50,7 @@ def dashboard_documents(tables, p: Params) -> dict[str, DataFrame]:
     legacy = L.bucketed_window(tables.attempts, p, "legacy")
     periods = [("previous", p.prev_start, p.month_start), ("current", p.month_start, None)]
     grid = tables.rosters.sparkSession.createDataFrame(
-        [(a, c) for a, _, _ in periods for c in ("enrolled", "eligible", "nonmbg")], "period string, category string")
+        [(a, c) for a, _, _ in periods for c in ("enrolled", "eligible", "rest")], "period string, category string")
     return {
         "csp_funnel": E.engagement_funnel(tables.events, tables.profiles, tables.attempts, roster, p.events_since, p.funnel_since),
         "segments": E.segment_funnel(tables.events, tables.profiles, tables.attempts, roster, p.events_since, p.funnel_since),

@@ -114,3 +114,25 @@ def test_refresh_jobs_write_month_and_refuse_frozen(spark):
     write_documents(dashboard_documents(t, p), f"{out}/dashboard", "1998-07")
     write_documents(engagement_documents(t, p), f"{out}/engagement", "1998-07")
     assert spark.read.json(f"{out}/dashboard/efficiency/month=1998-07").count() == 6
+
+
+def test_push_tokens_sink_runs_inside_tasks(spark):
+    import glob
+    import json
+    import os
+
+    from leadflow.operators.tokens import profile_tokens, push_tokens
+    out = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    os.makedirs(out)
+    df = spark.createDataFrame([(i, i * 2, None) for i in range(50)], "user_id long, installs long, t1_no string")
+    tok = profile_tokens(df, "user_id", ["installs", "t1_no"]).repartition(4)
+
+    def send(rows, out=out):
+        with open(f"{out}/{uuid.uuid4().hex}.jsonl", "w") as f:
+            for r in rows:
+                f.write(json.dumps(r) + "\n")
+
+    push_tokens(tok, send, batch=30)
+    lines = [json.loads(x) for p in glob.glob(f"{out}/*.jsonl") for x in open(p)]
+    assert len(lines) == 100
+    assert {x["value"] for x in lines if x["token"] == "banner_t1_no"} == {""}
