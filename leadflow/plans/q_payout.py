@@ -24,7 +24,7 @@ def settle_input(t: TestData, p: Params = P):
     """Enrolled universe ⟕ v3 metric ⟕ overlay ⟕ rate split (zero-filled)."""
     enrolled = t.rosters.where(C("category") == "enrolled").select("partner_id")
     mg = L.metric_tech(t.attempts, p)
-    leads = L.collapse_attempts(L.active_attempts(t.attempts, p.as_of, None), p.offset_minutes)
+    leads = L.collapse_attempts(L.touched_history(t.attempts, p), p.offset_minutes)
     inst = leads.where((C("has_installed") == 1) & L.in_month(p.month_start, p.month_end))
     split = PO.rate_split(inst, t.overlay).select("partner_id", "inst_before", "inst_after")
     ov = t.overlay.select("partner_id", "joined", "rate_after", "switch")
@@ -127,7 +127,7 @@ def payout_totals(spark, sf):
 @query("rate_split_counts", W(settle_input_sql(P) + "\nSELECT partner_id, installs, inst_before, inst_after FROM split"))
 def rate_split_counts(spark, sf):
     t = tables(spark, sf)
-    leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
+    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
     inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
     return PO.rate_split(inst, t.overlay)
 
@@ -139,7 +139,7 @@ WHERE s.inst_before + s.inst_after <> COALESCE(mg.installs, 0)"""))
 def rate_split_reconcile(spark, sf):
     from leadflow.operators.quality import rate_split_reconcile as rsr
     t = tables(spark, sf)
-    leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
+    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
     inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
     return rsr(PO.rate_split(inst, t.overlay), L.metric_tech(t.attempts, P))
 
@@ -148,7 +148,7 @@ def rate_split_reconcile(spark, sf):
 def _route_input(spark, sf):
     t = tables(spark, sf)
     snap = _snapshot(spark, sf)
-    leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
+    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
     nl = PO.new_leads_since_crossing(leads, P)
     return snap.join(nl, "partner_id", "left")
 
@@ -175,7 +175,7 @@ rt AS (SELECT *, CASE WHEN denom + pending = 0 THEN 'noleads'
 @query("dropped_crossing", W(NEW_LEADS_SQL + "\nSELECT partner_id, new_leads FROM nl"))
 def dropped_crossing(spark, sf):
     t = tables(spark, sf)
-    leads = L.collapse_attempts(L.active_attempts(t.attempts, P.as_of, None), P.offset_minutes)
+    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
     return PO.new_leads_since_crossing(leads, P)
 
 
