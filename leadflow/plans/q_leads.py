@@ -50,7 +50,8 @@ def latest_attempt(spark, sf):
 
 
 @query("current_slot_flag", W(f"""
-SELECT partner_id, count(*) AS leads, sum(reached_slot) AS sticky_slot, sum(own_slot_latest) AS current_slot
+SELECT partner_id, count(*) AS leads, CAST(sum(reached_slot) AS BIGINT) AS sticky_slot,
+  CAST(sum(own_slot_latest) AS BIGINT) AS current_slot
 FROM ({collapse_sql(active_sql(P, P.window_days))}) c GROUP BY partner_id"""))
 def current_slot_flag(spark, sf):
     t = tables(spark, sf)

@@ -214,10 +214,10 @@ def needed_variants(spark, sf):
 
 @query("calendar_facts", W(f"""
 SELECT attempt_id, CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE) AS local_day,
-  day(last_day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)))
-    - day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)) AS days_left,
-  day(last_day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE))) AS days_in_month,
-  GREATEST(1, month(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)) - 6) AS program_month
+  CAST(day(last_day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)))
+    - day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)) AS INTEGER) AS days_left,
+  CAST(day(last_day(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE))) AS INTEGER) AS days_in_month,
+  CAST(GREATEST(1, month(CAST(updated_at + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)) - 6) AS INTEGER) AS program_month
 FROM f_attempts"""))
 def calendar_facts(spark, sf):
     t = tables(spark, sf)

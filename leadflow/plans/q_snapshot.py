@@ -100,7 +100,7 @@ def _snapshot(spark, sf, p: Params = P):
     return S.month_snapshot(t.attempts, t.ledger, t.users, enrol, p)
 
 
-@query("ticket_topk", W(tickets_sql(P).strip() and f"SELECT partner_id, attempt_id, zone_id, rnk, rn FROM ({tickets_sql(P)}) x"))
+@query("ticket_topk", W(f"SELECT partner_id, attempt_id, zone_id, rnk, CAST(rn AS INTEGER) AS rn FROM ({tickets_sql(P)}) x"))
 def ticket_topk(spark, sf):
     t = tables(spark, sf)
     return S.top_tickets(L.active_attempts(t.attempts, P.as_of, None)).select("partner_id", "attempt_id", "zone_id", "rnk", "rn")

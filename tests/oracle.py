@@ -59,3 +59,14 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
         if x != y:
             return False, f"first diff (cols {sorted(s_cols)}):\n spark={x}\n duck ={y}"
     return True, f"{len(a)} rows match"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list:
+    """Columns whose Spark type does not map onto the oracle's DuckDB type."""
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, t, duck_types.get(c)) for c, t in spark_df.dtypes if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)]

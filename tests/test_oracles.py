@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
-from oracle import compare
+from oracle import compare, type_mismatches
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
@@ -22,8 +22,10 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck_small, key):
-    ok, msg = compare(QUERIES[key](spark, SMALL), duck_small, ORACLES[key])
+    df = QUERIES[key](spark, SMALL)
+    ok, msg = compare(df, duck_small, ORACLES[key])
     assert ok, f"{key}: {msg}"
+    assert type_mismatches(df, duck_small, ORACLES[key]) == []
 
 
 @pytest.mark.parametrize("key", ["final_assemble", "settlement", "csp_funnel", "efficiency", "route_screen"])
