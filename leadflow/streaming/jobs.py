@@ -135,3 +135,12 @@ def event_counts(spark: SparkSession, folder: str, lateness_days: int = 1, file_
     wm = F.timestamp_add("DAY", F.lit(-lateness_days), rows.select(F.max("max_ts")).scalar())
     day_end = F.date_add(C("day"), 1).cast("timestamp_ntz")
     return rows.select("day", "event_name", "events", (day_end <= wm).alias("final"))
+
+
+def final_event_counts(spark: SparkSession, folder: str, lateness_days: int = 1, file_glob: str = "events.parquet",
+                       run_dir: str | None = None) -> DataFrame:
+    """ST3, append mode: only days the watermark has closed are emitted, each exactly once."""
+    src = stream_table(spark, folder, file_glob, EVENTS_SCHEMA)
+    rows = run_upsert(event_counts_stream(src, f"{lateness_days} day"), ["w_start", "day", "event_name"], "st3-final",
+                      spark, mode="append", run_dir=run_dir)
+    return rows.groupBy("day", "event_name").agg(F.sum("events").cast("bigint").alias("events"))

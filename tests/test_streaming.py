@@ -52,3 +52,9 @@ def test_incremental_run_drops_late_events(spark, tmp_path_factory):
         if (day,) in late_days:
             assert r2[(day, name)] == n  # late copies were not counted
     assert max(d for d, _ in r2) > max(d for d, _ in r1)
+
+
+def test_append_mode_emits_exactly_the_final_days(spark):
+    upd = ST.event_counts(spark, SMALL).where("final").select("day", "event_name", "events")
+    app = ST.final_event_counts(spark, SMALL)
+    assert {tuple(r) for r in upd.collect()} == {tuple(r) for r in app.collect()}
