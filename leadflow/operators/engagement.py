@@ -96,9 +96,12 @@ def engagement_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFram
     prog = small(roster.select("partner_id").distinct().withColumn("_in", F.lit(True)))
     base = base.join(prog, "partner_id", "left").withColumn(
         "grp", F.when(C("_in").isNotNull(), "programme").otherwise("rest")).drop("_in")
-    agg = click_histogram(base)
-    prof = profiles_by_group(per, bridge, base)
-    return agg.join(prof, "grp", "inner")
+    return with_profiles(click_histogram(base), profiles_by_group(per, bridge, base))
+
+
+def with_profiles(agg: DataFrame, prof: DataFrame, group: str = "grp") -> DataFrame:
+    """Group aggregate ⋈ distinct-profile counts (a group without profile rows drops out)."""
+    return agg.join(prof, group, "inner")
 
 
 def segment_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFrame, roster: DataFrame,

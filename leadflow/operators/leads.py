@@ -112,18 +112,26 @@ def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame |
     """
     if leads is None:
         leads = collapse_attempts(touched_history(attempts, p), p.offset_minutes)
-    m = in_month(p.month_start, p.month_end)
     if impacted is not None:
-        leads = with_flag(leads, impacted, "connection_id", "is_impacted")
-        excused = (F.col("has_installed") == 0) & F.col("is_impacted")
-    else:
-        excused = F.lit(False)
+        leads = drop_impacted(leads, impacted)
+    m = in_month(p.month_start, p.month_end)
     return leads.groupBy("partner_id").agg(
         F.count_if(m & (F.col("has_installed") == 1)).alias("installs"),
-        F.count_if(m & (F.col("tech_assigned") == 1) & ~excused).alias("denom"),
+        F.count_if(m & (F.col("tech_assigned") == 1)).alias("denom"),
     )
 
 
+def drop_impacted(leads: DataFrame, impacted: DataFrame) -> DataFrame:
+    """an impacted connection leaves the lead set unless it installed.
+
+    Dropping the non-installed impacted leads removes them from every denominator and
+    cannot change an install count. The impacted list is an existence flag, never a
+    literal IN list, so it may hold any number of connections.
+    """
+    flagged = with_flag(leads, impacted, "connection_id", "_impacted")
+    return flagged.where(~(F.col("_impacted") & (F.col("has_installed") == 0))).drop("_impacted")
+
+
 # ------------------------------------------------------------ ledger
 def latest_per(df: DataFrame, keys: list[str], order: list[str], value_cols: list[str]) -> DataFrame:
     """Latest row per key by ``order`` (descending, NULLs last), as an aggregation.

@@ -129,8 +129,7 @@ def settle(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     few = d <= p.few_leads
     eligible = few | secured
     topup = F.when(eligible & (pay < floor), floor - pay).otherwise(0).cast("bigint")
-    case = (F.when(~eligible, "below60").when(pay >= floor, "above").when(d == 0, "noleads")
-            .when(few, "fewleads").when(2 * (floor - pay) > floor, "deep").otherwise("topup"))
+    case = case_of(eligible, pay, floor, d, few)
     out = df.select("*", floor.alias("floor"), pay.alias("installpay"), pct_half_up(i, d).alias("pct"),
                     secured.alias("secured"), few.alias("fewleads"), eligible.alias("floor_eligible"),
                     topup.alias("topup"), (pay + topup).alias("total"), case.alias("case"),
@@ -138,6 +137,19 @@ def settle(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return out
 
 
+def case_of(eligible: Column, pay: Column, floor: Column, denom: Column, few: Column) -> Column:
+    """below60 / above / noleads / fewleads / deep / topup; deep iff the top-up exceeds half the floor."""
+    return (F.when(~eligible, "below60").when(pay >= floor, "above").when(denom == 0, "noleads")
+            .when(few, "fewleads").when(2 * (floor - pay) > floor, "deep").otherwise("topup"))
+
+
+def prev_total(snap: DataFrame, overlay: DataFrame, enrolled: DataFrame, p: Params) -> DataFrame:
+    """The previous month's settled total for enrolled partners that have a record that month."""
+    rec = snap.select("partner_id", "installs", "denom").join(enrolled.select("partner_id"), "partner_id", "left_semi")
+    ov = overlay.select("partner_id", "joined", "rate_after", "switch")
+    return settle(rec.join(ov, "partner_id", "left"), p).select("partner_id", "total")
+
+
 def outcome_group(settled: DataFrame) -> DataFrame:
     """Partner -> topup (floor eligible) / piece (piece-rate only)."""
     return settled.select("partner_id", F.when(C("floor_eligible"), "topup").otherwise("piece").alias("outcome"))

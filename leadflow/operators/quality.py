@@ -67,3 +67,9 @@ def coverage_gate(cohort: DataFrame, resolvable: DataFrame, key: str, slack: int
     if total - miss < total - slack:
         raise CoverageError(f"only {total - miss} of {total} resolvable (slack {slack})")
     return missing
+
+
+def exclude_test(df: DataFrame, rosters: DataFrame, key: str = "partner_id") -> DataFrame:
+    """Q6: drop test partners from money runs (anti join on the roster's test flag)."""
+    tests = rosters.where(F.col("is_test")).select(F.col("partner_id").alias(key))
+    return df.join(tests, key, "left_anti")

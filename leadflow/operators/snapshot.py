@@ -125,3 +125,9 @@ def keep_active_or_enrolled(agg: DataFrame, enrol: DataFrame) -> DataFrame:
     act = (F.col("installs") + F.col("denom") + F.col("pending") + F.col("leads_m1")) > 0
     return (j.where(act | F.col("_e").isNotNull())
             .withColumn("kept", F.when(act, "active").otherwise("enrolled")).drop("_e"))
+
+
+def snapshot_changed(old: DataFrame, new: DataFrame, key: str = "partner_id",
+                     cols: Sequence[str] = ("user_id",) + METRIC_COLS + TICKET_COLS) -> DataFrame:
+    """K3: publish only if data differ — the keys whose record was added, removed or changed."""
+    return null_safe_diff(old, new, key, cols)

@@ -209,6 +209,4 @@ def bridge_fanout(spark, sf):
 SELECT {SETTLE_SQL_COLS} FROM {settle_sql('SELECT * FROM inp')} x
 WHERE partner_id NOT IN (SELECT partner_id FROM f_rosters WHERE is_test)"""))
 def test_partner_exclude(spark, sf):
-    t = tables(spark, sf)
-    tests = t.rosters.where(C("is_test")).select("partner_id")
-    return _settled(spark, sf).join(tests, "partner_id", "left_anti").select(*SETTLE_COLS)
+    return Q.exclude_test(_settled(spark, sf), tables(spark, sf).rosters).select(*SETTLE_COLS)

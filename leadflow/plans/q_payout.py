@@ -243,9 +243,7 @@ def _prev_totals(spark, sf):
     """Previous month's settled total for enrolled partners that have a record that month."""
     t = tables(spark, sf)
     en = t.rosters.where(C("category") == "enrolled").select("partner_id")
-    rec = _snapshot(spark, sf, PREV).select("partner_id", "installs", "denom").join(en, "partner_id", "left_semi")
-    ov = t.overlay.select("partner_id", "joined", "rate_after", "switch")
-    return PO.settle(rec.join(ov, "partner_id", "left"), PREV)
+    return PO.prev_total(_snapshot(spark, sf, PREV), t.overlay, en, PREV)
 
 
 @query("previous_month_total", W(PREV_SQL_INPUT + f"\nSELECT partner_id, total FROM {settle_sql('SELECT * FROM prec', PREV)} x"))

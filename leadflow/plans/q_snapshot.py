@@ -201,4 +201,4 @@ SELECT COALESCE(o.partner_id, n.partner_id) AS partner_id,
 FROM {snapshot_sql(PREV)} o FULL OUTER JOIN {snapshot_sql(P)} n ON o.partner_id = n.partner_id
 WHERE o.partner_id IS NULL OR n.partner_id IS NULL OR NOT ({' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in _CMP)})"""))
 def snapshot_change_detect(spark, sf):
-    return S.null_safe_diff(_snapshot(spark, sf, PREV), _snapshot(spark, sf, P), "partner_id", _CMP)
+    return S.snapshot_changed(_snapshot(spark, sf, PREV), _snapshot(spark, sf, P), "partner_id", _CMP)
