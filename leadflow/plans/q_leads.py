@@ -79,8 +79,8 @@ SELECT attempt_id,
   CASE WHEN coalesce(otp_verified, false) OR coalesce(completed_step >= 7, false) THEN 1 ELSE 0 END AS installed
 FROM f_attempts"""))
 def stage_flags(spark, sf):
-    from leadflow.operators.funnels import stage_flags as sf_
-    return sf_(tables(spark, sf).attempts).select(
+    from leadflow.operators import funnels as FN
+    return FN.stage_flags(tables(spark, sf).attempts).select(
         "attempt_id", "slot_proposed", "slot_confirmed", "tech", "arrived", "installed")
 
 
