@@ -13,8 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadflow.functions.arith import idiv, pct_half_up
 from leadflow.functions.joins import with_flag
-from leadflow.functions.arith import idiv
 from leadflow.functions.leads import EXCLUDED_BUCKETS, INSTALL_OUTCOMES, ONSITE_OUTCOMES, flag, is_installed, lead_bucket
 from leadflow.functions.timecols import date_lit, in_local_range, local_date, ts_lit
 from leadflow.plans.params import DEFAULT, Params
@@ -153,11 +153,6 @@ def dedupe_ledger(ledger: DataFrame, p: Params = DEFAULT) -> DataFrame:
                       ["partner_id", "terminal_outcome", "terminal_at", "ledger_id"])
 
 
-def exact_pct(num: Column, den: Column) -> Column:
-    """round(100*num/den) half-up on exact integers; 0 when den = 0."""
-    return F.when(den > 0, idiv(200 * num + den, 2 * den)).otherwise(F.lit(0)).cast("bigint")
-
-
 def needed_growing(num: Column, den: Column) -> Column:
     """Installs still needed when each new install also adds a lead: ceil((3d - 5i)/2) >= 0 (gate 0.60)."""
     return F.when(den > 0, F.greatest(F.lit(0), idiv(3 * den - 5 * num + 1, F.lit(2)))).otherwise(F.lit(0)).cast("bigint")
@@ -177,7 +172,7 @@ def metric_ontime(ledger: DataFrame, p: Params = DEFAULT, impacted: DataFrame |
         F.count_if(o.isin(*INSTALL_OUTCOMES)).alias("installs"),
         F.count_if(o.isin(*ONSITE_OUTCOMES) & ~excused).alias("denom"),
     )
-    return agg.select("*", exact_pct(F.col("ontime"), F.col("denom")).alias("pct"),
+    return agg.select("*", pct_half_up(F.col("ontime"), F.col("denom")).alias("pct"),
                       needed_growing(F.col("ontime"), F.col("denom")).alias("needed"))
 
 
