@@ -81,6 +81,7 @@ def daily_openers_stream(events: DataFrame, bridge: DataFrame, start: dt.datetim
     ev = map_events(events).where((C("event_name") == "banner_opened") & (C("ts") >= ts_lit(start)))
     ev = _event_time(ev.join(bridge, "profile_id", "inner"))  # stream-static join against the profile bridge
     return (ev.withWatermark("ev_time", lateness)
+            .dropDuplicatesWithinWatermark(["event_id", "partner_id"])  # at-least-once feeds replay events
             .groupBy(F.window("ev_time", "1 day").alias("w"), "day", "partner_id")
             .agg(F.count(F.lit(1)).alias("n"))
             .select(C("w.start").alias("w_start"), "day", "partner_id", "n"))
@@ -117,7 +118,9 @@ def latest_attempts(spark: SparkSession, folder: str, lineitem_schema: T.StructT
 def event_counts_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame:
     from leadflow.sources.testdata import map_events
     ev = _event_time(map_events(events))
-    return (ev.withWatermark("ev_time", lateness).groupBy(F.window("ev_time", "1 day").alias("w"), "day", "event_name")
+    return (ev.withWatermark("ev_time", lateness)
+            .dropDuplicatesWithinWatermark(["event_id"])  # a replayed event counts once
+            .groupBy(F.window("ev_time", "1 day").alias("w"), "day", "event_name")
             .agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("max_ts"))
             .select(C("w.start").alias("w_start"), "day", "event_name", "events", "max_ts"))
 

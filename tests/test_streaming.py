@@ -58,3 +58,19 @@ def test_append_mode_emits_exactly_the_final_days(spark):
     upd = ST.event_counts(spark, SMALL).where("final").select("day", "event_name", "events")
     app = ST.final_event_counts(spark, SMALL)
     assert {tuple(r) for r in upd.collect()} == {tuple(r) for r in app.collect()}
+
+
+def test_replayed_events_count_once(spark):
+    import os
+    import shutil
+    import uuid
+
+    from leadflow.session import checkpoint_dir
+
+    src = f"{checkpoint_dir(spark)}/st3-replay-{uuid.uuid4().hex}"
+    os.makedirs(src)
+    shutil.copyfile(f"{SMALL}/events.parquet", f"{src}/a.parquet")
+    shutil.copyfile(f"{SMALL}/events.parquet", f"{src}/b.parquet")  # the whole feed delivered twice
+    twice = {(r["day"], r["event_name"]): r["events"] for r in ST.event_counts(spark, src, file_glob="*.parquet").collect()}
+    once = {(r["day"], r["event_name"]): r["events"] for r in ST.event_counts(spark, SMALL).collect()}
+    assert twice == once
