@@ -66,12 +66,14 @@ def merge_sources(mg: DataFrame, open_: DataFrame, led: DataFrame) -> DataFrame:
 
 
 def month_snapshot(attempts: DataFrame, ledger: DataFrame, users: DataFrame, enrol: DataFrame,
-                   p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+                   p: Params = DEFAULT, impacted: DataFrame | None = None, leads: DataFrame | None = None) -> DataFrame:
     """The per-partner month record: v3 metric, open pipeline, on-time ledger, tickets, owner.
 
     Kept: any activity, or enrolled (a 0/0/0 enrolled partner must still be found).
+    ``leads`` may pass the collapsed touched history when a caller needs it too, so both
+    uses are one identical subplan that Spark computes once (exchange reuse).
     """
-    mg = L.metric_tech(attempts, p, impacted)
+    mg = L.metric_tech(attempts, p, impacted, leads=leads)
     open_ = L.open_pipeline(L.bucketed_window(attempts, p))
     led = L.metric_ontime(ledger, p)
     agg = merge_sources(mg, open_, led)

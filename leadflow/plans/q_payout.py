@@ -147,8 +147,8 @@ def rate_split_reconcile(spark, sf):
 # ---------------------------------------------------------- banner metrics
 def _route_input(spark, sf):
     t = tables(spark, sf)
-    snap = _snapshot(spark, sf)
     leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
+    snap = _snapshot(spark, sf, leads=leads)  # same collapsed subplan as the crossing timeline
     nl = PO.new_leads_since_crossing(leads, P)
     return snap.join(nl, "partner_id", "left")
 
