@@ -201,3 +201,32 @@ def active_users(users: DataFrame) -> DataFrame:
     """S3: active users in the three partner roles (a pushed-down filter)."""
     return users.where((F.col("status") == "ACTIVE") & F.col("role").isin("OWNER", "MANAGER", "MANAGER_PLUS")
                        & F.col("user_id").isNotNull())
+
+
+def dashboard_document(funnel: DataFrame, segments: DataFrame, eff_grid: DataFrame, roster: DataFrame) -> DataFrame:
+    """K4: the four dashboard results -> ONE nested row (like the published document).
+
+    Every input is already a bounded aggregate (2 funnel groups, 3 segments, the fixed
+    period x category grid, 1 roster row), so the few rows gathered here do not grow with
+    the data. Absent cells are zeros (the grid is complete, see ``dashboard_doc``).
+    """
+    def as_map(df: DataFrame, key: str, name: str) -> DataFrame:
+        vals = [c for c in df.columns if c != key]
+        return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.struct(*vals)))).alias(name))
+
+    eng = as_map(funnel, "grp", "engagement")
+    seg = as_map(segments, "segment", "segments")
+    cells = eff_grid.groupBy("period").agg(
+        F.map_from_entries(F.collect_list(F.struct("category", F.struct(
+            *[c for c in eff_grid.columns if c not in ("period", "category")])))).alias("cats"))
+    eff = cells.agg(F.map_from_entries(F.collect_list(F.struct("period", "cats"))).alias("efficiency"))
+    ros = roster.select(F.struct(*roster.columns).alias("enrolled_roster"))
+    # four single-row frames side by side: a union of tagged rows folded by one aggregate
+    parts = [eng.select(F.col("engagement"), *[F.lit(None).alias(n) for n in ("segments", "efficiency", "enrolled_roster")]),
+             seg.select(F.lit(None).alias("engagement"), "segments", *[F.lit(None).alias(n) for n in ("efficiency", "enrolled_roster")]),
+             eff.select(*[F.lit(None).alias(n) for n in ("engagement", "segments")], "efficiency", F.lit(None).alias("enrolled_roster")),
+             ros.select(*[F.lit(None).alias(n) for n in ("engagement", "segments", "efficiency")], "enrolled_roster")]
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x, allowMissingColumns=False)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("engagement", "segments", "efficiency", "enrolled_roster")])

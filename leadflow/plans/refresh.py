@@ -51,12 +51,15 @@ def dashboard_documents(tables, p: Params) -> dict[str, DataFrame]:
     periods = [("previous", p.prev_start, p.month_start), ("current", p.month_start, None)]
     grid = tables.rosters.sparkSession.createDataFrame(
         [(a, c) for a, _, _ in periods for c in ("enrolled", "eligible", "rest")], "period string, category string")
-    return {
+    docs = {
         "csp_funnel": E.engagement_funnel(tables.events, tables.profiles, tables.attempts, roster, p.events_since, p.funnel_since),
         "segments": E.segment_funnel(tables.events, tables.profiles, tables.attempts, roster, p.events_since, p.funnel_since),
         "efficiency": CO.dashboard_doc(CO.efficiency(legacy, tables.rosters, periods), grid),
         "enrolled_roster": CO.roster_breakdown(legacy, roster, p.month_start),
     }
+    docs["document"] = CO.dashboard_document(docs["csp_funnel"], docs["segments"], docs["efficiency"],
+                                             docs["enrolled_roster"])
+    return docs
 
 
 def engagement_documents(tables, p: Params, outcome_groups: DataFrame | None = None) -> dict[str, DataFrame]:

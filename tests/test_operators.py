@@ -136,3 +136,18 @@ def test_push_tokens_sink_runs_inside_tasks(spark):
     lines = [json.loads(x) for p in glob.glob(f"{out}/*.jsonl") for x in open(p)]
     assert len(lines) == 100
     assert {x["value"] for x in lines if x["token"] == "banner_t1_no"} == {""}
+
+
+def test_dashboard_document_is_one_nested_row(spark):
+    from conftest import SMALL
+
+    from leadflow.plans.refresh import dashboard_documents, month_params
+    from leadflow.sources.testdata import tables
+    docs = dashboard_documents(tables(spark, SMALL), month_params("1998-07", as_of=dt.datetime(1998, 8, 15)))
+    rows = docs["document"].collect()
+    assert len(rows) == 1
+    d = rows[0]
+    assert set(d["efficiency"]) == {"previous", "current"}
+    assert set(d["efficiency"]["current"]) == {"enrolled", "eligible", "rest"}
+    assert set(d["segments"]) <= {"A_clicked", "B_noclick", "C_outside"}
+    assert d["enrolled_roster"]["enrolled_total"] > 0
