@@ -243,3 +243,19 @@ def coverage(screens: DataFrame, views: DataFrame, active_base: DataFrame, min_v
     out = g.select(pick("tp").alias("targeted_partners"), pick("vp").alias("viewer_partners"),
                    pick("tb").alias("targeted_base"), pick("vb").alias("viewer_base"), inc.alias("includes_noleads"))
     return out.withColumn("coverage_pct", pct1_half_up(C("viewer_base"), C("targeted_base")))
+
+
+def engagement_document(summary: DataFrame, by_outcome: DataFrame, daily: DataFrame) -> DataFrame:
+    """E3 output as one nested row: the summary fields, outcome groups as a map and the
+    per-day list in date order. The day list is bounded by the window's length, not by the
+    number of events; the outcome map by the number of payout groups."""
+    outc = by_outcome.agg(F.map_from_entries(F.collect_list(
+        F.struct("outcome", F.struct("opened", "total", "pct")))).alias("by_outcome"))
+    days = daily.agg(F.array_sort(F.collect_list(F.struct(C("day").alias("date"), C("partners"), C("opens"))))
+                     .alias("daily"))
+    cols = summary.columns
+    parts = [summary.select(*cols, F.lit(None).alias("by_outcome"), F.lit(None).alias("daily")),
+             outc.select(*[F.lit(None).alias(c) for c in cols], "by_outcome", F.lit(None).alias("daily")),
+             days.select(*[F.lit(None).alias(c) for c in cols], F.lit(None).alias("by_outcome"), "daily")]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols + ["by_outcome", "daily"]])

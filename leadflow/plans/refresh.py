@@ -69,6 +69,7 @@ def engagement_documents(tables, p: Params, outcome_groups: DataFrame | None = N
     docs = {"daily": E.daily_engagement(opens), "summary": E.engagement_summary(opens, cohort)}
     if outcome_groups is not None:
         docs["by_outcome"] = E.engagement_by_outcome(opens, outcome_groups)
+        docs["document"] = E.engagement_document(docs["summary"], docs["by_outcome"], docs["daily"])
     return docs
 
 

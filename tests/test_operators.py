@@ -151,3 +151,22 @@ def test_dashboard_document_is_one_nested_row(spark):
     assert set(d["efficiency"]["current"]) == {"enrolled", "eligible", "rest"}
     assert set(d["segments"]) <= {"A_clicked", "B_noclick", "C_outside"}
     assert d["enrolled_roster"]["enrolled_total"] > 0
+
+
+def test_engagement_document_is_one_nested_row(spark):
+    from conftest import SMALL
+
+    from leadflow.plans.params import DEFAULT
+    from leadflow.plans.refresh import engagement_documents
+    from leadflow.sources.testdata import tables
+    t = tables(spark, SMALL)
+    groups = spark.createDataFrame([(r["partner_id"], "topup" if r["partner_id"] % 2 else "piece")
+                                    for r in t.rosters.where(F.col("category") == "enrolled").collect()],
+                                   "partner_id long, outcome string")
+    docs = engagement_documents(t, DEFAULT, groups)
+    d = docs["document"].collect()
+    assert len(d) == 1
+    days = [x["date"] for x in d[0]["daily"]]
+    assert days == sorted(days) and len(days) == docs["daily"].count()
+    assert set(d[0]["by_outcome"]) == {"topup", "piece"}
+    assert d[0]["eligible"] == t.rosters.where(F.col("category") == "enrolled").count()
