@@ -98,7 +98,12 @@ def main(argv=None) -> None:
     if "dashboard" in what:
         write_documents(dashboard_documents(t, p), f"{a.out}/dashboard", a.month)
     if "engagement" in what:
-        write_documents(engagement_documents(t, p), f"{a.out}/engagement", a.month)
+        # outcome groups = how the previous month settled (guarantee applied vs piece rate)
+        from leadflow.operators.payout import outcome_group, settle
+        from leadflow.plans.q_payout import settle_input
+        prev = month_params(p.prev_start.strftime("%Y-%m"))
+        groups = outcome_group(settle(settle_input(t, prev), prev))
+        write_documents(engagement_documents(t, p, groups), f"{a.out}/engagement", a.month)
 
 
 if __name__ == "__main__":
