@@ -8,7 +8,7 @@ from leadflow.functions.scalars import tier_alias
 from leadflow.functions.timecols import sql_date, sql_ts, ts_lit
 from leadflow.operators import leads as L
 from leadflow.operators import payout as PO
-from leadflow.plans.catalog import query
+from leadflow.plans.catalog import query, shared_plan
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
 from leadflow.plans.q_snapshot import PREV, _snapshot, snapshot_sql
@@ -80,6 +80,7 @@ SETTLE_SQL_COLS = ("partner_id, installs, denom, floor_amt AS floor, pay AS inst
                    "floor_eligible, topup, total, \"case\", joined_after")
 
 
+@shared_plan
 def _settled(spark, sf, p: Params = P):
     return PO.settle(settle_input(tables(spark, sf), p), p)
 
@@ -145,6 +146,7 @@ def rate_split_reconcile(spark, sf):
 
 
 # ---------------------------------------------------------- banner metrics
+@shared_plan
 def _route_input(spark, sf):
     t = tables(spark, sf)
     leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leadflow.operators import leads as L
 from leadflow.operators import snapshot as S
-from leadflow.plans.catalog import query
+from leadflow.plans.catalog import query, shared_plan
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
 from leadflow.plans.sqlparts import active_sql, bucketed_sql, collapse_sql, dedupe_ledger_sql, in_month_sql
@@ -95,11 +95,20 @@ WHERE (a.installs + a.denom + a.pending + a.leads_m1) > 0 OR e.partner_id IS NOT
 
 
 def _snapshot(spark, sf, p: Params = P, leads=None):
+    if leads is None:
+        return _snapshot_shared(spark, sf, p)
     t = tables(spark, sf)
     enrol = t.overlay.where(F.col("joined").isNotNull())
     return S.month_snapshot(t.attempts, t.ledger, t.users, enrol, p, leads=leads)
 
 
+@shared_plan
+def _snapshot_shared(spark, sf, p: Params):
+    t = tables(spark, sf)
+    enrol = t.overlay.where(F.col("joined").isNotNull())
+    return S.month_snapshot(t.attempts, t.ledger, t.users, enrol, p)
+
+
 @query("ticket_topk", W(f"SELECT partner_id, attempt_id, zone_id, rnk, CAST(rn AS INTEGER) AS rn FROM ({tickets_sql(P)}) x"))
 def ticket_topk(spark, sf):
     t = tables(spark, sf)
