@@ -96,22 +96,50 @@ def daily_openers(spark: SparkSession, folder: str, bridge: DataFrame, start: dt
 
 
 # ------------------------------------------------------------------------ ST2
-def latest_attempt_stream(lineitem_stream: DataFrame, offset_minutes: int = 330) -> DataFrame:
-    """Latest state per (connection, partner) from a change feed (update mode)."""
+def _partial_latest(rows: DataFrame) -> DataFrame:
+    """Per (connection, partner) partial: latest attempt (with its ordering key) and max flags."""
+    latest = F.max_by(F.struct(C("last_state"), C("rep_attempt_id"), C("o_updated"), C("o_attempt")),
+                      F.struct("o_updated", "o_attempt"))
+    return rows.groupBy("connection_id", "partner_id").agg(
+        latest.alias("l"), F.max("has_installed").alias("has_installed"),
+        F.max("tech_assigned").alias("tech_assigned"), F.max("last_update").alias("last_update"))
+
+
+def latest_attempt_stream(lineitem_stream: DataFrame) -> DataFrame:
+    """Change-feed rows shaped as single-row partials (no streaming state at all)."""
     from leadflow.sources.testdata import map_attempts
     a = map_attempts(lineitem_stream).where(C("active") & C("partner_id").isNotNull())
-    latest = F.max_by(F.struct(C("current_state").alias("last_state"), C("attempt_id").alias("rep_attempt_id")),
-                      F.struct("updated_at", "attempt_id"))
-    g = a.groupBy("connection_id", "partner_id").agg(
-        latest.alias("l"), F.max(flag(is_installed(True))).alias("has_installed"),
-        F.max(flag(C("executor_id").isNotNull())).alias("tech_assigned"), F.max("updated_at").alias("last_update"))
-    return g.select("connection_id", "partner_id", "l.last_state", "l.rep_attempt_id", "has_installed", "tech_assigned",
-                    local_date(C("last_update"), offset_minutes).alias("last_date"))
-
-
-def latest_attempts(spark: SparkSession, folder: str, lineitem_schema: T.StructType) -> DataFrame:
-    src = stream_table(spark, folder, "lineitem.parquet", lineitem_schema)
-    return run_upsert(latest_attempt_stream(src), ["connection_id", "partner_id"], "st2-latest", spark)
+    return a.select("connection_id", "partner_id", C("current_state").alias("last_state"),
+                    C("attempt_id").alias("rep_attempt_id"), C("updated_at").alias("o_updated"),
+                    C("attempt_id").alias("o_attempt"), flag(is_installed(True)).alias("has_installed"),
+                    flag(C("executor_id").isNotNull()).alias("tech_assigned"), C("updated_at").alias("last_update"))
+
+
+def latest_attempts(spark: SparkSession, folder: str, lineitem_schema: T.StructType, offset_minutes: int = 330,
+                    run_dir: str | None = None, file_glob: str = "lineitem.parquet") -> DataFrame:
+    """ST2: latest state per (connection, partner) from a change feed.
+
+    Stateless stream: each micro-batch reduces its own rows to one partial per key (the same
+    max_by / max combine as the batch collapse) and appends it to a log in the shared folder
+    under its batch id (a retried batch overwrites itself). Readers combine the partials of
+    all batches with the same functions, so no state store grows with the number of leads;
+    the log can be compacted by rewriting the combined rows.
+    """
+    src = stream_table(spark, folder, file_glob, lineitem_schema)
+    root = checkpoint_dir(spark).rstrip("/")
+    run = run_dir.rstrip("/") if run_dir else f"{root}/st2-latest-{uuid.uuid4().hex}"
+
+    def append_partials(batch: DataFrame, batch_id: int) -> None:
+        part = _partial_latest(batch).select("connection_id", "partner_id", "l.*", "has_installed", "tech_assigned",
+                                              "last_update")
+        part.write.mode("overwrite").parquet(f"{run}/log/batch={batch_id}")
+
+    q = (latest_attempt_stream(src).writeStream.outputMode("append").foreachBatch(append_partials)
+         .option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    combined = _partial_latest(spark.read.parquet(f"{run}/log").drop("batch"))
+    return combined.select("connection_id", "partner_id", "l.last_state", "l.rep_attempt_id", "has_installed",
+                           "tech_assigned", local_date(C("last_update"), offset_minutes).alias("last_date"))
 
 
 # ------------------------------------------------------------------------ ST3
