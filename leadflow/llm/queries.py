@@ -11,9 +11,11 @@ from leadflow.llm import common as C
 from leadflow.llm.langid import predict
 from leadflow.llm.langid import train as train_langid
 from leadflow.llm.line_dedup import line_dedup
+from leadflow.llm.packing import pack
 from leadflow.llm.quality import score
 from leadflow.llm.quality import train as train_quality
 from leadflow.llm.token_counts import token_counts
+from leadflow.llm.token_files import read_shards, write_shards
 from leadflow.llm.tokens import default_vocabulary
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +50,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(C.public_id(), (C.crc_mod(F.col("_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = C.scratch_dir(spark, "token-files")
+    shards = write_shards(documents(spark, sf_dir), folder, default_vocabulary())
+    return read_shards(spark, shards, folder).select(C.public_id(), "start", "n_tokens", "ids_crc32")
+
+
 _OP6_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -75,6 +84,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(documents(spark, sf_dir), default_vocabulary())
+    return packed.select(C.public_id(), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
