@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.llm import common as C
+from leadflow.llm.decontaminate import INNER, NAME, NUMBER, UNIT, UNITS, contamination
+from leadflow.llm.embedding_dedup import near_vectors
 from leadflow.llm.langid import predict
 from leadflow.llm.langid import train as train_langid
 from leadflow.llm.line_dedup import line_dedup
+from leadflow.llm.order_minhash import near_duplicates
 from leadflow.llm.packing import pack
 from leadflow.llm.quality import score
 from leadflow.llm.quality import train as train_quality
@@ -50,6 +53,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(C.public_id(), (C.crc_mod(F.col("_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op2_embedding_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select(C.public_id(out="vec_id"), "n_links", C.public_id("component_id", "component_id"), (F.col("_id") == F.col("component_id")).alias("kept"))
+
+
 @query("op4_token_files")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = C.scratch_dir(spark, "token-files")
@@ -57,6 +66,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(spark, shards, folder).select(C.public_id(), "start", "n_tokens", "ids_crc32")
 
 
+@query("op5_order_minhash_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir))
+    return found.select(C.public_id(), C.public_id("class_id", "class_id"), (F.col("_id") == F.col("class_id")).alias("kept"))
+
+
 _OP6_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -98,6 +113,56 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(C.public_id(), (C.crc_mod(F.col("_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+_SLOTS = NUMBER + NAME + UNIT
+_OP9_SQL = f"""
+WITH texts AS (
+  SELECT DISTINCT 'd' AS kind, doc_id AS id, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT DISTINCT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+s1 AS (SELECT kind, id, regexp_replace(t, '([\\p{{L}}\\p{{N}},;] )(\\p{{Lu}}\\p{{Ll}}+)', '\\1{NAME}\\2', 'g') AS t FROM texts),
+s2 AS (SELECT kind, id, regexp_replace(t, '([\\p{{L}}\\p{{N}},;] )(\\p{{Lu}}\\p{{Ll}}+)', '\\1{NAME}\\2', 'g') AS t FROM s1),
+s3 AS (SELECT kind, id, regexp_replace(regexp_replace(t, '([0-9])[.,:/]([0-9])', '\\1{INNER}\\2', 'g'), '([0-9])[.,:/]([0-9])', '\\1{INNER}\\2', 'g') AS t FROM s2),
+s4 AS (SELECT kind, id, regexp_replace(t, '([0-9][0-9{INNER}]*)', '{NUMBER}\\1', 'g') AS t FROM s3),
+s5 AS (SELECT kind, id, lower(regexp_replace(t, '(?i)({NUMBER}[0-9{INNER}]+) ?({UNITS})([^\\p{{L}}\\p{{N}}]|$)', '\\1 {UNIT}\\2\\3', 'g')) AS t FROM s4),
+worded AS (
+  SELECT kind, id,
+         list_filter(regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+'), x -> x <> '') AS w,
+         list_filter(regexp_split_to_array(regexp_replace(t, '([{_SLOTS}])[\\p{{L}}\\p{{N}}%{INNER}]+', '\\1', 'g'), '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+'), x -> x <> '') AS tpl
+  FROM s5),
+asked AS (
+  SELECT id AS item, w AS v, least(len(tpl), 8) AS n, unnest(range(1, len(tpl) - least(len(tpl), 8) + 2)) AS ipos, tpl
+  FROM worded WHERE kind = 'b' AND len(tpl) >= 5),
+windows AS (
+  SELECT item, v, n, ipos, tpl[ipos : ipos + n - 1] AS win FROM asked
+  WHERE len(list_filter(tpl[ipos : ipos + n - 1], x -> x NOT IN ('{NUMBER}', '{NAME}', '{UNIT}'))) >= 5),
+held AS (
+  SELECT id, w, lens.n, tpl, unnest(range(1, len(tpl) - lens.n + 2)) AS pos
+  FROM worded, (SELECT DISTINCT n FROM windows) AS lens WHERE kind = 'd'),
+hits AS (
+  SELECT held.id AS doc_id, w, item, v, held.n AS n, pos, pos - ipos AS shift
+  FROM held JOIN windows ON held.n = windows.n AND held.tpl[pos : pos + held.n - 1] = windows.win),
+slots AS (
+  SELECT DISTINCT doc_id, w, item, v, shift, w[p] AS d, v[p - shift] AS b
+  FROM (SELECT *, unnest(range(pos, pos + n)) AS p FROM hits) WHERE regexp_matches(v[p - shift], '^[{_SLOTS}]')),
+bad AS (
+  SELECT doc_id, w, item, v, shift FROM slots GROUP BY ALL HAVING count(*) <> count(DISTINCT d) OR count(*) <> count(DISTINCT b)),
+good AS (
+  SELECT doc_id, item, count(DISTINCT pos) AS n FROM hits ANTI JOIN bad USING (doc_id, w, item, v, shift) GROUP BY doc_id, w, item, v, shift),
+found AS (SELECT doc_id, count(DISTINCT item) AS n_items, sum(n) AS n_windows FROM good GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(n_windows, 0)::BIGINT AS n_windows, n_items IS NOT NULL AS contaminated
+FROM (SELECT doc_id FROM documents) AS documents LEFT JOIN found ON documents.doc_id = found.doc_id
+"""
+
+
+@query("op9_benchmark_decontamination", _OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = found.groupBy("_id").agg(F.count("*").alias("n_items"), F.sum("n_windows").alias("n_windows"))
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(C.NO_ID)).alias("_id"))
+    out = ids.join(found, "_id", "left")
+    return out.select(C.public_id(), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_windows", F.lit(0)).alias("n_windows"), F.col("n_items").isNotNull().alias("contaminated"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), default_vocabulary())

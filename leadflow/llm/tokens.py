@@ -2,14 +2,15 @@
 
 A byte-level BPE first cuts a text into words; no word reaches over the border between a character that is not white space
 and a following blank or newline. Texts are cut there, each different piece is encoded once by the library, and the ids of
-the pieces are put together. Special strings hold no white space, so they are never cut.
+the pieces are put together. Special strings hold no white space, so they are never cut. Letters and a run of ASCII signs
+behind them are words of their own too, so "word," is put together from "word" and ",".
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -18,8 +19,10 @@ _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+\Z")
 #: White space other than blank and newline: then only borders after printable ASCII are sure.
 _ODD = re.compile("[^\\S \n]|\u180e")
 _SURE = re.compile(r"(?<=[!-~])(?=[ \n])")
+#: Latin letters and then ASCII signs without the apostrophe, which may begin a word of its own kind.
+_WORD_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
 #: Most pieces that a worker keeps, and the longest one.
-CACHE_PIECES, CACHE_CHARS = 1_000_000, 64
+CACHE_PIECES, CACHE_CHARS = 1_200_000, 64
 
 
 def pieces(text: str) -> list[str]:
@@ -27,8 +30,23 @@ def pieces(text: str) -> list[str]:
     return _SURE.split(text) if _ODD.search(text) else _PIECE.findall(text)
 
 
+def _keys(text: str) -> list[str] | None:
+    """The words of a text in which single blanks and newlines part them, else None.
+
+    A word behind a blank is its own key; one that begins a line has a newline before it, the first one a NUL.
+    """
+    if not text or "\0" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
+        return None
+    out: list[str] = []
+    for line in text.split("\n"):
+        words = line.split(" ")
+        words[0] = ("\n" if out else "\0") + words[0]
+        out += words
+    return out
+
+
 class Encoder:
-    """Piecewise encoder with a bounded cache; ``value`` turns the ids of a piece into what is kept."""
+    """Piecewise encoder with a bounded cache; ``value`` turns the ids of a piece into what is kept, and ``+`` joins it."""
 
     def __init__(self, path: str, value: Callable[[list[int]], object]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,20 +56,33 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def learn(self, cut: Iterable[list[str]]) -> dict[str, object]:
-        """Values of all pieces of some cut texts: new ones are encoded in one call."""
-        cut = list(cut)
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
+    def encode(self, strings: list[str]) -> list:
+        return [self.value(e.ids) for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)]
+
+    def learn(self, keys: set[str]) -> tuple[dict, set[str]]:
+        """(values of new keys, those among them whose ends are white space, so that the border isn't sure)."""
+        if len(self.known) + len(keys) > CACHE_PIECES:
             self.known = {}
-            new = set().union(*cut)
-        new = list(new)
-        got = {p: self.value(e.ids) for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True)}
-        long = {p: v for p, v in got.items() if len(p) > CACHE_CHARS}
-        self.known.update((p, v) for p, v in got.items() if p not in long)
-        return self.known | long if long else self.known
-
-    def each(self, texts: list[str], most: int = 1 << 20) -> Iterable[list[object]]:
+        split, odd, new = {}, set(), set()
+        for key in keys:
+            lead, word = (key[0], key[1:]) if key[0] in "\n\0" else ("", key)
+            if not word or word[0].isspace() or word[-1].isspace() or "\u180e" in word:
+                odd.add(key)
+                continue
+            m = _WORD_SIGNS.fullmatch(word)
+            split[key] = (lead + m[1], "\0" + m[2]) if m else (key,)
+            new.update(split[key])
+        new = [k for k in new if k not in self.known]
+        got = dict(zip(new, self.encode([k[1:] if k[0] == "\0" else k if k[0] == "\n" else " " + k for k in new]), strict=True))
+        self.known.update((k, v) for k, v in got.items() if len(k) <= CACHE_CHARS)
+        found = {}
+        for key, parts in split.items():
+            values = [got[p] if p in got else self.known[p] for p in parts]
+            found[key] = values[0] if len(values) == 1 else values[0] + values[1]
+        self.known.update((k, v) for k, v in found.items() if len(k) <= CACHE_CHARS)
+        return found, odd
+
+    def each(self, texts: list[str], most: int = 1 << 20) -> Iterator[list]:
         """Of each text the values of its pieces, in order; texts are encoded together by about ``most`` characters."""
         low = 0
         while low < len(texts):
@@ -59,12 +90,23 @@ class Encoder:
             while high < len(texts) and (high == low or size + len(texts[high]) <= most):
                 size += len(texts[high])
                 high += 1
-            cut = [pieces(t) for t in texts[low:high]]
-            known = self.learn(cut)
-            for p in cut:
-                yield [known[x] for x in p]
+            yield from self._together(texts[low:high])
             low = high
 
+    def _together(self, texts: list[str]) -> Iterable[list]:
+        known = self.known
+        cut = [_keys(t) for t in texts]
+        got = [None if k is None else list(map(known.get, k)) for k in cut]
+        gaps = [None if g is None or None not in g else [i for i, v in enumerate(g) if v is None] for g in got]
+        found, odd = self.learn({k[i] for k, holes in zip(cut, gaps, strict=True) if holes for i in holes})
+        for text, keys, values, holes in zip(texts, cut, got, gaps, strict=True):
+            if keys is None or (holes and odd and any(keys[i] in odd for i in holes)):
+                yield self.encode(pieces(text)) if text else []
+                continue
+            for i in holes or ():
+                values[i] = found[keys[i]]
+            yield values
+
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
