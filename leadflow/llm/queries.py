@@ -125,15 +125,15 @@ s4 AS (SELECT kind, id, regexp_replace(t, '([0-9][0-9{INNER}]*)', '{NUMBER}\\1',
 s5 AS (SELECT kind, id, lower(regexp_replace(t, '(?i)({NUMBER}[0-9{INNER}]+) ?({UNITS})([^\\p{{L}}\\p{{N}}]|$)', '\\1 {UNIT}\\2\\3', 'g')) AS t FROM s4),
 worded AS (
   SELECT kind, id,
-         list_filter(regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+'), x -> x <> '') AS w,
-         list_filter(regexp_split_to_array(regexp_replace(t, '([{_SLOTS}])[\\p{{L}}\\p{{N}}%{INNER}]+', '\\1', 'g'), '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+'), x -> x <> '') AS tpl
+         [x FOR x IN regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+') IF x <> ''] AS w,
+         [x FOR x IN regexp_split_to_array(regexp_replace(t, '([{_SLOTS}])[\\p{{L}}\\p{{N}}%{INNER}]+', '\\1', 'g'), '[^\\p{{L}}\\p{{N}}{_SLOTS}{INNER}%]+') IF x <> ''] AS tpl
   FROM s5),
 asked AS (
   SELECT id AS item, w AS v, least(len(tpl), 8) AS n, unnest(range(1, len(tpl) - least(len(tpl), 8) + 2)) AS ipos, tpl
   FROM worded WHERE kind = 'b' AND len(tpl) >= 5),
 windows AS (
   SELECT item, v, n, ipos, tpl[ipos : ipos + n - 1] AS win FROM asked
-  WHERE len(list_filter(tpl[ipos : ipos + n - 1], x -> x NOT IN ('{NUMBER}', '{NAME}', '{UNIT}'))) >= 5),
+  WHERE len([x FOR x IN tpl[ipos : ipos + n - 1] IF x NOT IN ('{NUMBER}', '{NAME}', '{UNIT}')]) >= 5),
 held AS (
   SELECT id, w, lens.n, tpl, unnest(range(1, len(tpl) - lens.n + 2)) AS pos
   FROM worded, (SELECT DISTINCT n FROM windows) AS lens WHERE kind = 'd'),

@@ -30,7 +30,6 @@ from leadflow.llm.elias_fano import EliasFano
 from leadflow.llm.tokens import encoder
 
 _SHARD = "shard int, n_docs long, n_ids long, width int"
-_SIZE = struct.Struct("<Q")
 
 
 def _files(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -73,7 +72,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
         out.close()
         with store.open_output_stream(f"{spare}.ef") as f:
             first = EliasFano.of(np.frombuffer(bounds, np.int64)).to_bytes()
-            f.write(_SIZE.pack(len(first)) + first + EliasFano.of(np.frombuffer(owners, np.int64)).to_bytes())
+            f.write(struct.pack("<Q", len(first)) + first + EliasFano.of(np.frombuffer(owners, np.int64)).to_bytes())
         for end_of in (".ids", ".ef"):
             store.move(spare + end_of, name + end_of)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": [len(owners)], "n_ids": [n], "width": pa.array([width], pa.int32())})
@@ -93,9 +92,9 @@ class Shard:
         name = f"{root}/shard-{shard:06d}"
         with store.open_input_file(f"{name}.ef") as f:
             data = f.read()
-        size = _SIZE.unpack_from(data)[0]
-        self.bounds = EliasFano.from_bytes(data[_SIZE.size : _SIZE.size + size])
-        self.owners = EliasFano.from_bytes(data[_SIZE.size + size :])
+        size = struct.unpack_from("<Q", data)[0]
+        self.bounds = EliasFano.from_bytes(data[8 : 8 + size])
+        self.owners = EliasFano.from_bytes(data[8 + size :])
         self.width, self.file = width, store.open_input_file(f"{name}.ids")
 
     def ids(self, first: int, last: int) -> np.ndarray:
