@@ -17,6 +17,7 @@ from leadflow.llm.order_minhash import near_duplicates
 from leadflow.llm.packing import pack
 from leadflow.llm.quality import score
 from leadflow.llm.quality import train as train_quality
+from leadflow.llm.substring_dedup import remove_repeats
 from leadflow.llm.token_counts import token_counts
 from leadflow.llm.token_files import read_shards, write_shards
 from leadflow.llm.tokens import default_vocabulary
@@ -59,6 +60,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(C.public_id(out="vec_id"), "n_links", C.public_id("component_id", "component_id"), (F.col("_id") == F.col("component_id")).alias("kept"))
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(documents(spark, sf_dir))
+    return out.select(C.public_id(), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_token_files")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = C.scratch_dir(spark, "token-files")
