@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 #: A row without an id counts as one document with this id, which sorts after all others.
 NO_ID = (1 << 63) - 1
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,6 +56,20 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the Python workers, once for each application, wherever the driver runs."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / f"{package.name}-code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``_id`` (long; ``NO_ID`` for null) and ``_text`` ('' for null); other columns, whatever their names, stay out."""
     return docs.select(

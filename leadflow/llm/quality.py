@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.llm import common as C
@@ -106,19 +106,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
     return fit(sparse, 1 << bits, 1, epochs, **({"alpha": 3.0, "l1": 0.0, "l2": 0.0} | rates))[:, 0]
 
 
-def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_id, score, predicted) of every whole text; the table of weights, of fixed size, goes to the tasks as a broadcast."""
-    bits = (len(weights) - 1).bit_length() - 1 if len(weights) & (len(weights) - 1) else len(weights).bit_length() - 1
-    table = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+def scorer(spark: SparkSession, weights: np.ndarray):
+    """A function of a text column without nulls: its score. The table of weights, of fixed size, is broadcast."""
+    bits = (len(weights) - 1).bit_length() - 1
+    table = spark.sparkContext.broadcast(weights.astype(np.float32))
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        w, out = table.value, [np.zeros(0)]
+        for part in C.chunks(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text", 1 << 21):
+            at, value, own = features(*C.text_bytes(part.column("_text")), bits)
+            margin = np.bincount(own, w[at] * value, part.num_rows) + w[-1]
+            out.append(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
+        return pa.array(np.concatenate(out), pa.float64())
+
+    return score
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = table.value
-        for batch in batches:
-            for part in C.chunks(batch, "_text", 1 << 21):
-                at, value, own = features(*C.text_bytes(part.column("_text")), bits)
-                margin = np.bincount(own, w[at] * value, part.num_rows) + w[-1]
-                p = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(p)], ["_id", "score"])
 
-    scored = C.id_and_text(docs, id_col, text_col).mapInArrow(read, "_id long, score double")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def accepted(docs: DataFrame, weights: np.ndarray, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, with their columns."""
+    return docs.filter(scorer(docs.sparkSession, weights)(F.coalesce(docs[text_col], F.lit(""))) >= least)

@@ -15,7 +15,7 @@ from leadflow.llm.langid import train as train_langid
 from leadflow.llm.line_dedup import line_dedup
 from leadflow.llm.order_minhash import near_duplicates
 from leadflow.llm.packing import pack
-from leadflow.llm.quality import score
+from leadflow.llm.quality import scorer
 from leadflow.llm.quality import train as train_quality
 from leadflow.llm.substring_dedup import remove_repeats
 from leadflow.llm.token_counts import token_counts
@@ -29,7 +29,11 @@ ORACLES: dict[str, str] = {}
 
 def query(key: str, oracle: str | None = None):
     def add(fn: QueryFn) -> QueryFn:
-        QUERIES[key] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            C.ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if oracle:
             ORACLES[key] = oracle
         return fn
@@ -50,8 +54,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").filter(C.crc_mod(F.col("doc_id"), 3) != 1)
-    scored = score(docs, train_quality(docs, labels))
-    return scored.select(C.public_id(), (C.crc_mod(F.col("_id"), 3) == 1).alias("held_out"), "score", "predicted")
+    scored = C.id_and_text(docs).select("_id", scorer(spark, train_quality(docs, labels))("_text").alias("score"))
+    return scored.select(C.public_id(), (C.crc_mod(F.col("_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @query("op2_embedding_dedup")
