@@ -162,7 +162,7 @@ def word_spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(body: np.ndarray, offsets: np.ndarray, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(body: np.ndarray, offsets: np.ndarray, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each white-space separated word, ASCII case folded; n+1 row offsets into them); hashed block by block."""
     starts, ends, rows = word_spans(body, offsets)
     out = np.empty(len(starts), np.uint64)
@@ -175,7 +175,7 @@ def word_hashes(body: np.ndarray, offsets: np.ndarray, block: int = 1 << 22) ->
     return out, rows
 
 
-def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 22):
+def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Slices of a batch whose texts hold about ``most`` bytes; a longer text makes a slice of its own."""
     _, at = text_bytes(batch.column(column))
     low = 0

@@ -114,7 +114,7 @@ def scorer(spark: SparkSession, weights: np.ndarray):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         w, out = table.value, [np.zeros(0)]
-        for part in C.chunks(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text", 1 << 21):
+        for part in C.chunks(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text"):
             at, value, own = features(*C.text_bytes(part.column("_text")), bits)
             margin = np.bincount(own, w[at] * value, part.num_rows) + w[-1]
             out.append(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
