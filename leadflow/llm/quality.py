@@ -68,7 +68,8 @@ def features(body: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
     words = C.span_hashes(C.LOWER[body], starts, ends)
-    before = np.where(starts > 0, kind[np.maximum(starts - 1, 0)] == 0, True)
+    before = kind[np.maximum(starts - 1, 0)] == 0
+    before |= np.isin(starts, offsets)  # a text begins as if behind a blank
     shape = kind[starts] + 4 * _UPPER[body[starts]] + 8 * _UPPER[body[ends - 1]] + 16 * before.astype(np.uint64)
     shape = shape.astype(np.uint64) + np.where(kind[starts] == 3, words << np.uint64(8), np.uint64(0))
     a = _grams(words, rows, 2, 1, bits)
