@@ -8,9 +8,10 @@ behind them are words of their own too, so "word," is put together from "word" a
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -22,7 +23,7 @@ _SURE = re.compile(r"(?<=[!-~])(?=[ \n])")
 #: Latin letters and then ASCII signs without the apostrophe, which may begin a word of its own kind.
 _WORD_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
 #: Most pieces that a worker keeps, and the longest one.
-CACHE_PIECES, CACHE_CHARS = 1_200_000, 64
+CACHE_PIECES, CACHE_CHARS = 700_000, 64
 
 
 def pieces(text: str) -> list[str]:
@@ -46,40 +47,79 @@ def _keys(text: str) -> list[str] | None:
 
 
 class Encoder:
-    """Piecewise encoder with a bounded cache; ``value`` turns the ids of a piece into what is kept, and ``+`` joins it."""
+    """Piecewise encoder with a bounded cache of what is kept of a piece: its ids as little-endian bytes, or their number."""
 
-    def __init__(self, path: str, value: Callable[[list[int]], object]):
+    def __init__(self, path: str, counts: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.value, self.known = Tokenizer.from_file(path), value, {}
+        self.tokenizer, self.counts, self.known = Tokenizer.from_file(path), counts, {}
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.newline = self._ids("\n")
+        #: A newline between words is one id of its own, which no word holds: words can be encoded as lines of one text.
+        self.by_line = len(self.newline) == 1 and all(self._ids(f"a\n{x}").tolist() == [*self._ids("a").tolist(), *self.newline.tolist(), *self._ids(x).tolist()] for x in ("b", " b"))
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(self, strings: list[str]) -> list:
-        return [self.value(e.ids) for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)]
+        """Values of some strings, each for itself."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        return [len(ids) if self.counts else np.array(ids, "<u4").tobytes() for ids in got]
+
+    def words(self, words: list[str], most: int = 4096) -> list:
+        """Values of words, with a blank before them or not, that hold no newline and end in no white space."""
+        if not self.by_line:
+            return self.encode(words)
+        out: list = []
+        for low in range(0, len(words), most):
+            part = words[low : low + most]
+            ids = self._ids("\n".join(part))
+            cut = np.flatnonzero(ids == self.newline[0])
+            if len(cut) != len(part) - 1:
+                raise ValueError("a newline did not part two words")
+            begin, end = np.append(0, cut + 1), np.append(cut, len(ids))
+            if self.counts:
+                out += (end - begin).tolist()
+            else:
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip((4 * begin).tolist(), (4 * end).tolist(), strict=True)]
+        return out
 
     def learn(self, keys: set[str]) -> tuple[dict, set[str]]:
         """(values of new keys, those among them whose ends are white space, so that the border isn't sure)."""
         if len(self.known) + len(keys) > CACHE_PIECES:
             self.known = {}
-        split, odd, new = {}, set(), set()
+        known, plain, joined, odd = self.known, [], [], set()
         for key in keys:
+            if key.isalnum():
+                plain.append(key)
+                continue
             lead, word = (key[0], key[1:]) if key[0] in "\n\0" else ("", key)
             if not word or word[0].isspace() or word[-1].isspace() or "\u180e" in word:
                 odd.add(key)
                 continue
             m = _WORD_SIGNS.fullmatch(word)
-            split[key] = (lead + m[1], "\0" + m[2]) if m else (key,)
-            new.update(split[key])
-        new = [k for k in new if k not in self.known]
-        got = dict(zip(new, self.encode([k[1:] if k[0] == "\0" else k if k[0] == "\n" else " " + k for k in new]), strict=True))
-        self.known.update((k, v) for k, v in got.items() if len(k) <= CACHE_CHARS)
-        found = {}
-        for key, parts in split.items():
-            values = [got[p] if p in got else self.known[p] for p in parts]
-            found[key] = values[0] if len(values) == 1 else values[0] + values[1]
-        self.known.update((k, v) for k, v in found.items() if len(k) <= CACHE_CHARS)
+            if lead == "\n":  # the newline, and the word as at a text's begin
+                joined.append((key, ("\n", "\0" + m[1], "\0" + m[2]) if m else ("\n", "\0" + word)))
+            elif m:
+                joined.append((key, (lead + m[1], "\0" + m[2])))
+            else:
+                plain.append(key)
+        new = {*plain, *(p for _, parts in joined for p in parts)} if joined else set(plain)
+        new = [k for k in new if k not in known and k != "\n"]
+        found = dict(zip(new, self.words([k[1:] if k[0] == "\0" else " " + k for k in new]), strict=True))
+        found["\n"] = len(self.newline) if self.counts else self.newline.tobytes()
+        for key, parts in joined:
+            value = found[parts[0]] if parts[0] in found else known[parts[0]]
+            for p in parts[1:]:
+                value = value + (found[p] if p in found else known[p])
+            found[key] = value
+        if max(map(len, found)) <= CACHE_CHARS:
+            known.update(found)
+        else:
+            known.update((k, v) for k, v in found.items() if len(k) <= CACHE_CHARS)
         return found, odd
 
     def each(self, texts: list[str], most: int = 1 << 20) -> Iterator[list]:
@@ -93,19 +133,25 @@ class Encoder:
             yield from self._together(texts[low:high])
             low = high
 
-    def _together(self, texts: list[str]) -> Iterable[list]:
-        known = self.known
-        cut = [_keys(t) for t in texts]
-        got = [None if k is None else list(map(known.get, k)) for k in cut]
-        gaps = [None if g is None or None not in g else [i for i, v in enumerate(g) if v is None] for g in got]
-        found, odd = self.learn({k[i] for k, holes in zip(cut, gaps, strict=True) if holes for i in holes})
-        for text, keys, values, holes in zip(texts, cut, got, gaps, strict=True):
-            if keys is None or (holes and odd and any(keys[i] in odd for i in holes)):
-                yield self.encode(pieces(text)) if text else []
-                continue
-            for i in holes or ():
-                values[i] = found[keys[i]]
-            yield values
+    def _together(self, texts: list[str]) -> list[list]:
+        collecting = gc.isenabled()
+        gc.disable()  # many small tuples and no cycles: looking for these would take a quarter of the time
+        try:
+            known = self.known
+            cut = [_keys(t) for t in texts]
+            got = [None if k is None else list(map(known.get, k)) for k in cut]
+            holes = [[] if g is None else [i for i, v in enumerate(g) if v is None] for g in got]
+            found, odd = self.learn({k[i] for k, at in zip(cut, holes, strict=True) for i in at})
+            for n, (text, keys, values, at) in enumerate(zip(texts, cut, got, holes, strict=True)):
+                if keys is None or (odd and any(keys[i] in odd for i in at)):
+                    got[n] = self.encode(pieces(text)) if text else []
+                    continue
+                for i in at:
+                    values[i] = found[keys[i]]
+            return got
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -114,7 +160,7 @@ _ENCODERS: dict[tuple[str, str], Encoder] = {}
 def encoder(path: str, kind: str) -> Encoder:
     """This worker's encoder for a vocabulary file: ``ids`` keeps little-endian unsigned 32-bit ids, ``count`` their number."""
     if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = Encoder(path, len if kind == "count" else lambda ids: np.array(ids, "<u4").tobytes())
+        _ENCODERS[path, kind] = Encoder(path, kind == "count")
     return _ENCODERS[path, kind]
 
 

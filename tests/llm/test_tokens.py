@@ -38,7 +38,7 @@ def test_pieces_are_exact(library):
 
 def test_the_cache_is_bounded(monkeypatch):
     monkeypatch.setattr("leadflow.llm.tokens.CACHE_PIECES", 50)
-    small = Encoder(default_vocabulary(), len)
+    small = Encoder(default_vocabulary(), True)
     texts = [f"number{k} of many, many" for k in range(500)]
     assert [sum(v) for v in small.each(texts, 100)] == [sum(v) for v in encoder(default_vocabulary(), "count").each(texts)]
     assert len(small.known) < 120
