@@ -50,14 +50,15 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     """(_id, piece, start, length, ids_crc32) of every piece; no shuffle."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(vocabulary, "ids")
-        end = np.array([end_id], "<u4").tobytes()
+        known = encoder(vocabulary)
         for batch in batches:
             for part in C.chunks(batch, "_text"):
                 rows = []
-                for i, values in zip(part.column("_id").to_pylist(), known.each(part.column("_text").to_pylist()), strict=True):
-                    ids = b"".join(values) + end
-                    rows += [(i, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for k, (a, b) in enumerate(cut(len(ids) // 4, capacity))]
+                ids, at = known.ids(part.column("_text"))
+                raw = np.insert(ids, at[1:], end_id).astype("<u4").tobytes()  # each document's end
+                at = (at + np.arange(len(at))).tolist()
+                for i, low, high in zip(part.column("_id").to_pylist(), at[:-1], at[1:], strict=True):
+                    rows += [(i, k, a, b - a, zlib.crc32(raw[4 * (low + a) : 4 * (low + b)])) for k, (a, b) in enumerate(cut(high - low, capacity))]
                 columns = zip(*rows, strict=True)
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["_id", "piece", "start", "length", "ids_crc32"])

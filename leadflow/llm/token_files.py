@@ -49,9 +49,8 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
 
         shard = TaskContext.get().partitionId()
         store, root = _files(folder)
-        known = encoder(vocabulary, "ids")
+        known = encoder(vocabulary)
         bounds, owners, out, n = array("q", [0]), array("q"), None, 0
-        end = np.array([end_id], kind).tobytes()
         name = f"{root}/shard-{shard:06d}"
         spare = f"{name}.{uuid.uuid4().hex}"
         for batch in batches:
@@ -59,13 +58,13 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
                 if out is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(f"{spare}.ids")
-                for values in known.each(part.column("_text").to_pylist()):
-                    ids = np.frombuffer(b"".join(values), "<u4")
-                    if width == 2 and len(ids) and ids.max() > 0xFFFF:
-                        raise ValueError("this vocabulary needs width=4")
-                    out.write(ids.astype(kind).tobytes() + end)
-                    n += len(ids) + 1
-                    bounds.append(n)
+                ids, at = known.ids(part.column("_text"))
+                if width == 2 and len(ids) and ids.max() > 0xFFFF:
+                    raise ValueError("this vocabulary needs width=4")
+                ids = np.insert(ids, at[1:], end_id)  # each document's end
+                out.write(ids.astype(kind).tobytes())
+                bounds.extend((n + at[1:] + np.arange(1, len(at))).tolist())
+                n += len(ids)
                 owners.extend(part.column("_id").to_pylist())
         if out is None:
             return

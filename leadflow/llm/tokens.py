@@ -1,29 +1,40 @@
-"""Token ids of whole texts, as the ``tokenizers`` library gives them, through a cache of short pieces.
+"""Token ids of whole texts, as the ``tokenizers`` library gives them, through a table of words.
 
-A byte-level BPE first cuts a text into words; no word reaches over the border between a character that is not white space
-and a following blank or newline. Texts are cut there, each different piece is encoded once by the library, and the ids of
-the pieces are put together. Special strings hold no white space, so they are never cut. Letters and a run of ASCII signs
-behind them are words of their own too, so "word," is put together from "word" and ",".
+A byte-level BPE first cuts a text into words. No word reaches over the border between a character that is not white space
+and a following blank or newline, nor from a letter to an ASCII sign (but the apostrophe). Texts are cut there, in whole
+batches; each different word is encoded once by the library and kept, under a hash of its bytes, in a table of bounded size.
+Texts in which borders aren't sure (runs of white space, other white space, special strings) are encoded by themselves.
 """
 
 from __future__ import annotations
 
-import gc
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+
+from leadflow.llm import common as C
 
 #: A run of blanks and newlines with what follows it, or such a run at the end.
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+\Z")
 #: White space other than blank and newline: then only borders after printable ASCII are sure.
 _ODD = re.compile("[^\\S \n]|\u180e")
 _SURE = re.compile(r"(?<=[!-~])(?=[ \n])")
-#: Latin letters and then ASCII signs without the apostrophe, which may begin a word of its own kind.
-_WORD_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
-#: Most pieces that a worker keeps, and the longest one.
-CACHE_PIECES, CACHE_CHARS = 700_000, 64
+#: Most words that a worker keeps (some 30 bytes each).
+TABLE_WORDS = 2_500_000
+
+_GAP = np.zeros(256, bool)
+_GAP[[10, 32]] = True
+#: Bytes that make a text odd: other ASCII white space and control signs. First bytes of wider white space are looked at closer.
+_CONTROL = np.zeros(256, bool)
+_CONTROL[[*range(0, 10), *range(11, 32), 127]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[[x for x in range(33, 127) if not chr(x).isalnum() and x != 39]] = True
+# Unicode's white space beyond ASCII (and U+180E, which once was) in UTF-8.
+_WIDE = [chr(x).encode() for x in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def pieces(text: str) -> list[str]:
@@ -31,137 +42,184 @@ def pieces(text: str) -> list[str]:
     return _SURE.split(text) if _ODD.search(text) else _PIECE.findall(text)
 
 
-def _keys(text: str) -> list[str] | None:
-    """The words of a text in which single blanks and newlines part them, else None.
-
-    A word behind a blank is its own key; one that begins a line has a newline before it, the first one a NUL.
-    """
-    if not text or "\0" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
-        return None
-    out: list[str] = []
-    for line in text.split("\n"):
-        words = line.split(" ")
-        words[0] = ("\n" if out else "\0") + words[0]
-        out += words
-    return out
+def unsure(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """True for rows in which white space isn't single blanks and newlines between words, or a special string may stand."""
+    n = len(body)
+    gap = _GAP[body]
+    bad = _CONTROL[body]
+    bad[1:] |= gap[1:] & gap[:-1]
+    bad[:-1] |= (body[:-1] == 60) & (body[1:] == 124)  # "<|"
+    lead = np.flatnonzero((body == 0xC2) | ((body >= 0xE1) & (body <= 0xE3)))
+    if len(lead):
+        wide = np.zeros(len(lead), bool)
+        for w in _WIDE:
+            at = lead + len(w) <= n
+            for k, x in enumerate(w):
+                at[at] = body[lead[at] + k] == x
+            wide |= at
+        bad[lead[wide]] = True
+    filled = offsets[1:] > offsets[:-1]
+    bad[offsets[:-1][filled]] |= gap[offsets[:-1][filled]]
+    bad[offsets[1:][filled] - 1] |= gap[offsets[1:][filled] - 1]
+    seen = np.concatenate([[0], np.cumsum(bad)])
+    return seen[offsets[1:]] > seen[offsets[:-1]]
+
+
+class Table:
+    """Ids of words by (hash, check): a sorted part, and a small recent one that is merged into it now and then."""
+
+    def __init__(self) -> None:
+        self.parts = [self._empty(), self._empty()]
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    @staticmethod
+    def _empty() -> list[np.ndarray]:
+        return [np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start in ``flat`` or -1, length) of each key."""
+        start, size = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+        for have, check, begin, length in self.parts:
+            if len(have):
+                k = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+                hit = (have[k] == keys) & (check[k] == checks)
+                start[hit], size[hit] = begin[k[hit]], length[k[hit]]
+        return start, size
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Starts of new keys, given in order, whose ids follow each other in ``ids``."""
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(self.flat), len(ids)), np.uint32)])
+        begin = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.parts[1] = self._merge(self.parts[1], [keys, checks, begin, lengths.astype(np.int32)])
+        if len(self.parts[1][0]) > 100_000:
+            self.parts = [self._merge(*self.parts), self._empty()]
+        return begin
+
+    @staticmethod
+    def _merge(one: list[np.ndarray], two: list[np.ndarray]) -> list[np.ndarray]:
+        at = np.searchsorted(one[0], two[0])
+        return [np.insert(a, at, b) for a, b in zip(one, two, strict=True)]
+
+    def __len__(self) -> int:
+        return len(self.parts[0][0]) + len(self.parts[1][0])
 
 
 class Encoder:
-    """Piecewise encoder with a bounded cache of what is kept of a piece: its ids as little-endian bytes, or their number."""
+    """Ids of the texts of Arrow columns."""
 
-    def __init__(self, path: str, counts: bool = False):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.counts, self.known = Tokenizer.from_file(path), counts, {}
+        self.tokenizer, self.table = Tokenizer.from_file(path), Table()
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.newline = self._ids("\n")
-        #: A newline between words is one id of its own, which no word holds: words can be encoded as lines of one text.
-        self.by_line = len(self.newline) == 1 and all(self._ids(f"a\n{x}").tolist() == [*self._ids("a").tolist(), *self.newline.tolist(), *self._ids(x).tolist()] for x in ("b", " b"))
+        if len(self.newline) != 1 or any(self._ids(f"a\n{x}").tolist() != [*self._ids("a").tolist(), *self.newline.tolist(), *self._ids(x).tolist()] for x in ("b", " b")):
+            raise ValueError("not a byte-level vocabulary in which a newline between words is an id of its own")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def encode(self, strings: list[str]) -> list:
-        """Values of some strings, each for itself."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-        return [len(ids) if self.counts else np.array(ids, "<u4").tobytes() for ids in got]
+    def alone(self, text: str) -> np.ndarray:
+        """Ids of a text cut at sure borders only."""
+        got = self.tokenizer.encode_batch_fast(pieces(text), add_special_tokens=False)
+        return np.array([x for e in got for x in e.ids], "<u4")
 
-    def words(self, words: list[str], most: int = 4096) -> list:
-        """Values of words, with a blank before them or not, that hold no newline and end in no white space."""
-        if not self.by_line:
-            return self.encode(words)
-        out: list = []
+    def words(self, words: list[str], most: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number by word) of words without newlines and white space at their end: lines of one text."""
+        ids, lengths = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         for low in range(0, len(words), most):
-            part = words[low : low + most]
-            ids = self._ids("\n".join(part))
-            cut = np.flatnonzero(ids == self.newline[0])
-            if len(cut) != len(part) - 1:
+            got = self._ids("\n".join(words[low : low + most]))
+            part = got == self.newline[0]
+            cut = np.flatnonzero(part)
+            if len(cut) != len(words[low : low + most]) - 1:
                 raise ValueError("a newline did not part two words")
-            begin, end = np.append(0, cut + 1), np.append(cut, len(ids))
-            if self.counts:
-                out += (end - begin).tolist()
-            else:
-                raw = ids.tobytes()
-                out += [raw[a:b] for a, b in zip((4 * begin).tolist(), (4 * end).tolist(), strict=True)]
+            ids.append(got[~part])
+            lengths.append(np.diff(np.concatenate([[-1], cut, [len(got)]])) - 1)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _found(self, body: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start in the table's ids, length, n+1 row offsets) of each word of the rows that aren't odd."""
+        n = len(body)
+        gap = _GAP[body]
+        begin = np.zeros(n, bool)
+        begin[1:] = gap[:-1]
+        letter = _LETTER[body]
+        if n > 1:  # accented Latin letters, but the times and division signs
+            letter[1:] |= (body[:-1] == 0xC3) & (body[1:] >= 0x80) & (body[1:] != 0x97) & (body[1:] != 0xB7)
+        begin[1:] |= letter[:-1] & _SIGN[body[1:]]
+        begin[offsets[:-1][offsets[:-1] < n]] = True
+        if odd.any():
+            begin &= ~np.repeat(odd, np.diff(offsets))
+        starts = np.flatnonzero(begin)
+        rows = np.searchsorted(starts, offsets)
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), rows
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(rows))
+        ends = np.minimum(np.append(starts[1:], n), offsets[1:][row])
+        ends -= gap[ends - 1]  # a word ends before the gap
+        # 0: no gap before it, 10 or 32: that one
+        before = np.where((starts > offsets[:-1][row]) & gap[np.maximum(starts - 1, 0)], body[np.maximum(starts - 1, 0)], 0)
+        keys = C.span_hashes(body, starts, ends) + before.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+        checks = body[starts].astype(np.uint32) | body[ends - 1].astype(np.uint32) << np.uint32(8) | (ends - starts).astype(np.uint32) << np.uint32(16)
+        keys, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        start, size = self.table.find(keys, checks[first])
+        new = np.flatnonzero(start < 0)
+        if len(new):
+            if len(self.table) + len(new) > TABLE_WORDS:
+                self.table = Table()
+                new = np.arange(len(keys))
+            at = first[new]
+            raw = body.tobytes()
+            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            lead = before[at]
+            ids, lengths = self.words([f" {w}" if x == 32 else w for w, x in zip(words, lead.tolist(), strict=True)])
+            if (lead == 10).any():  # the newline is a word of its own before them
+                where = (np.cumsum(lengths) - lengths)[lead == 10]
+                ids = np.insert(ids, where, self.newline[0])
+                lengths = lengths + (lead == 10)
+            start[new], size[new] = self.table.add(keys[new], checks[first[new]], ids, lengths), lengths
+        return start[place], size[place], rows
+
+    def counts(self, column: pa.Array) -> np.ndarray:
+        """Number of ids of each text."""
+        body, offsets = C.text_bytes(column)
+        odd = unsure(body, offsets)
+        _, size, rows = self._found(body, offsets, odd)
+        sums = np.concatenate([[0], np.cumsum(size)])
+        out = sums[rows[1:]] - sums[rows[:-1]]
+        for k in np.flatnonzero(odd):
+            out[k] = len(self.alone(column[int(k)].as_py()))
         return out
 
-    def learn(self, keys: set[str]) -> tuple[dict, set[str]]:
-        """(values of new keys, those among them whose ends are white space, so that the border isn't sure)."""
-        if len(self.known) + len(keys) > CACHE_PIECES:
-            self.known = {}
-        known, plain, joined, odd = self.known, [], [], set()
-        for key in keys:
-            if key.isalnum():
-                plain.append(key)
-                continue
-            lead, word = (key[0], key[1:]) if key[0] in "\n\0" else ("", key)
-            if not word or word[0].isspace() or word[-1].isspace() or "\u180e" in word:
-                odd.add(key)
-                continue
-            m = _WORD_SIGNS.fullmatch(word)
-            if lead == "\n":  # the newline, and the word as at a text's begin
-                joined.append((key, ("\n", "\0" + m[1], "\0" + m[2]) if m else ("\n", "\0" + word)))
-            elif m:
-                joined.append((key, (lead + m[1], "\0" + m[2])))
-            else:
-                plain.append(key)
-        new = {*plain, *(p for _, parts in joined for p in parts)} if joined else set(plain)
-        new = [k for k in new if k not in known and k != "\n"]
-        found = dict(zip(new, self.words([k[1:] if k[0] == "\0" else " " + k for k in new]), strict=True))
-        found["\n"] = len(self.newline) if self.counts else self.newline.tobytes()
-        for key, parts in joined:
-            value = found[parts[0]] if parts[0] in found else known[parts[0]]
-            for p in parts[1:]:
-                value = value + (found[p] if p in found else known[p])
-            found[key] = value
-        if max(map(len, found)) <= CACHE_CHARS:
-            known.update(found)
-        else:
-            known.update((k, v) for k, v in found.items() if len(k) <= CACHE_CHARS)
-        return found, odd
-
-    def each(self, texts: list[str], most: int = 1 << 20) -> Iterator[list]:
-        """Of each text the values of its pieces, in order; texts are encoded together by about ``most`` characters."""
-        low = 0
-        while low < len(texts):
-            high, size = low, 0
-            while high < len(texts) and (high == low or size + len(texts[high]) <= most):
-                size += len(texts[high])
-                high += 1
-            yield from self._together(texts[low:high])
-            low = high
-
-    def _together(self, texts: list[str]) -> list[list]:
-        collecting = gc.isenabled()
-        gc.disable()  # many small tuples and no cycles: looking for these would take a quarter of the time
-        try:
-            known = self.known
-            cut = [_keys(t) for t in texts]
-            got = [None if k is None else list(map(known.get, k)) for k in cut]
-            holes = [[] if g is None else [i for i, v in enumerate(g) if v is None] for g in got]
-            found, odd = self.learn({k[i] for k, at in zip(cut, holes, strict=True) for i in at})
-            for n, (text, keys, values, at) in enumerate(zip(texts, cut, got, holes, strict=True)):
-                if keys is None or (odd and any(keys[i] in odd for i in at)):
-                    got[n] = self.encode(pieces(text)) if text else []
-                    continue
-                for i in at:
-                    values[i] = found[keys[i]]
-            return got
-        finally:
-            if collecting:
-                gc.enable()
-
-
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder(path: str, kind: str) -> Encoder:
-    """This worker's encoder for a vocabulary file: ``ids`` keeps little-endian unsigned 32-bit ids, ``count`` their number."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = Encoder(path, kind == "count")
-    return _ENCODERS[path, kind]
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, n+1 offsets of the texts)."""
+        body, offsets = C.text_bytes(column)
+        odd = unsure(body, offsets)
+        start, size, rows = self._found(body, offsets, odd)
+        total = int(size.sum())
+        ids = self.table.flat[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)]
+        sums = np.concatenate([[0], np.cumsum(size)])
+        at = sums[rows]
+        if not odd.any():
+            return ids, at
+        each = [self.alone(column[k].as_py()) if odd[k] else ids[at[k] : at[k + 1]] for k in range(len(odd))]
+        return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder for a vocabulary file."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def default_vocabulary() -> str:

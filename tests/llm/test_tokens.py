@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import awkward, empty, shipped, texts  # noqa: F401
 from tokenizers import Tokenizer
@@ -31,17 +32,21 @@ def test_pieces_are_exact(library):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(8000)]
     texts += [" ".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(4000)]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(b"".join(v), "<u4").tolist() for v in encoder(default_vocabulary(), "ids").each(texts, 500)]
-    assert got == want
-    assert [sum(v) for v in encoder(default_vocabulary(), "count").each(texts)] == [len(w) for w in want]
-
-
-def test_the_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr("leadflow.llm.tokens.CACHE_PIECES", 50)
-    small = Encoder(default_vocabulary(), True)
-    texts = [f"number{k} of many, many" for k in range(500)]
-    assert [sum(v) for v in small.each(texts, 100)] == [sum(v) for v in encoder(default_vocabulary(), "count").each(texts)]
-    assert len(small.known) < 120
+    for step in (len(texts), 700):
+        for low in range(0, len(texts), step):
+            column = pa.array(texts[low : low + step])
+            ids, at = encoder(default_vocabulary()).ids(column)
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want[low : low + step]
+            assert encoder(default_vocabulary()).counts(column).tolist() == [len(w) for w in want[low : low + step]]
+
+
+def test_the_table_is_bounded(monkeypatch):
+    monkeypatch.setattr("leadflow.llm.tokens.TABLE_WORDS", 50)
+    small = Encoder(default_vocabulary())
+    for low in range(0, 500, 20):
+        column = pa.array([f"number{k} of many, many\nlines" for k in range(low, low + 20)])
+        assert small.counts(column).tolist() == encoder(default_vocabulary()).counts(column).tolist()
+        assert len(small.table) <= 50
 
 
 def test_counts(spark, awkward, empty, library):
