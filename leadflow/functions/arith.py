@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def idiv(a: Column, b: Column) -> Column:
-    """Floor division of integers (b > 0), exact: (a - pmod(a, b)) is a multiple of b."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    """Floor division of integers (b > 0) by integral division: no double in between, so exact for all of bigint.
+
+    ``div`` cuts towards zero; taking the remainder off first makes it the floor for negative ``a`` too.
+    """
+    return F.call_function("div", a - F.pmod(a, b), b)
 
 
 def round_half_up_ratio(num: Column, den: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, existence flags, zero-filled left joins."""
+"""Join helpers: existence flags and zero-filled left joins. Broadcasts are left to Spark's threshold and AQE."""
 
 from __future__ import annotations
 
@@ -7,35 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# broadcast only below this plan-estimated size (default: the session's
-# spark.sql.autoBroadcastJoinThreshold); beyond it the join shuffles, and AQE may still
-# switch to a broadcast from the *measured* shuffle size at runtime
-BROADCAST_LIMIT_BYTES: int | None = None
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return 1 << 62
-
-
-def _limit(df: DataFrame) -> int:
-    if BROADCAST_LIMIT_BYTES is not None:
-        return BROADCAST_LIMIT_BYTES
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:  # e.g. "10MB"
-        return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the side's estimated size is under ``limit`` (bytes)."""
-    limit = _limit(df) if limit is None else limit
-    return F.broadcast(df) if 0 <= estimated_bytes(df) <= limit else df
-
 
 def with_flag(df: DataFrame, keys: DataFrame, on: str | Sequence[str], name: str) -> DataFrame:
     """Add boolean ``name``: the row's key exists in ``keys``.
@@ -47,7 +18,7 @@ def with_flag(df: DataFrame, keys: DataFrame, on: str | Sequence[str], name: str
     """
     on = [on] if isinstance(on, str) else list(on)
     left = df.alias("_fl")
-    right = small(keys.select(*on).distinct()).alias("_fr")
+    right = keys.select(*on).distinct().alias("_fr")
     cond = None
     for c in on:
         eq = F.col(f"_fr.{c}") == F.col(f"_fl.{c}").outer()

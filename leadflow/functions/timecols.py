@@ -53,8 +53,3 @@ def sql_ts(value: dt.datetime | dt.date) -> str:
 
 def sql_date(value: dt.date) -> str:
     return f"DATE '{value:%Y-%m-%d}'"
-
-
-def in_month_ist(ts: Column, start: dt.date, end: dt.date | None) -> Column:
-    """IST-month membership [start, end) of a UTC instant (pushdown-friendly form)."""
-    return in_local_range(ts, start, end, 330)

@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.functions.joins import small
 from leadflow.functions.scalars import tier_alias, tier_amount
 
 C = F.col
 
 
+def _stated_tier(df: DataFrame) -> Column:
+    """The first filled one of tier | cohort | quality, whichever of them the file has."""
+    named = [F.nullif(F.trim(C(c)), F.lit("")) for c in ("tier", "cohort", "quality") if c in df.columns]
+    return F.coalesce(*named) if len(named) > 1 else named[0]
+
+
 def quality_bonus(month: DataFrame, ids: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
-    """Tier + amount per requested id: the month file wins, then the default file.
+    """Tier + amount per requested id: a row in the month's file is taken as it is, else the default file's.
 
-    The amount is the row's override or the tier default; an id with no usable tier
-    is not ready (amount NULL).
+    The amount is the row's override or the tier default; an id whose row has no usable tier is not ready
+    (amount NULL), also where the default file would have one.
     """
-    q = month.select("partner_id", C("tier").alias("m_tier"), C("amount").alias("m_amount"))
-    out = ids.select("partner_id").join(q, "partner_id", "left")
+    def rows(df: DataFrame, k: str) -> DataFrame:
+        return df.select("partner_id", _stated_tier(df).alias(f"{k}_tier"), C("amount").alias(f"{k}_amount"), F.lit(True).alias(f"{k}_there"))
+
+    out = ids.select("partner_id").join(rows(month, "m"), "partner_id", "left")
+    raw_tier, raw_amount = C("m_tier"), C("m_amount")
     if fallback is not None:
-        fb = fallback.select("partner_id", C("tier").alias("f_tier"), C("amount").alias("f_amount"))
-        out = out.join(fb, "partner_id", "left")
-        use_month = C("m_tier").isNotNull()
-        raw_tier = F.when(use_month, C("m_tier")).otherwise(C("f_tier"))
-        raw_amount = F.when(use_month, C("m_amount")).otherwise(C("f_amount"))
-    else:
-        raw_tier, raw_amount = C("m_tier"), C("m_amount")
+        out = out.join(rows(fallback, "f"), "partner_id", "left")
+        raw_tier = F.when(C("m_there"), C("m_tier")).otherwise(C("f_tier"))
+        raw_amount = F.when(C("m_there"), C("m_amount")).otherwise(C("f_amount"))
     out = out.select("partner_id", tier_alias(raw_tier).alias("tier"), raw_amount.alias("raw_amount"))
     return out.select("partner_id", "tier",
                       F.when(C("tier").isNotNull(), F.coalesce(C("raw_amount"), tier_amount(C("tier"))))
@@ -48,18 +52,18 @@ def quality_totals(qb: DataFrame) -> DataFrame:
 def roster_label(df: DataFrame, rosters: DataFrame, key: str = "partner_id") -> DataFrame:
     """enrolled / eligible / rest; an id absent from the roster (or NULL) is rest."""
     r = rosters.select(C("partner_id").alias(key), C("category").alias("_cat"))
-    out = df.join(small(r), key, "left")
+    out = df.join(r, key, "left")
     return out.withColumn("category", F.coalesce(C("_cat"), F.lit("rest"))).drop("_cat")
 
 
 def in_roster(df: DataFrame, roster: DataFrame, key: str = "partner_id") -> DataFrame:
     """Semi join (IN list)."""
-    return df.join(small(roster.select(C("partner_id").alias(key))), key, "left_semi")
+    return df.join(roster.select(C("partner_id").alias(key)), key, "left_semi")
 
 
 def not_in_roster(df: DataFrame, roster: DataFrame, key: str = "partner_id") -> DataFrame:
     """NOT IN (subquery): a NULL id never passes; plain anti join on the rest."""
-    return df.where(C(key).isNotNull()).join(small(roster.select(C("partner_id").alias(key))), key, "left_anti")
+    return df.where(C(key).isNotNull()).join(roster.select(C("partner_id").alias(key)), key, "left_anti")
 
 
 # --------------------------------------------------------------- efficiency
@@ -130,15 +134,15 @@ def dashboard_doc(eff: DataFrame, grid: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- enrolment / cohort
 def enrolment_dates(optins: DataFrame, audits: DataFrame, rosters: DataFrame, offset_minutes: int = 330) -> DataFrame:
-    """Flow 1 = first opt-in, flow 2 = last completed audit; local date."""
+    """Flow 1 = first opt-in, flow 2 = last completed audit; local date.
+
+    Actions are reduced to a row a partner first, so that a partner with very many of them is combined map-side.
+    """
     from leadflow.functions.timecols import local_date
-    f1 = rosters.where(C("flow") == 1).select("partner_id")
-    f2 = rosters.where(C("flow") == 2).select("partner_id")
-    a = optins.join(small(f1), "partner_id", "left_semi").groupBy("partner_id").agg(F.min("opted_at").alias("at")) \
-        .withColumn("flow", F.lit(1))
-    b = audits.join(small(f2), "partner_id", "left_semi").groupBy("partner_id").agg(F.max("scan_complete_at").alias("at")) \
-        .withColumn("flow", F.lit(2))
-    u = a.unionByName(b)
+    first = optins.groupBy("partner_id").agg(F.min("opted_at").alias("at")).withColumn("flow", F.lit(1))
+    last = audits.groupBy("partner_id").agg(F.max("scan_complete_at").alias("at")).withColumn("flow", F.lit(2))
+    flows = rosters.where(C("flow").isin(1, 2)).select("partner_id", "flow").distinct()
+    u = first.unionByName(last).join(flows, ["partner_id", "flow"], "left_semi")
     return u.select("partner_id", "flow", local_date(C("at"), offset_minutes).alias("enrolled_on"))
 
 
@@ -153,8 +157,8 @@ def build_cohort(rosters: DataFrame, optins: DataFrame, audits: DataFrame) -> Da
 
 def identities(roster: DataFrame, users: DataFrame) -> DataFrame:
     """Partner list -> every active user id in the three roles (user ids, never partner ids)."""
-    u = users.where((C("status") == "ACTIVE") & C("role").isin("OWNER", "MANAGER", "MANAGER_PLUS"))
-    return u.join(small(roster.select("partner_id").distinct()), "partner_id", "left_semi").select("user_id", "partner_id")
+    u = active_users(users)
+    return u.join(roster.select("partner_id").distinct(), "partner_id", "left_semi").select("user_id", "partner_id")
 
 
 def map_accounts(df: DataFrame, accounts: DataFrame, how: str = "left") -> DataFrame:
@@ -163,22 +167,29 @@ def map_accounts(df: DataFrame, accounts: DataFrame, how: str = "left") -> DataF
 
 
 def lapse_breakdown(bucketed: DataFrame, universe: DataFrame, start, end) -> DataFrame:
-    """Partners without a resolved lead this month: truly none vs all lapsed, by lapse cause."""
+    """Partners on the no-leads screen (nothing resolved this month, nothing open): truly none, or all lapsed by cause.
+
+    ``truly_none`` had no lead that closed in the month. ``all_lapsed`` had some, and every one ended before a slot was
+    confirmed (a terminal bucket other than installed); its rows count leads by that bucket. Leads are counted by
+    (partner, bucket) before anything else, so a hot partner is a handful of rows.
+    """
     from leadflow.functions.timecols import date_lit
     b = F.col("bucket")
     m = (F.col("last_date") >= date_lit(start)) & (F.col("last_date") < date_lit(end))
-    per = bucketed.groupBy("partner_id").agg(
-        F.count_if(m & (F.col("reached_slot") == 1) & ~b.isin("open", "system_other")).alias("denom"),
-        F.count(F.lit(1)).alias("leads"))
-    u = roster_left(universe, per, ["denom", "leads"]).where(C("denom") == 0)
-    none = u.where(C("leads") == 0).select("partner_id", F.lit("truly_none").alias("kind"), F.lit("none").alias("cause"),
-                                           F.lit(0).cast("bigint").alias("n"))
-    lapsed_p = u.where(C("leads") > 0).select("partner_id")
-    causes = (bucketed.join(lapsed_p, "partner_id", "left_semi")
-              .groupBy("partner_id", F.col("bucket").alias("cause")).agg(F.count(F.lit(1)).alias("n"))
-              .select("partner_id", F.lit("all_lapsed").alias("kind"), "cause", "n"))
-    return none.unionByName(causes).groupBy("kind", "cause").agg(
-        F.countDistinct("partner_id").alias("partners"), F.sum("n").cast("bigint").alias("leads"))
+    slot = F.col("reached_slot") == 1
+    counts = bucketed.groupBy("partner_id", "bucket").agg(
+        F.count_if(m & slot & ~b.isin("open", "system_other")).alias("resolved"),
+        F.count_if(b == "open").alias("open"), F.count_if(m).alias("closed"),
+        F.count_if(m & ~slot & ~b.isin("open", "installed")).alias("lapsed"))
+    per = counts.groupBy("partner_id").agg(
+        *[F.sum(c).alias(c) for c in ("resolved", "open", "closed", "lapsed")],
+        F.collect_list(F.when(C("lapsed") > 0, F.struct(C("bucket").alias("cause"), C("lapsed").alias("n")))).alias("causes"))
+    u = universe.select("partner_id").distinct().join(per, "partner_id", "left").na.fill(0, ["resolved", "open", "closed", "lapsed"])
+    u = u.where((C("resolved") == 0) & (C("open") == 0) & (C("closed") == C("lapsed")))
+    none = F.array(F.struct(F.lit("none").alias("cause"), F.lit(0).cast("bigint").alias("n")))
+    rows = u.select("partner_id", F.when(C("closed") == 0, "truly_none").otherwise("all_lapsed").alias("kind"),
+                    F.inline(F.when(C("closed") == 0, none).otherwise(C("causes"))))
+    return rows.groupBy("kind", "cause").agg(F.count(F.lit(1)).alias("partners"), F.sum("n").cast("bigint").alias("leads"))
 
 
 def with_overlay(record: DataFrame, overlay: DataFrame, key: str = "partner_id") -> DataFrame:
@@ -189,7 +200,7 @@ def with_overlay(record: DataFrame, overlay: DataFrame, key: str = "partner_id")
     norm = F.lower(F.col(key).cast("string"))
     ov_cols = [c for c in overlay.columns if c != key]
     o = overlay.select(norm.alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in ov_cols])
-    j = record.withColumn("_k", norm).join(small(o), "_k", "left").drop("_k")
+    j = record.withColumn("_k", norm).join(o, "_k", "left").drop("_k")
     out = []
     for c in record.columns:
         out.append(F.coalesce(F.col(f"_o_{c}"), F.col(c)).alias(c) if c in ov_cols else F.col(c))
@@ -198,8 +209,8 @@ def with_overlay(record: DataFrame, overlay: DataFrame, key: str = "partner_id")
 
 
 def active_users(users: DataFrame) -> DataFrame:
-    """S3: active users in the three partner roles (a pushed-down filter)."""
-    return users.where((F.col("status") == "ACTIVE") & F.col("role").isin("OWNER", "MANAGER", "MANAGER_PLUS")
+    """S3: live rows of active users in the three partner roles (a pushed-down filter)."""
+    return users.where(F.col("active") & (F.col("status") == "ACTIVE") & F.col("role").isin("OWNER", "MANAGER", "MANAGER_PLUS")
                        & F.col("user_id").isNotNull())
 
 

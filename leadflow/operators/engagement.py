@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.functions.arith import pct1_half_up, pct_half_even, pct_half_up, round_half_up_ratio
-from leadflow.functions.joins import left_fill, small
+from leadflow.functions.joins import left_fill
 from leadflow.functions.leads import flag, is_installed
 from leadflow.functions.timecols import ts_lit
 
@@ -24,14 +24,24 @@ def events_since(events: DataFrame, name: str, start: dt.datetime) -> DataFrame:
     return events.where((C("event_name") == name) & (C("ts") >= ts_lit(start)))
 
 
+def live(events: DataFrame) -> DataFrame:
+    """Events whose row is live in the landed table (``deleted`` is false)."""
+    return events.where(~C("deleted"))
+
+
+def lower_id(df: DataFrame, key: str = "partner_id") -> DataFrame:
+    """Partner ids in lower case where they are text; numbers stay."""
+    return df.withColumn(key, F.lower(C(key))) if dict(df.dtypes)[key] == "string" else df
+
+
 def profile_bridge(profiles: DataFrame, roster: DataFrame | None = None, undeleted: bool = True) -> DataFrame:
-    """Distinct profile -> partner, optionally undeleted only and restricted to a roster."""
-    b = profiles
+    """Distinct profile -> partner (lower-cased), optionally undeleted only and restricted to a roster."""
+    b = lower_id(profiles)
     if undeleted:
         b = b.where(~F.coalesce(C("deleted"), F.lit(False)))
     b = b.select("profile_id", "partner_id").where(C("partner_id").isNotNull()).distinct()
     if roster is not None:
-        b = b.join(small(roster.select("partner_id")), "partner_id", "left_semi")
+        b = b.join(lower_id(roster.select("partner_id")), "partner_id", "left_semi")
     return b
 
 
@@ -62,9 +72,9 @@ def partner_funnel(attempts: DataFrame, since: dt.datetime) -> DataFrame:
     """Per partner, tasks created since ``since`` with a slot / executor / install."""
     a = attempts.where(C("active") & (C("created_at") >= ts_lit(since)))
     return a.groupBy("partner_id").agg(
-        F.count_if(C("confirmed_slot_at").isNotNull()).alias("slot_conf"),
-        F.count_if(C("executor_id").isNotNull()).alias("exec_assigned"),
-        F.count_if(is_installed(strict=False)).alias("installed"))
+        F.count_if(C("confirmed_slot_at").isNotNull()).alias("slot_tasks"),
+        F.count_if(C("executor_id").isNotNull()).alias("tech_tasks"),
+        F.count_if(is_installed(strict=False)).alias("installed_tasks"))
 
 
 def click_histogram(base: DataFrame, group: str = "grp") -> DataFrame:
@@ -72,17 +82,17 @@ def click_histogram(base: DataFrame, group: str = "grp") -> DataFrame:
     n = C("n_clicks")
     return base.groupBy(group).agg(
         F.count(F.lit(1)).alias("clickers"), F.sum(n).cast("bigint").alias("total_clicks"),
-        F.count_if(C("slot_conf") > 0).alias("reached_slot"), F.count_if(C("exec_assigned") > 0).alias("reached_tech"),
-        F.count_if(C("installed") > 0).alias("reached_install"),
-        F.count_if(n == 1).alias("c1"), F.count_if(n == 2).alias("c2"), F.count_if(n == 3).alias("c3"),
-        F.count_if(n >= 4).alias("c4plus"))
+        F.count_if(C("slot_tasks") > 0).alias("reached_slot"), F.count_if(C("tech_tasks") > 0).alias("reached_tech"),
+        F.count_if(C("installed_tasks") > 0).alias("reached_install"),
+        F.count_if(n == 1).alias("clicked_1"), F.count_if(n == 2).alias("clicked_2"), F.count_if(n == 3).alias("clicked_3"),
+        F.count_if(n >= 4).alias("clicked_4_more"))
 
 
 def profiles_by_group(profile_counts: DataFrame, bridge: DataFrame, base: DataFrame, group: str = "grp") -> DataFrame:
     """A10: distinct profiles per group (profiles with events, of partners present in ``base``)."""
     j = (profile_counts.select("profile_id").join(bridge, "profile_id", "inner")
          .join(base.select("partner_id", group), "partner_id", "inner"))
-    return j.groupBy(group).agg(F.countDistinct("profile_id").alias("ct_profiles"))
+    return j.groupBy(group).agg(F.countDistinct("profile_id").alias("profiles"))
 
 
 def engagement_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFrame, roster: DataFrame,
@@ -92,8 +102,8 @@ def engagement_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFram
     per = per_profile(events, "banner_opened", events_start)
     clicks = click_counts(per, bridge)
     inst = partner_funnel(attempts, tasks_since)
-    base = left_fill(clicks, inst, "partner_id", ["slot_conf", "exec_assigned", "installed"])
-    prog = small(roster.select("partner_id").distinct().withColumn("_in", F.lit(True)))
+    base = left_fill(clicks, inst, "partner_id", ["slot_tasks", "tech_tasks", "installed_tasks"])
+    prog = roster.select("partner_id").distinct().withColumn("_in", F.lit(True))
     base = base.join(prog, "partner_id", "left").withColumn(
         "grp", F.when(C("_in").isNotNull(), "programme").otherwise("rest")).drop("_in")
     return with_profiles(click_histogram(base), profiles_by_group(per, bridge, base))
@@ -104,48 +114,53 @@ def with_profiles(agg: DataFrame, prof: DataFrame, group: str = "grp") -> DataFr
     return agg.join(prof, group, "inner")
 
 
+def partner_stages(attempts: DataFrame, since: dt.datetime) -> DataFrame:
+    """Per partner, tasks created since ``since``: how many, which stages were reached, and tasks by stage."""
+    slot, tech, done = C("confirmed_slot_at").isNotNull(), C("executor_id").isNotNull(), is_installed(False)
+    arrived = (C("current_state") == "ARRIVED_AT_SITE") | (C("completed_step") >= 1)
+    return attempts.where(C("active") & (C("created_at") >= ts_lit(since))).groupBy("partner_id").agg(
+        F.count(F.lit(1)).alias("connections"),
+        F.max(flag(slot)).alias("slot_partners"), F.max(flag(tech)).alias("tech_partners"),
+        F.max(flag(done)).alias("install_partners"),
+        F.count_if(C("proposed_slot_date").isNotNull()).alias("tasks_slot_proposed"),
+        F.count_if(slot).alias("tasks_slot_confirmed"), F.count_if(tech).alias("tasks_tech"),
+        F.count_if(arrived).alias("tasks_arrived"), F.count_if(done).alias("tasks_installed"))
+
+
+STAGE_COLS = ("slot_partners", "tech_partners", "install_partners", "connections", "tasks_slot_proposed",
+              "tasks_slot_confirmed", "tasks_tech", "tasks_arrived", "tasks_installed")
+
+
 def segment_funnel(events: DataFrame, profiles: DataFrame, attempts: DataFrame, roster: DataFrame,
                    events_start: dt.datetime, tasks_since: dt.datetime) -> DataFrame:
-    """Roster clicked / roster not clicked / outside the roster: partners and tasks per stage."""
+    """Roster clicked / roster not clicked / outside the roster: partners and tasks per stage.
+
+    One scan of the attempts: their partner rows meet the roster in one full outer join, the clickers in a left join.
+    """
     bridge = profile_bridge(profiles, undeleted=False)
     clickers = (per_profile(events, "banner_opened", events_start).select("profile_id")
                 .join(bridge, "profile_id", "inner").select("partner_id").distinct())
-    a = attempts.where(C("active") & (C("created_at") >= ts_lit(tasks_since)))
-    inst = a.groupBy("partner_id").agg(
-        F.count(F.lit(1)).alias("connections"),
-        F.max(flag(C("confirmed_slot_at").isNotNull())).alias("f_slot"),
-        F.max(flag(C("executor_id").isNotNull())).alias("f_tech"),
-        F.max(flag(is_installed(False))).alias("f_install"),
-        F.count_if(C("proposed_slot_date").isNotNull()).alias("t_slot_prop"),
-        F.count_if(C("confirmed_slot_at").isNotNull()).alias("t_slot_conf"),
-        F.count_if(C("executor_id").isNotNull()).alias("t_tech"),
-        F.count_if((C("current_state") == "ARRIVED_AT_SITE") | (C("completed_step") >= 1)).alias("t_arrived"),
-        F.count_if(is_installed(False)).alias("t_install"))
-    seg = union_segments(roster, clickers, inst)
-    j = seg.join(inst, "partner_id", "left")
-    sums = ["f_slot", "f_tech", "f_install", "connections", "t_slot_prop", "t_slot_conf", "t_tech", "t_arrived", "t_install"]
-    names = {"f_slot": "slot_partners", "f_tech": "tech_partners", "f_install": "install_partners"}
+    j = union_segments(roster, clickers, partner_stages(attempts, tasks_since))
     return j.groupBy("segment").agg(
         F.count(F.lit(1)).alias("base_partners"), F.count(C("connections")).alias("active_partners"),
-        *[F.sum(F.coalesce(C(c), F.lit(0))).cast("bigint").alias(names.get(c, c)) for c in sums])
+        *[F.sum(F.coalesce(C(c), F.lit(0))).cast("bigint").alias(c) for c in STAGE_COLS])
 
 
 def union_segments(roster: DataFrame, clickers: DataFrame, inst: DataFrame) -> DataFrame:
-    """Roster partners labelled clicked / not clicked, UNION ALL active partners outside the roster."""
-    r = roster.select("partner_id").distinct()
+    """Partner, segment and the partner's columns of ``inst``: the roster labelled clicked / not clicked, and active
+    partners outside it."""
+    r = roster.select("partner_id").distinct().withColumn("_r", F.lit(True))
     c = clickers.select("partner_id").distinct().withColumn("_c", F.lit(True))
-    a = r.join(c, "partner_id", "left").select(
-        "partner_id", F.when(C("_c").isNotNull(), "A_clicked").otherwise("B_noclick").alias("segment"))
-    outside = (inst.select("partner_id").where(C("partner_id").isNotNull())
-               .join(small(r), "partner_id", "left_anti").withColumn("segment", F.lit("C_outside")))
-    return a.unionByName(outside)
+    j = r.join(inst, "partner_id", "full_outer").where(C("partner_id").isNotNull()).join(c, "partner_id", "left")
+    segment = (F.when(C("_r").isNull(), "C_outside").when(C("_c").isNotNull(), "A_clicked").otherwise("B_noclick"))
+    return j.select("partner_id", segment.alias("segment"), *[x for x in inst.columns if x != "partner_id"])
 
 
 def daily_opens(events: DataFrame, bridge: DataFrame, start: dt.datetime) -> DataFrame:
     """Per (partner, day): opens, first and last open (the engagement job's remote grain).
 
-    Pre-aggregated per (profile, day) before the bridge join (see ``per_profile``)."""
-    per = per_profile(events, "banner_opened", start, by_day=True).join(bridge, "profile_id", "inner")
+    Live events only; pre-aggregated per (profile, day) before the bridge join (see ``per_profile``)."""
+    per = per_profile(live(events), "banner_opened", start, by_day=True).join(bridge, "profile_id", "inner")
     return per.groupBy("partner_id", "day").agg(
         F.sum("n").cast("bigint").alias("n"), F.min("mn").alias("mn"), F.max("mx").alias("mx"))
 
@@ -193,10 +208,13 @@ def daily_uniques(events: DataFrame) -> DataFrame:
 
 
 def variant_totals(events: DataFrame, inventory: DataFrame) -> DataFrame:
-    """A logical campaign = several variant ids; per-variant rows plus the campaign sum (rollup)."""
-    j = events.join(small(inventory), "event_name", "inner")
-    r = j.rollup("campaign", "event_name").agg(F.count(F.lit(1)).alias("events"),
-                                                F.grouping_id().alias("_g"))
+    """A logical campaign = several variant ids; per-variant rows plus the campaign sum (rollup).
+
+    Events are counted by name first, so the join and the rollup see one row a name.
+    """
+    named = events.groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))
+    r = named.join(inventory, "event_name", "inner").rollup("campaign", "event_name").agg(
+        F.sum("n").cast("bigint").alias("events"), F.grouping_id().alias("_g"))
     return r.where(C("_g") < 3).select("campaign", F.when(C("_g") == 1, F.lit("ALL")).otherwise(C("event_name")).alias("variant"),
                                        "events")
 
@@ -209,28 +227,31 @@ def freshest_profile(profiles: DataFrame) -> DataFrame:
 
 
 def view_click(events: DataFrame) -> DataFrame:
-    """Per day, profiles that viewed, that clicked, and the click rate (half-up %)."""
-    ev = events.select("profile_id", C("ts").cast("date").alias("day"), "event_name")
-    g = ev.groupBy("day").agg(
-        F.countDistinct(F.when(C("event_name") == "banner_opened", C("profile_id"))).alias("viewed"),
-        F.countDistinct(F.when(C("event_name") == "click", C("profile_id"))).alias("clicked"))
-    return g.select("day", "viewed", "clicked", pct_half_up(C("clicked"), C("viewed")).alias("rate"))
+    """Per campaign and day, profiles that viewed, that clicked, and the click rate (half-up %).
+
+    Reduced to two flags a (day, campaign, profile) first, so each event is shuffled once at most, not once a distinct.
+    """
+    per = events.groupBy(C("ts").cast("date").alias("day"), "campaign", "profile_id").agg(
+        F.max(flag(C("event_name") == "banner_opened")).alias("v"), F.max(flag(C("event_name") == "click")).alias("c"))
+    g = per.groupBy("day", "campaign").agg(F.sum("v").cast("bigint").alias("viewed"), F.sum("c").cast("bigint").alias("clicked"))
+    return g.select("day", "campaign", "viewed", "clicked", pct_half_up(C("clicked"), C("viewed")).alias("rate"))
 
 
-def coverage(screens: DataFrame, views: DataFrame, active_base: DataFrame, min_views: int = 5) -> DataFrame:
+def coverage(screens: DataFrame, views: DataFrame, active_base: DataFrame, today: DataFrame, min_views: int = 5) -> DataFrame:
     """viewers' active base / targeted active base.
 
-    The no-leads group is targeted only if the no-leads partners' views exceed ``min_views``.
-    ``screens`` = (partner_id, screen); ``views`` = (partner_id, n) view counts;
-    ``active_base`` = (partner_id, base). One per-partner join, then ONE global aggregate
-    that carries both the with- and without-no-leads sums; the choice is made after it.
+    The no-leads group is targeted only if TODAY's views of the no-leads partners exceed ``min_views`` (the campaign is
+    live for them). ``screens`` = (partner_id, screen); ``views`` = (partner_id, n) over the window; ``today`` = the same
+    of the current day; ``active_base`` = (partner_id, base). One per-partner join, then ONE global aggregate that carries
+    both the with- and without-no-leads sums; the choice is made after it.
     """
-    s = (screens.join(active_base, "partner_id", "left").join(views, "partner_id", "left")
+    t = today.select("partner_id", C("n").alias("n_today"))
+    s = (screens.join(active_base, "partner_id", "left").join(views, "partner_id", "left").join(t, "partner_id", "left")
          .select("partner_id", (C("screen") == "noleads").alias("nl"), F.coalesce(C("base"), F.lit(0)).alias("base"),
-                 F.coalesce(C("n"), F.lit(0)).alias("n")))
+                 F.coalesce(C("n"), F.lit(0)).alias("n"), F.coalesce(C("n_today"), F.lit(0)).alias("n_today")))
     v = C("n") > 0
     g = s.agg(
-        F.sum(F.when(C("nl"), C("n")).otherwise(0)).alias("nl_views"),
+        F.sum(F.when(C("nl"), C("n_today")).otherwise(0)).alias("nl_views"),
         *[x for grp, cond in (("o", ~C("nl")), ("l", C("nl"))) for x in (
             F.count_if(cond).alias(f"{grp}_tp"), F.count_if(cond & v).alias(f"{grp}_vp"),
             F.sum(F.when(cond, C("base")).otherwise(0)).alias(f"{grp}_tb"),

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadflow.functions.arith import idiv, pct_half_up
+from leadflow.functions.arith import at_gate, idiv, pct_half_up
 from leadflow.functions.joins import with_flag
 from leadflow.functions.leads import EXCLUDED_BUCKETS, INSTALL_OUTCOMES, ONSITE_OUTCOMES, flag, is_installed, lead_bucket
 from leadflow.functions.timecols import date_lit, in_local_range, local_date, ts_lit
@@ -85,40 +85,110 @@ def in_month(start: dt.date, end: dt.date | None, col: str = "last_date") -> Col
 
 
 # ----------------------------------------------------------------- v3 metric (A3)
-def touched_history(attempts: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """The full history of only those leads touched since the month start.
-
-    A lead's last local date is >= ms iff it has a row with updated_at >= ms - offset, so
-    the semi join keeps exactly the leads that can fall in the month, with all of their rows
-    (the sticky flags need the whole history). The touched keys come from a range scan of
-    recent rows; Catalyst broadcasts them when small, or injects them as a runtime bloom
-    filter into the history scan when that scan is large, so old untouched leads are dropped
-    before the aggregation shuffle. Its exchange is on the grouping keys, which the
-    aggregation then reuses.
+def month_history(attempts: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Every visible lead, collapsed over its whole history: the sticky flags need all of its rows.
+
+    Aggregated first: flags and instants combine map-side, so one exchange carries a partial row a lead and task, never
+    a raw attempt. The month is chosen afterwards, by the lead's last local date.
     """
-    active = active_attempts(attempts, p.as_of, days=None)
-    since = dt.datetime.combine(p.month_start, dt.time()) - dt.timedelta(minutes=p.offset_minutes)
-    touched = active.where(F.col("updated_at") >= ts_lit(since)).select("connection_id", "partner_id").distinct()
-    return active.join(touched, ["connection_id", "partner_id"], "left_semi")
+    return collapse_attempts(active_attempts(attempts, p.as_of, days=None), p.offset_minutes)
+
+
+def daily_leads(leads: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Leads closed in the month by (partner, local day): ``i_d`` installed, ``d_d`` with a technician.
+
+    A hot partner is a row a day from here on, so joins on the partner see no raw leads.
+    """
+    return leads.where(in_month(p.month_start, p.month_end)).groupBy("partner_id", "last_date").agg(
+        F.count_if(F.col("has_installed") == 1).alias("i_d"), F.count_if(F.col("tech_assigned") == 1).alias("d_d"))
 
 
 def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None,
-                leads: DataFrame | None = None) -> DataFrame:
+                leads: DataFrame | None = None, since_enrolment: DataFrame | None = None) -> DataFrame:
     """installs and tech-assigned leads per partner whose lead closed in the month (local date).
 
-    Full history (no rolling window): the month is decided by the lead's LAST update, so
-    every row of a touched lead is needed. An impacted connection leaves the denominator
-    unless it installed. ``leads`` may pass an already collapsed frame.
+    Full history (no rolling window): the month is decided by the lead's LAST update, so every row of a lead is needed.
+    An impacted connection leaves the denominator unless it installed. ``leads`` may pass an already collapsed frame;
+    ``since_enrolment`` (partner_id, joined) keeps only leads closed on or after the partner's enrolment date.
     """
     if leads is None:
-        leads = collapse_attempts(touched_history(attempts, p), p.offset_minutes)
+        leads = month_history(attempts, p)
     if impacted is not None:
         leads = drop_impacted(leads, impacted)
-    m = in_month(p.month_start, p.month_end)
-    return leads.groupBy("partner_id").agg(
-        F.count_if(m & (F.col("has_installed") == 1)).alias("installs"),
-        F.count_if(m & (F.col("tech_assigned") == 1)).alias("denom"),
-    )
+    day = F.when(in_month(p.month_start, p.month_end), F.col("last_date"))  # one NULL day for all other months
+    daily = leads.groupBy("partner_id", day.alias("day")).agg(
+        F.count_if(day.isNotNull() & (F.col("has_installed") == 1)).alias("i_d"),
+        F.count_if(day.isNotNull() & (F.col("tech_assigned") == 1)).alias("d_d"))
+    if since_enrolment is not None:
+        dates = since_enrolment.groupBy("partner_id").agg(F.min("joined").alias("_joined"))
+        early = F.coalesce(F.col("day") < F.col("_joined"), F.lit(False))
+        daily = daily.join(dates, "partner_id", "left").select(
+            "partner_id", *[F.when(early, 0).otherwise(F.col(c)).alias(c) for c in ("i_d", "d_d")])
+    return daily.groupBy("partner_id").agg(F.sum("i_d").cast("bigint").alias("installs"),
+                                           F.sum("d_d").cast("bigint").alias("denom"))
+
+
+def partner_month(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+    """The month metric (A3), the open pipeline (A7) and the leads since the last crossing (W5), from one scan.
+
+    One aggregation by lead holds both views: sticky flags over the whole history, and the latest state and flags of the
+    rolling window (conditional aggregates). Leads then become (partner, day) rows, partners one row.
+    """
+    recent = F.col("updated_at") >= ts_lit(p.as_of.date() - dt.timedelta(days=p.window_days))
+    order = F.when(recent, F.struct("updated_at", "attempt_id"))
+    state = F.when(recent, F.struct(
+        F.col("current_state").alias("last_state"), F.col("reason_code").alias("rc"), F.col("failure_reason").alias("fr"),
+        F.col("failure_subreason").alias("fsc"), F.col("confirmed_slot_at").isNotNull().alias("own")))
+    g = active_attempts(attempts, p.as_of, days=None).groupBy("connection_id", "partner_id").agg(
+        F.max_by(state, order).alias("l"),
+        F.max(flag(recent)).alias("in_window"),
+        F.max(flag(recent & is_installed(True))).alias("has_installed"),
+        F.max(flag(recent & F.col("confirmed_slot_at").isNotNull())).alias("reached_slot"),
+        F.max(flag(is_installed(True))).alias("ever_installed"),
+        F.max(flag(F.col("executor_id").isNotNull())).alias("ever_tech"),
+        F.max("updated_at").alias("last_update"))
+    leads = g.select("connection_id", "partner_id", "l.last_state", "l.rc", "l.fr", "l.fsc", "l.own", "in_window",
+                     "has_installed", "reached_slot", "ever_installed", "ever_tech",
+                     local_date(F.col("last_update"), p.offset_minutes).alias("last_date"))
+    excused = F.lit(False)
+    if impacted is not None:
+        leads = with_flag(leads, impacted, "connection_id", "_impacted")
+        excused = F.col("_impacted") & (F.col("ever_installed") == 0)
+    is_open = (F.col("in_window") == 1) & (lead_bucket("full") == "open")
+    day = F.when(in_month(p.month_start, p.month_end), F.col("last_date"))
+    daily = leads.groupBy("partner_id", day.alias("day")).agg(
+        F.count_if(day.isNotNull() & (F.col("ever_installed") == 1)).alias("i_d"),
+        F.count_if(day.isNotNull() & (F.col("ever_tech") == 1) & ~excused).alias("d_d"),
+        F.count_if(is_open).alias("pending"), F.count_if(is_open & F.col("own")).alias("committed"))
+    crossed = _crossing(daily, p)
+    return crossed.groupBy("partner_id").agg(
+        *[F.sum(c).cast("bigint").alias(n) for c, n in (("i_d", "installs"), ("d_d", "denom"), ("pending", "pending"),
+                                                       ("committed", "committed"))],
+        F.coalesce(_since_crossing(), F.lit(0)).cast("bigint").alias("new_leads"))
+
+
+def _crossing(daily: DataFrame, p: Params) -> DataFrame:
+    """Running sums ``ci`` / ``cd`` by day and whether the partner stands at the gate at the day's end.
+
+    At most one row a day of the month and partner reaches the window, however many leads a hot partner has.
+    """
+    w = Window.partitionBy("partner_id").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = daily.withColumn("ci", F.sum("i_d").over(w)).withColumn("cd", F.sum("d_d").over(w))
+    return run.withColumn("ok", at_gate(F.col("ci"), F.col("cd"), p.gate_num, p.gate_den))
+
+
+def _since_crossing() -> Column:
+    """The month's last running denominator less that at the last day at the gate (0 if there was none)."""
+    real = F.col("day").isNotNull()
+    last = F.max(F.when(real, F.struct("day", "cd"))).getField("cd")
+    crossed = F.max(F.when(real & F.col("ok"), F.struct("day", "cd"))).getField("cd")
+    return last - F.coalesce(crossed, last)
+
+
+def new_leads_since_crossing(daily: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Leads added since the partner last stood at or above the gate, from ``daily_leads`` rows."""
+    run = _crossing(daily.withColumnRenamed("last_date", "day"), p)
+    return run.groupBy("partner_id").agg(_since_crossing().cast("bigint").alias("new_leads"))
 
 
 def drop_impacted(leads: DataFrame, impacted: DataFrame) -> DataFrame:

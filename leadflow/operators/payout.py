@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.functions.arith import at_gate, idiv, pct_half_even, pct_half_up, round_half_up_ratio
+from leadflow.functions.arith import at_gate, idiv, pct_half_up, round_half_up_ratio
 from leadflow.functions.timecols import date_lit, local_date, shift_minutes
 from leadflow.plans.params import DEFAULT, Params
 
@@ -143,11 +143,31 @@ def case_of(eligible: Column, pay: Column, floor: Column, denom: Column, few: Co
             .when(few, "fewleads").when(2 * (floor - pay) > floor, "deep").otherwise("topup"))
 
 
-def prev_total(snap: DataFrame, overlay: DataFrame, enrolled: DataFrame, p: Params) -> DataFrame:
-    """The previous month's settled total for enrolled partners that have a record that month."""
+def settle_record(enrolled: DataFrame, daily: DataFrame, overlay: DataFrame) -> DataFrame:
+    """The settlement input: enrolled partners with installs, denom, overlay fields and the split at the switch date.
+
+    ``daily`` are (partner, day) counts (``leads.daily_leads``), so the join with the overlay meets a row a day.
+    """
+    ov = overlay.select("partner_id", "joined", "rate_after", "switch")
+    per = daily.join(ov.select("partner_id", "switch"), "partner_id", "left").groupBy("partner_id").agg(
+        F.sum("i_d").cast("bigint").alias("installs"), F.sum("d_d").cast("bigint").alias("denom"),
+        F.sum(F.when(C("last_date") < C("switch"), C("i_d"))).cast("bigint").alias("inst_before"),
+        F.sum(F.when(C("last_date") >= C("switch"), C("i_d"))).cast("bigint").alias("inst_after"))
+    out = enrolled.select("partner_id").join(per, "partner_id", "left").join(ov, "partner_id", "left")
+    return out.select("partner_id", F.coalesce(C("installs"), F.lit(0)).alias("installs"),
+                      F.coalesce(C("denom"), F.lit(0)).alias("denom"), "joined", "rate_after", "switch",
+                      "inst_before", "inst_after")
+
+
+def prev_total(snap: DataFrame, overlay: DataFrame, enrolled: DataFrame, p: Params, split: DataFrame) -> DataFrame:
+    """The previous month's settled total for enrolled partners that have a record that month.
+
+    ``split`` (A25, partner_id, inst_before, inst_after) pays the switch month at both rates.
+    """
     rec = snap.select("partner_id", "installs", "denom").join(enrolled.select("partner_id"), "partner_id", "left_semi")
     ov = overlay.select("partner_id", "joined", "rate_after", "switch")
-    return settle(rec.join(ov, "partner_id", "left"), p).select("partner_id", "total")
+    parts = split.select("partner_id", "inst_before", "inst_after")
+    return settle(rec.join(ov, "partner_id", "left").join(parts, "partner_id", "left"), p).select("partner_id", "total")
 
 
 def outcome_group(settled: DataFrame) -> DataFrame:
@@ -170,15 +190,14 @@ def payout_totals(settled: DataFrame) -> DataFrame:
     )
 
 
-def rate_split(installed_leads: DataFrame, overlay: DataFrame) -> DataFrame:
-    """Per switch partner, month installs before / on-or-after the switch date (lead close date)."""
+def rate_split(daily: DataFrame, overlay: DataFrame) -> DataFrame:
+    """Per switch partner, month installs before / on-or-after the switch date, from (partner, day) counts."""
     ov = overlay.where(C("switch").isNotNull()).select("partner_id", "switch")
-    j = installed_leads.join(ov, "partner_id", "inner")
+    j = daily.where(C("i_d") > 0).join(ov, "partner_id", "inner")
     return j.groupBy("partner_id").agg(
-        F.count(F.lit(1)).alias("installs"),
-        F.count_if(C("last_date") < C("switch")).alias("inst_before"),
-        F.count_if(C("last_date") >= C("switch")).alias("inst_after"),
-    )
+        F.sum("i_d").cast("bigint").alias("installs"),
+        F.sum(F.when(C("last_date") < C("switch"), C("i_d")).otherwise(0)).cast("bigint").alias("inst_before"),
+        F.sum(F.when(C("last_date") >= C("switch"), C("i_d")).otherwise(0)).cast("bigint").alias("inst_after"))
 
 
 def support_amount(df: DataFrame, minimum: int = 1000) -> DataFrame:
@@ -192,31 +211,3 @@ def gate_visibility(df: DataFrame, now_utc: Column, offset_minutes: int = 330, o
     hour = F.hour(shift_minutes(now_utc, offset_minutes))
     return df.withColumn("screen_real", C("screen")).withColumn(
         "screen", F.when(hour < open_hour, F.lit("hold")).otherwise(C("screen")))
-
-
-def engagement_pct(num: Column, den: Column) -> Column:
-    """Engagement percentages are half-to-even (the engagement job's rounding)."""
-    return pct_half_even(num, den)
-
-
-# --------------------------------------------------------------- W5 crossing
-def new_leads_since_crossing(leads: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Leads added since the partner last stood at/above the gate (end-of-day timeline).
-
-    Skew-safe: leads are first reduced to (partner, local day) rows by a partially
-    aggregated groupBy, so the running-sum window sees at most one row per day of the
-    month per partner, however many leads a hot partner has.
-    """
-    from pyspark.sql import Window
-
-    m = (C("last_date") >= date_lit(p.month_start)) & (C("last_date") < date_lit(p.month_end))
-    daily = leads.where(m).groupBy("partner_id", "last_date").agg(
-        F.count_if(C("has_installed") == 1).alias("i_d"), F.count_if(C("tech_assigned") == 1).alias("d_d"))
-    w = Window.partitionBy("partner_id").orderBy("last_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = daily.select("partner_id", "last_date", F.sum("i_d").over(w).alias("ci"), F.sum("d_d").over(w).alias("cd"))
-    ok = at_gate(C("ci"), C("cd"), p.gate_num, p.gate_den)
-    per = cum.groupBy("partner_id").agg(
-        F.max(F.struct("last_date", "cd")).getField("cd").alias("final_denom"),
-        F.max(F.when(ok, F.struct("last_date", "cd"))).getField("cd").alias("denom_at_crossing"))
-    return per.select("partner_id", (C("final_denom") - F.coalesce(C("denom_at_crossing"), C("final_denom")))
-                      .cast("bigint").alias("new_leads"))

@@ -56,17 +56,24 @@ class CoverageError(RuntimeError):
     pass
 
 
+def unresolved(cohort: DataFrame, resolvable: DataFrame, key: str) -> DataFrame:
+    """Cohort members that can't be resolved to an audience."""
+    return cohort.select(key).distinct().join(resolvable.select(key).distinct(), key, "left_anti")
+
+
 def coverage_gate(cohort: DataFrame, resolvable: DataFrame, key: str, slack: int) -> DataFrame:
-    """Q4: unresolvable cohort members; raise when resolvable < cohort - slack.
-
-    Only two counts reach the driver (one aggregate job); the member list stays distributed.
-    """
-    missing = cohort.select(key).distinct().join(resolvable.select(key).distinct(), key, "left_anti")
-    counts = cohort.select(key).distinct().agg(F.count(F.lit(1)).alias("n")).first()["n"], missing.count()
-    total, miss = counts
-    if total - miss < total - slack:
-        raise CoverageError(f"only {total - miss} of {total} resolvable (slack {slack})")
-    return missing
+    """Q4: one row (cohort, resolvable, passed): passed unless more than ``slack`` members can't be resolved."""
+    there = resolvable.select(key).distinct().withColumn("_ok", F.lit(True))
+    g = cohort.select(key).distinct().join(there, key, "left").agg(
+        F.count(F.lit(1)).alias("cohort"), F.count("_ok").alias("resolvable"))
+    return g.withColumn("passed", C("resolvable") >= C("cohort") - slack)
+
+
+def require_coverage(gate: DataFrame) -> None:
+    """Raise when a ``coverage_gate`` row didn't pass; a refresh job calls this before it publishes."""
+    r = gate.first()
+    if not r["passed"]:
+        raise CoverageError(f"only {r['resolvable']} of {r['cohort']} resolvable")
 
 
 def exclude_test(df: DataFrame, rosters: DataFrame, key: str = "partner_id") -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadflow.functions.joins import small
 from leadflow.functions.leads import is_open_ticket, ticket_no, ticket_rank
 from leadflow.operators import leads as L
 from leadflow.plans.params import DEFAULT, Params
@@ -50,7 +49,8 @@ def owner_of(users: DataFrame) -> DataFrame:
     for role, r in ROLE_RANK.items():
         rank = F.when(F.col("role") == role, r) if rank is None else rank.when(F.col("role") == role, r)
     uid = F.col("user_id").cast("string")
-    return (users.where((F.col("status") == "ACTIVE") & F.col("role").isin(*ROLE_RANK) & F.col("user_id").isNotNull())
+    return (users.where(F.col("active") & (F.col("status") == "ACTIVE") & F.col("role").isin(*ROLE_RANK)
+                        & F.col("user_id").isNotNull())
             .groupBy("partner_id")
             .agg(F.max_by(uid, F.struct(rank, uid)).alias("user_id")))
 
@@ -66,24 +66,23 @@ def merge_sources(mg: DataFrame, open_: DataFrame, led: DataFrame) -> DataFrame:
 
 
 def month_snapshot(attempts: DataFrame, ledger: DataFrame, users: DataFrame, enrol: DataFrame,
-                   p: Params = DEFAULT, impacted: DataFrame | None = None, leads: DataFrame | None = None) -> DataFrame:
-    """The per-partner month record: v3 metric, open pipeline, on-time ledger, tickets, owner.
+                   p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+    """The per-partner month record: v3 metric, open pipeline, on-time ledger, tickets, owner (and ``new_leads``).
 
-    Kept: any activity, or enrolled (a 0/0/0 enrolled partner must still be found).
-    ``leads`` may pass the collapsed touched history when a caller needs it too, so both
-    uses are one identical subplan that Spark computes once (exchange reuse).
+    Kept: any activity, or enrolled (a 0/0/0 enrolled partner must still be found). Attempts are scanned twice: once for
+    metric, pipeline and crossing together, once for the top tickets, of which a task forwards two rows a partner.
     """
-    mg = L.metric_tech(attempts, p, impacted, leads=leads)
-    open_ = L.open_pipeline(L.bucketed_window(attempts, p))
-    led = L.metric_ontime(ledger, p)
-    agg = merge_sources(mg, open_, led)
+    led = L.metric_ontime(ledger, p).select("partner_id", F.col("ontime").alias("ontime_m1"),
+                                            F.col("late").alias("late_m1"), F.col("denom").alias("leads_m1"))
+    agg = L.partner_month(attempts, p, impacted).join(led, "partner_id", "full_outer")
+    agg = agg.select("partner_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in (*METRIC_COLS, "new_leads")])
     tk = pivot_tickets(top_tickets(L.active_attempts(attempts, p.as_of, None)))
     own = owner_of(users)
     en = enrol.select("partner_id").distinct().withColumn("_enrolled", F.lit(True))
     out = (agg.join(tk, "partner_id", "left").join(own, "partner_id", "left")
-           .join(small(en), "partner_id", "left"))
+           .join(en, "partner_id", "left"))
     keep = ((F.col("installs") + F.col("denom") + F.col("pending") + F.col("leads_m1")) > 0) | F.col("_enrolled").isNotNull()
-    return out.where(keep).select("partner_id", "user_id", *METRIC_COLS, *TICKET_COLS)
+    return out.where(keep).select("partner_id", "user_id", *METRIC_COLS, *TICKET_COLS, "new_leads")
 
 
 def rank_output(df: DataFrame) -> DataFrame:
@@ -92,11 +91,17 @@ def rank_output(df: DataFrame) -> DataFrame:
 
 
 def to_snapshot(df: DataFrame) -> DataFrame:
-    """Flat rows -> nested record with a ``tickets`` array of 0-2 structs (absent tickets dropped)."""
-    t = F.array(*[F.struct(F.col(f"t{i}_no").alias("no"), F.col(f"t{i}_area").alias("area"),
-                           F.col(f"t{i}_cid").alias("cid")) for i in (1, 2)])
-    return df.select("partner_id", "user_id", *METRIC_COLS,
-                     F.filter(t, lambda x: x["no"].isNotNull()).alias("tickets"))
+    """Flat rows -> nested record with a ``tickets`` array of 0-2 structs (absent tickets dropped).
+
+    Texts that are absent are '' in the record, so that ``to_json`` keeps their keys.
+    """
+    def text(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(""))
+
+    t = F.array(*[F.struct(F.col(f"t{i}_no").alias("no"), text(f"t{i}_area").alias("area"),
+                           text(f"t{i}_cid").alias("cid")) for i in (1, 2)])
+    return df.select("partner_id", text("user_id").alias("user_id"), *METRIC_COLS,
+                     F.filter(t, lambda x: F.coalesce(x["no"], F.lit("")) != "").alias("tickets"))
 
 
 def lookup(snap: DataFrame, ids: DataFrame, cols: Sequence[str] = ("installs", "denom", "pending", "committed")) -> DataFrame:
@@ -123,7 +128,7 @@ def null_safe_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]
 def keep_active_or_enrolled(agg: DataFrame, enrol: DataFrame) -> DataFrame:
     """F8: keep a partner row with any activity, or when enrolled (kept = active / enrolled)."""
     en = enrol.select("partner_id").distinct().withColumn("_e", F.lit(True))
-    j = agg.join(small(en), "partner_id", "left")
+    j = agg.join(en, "partner_id", "left")
     act = (F.col("installs") + F.col("denom") + F.col("pending") + F.col("leads_m1")) > 0
     return (j.where(act | F.col("_e").isNotNull())
             .withColumn("kept", F.when(act, "active").otherwise("enrolled")).drop("_e"))

@@ -29,25 +29,3 @@ def query(key: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every query module so its registrations run."""
     from leadflow.plans import q_cohorts, q_engagement, q_leads, q_misc, q_payout, q_snapshot, q_streaming  # noqa: F401
-
-
-def shared_plan(fn):
-    """Memoise a plan builder per (session, data folder, extra args).
-
-    DataFrames are immutable logical plans, so queries that share a sub-result (the month
-    snapshot, the settlement input) can reuse the built object instead of re-running the
-    Python-side construction; nothing is cached on the cluster.
-    """
-    cache: dict = {}
-
-    def wrapper(spark, sf, *args):
-        key = (id(spark._jsparkSession), sf, *args)
-        hit = cache.get(key)
-        if hit is None or hit[0] is not spark._jsparkSession:
-            hit = (spark._jsparkSession, fn(spark, sf, *args))
-            cache[key] = hit
-        return hit[1]
-
-    wrapper.__wrapped__ = fn
-    wrapper.__name__ = fn.__name__
-    return wrapper

@@ -19,6 +19,7 @@ class Params:
     events_since: dt.datetime = dt.datetime(2024, 1, 9)
     funnel_since: dt.datetime = dt.datetime(1998, 7, 9)   # attempts created since (funnel window)
     engagement_start: dt.datetime = dt.datetime(2024, 1, 5, 12, 30)
+    engagement_today: dt.date = dt.date(2024, 1, 29)      # the current day of the event feed
     floor: int = 10000
     rate: int = 300
     gate_num: int = 3                               # gate = 3/5 = 0.60, kept as an exact fraction

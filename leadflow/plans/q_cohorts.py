@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from leadflow.functions.timecols import sql_date
@@ -11,9 +13,10 @@ from leadflow.operators import payout as PO
 from leadflow.operators import snapshot as S
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
+from leadflow.plans.q_engagement import FACTS_SQL
 from leadflow.plans.q_payout import _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import agg_sql
-from leadflow.plans.sqlparts import bucketed_sql
+from leadflow.plans.sqlparts import bucketed_sql, in_month_sql, local_sql, values_sql
 from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
@@ -27,28 +30,23 @@ def _legacy(t):
     return L.bucketed_window(t.attempts, P, "legacy")
 
 
+# leads of the slot policy that were resolved, by the period they closed in (later periods first: july has no end)
+SPANS_SQL = values_sql([(n, str(a), str(b or "9999-12-31")) for n, a, b in PERIODS]) + " span(period, since, till)"
 EFF_SQL = f"""
 b AS ({bucketed_sql(P, 'legacy')}),
-per AS (SELECT partner_id,
-    CASE WHEN last_date >= {JULY} THEN 'july' WHEN last_date >= {JUNE} AND last_date < {JULY} THEN 'june' END AS period,
-    count(*) FILTER (WHERE bucket = 'installed' AND reached_slot = 1) AS installs,
-    count(*) FILTER (WHERE reached_slot = 1 AND bucket NOT IN ('open','system_other')) AS denom
-  FROM b GROUP BY partner_id, 2),
-cat AS (SELECT per.*, CASE WHEN r.category = 'enrolled' THEN 'enrolled' WHEN r.category = 'eligible' THEN 'eligible'
-                          ELSE 'rest' END AS category
-  FROM per LEFT JOIN f_rosters r ON r.partner_id = per.partner_id WHERE period IS NOT NULL AND denom > 0),
-eff AS (SELECT period, category, count(*) AS partners, CAST(sum(denom) AS BIGINT) AS leads, CAST(sum(installs) AS BIGINT) AS installs,
-    ((2000 * sum(installs) + sum(denom)) // (2 * sum(denom))) / 10.0 AS agg_eff,
-    count(*) FILTER (WHERE installs / denom > 0.60) AS secured,
-    ((2000 * count(*) FILTER (WHERE installs / denom > 0.60) + count(*)) // (2 * count(*))) / 10.0 AS pct_secured
-  FROM cat GROUP BY period, category)"""
+resolved AS (SELECT partner_id, period, bucket = 'installed' AS won FROM b JOIN {SPANS_SQL}
+  ON last_date >= CAST(since AS DATE) AND last_date < CAST(till AS DATE)
+  WHERE reached_slot = 1 AND bucket NOT IN ('open', 'system_other')),
+per AS (SELECT period, partner_id, count(*) AS denom, count(*) FILTER (WHERE won) AS installs FROM resolved GROUP BY period, partner_id),
+cat AS (SELECT per.*, coalesce(r.category, 'rest') AS category, 5 * installs > 3 * denom AS above FROM per LEFT JOIN f_rosters r USING (partner_id)),
+summed AS (SELECT period, category, count(*) AS partners, CAST(sum(denom) AS BIGINT) AS leads, CAST(sum(installs) AS BIGINT) AS installs,
+    count(*) FILTER (WHERE above) AS secured FROM cat GROUP BY period, category),
+eff AS (SELECT *, floor(1000.0 * installs / leads + 0.5) / 10.0 AS agg_eff, floor(1000.0 * secured / partners + 0.5) / 10.0 AS pct_secured FROM summed)"""
 
 
 @query("period_label", W(f"""
-SELECT connection_id, partner_id,
-  CASE WHEN last_date >= {JULY} THEN 'july' WHEN last_date >= {JUNE} AND last_date < {JULY} THEN 'june' END AS period
-FROM ({bucketed_sql(P, 'legacy')}) b
-WHERE CASE WHEN last_date >= {JULY} THEN 'july' WHEN last_date >= {JUNE} AND last_date < {JULY} THEN 'june' END IS NOT NULL"""))
+SELECT connection_id, partner_id, period FROM ({bucketed_sql(P, 'legacy')}) b
+JOIN {SPANS_SQL} ON last_date >= CAST(since AS DATE) AND last_date < CAST(till AS DATE)"""))
 def period_label(spark, sf):
     b = _legacy(tables(spark, sf)).withColumn("period", CO.period_of("last_date", PERIODS))
     return b.where(C("period").isNotNull()).select("connection_id", "partner_id", "period")
@@ -82,24 +80,19 @@ def dashboard_pivot(spark, sf):
 
 
 ROSTER_SQL = f"""
-b AS ({bucketed_sql(P, 'legacy')}),
-en AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled'),
-m AS (SELECT partner_id,
-    count(*) FILTER (WHERE bucket = 'installed' AND reached_slot = 1 AND last_date >= {JULY}) AS installs,
-    count(*) FILTER (WHERE reached_slot = 1 AND bucket NOT IN ('open','system_other') AND last_date >= {JULY}) AS leads,
-    count(*) FILTER (WHERE bucket = 'open') AS pending
-  FROM b GROUP BY partner_id),
-j AS (SELECT en.partner_id, CAST(COALESCE(m.installs, 0) AS BIGINT) AS installs, CAST(COALESCE(m.leads, 0) AS BIGINT) AS leads,
-    CAST(COALESCE(m.pending, 0) AS BIGINT) AS pending FROM en LEFT JOIN m ON m.partner_id = en.partner_id)"""
+b AS (SELECT *, last_date >= {JULY} AND reached_slot = 1 AS counts FROM ({bucketed_sql(P, 'legacy')}) x),
+j AS (SELECT r.partner_id, count(*) FILTER (WHERE counts AND bucket = 'installed') AS installs,
+    count(*) FILTER (WHERE counts AND bucket NOT IN ('open', 'system_other')) AS leads, count(*) FILTER (WHERE bucket = 'open') AS pending
+  FROM f_rosters r LEFT JOIN b USING (partner_id) WHERE r.category = 'enrolled' GROUP BY r.partner_id),
+judged AS (SELECT *, CASE WHEN leads > 0 THEN CASE WHEN 5 * installs > 3 * leads THEN 'above' ELSE 'below' END
+    WHEN pending > 0 THEN 'waiting' ELSE 'nothing' END AS state FROM j)"""
 
 
 @query("enrolled_roster", W(ROSTER_SQL + """
-SELECT 'ROSTER' AS grp, count(*) AS enrolled_total, count(*) FILTER (WHERE leads > 0) AS with_leads,
-  count(*) FILTER (WHERE leads > 0 AND installs / leads > 0.60) AS eff_60_plus,
-  count(*) FILTER (WHERE leads > 0 AND installs / leads <= 0.60) AS eff_60_minus,
-  count(*) FILTER (WHERE leads = 0 AND pending > 0) AS pending_only,
-  count(*) FILTER (WHERE leads = 0 AND pending = 0) AS no_activity,
-  CAST(sum(installs) AS BIGINT) AS total_installs, CAST(sum(leads) AS BIGINT) AS total_leads FROM j"""))
+SELECT 'ROSTER' AS grp, count(*) AS enrolled_total, count(nullif(leads, 0)) AS with_leads,
+  count(*) FILTER (WHERE state = 'above') AS eff_60_plus, count(*) FILTER (WHERE state = 'below') AS eff_60_minus,
+  count(*) FILTER (WHERE state = 'waiting') AS pending_only, count(*) FILTER (WHERE state = 'nothing') AS no_activity,
+  CAST(sum(installs) AS BIGINT) AS total_installs, CAST(sum(leads) AS BIGINT) AS total_leads FROM judged"""))
 def enrolled_roster(spark, sf):
     t = tables(spark, sf)
     return CO.roster_breakdown(_legacy(t), t.rosters.where(C("category") == "enrolled"), P.month_start)
@@ -143,21 +136,28 @@ def cohort_build(spark, sf):
     return CO.build_cohort(t.rosters, t.optins, t.audits)
 
 
-@query("roster_drift", W(COHORT_SQL + """
-SELECT COALESCE(a.partner_id, b.partner_id) AS partner_id,
-  CASE WHEN a.partner_id IS NULL THEN 'only_b' ELSE 'only_a' END AS kind
-FROM (SELECT partner_id FROM f_rosters WHERE category = 'enrolled') a FULL OUTER JOIN cohort b ON a.partner_id = b.partner_id
-WHERE a.partner_id IS NULL OR b.partner_id IS NULL"""))
+@query("roster_drift", W(COHORT_SQL + f""",
+dated AS (SELECT partner_id, 1 AS flow, min(opted_at) AS at FROM f_optins GROUP BY partner_id
+  UNION ALL SELECT partner_id, 2, max(scan_complete_at) FROM f_audits GROUP BY partner_id),
+built AS (SELECT cohort.partner_id, {local_sql('dated.at', P)} AS joined FROM cohort LEFT JOIN f_rosters r USING (partner_id)
+  LEFT JOIN dated ON dated.partner_id = cohort.partner_id AND dated.flow = r.flow),
+kept AS (SELECT r.partner_id, o.joined FROM f_rosters r LEFT JOIN f_overlay o USING (partner_id) WHERE r.category = 'enrolled'),
+both_ AS (SELECT partner_id, 'a' AS side, joined FROM kept UNION ALL SELECT partner_id, 'b', joined FROM built),
+sides AS (SELECT partner_id, list(side ORDER BY side) AS s, count(DISTINCT coalesce(joined, DATE '0001-01-01')) AS dates FROM both_ GROUP BY partner_id)
+SELECT partner_id, CASE WHEN len(s) = 2 THEN 'changed' ELSE 'only_' || s[1] END AS kind FROM sides WHERE len(s) = 1 OR dates > 1"""))
 def roster_drift(spark, sf):
+    """The stored roster with its enrolment dates against the cohort built from the actions."""
     from leadflow.operators.quality import roster_drift as rd
     t = tables(spark, sf)
-    return rd(t.rosters.where(C("category") == "enrolled").select("partner_id"),
-              CO.build_cohort(t.rosters, t.optins, t.audits), "partner_id")
+    stored = t.rosters.where(C("category") == "enrolled").select("partner_id").join(t.overlay.select("partner_id", "joined"), "partner_id", "left")
+    dates = CO.enrolment_dates(t.optins, t.audits, t.rosters, P.offset_minutes).select("partner_id", C("enrolled_on").alias("joined"))
+    built = CO.build_cohort(t.rosters, t.optins, t.audits).join(dates, "partner_id", "left")
+    return rd(stored, built, "partner_id", ["joined"])
 
 
 @query("segment_identities", W("""
 SELECT u.user_id, u.partner_id FROM f_users u
-WHERE u.status = 'ACTIVE' AND u.role IN ('OWNER','MANAGER','MANAGER_PLUS')
+WHERE u.active AND u.status = 'ACTIVE' AND u.role IN ('OWNER','MANAGER','MANAGER_PLUS')
   AND u.partner_id IN (SELECT partner_id FROM f_rosters WHERE category = 'enrolled')"""))
 def segment_identities(spark, sf):
     t = tables(spark, sf)
@@ -174,17 +174,15 @@ def account_map(spark, sf):
 
 
 @query("lapse_breakdown", W(f"""
-b AS ({bucketed_sql(P, 'full')}),
-en AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled'),
-per AS (SELECT partner_id, count(*) FILTER (WHERE last_date >= {JULY} AND last_date < {sql_date(P.month_end)}
-          AND reached_slot = 1 AND bucket NOT IN ('open','system_other')) AS denom, count(*) AS leads FROM b GROUP BY partner_id),
-u AS (SELECT en.partner_id, COALESCE(per.denom, 0) AS denom, COALESCE(per.leads, 0) AS leads
-      FROM en LEFT JOIN per ON per.partner_id = en.partner_id WHERE COALESCE(per.denom, 0) = 0),
-rows_ AS (SELECT partner_id, 'truly_none' AS kind, 'none' AS cause, 0 AS n FROM u WHERE leads = 0
-  UNION ALL
-  SELECT b.partner_id, 'all_lapsed', b.bucket, count(*) FROM b WHERE b.partner_id IN (SELECT partner_id FROM u WHERE leads > 0)
-  GROUP BY b.partner_id, b.bucket)
-SELECT kind, cause, count(DISTINCT partner_id) AS partners, CAST(sum(n) AS BIGINT) AS leads FROM rows_ GROUP BY kind, cause"""))
+b AS (SELECT *, {in_month_sql(P)} AS closed FROM ({bucketed_sql(P, 'full')}) x),
+idle AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled' AND partner_id NOT IN (
+    SELECT partner_id FROM b WHERE bucket = 'open' OR (closed AND reached_slot = 1 AND bucket NOT IN ('open', 'system_other')))),
+lost AS (SELECT b.* FROM b JOIN idle USING (partner_id) WHERE closed),
+spared AS (SELECT DISTINCT partner_id FROM lost WHERE reached_slot = 1 OR bucket = 'installed')
+SELECT 'truly_none' AS kind, 'none' AS cause, count(*) AS partners, CAST(0 AS BIGINT) AS leads FROM idle
+WHERE partner_id NOT IN (SELECT partner_id FROM lost) HAVING count(*) > 0
+UNION ALL
+SELECT 'all_lapsed', bucket, count(DISTINCT partner_id), count(*) FROM lost WHERE partner_id NOT IN (SELECT partner_id FROM spared) GROUP BY bucket"""))
 def lapse_breakdown(spark, sf):
     t = tables(spark, sf)
     return CO.lapse_breakdown(L.bucketed_window(t.attempts, P), t.rosters.where(C("category") == "enrolled"),
@@ -203,27 +201,46 @@ def keep_enrolled_zero_rows(spark, sf):
     return S.keep_active_or_enrolled(agg, enrol).select("partner_id", "kept")
 
 
-@query("roster_literal", W("""
-SELECT r.partner_id, r.category, o.joined FROM f_rosters r LEFT JOIN f_overlay o ON o.partner_id = r.partner_id
-WHERE r.category = 'enrolled'"""))
+# an inline table of parameters as a run is given it: partner, enrolment date (the last two partners don't exist)
+ENROL_LITERAL = [(2, "1998-07-02"), (3, "1998-07-19"), (8, None), (11, "1998-06-30"), (-1, "1998-07-01"), (9_999_999, "1998-07-05")]
+
+
+@query("roster_literal", W(f"""
+lit AS (SELECT CAST(p AS BIGINT) AS partner_id, CAST(d AS DATE) AS enrolled_on FROM {values_sql(ENROL_LITERAL)} v(p, d))
+SELECT lit.partner_id, lit.enrolled_on, r.category, n.leads
+FROM lit LEFT JOIN f_rosters r USING (partner_id)
+LEFT JOIN (SELECT partner_id, count(*) AS leads FROM f_attempts GROUP BY partner_id) n USING (partner_id)"""))
 def roster_literal(spark, sf):
+    """An inline enrolment table joined with the partners' category and attempts."""
     from leadflow.sources.inputs import roster
     t = tables(spark, sf)
-    # the enrol-date table as the reference inlines it: (partner, joined) rows, built from the data
-    lit = roster(spark, [], "partner_id bigint, category string")
-    en = t.rosters.where(C("category") == "enrolled").select("partner_id", "category").unionByName(lit)
-    return en.join(t.overlay.select("partner_id", "joined"), "partner_id", "left")
+    rows = [(p, None if d is None else dt.date.fromisoformat(d)) for p, d in ENROL_LITERAL]
+    lit = roster(spark, rows, "partner_id bigint, enrolled_on date")
+    n = t.attempts.groupBy("partner_id").agg(F.count(F.lit(1)).alias("leads"))
+    out = lit.join(t.rosters.select("partner_id", "category"), "partner_id", "left").join(n, "partner_id", "left")
+    return out.select("partner_id", "enrolled_on", "category", "leads")
 
 
-@query("overlay_explode", W("SELECT CAST(partner_id AS VARCHAR) AS partner_key, joined, rate_before, rate_after, switch FROM f_overlay"))
+@query("overlay_explode", W("""SELECT CAST(partner_id AS VARCHAR) AS partner_key, joined, rate_before, rate_after, switch,
+  CAST(inst_before AS BIGINT) AS inst_before, CAST(inst_after AS BIGINT) AS inst_after FROM f_overlay"""))
 def overlay_explode(spark, sf):
     from leadflow.sources.inputs import overlay_rows
     t = tables(spark, sf)
-    docs = t.overlay.select(F.to_json(F.create_map(C("partner_id").cast("string"),
-                                                   F.struct("joined", "rate_before", "rate_after", "switch"))).alias("json"))
+    docs = t.overlay.select(F.to_json(F.create_map(C("partner_id").cast("string"), F.struct(
+        "joined", "rate_before", "rate_after", "switch", "inst_before", "inst_after"))).alias("json"))
     return overlay_rows(docs)
 
 
+@query("cohort_array", W("SELECT CAST(partner_id AS VARCHAR) AS partner_key FROM f_rosters WHERE category = 'enrolled'"))
+def cohort_array(spark, sf):
+    """Cohort documents that are arrays of ids, one for each nation here."""
+    from leadflow.sources.inputs import cohort_ids
+    t = tables(spark, sf)
+    en = t.rosters.where(C("category") == "enrolled").withColumn("part", C("partner_id") % 5)
+    docs = en.groupBy("part").agg(F.to_json(F.collect_list(C("partner_id").cast("string"))).alias("json"))
+    return cohort_ids(docs)
+
+
 @query("cohort_explode", W(settle_input_sql(P) + f"""
 SELECT CAST(partner_id AS VARCHAR) AS partner_key, CASE WHEN floor_eligible THEN 'topup' ELSE 'piece' END AS outcome
 FROM {settle_sql('SELECT * FROM inp')} x"""))
@@ -236,7 +253,7 @@ def cohort_explode(spark, sf):
 
 @query("scan_users_active", W("""
 SELECT user_id, partner_id, role FROM f_users
-WHERE status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS') AND user_id IS NOT NULL"""))
+WHERE active AND status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS') AND user_id IS NOT NULL"""))
 def scan_users_active(spark, sf):
     return CO.active_users(tables(spark, sf).users).select("user_id", "partner_id", "role")
 
@@ -247,9 +264,44 @@ ed AS (SELECT o.partner_id, 1 AS flow, CAST(min(o.opted_at) + to_minutes(CAST({P
   UNION ALL
   SELECT a.partner_id, 2, CAST(max(a.scan_complete_at) + to_minutes(CAST({P.offset_minutes} AS BIGINT)) AS DATE)
   FROM f_audits a JOIN f_rosters r ON r.partner_id = a.partner_id AND r.flow = 2 GROUP BY a.partner_id)
-SELECT ed.partner_id, ed.flow, COALESCE(o.joined, ed.joined) AS joined, o.rate_before, o.rate_after, o.switch
+SELECT ed.partner_id, ed.flow, COALESCE(o.joined, ed.joined) AS joined, o.rate_before, o.rate_after, o.switch, o.inst_before, o.inst_after
 FROM ed LEFT JOIN f_overlay o ON lower(CAST(o.partner_id AS VARCHAR)) = lower(CAST(ed.partner_id AS VARCHAR))"""))
 def overlay_merge(spark, sf):
     t = tables(spark, sf)
     rec = CO.enrolment_dates(t.optins, t.audits, t.rosters, P.offset_minutes).withColumnRenamed("enrolled_on", "joined")
     return CO.with_overlay(rec, t.overlay)
+
+
+@query("dashboard_document", W(FACTS_SQL + f""",
+funnel AS (SELECT * FROM histogram JOIN devices_of USING (grp)),
+{EFF_SQL.strip()},
+{ROSTER_SQL.strip().replace('b AS (', 'rb AS (', 1).replace('LEFT JOIN b USING', 'LEFT JOIN rb USING')}
+SELECT 'engagement' AS section, grp AS k1, '' AS k2, unnest(['clickers', 'total_clicks', 'profiles']) AS field,
+  unnest([clickers, total_clicks, profiles])::DOUBLE AS value FROM funnel
+UNION ALL SELECT 'efficiency', p.period, c.category, unnest(['partners', 'leads', 'agg_eff']),
+  unnest([coalesce(eff.partners, 0)::DOUBLE, coalesce(eff.leads, 0)::DOUBLE, coalesce(eff.agg_eff, 0)::DOUBLE])
+FROM (VALUES ('june'), ('july')) p(period) CROSS JOIN (VALUES ('enrolled'), ('eligible'), ('rest')) c(category)
+LEFT JOIN eff ON eff.period = p.period AND eff.category = c.category
+UNION ALL SELECT 'enrolled_roster', '', '', unnest(['enrolled_total', 'total_leads']), unnest([count(*), sum(leads)])::DOUBLE FROM judged"""))
+def dashboard_document(spark, sf):
+    """K4: the one nested document, read back as (section, keys, field, value) rows."""
+    from leadflow.operators import engagement as E
+    t = tables(spark, sf)
+    en = t.rosters.where(C("category") == "enrolled").select("partner_id")
+    grid = spark.createDataFrame([(p, c) for p, _, _ in PERIODS for c in CATEGORIES], "period string, category string")
+    doc = CO.dashboard_document(
+        E.engagement_funnel(t.events, t.profiles, t.attempts, en, P.events_since, P.funnel_since),
+        E.segment_funnel(t.events, t.profiles, t.attempts, en, P.events_since, P.funnel_since),
+        CO.dashboard_doc(CO.efficiency(_legacy(t), t.rosters, PERIODS), grid),
+        CO.roster_breakdown(_legacy(t), en, P.month_start))
+
+    def fields(v, names):
+        return F.array(*[F.struct(F.lit(n).alias("field"), v[n].cast("double").alias("value")) for n in names])
+
+    eng = doc.select(F.explode("engagement").alias("k1", "v")).select(
+        F.lit("engagement").alias("section"), "k1", F.lit("").alias("k2"), F.inline(fields(C("v"), ("clickers", "total_clicks", "profiles"))))
+    eff = doc.select(F.explode("efficiency").alias("k1", "cats")).select("k1", F.explode("cats").alias("k2", "v")).select(
+        F.lit("efficiency").alias("section"), "k1", "k2", F.inline(fields(C("v"), ("partners", "leads", "agg_eff"))))
+    ros = doc.select(F.lit("enrolled_roster").alias("section"), F.lit("").alias("k1"), F.lit("").alias("k2"),
+                     F.inline(fields(C("enrolled_roster"), ("enrolled_total", "total_leads"))))
+    return eng.unionByName(eff).unionByName(ros)

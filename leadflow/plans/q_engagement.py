@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadflow.functions.joins import left_fill
-from leadflow.functions.timecols import sql_ts
+from leadflow.functions.timecols import date_lit, sql_date, sql_ts
 from leadflow.operators import engagement as E
 from leadflow.operators import payout as PO
 from leadflow.operators.cohorts import in_roster, not_in_roster
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, _route_input, _settled, settle_input_sql, settle_sql
+from leadflow.plans.sqlparts import INSTALLED_FUNNEL_SQL
 from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
@@ -41,34 +42,30 @@ def _bridge_all(t):
     return E.profile_bridge(t.profiles, undeleted=False)
 
 
-BASE_SQL = f"""
-prof AS (SELECT DISTINCT profile_id, partner_id FROM f_profiles WHERE partner_id IS NOT NULL),
-cev AS (SELECT e.event_id, e.profile_id, p.partner_id, e.ts FROM f_events e JOIN prof p ON p.profile_id = e.profile_id
-        WHERE e.event_name = 'banner_opened' AND e.ts >= {EV0}),
-clicks AS (SELECT partner_id, count(*) AS n_clicks FROM cev GROUP BY partner_id),
-inst AS (SELECT partner_id,
-    count(CASE WHEN confirmed_slot_at IS NOT NULL THEN 1 END) AS slot_conf,
-    count(CASE WHEN executor_id IS NOT NULL THEN 1 END) AS exec_assigned,
-    count(CASE WHEN coalesce(otp_verified, false) OR coalesce(completed_step >= 7, false) THEN 1 END) AS installed
-  FROM f_attempts WHERE active AND created_at >= {TASK0} GROUP BY partner_id),
-prog AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled'),
-base AS (SELECT c.partner_id, CASE WHEN c.partner_id IN (SELECT partner_id FROM prog) THEN 'programme' ELSE 'rest' END AS grp,
-    c.n_clicks, COALESCE(i.slot_conf, 0) AS slot_conf, COALESCE(i.exec_assigned, 0) AS exec_assigned,
-    COALESCE(i.installed, 0) AS installed
-  FROM clicks c LEFT JOIN inst i ON i.partner_id = c.partner_id),
-ctprof AS (SELECT b.grp, count(DISTINCT e.profile_id) AS ct_profiles FROM cev e JOIN base b ON b.partner_id = e.partner_id GROUP BY b.grp),
-agg AS (SELECT grp, count(*) AS clickers, CAST(sum(n_clicks) AS BIGINT) AS total_clicks,
-    count(CASE WHEN slot_conf > 0 THEN 1 END) AS reached_slot, count(CASE WHEN exec_assigned > 0 THEN 1 END) AS reached_tech,
-    count(CASE WHEN installed > 0 THEN 1 END) AS reached_install,
-    count(CASE WHEN n_clicks = 1 THEN 1 END) AS c1, count(CASE WHEN n_clicks = 2 THEN 1 END) AS c2,
-    count(CASE WHEN n_clicks = 3 THEN 1 END) AS c3, count(CASE WHEN n_clicks >= 4 THEN 1 END) AS c4plus
-  FROM base GROUP BY grp)"""
+# per profile opens, per partner clicks and tasks; then partners with clicks labelled by the roster
+FACTS_SQL = f"""
+device AS (SELECT DISTINCT profile_id, partner_id FROM f_profiles WHERE partner_id IS NOT NULL),
+opened AS (SELECT profile_id, count(*) AS n FROM f_events WHERE event_name = 'banner_opened' AND ts >= {EV0} GROUP BY profile_id),
+clicks AS (SELECT partner_id, CAST(sum(n) AS BIGINT) AS n_clicks FROM opened JOIN device USING (profile_id) GROUP BY partner_id),
+task AS (SELECT *, {INSTALLED_FUNNEL_SQL} AS done, current_state = 'ARRIVED_AT_SITE' OR completed_step >= 1 AS arrived
+  FROM f_attempts WHERE active AND created_at >= {TASK0}),
+tasks AS (SELECT partner_id, count(confirmed_slot_at) AS slot_tasks, count(executor_id) AS tech_tasks,
+    count(*) FILTER (WHERE done) AS installed_tasks FROM task GROUP BY partner_id),
+clicker AS (SELECT partner_id, n_clicks, coalesce(slot_tasks, 0) AS slot_tasks, coalesce(tech_tasks, 0) AS tech_tasks,
+    coalesce(installed_tasks, 0) AS installed_tasks,
+    CASE WHEN partner_id IN (SELECT partner_id FROM f_rosters WHERE category = 'enrolled') THEN 'programme' ELSE 'rest' END AS grp
+  FROM clicks LEFT JOIN tasks USING (partner_id)),
+devices_of AS (SELECT grp, count(DISTINCT profile_id) AS profiles FROM opened JOIN device USING (profile_id) JOIN clicker USING (partner_id) GROUP BY grp),
+histogram AS (SELECT grp, count(*) AS clickers, CAST(sum(n_clicks) AS BIGINT) AS total_clicks,
+    count(nullif(slot_tasks, 0)) AS reached_slot, count(nullif(tech_tasks, 0)) AS reached_tech, count(nullif(installed_tasks, 0)) AS reached_install,
+    {', '.join(f"count(*) FILTER (WHERE least(n_clicks, 4) = {k}) AS clicked_{k}{'_more' if k == 4 else ''}" for k in (1, 2, 3, 4))}
+  FROM clicker GROUP BY grp)"""
 
 
 def _base(t):
     clicks = E.click_counts(_per_profile(t), _bridge_all(t))
     inst = E.partner_funnel(t.attempts, P.funnel_since)
-    base = left_fill(clicks, inst, "partner_id", ["slot_conf", "exec_assigned", "installed"])
+    base = left_fill(clicks, inst, "partner_id", ["slot_tasks", "tech_tasks", "installed_tasks"])
     prog = _roster(t).withColumn("_in", F.lit(True))
     return base.join(prog, "partner_id", "left").withColumn(
         "grp", F.when(C("_in").isNotNull(), "programme").otherwise("rest")).drop("_in")
@@ -87,79 +84,69 @@ def profile_bridge(spark, sf):
     return E.profile_bridge(t.profiles, _roster(t))
 
 
-@query("events_to_partner", W(BASE_SQL + "\nSELECT event_id, partner_id FROM cev"))
+@query("events_to_partner", W(FACTS_SQL + f"\nSELECT event_id, partner_id FROM f_events JOIN device USING (profile_id) WHERE event_name = 'banner_opened' AND ts >= {EV0}"))
 def events_to_partner(spark, sf):
     return _clicks_ev(_t(spark, sf)).select("event_id", "partner_id")
 
 
-@query("click_counts", W(BASE_SQL + "\nSELECT partner_id, n_clicks FROM clicks"))
+@query("click_counts", W(FACTS_SQL + "\nSELECT * FROM clicks"))
 def click_counts(spark, sf):
     t = _t(spark, sf)
     return E.click_counts(_per_profile(t), _bridge_all(t))
 
 
-@query("partner_funnel", W(BASE_SQL + "\nSELECT * FROM inst"))
+@query("partner_funnel", W(FACTS_SQL + "\nSELECT * FROM tasks"))
 def partner_funnel(spark, sf):
     return E.partner_funnel(_t(spark, sf).attempts, P.funnel_since)
 
 
-@query("clicks_left_funnel", W(BASE_SQL + "\nSELECT partner_id, n_clicks, slot_conf, exec_assigned, installed FROM base"))
+@query("clicks_left_funnel", W(FACTS_SQL + "\nSELECT * EXCLUDE grp FROM clicker"))
 def clicks_left_funnel(spark, sf):
     return _base(_t(spark, sf)).drop("grp")
 
 
-@query("click_frequency", W(BASE_SQL + "\nSELECT * FROM agg"))
+@query("click_frequency", W(FACTS_SQL + "\nSELECT * FROM histogram"))
 def click_frequency(spark, sf):
     return E.click_histogram(_base(_t(spark, sf)))
 
 
-@query("distinct_profiles", W(BASE_SQL + "\nSELECT * FROM ctprof"))
+@query("distinct_profiles", W(FACTS_SQL + "\nSELECT * FROM devices_of"))
 def distinct_profiles(spark, sf):
     t = _t(spark, sf)
     return E.profiles_by_group(_per_profile(t), _bridge_all(t), _base(t))
 
 
-@query("group_join_counts", W(BASE_SQL + "\nSELECT a.grp, a.clickers, c.ct_profiles FROM agg a JOIN ctprof c ON c.grp = a.grp"))
+@query("group_join_counts", W(FACTS_SQL + "\nSELECT grp, clickers, profiles FROM histogram JOIN devices_of USING (grp)"))
 def group_join_counts(spark, sf):
     t = _t(spark, sf)
     base = _base(t)
     return E.click_histogram(base).join(E.profiles_by_group(_per_profile(t), _bridge_all(t), base), "grp", "inner").select(
-        "grp", "clickers", "ct_profiles")
+        "grp", "clickers", "profiles")
 
 
-@query("csp_funnel", W(BASE_SQL + "\nSELECT a.*, c.ct_profiles FROM agg a JOIN ctprof c ON c.grp = a.grp"))
+@query("csp_funnel", W(FACTS_SQL + "\nSELECT * FROM histogram JOIN devices_of USING (grp)"))
 def csp_funnel(spark, sf):
     t = _t(spark, sf)
     return E.engagement_funnel(t.events, t.profiles, t.attempts, _roster(t), P.events_since, P.funnel_since)
 
 
-SEG_SQL = BASE_SQL + f""",
-clickers AS (SELECT DISTINCT partner_id FROM cev),
-sinst AS (SELECT partner_id, count(*) AS connections,
-    max(CASE WHEN confirmed_slot_at IS NOT NULL THEN 1 ELSE 0 END) AS f_slot,
-    max(CASE WHEN executor_id IS NOT NULL THEN 1 ELSE 0 END) AS f_tech,
-    max(CASE WHEN coalesce(otp_verified, false) OR coalesce(completed_step >= 7, false) THEN 1 ELSE 0 END) AS f_install,
-    sum(CASE WHEN proposed_slot_date IS NOT NULL THEN 1 ELSE 0 END) AS t_slot_prop,
-    sum(CASE WHEN confirmed_slot_at IS NOT NULL THEN 1 ELSE 0 END) AS t_slot_conf,
-    sum(CASE WHEN executor_id IS NOT NULL THEN 1 ELSE 0 END) AS t_tech,
-    sum(CASE WHEN current_state = 'ARRIVED_AT_SITE' OR completed_step >= 1 THEN 1 ELSE 0 END) AS t_arrived,
-    sum(CASE WHEN coalesce(otp_verified, false) OR coalesce(completed_step >= 7, false) THEN 1 ELSE 0 END) AS t_install
-  FROM f_attempts WHERE active AND created_at >= {TASK0} GROUP BY partner_id),
-seg AS (
-  SELECT m.partner_id, CASE WHEN c.partner_id IS NOT NULL THEN 'A_clicked' ELSE 'B_noclick' END AS segment
-  FROM prog m LEFT JOIN clickers c ON c.partner_id = m.partner_id
-  UNION ALL
-  SELECT i.partner_id, 'C_outside' FROM sinst i WHERE i.partner_id NOT IN (SELECT partner_id FROM prog))"""
-
-
-@query("segment_funnel", W(SEG_SQL + """
-SELECT s.segment, count(*) AS base_partners, count(i.partner_id) AS active_partners,
-  CAST(sum(COALESCE(i.f_slot, 0)) AS BIGINT) AS slot_partners, CAST(sum(COALESCE(i.f_tech, 0)) AS BIGINT) AS tech_partners,
-  CAST(sum(COALESCE(i.f_install, 0)) AS BIGINT) AS install_partners, CAST(sum(COALESCE(i.connections, 0)) AS BIGINT) AS connections,
-  CAST(sum(COALESCE(i.t_slot_prop, 0)) AS BIGINT) AS t_slot_prop, CAST(sum(COALESCE(i.t_slot_conf, 0)) AS BIGINT) AS t_slot_conf,
-  CAST(sum(COALESCE(i.t_tech, 0)) AS BIGINT) AS t_tech, CAST(sum(COALESCE(i.t_arrived, 0)) AS BIGINT) AS t_arrived,
-  CAST(sum(COALESCE(i.t_install, 0)) AS BIGINT) AS t_install
-FROM seg s LEFT JOIN sinst i ON i.partner_id = s.partner_id GROUP BY s.segment"""))
+SEG_SQL = FACTS_SQL + """,
+stage AS (SELECT partner_id, count(*) AS connections, count(proposed_slot_date) AS tasks_slot_proposed,
+    count(confirmed_slot_at) AS tasks_slot_confirmed, count(executor_id) AS tasks_tech,
+    count(*) FILTER (WHERE arrived) AS tasks_arrived, count(*) FILTER (WHERE done) AS tasks_installed
+  FROM task GROUP BY partner_id),
+everyone AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled' UNION SELECT partner_id FROM stage WHERE partner_id IS NOT NULL),
+seg AS (SELECT partner_id, CASE
+    WHEN partner_id NOT IN (SELECT partner_id FROM f_rosters WHERE category = 'enrolled') THEN 'C_outside'
+    WHEN partner_id IN (SELECT partner_id FROM clicks) THEN 'A_clicked' ELSE 'B_noclick' END AS segment FROM everyone)"""
+
+
+@query("segment_funnel", W(SEG_SQL + f"""
+SELECT segment, count(*) AS base_partners, count(connections) AS active_partners,
+  count(nullif(tasks_slot_confirmed, 0)) AS slot_partners, count(nullif(tasks_tech, 0)) AS tech_partners,
+  count(nullif(tasks_installed, 0)) AS install_partners,
+  {', '.join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in E.STAGE_COLS[3:])}
+FROM seg LEFT JOIN stage USING (partner_id) GROUP BY segment"""))
 def segment_funnel(spark, sf):
     t = _t(spark, sf)
     return E.segment_funnel(t.events, t.profiles, t.attempts, _roster(t), P.events_since, P.funnel_since)
@@ -170,22 +157,23 @@ def segment_union(spark, sf):
     t = _t(spark, sf)
     clickers = _per_profile(t).select("profile_id").join(_bridge_all(t), "profile_id").select("partner_id").distinct()
     inst = E.partner_funnel(t.attempts, P.funnel_since)
-    return E.union_segments(_roster(t), clickers, inst)
+    return E.union_segments(_roster(t), clickers, inst).select("partner_id", "segment")
 
 
-@query("distinct_clickers", W(SEG_SQL + "\nSELECT partner_id FROM clickers"))
+@query("distinct_clickers", W(FACTS_SQL + "\nSELECT partner_id FROM clicks"))
 def distinct_clickers(spark, sf):
     t = _t(spark, sf)
     return _per_profile(t).select("profile_id").join(_bridge_all(t), "profile_id").select("partner_id").distinct()
 
 
-@query("anti_roster", W(SEG_SQL + "\nSELECT i.partner_id FROM sinst i WHERE i.partner_id NOT IN (SELECT partner_id FROM prog)"))
+@query("anti_roster", W(SEG_SQL + "\nSELECT partner_id FROM seg WHERE segment = 'C_outside'"))
 def anti_roster(spark, sf):
     t = _t(spark, sf)
     return not_in_roster(E.partner_funnel(t.attempts, P.funnel_since).select("partner_id"), _roster(t))
 
 
-@query("semi_roster", W(BASE_SQL + "\nSELECT event_id, partner_id FROM cev WHERE partner_id IN (SELECT partner_id FROM prog)"))
+@query("semi_roster", W(FACTS_SQL + f"""\nSELECT event_id, partner_id FROM f_events JOIN device USING (profile_id) SEMI JOIN (SELECT partner_id FROM f_rosters WHERE category = 'enrolled') USING (partner_id)
+WHERE event_name = 'banner_opened' AND ts >= {EV0}"""))
 def semi_roster(spark, sf):
     t = _t(spark, sf)
     return in_roster(_clicks_ev(t).select("event_id", "partner_id"), _roster(t))
@@ -198,7 +186,7 @@ bprof AS (SELECT DISTINCT profile_id, partner_id FROM f_profiles
           WHERE NOT coalesce(deleted, false) AND partner_id IN (SELECT partner_id FROM cohort)),
 opens AS (SELECT p.partner_id, CAST(e.ts AS DATE) AS day, count(*) AS n, min(e.ts) AS mn, max(e.ts) AS mx
   FROM f_events e JOIN bprof p ON p.profile_id = e.profile_id
-  WHERE e.event_name = 'banner_opened' AND e.ts >= {ENG0} GROUP BY p.partner_id, CAST(e.ts AS DATE))"""
+  WHERE e.event_name = 'banner_opened' AND NOT e.deleted AND e.ts >= {ENG0} GROUP BY p.partner_id, CAST(e.ts AS DATE))"""
 
 
 def _opens(t):
@@ -263,23 +251,25 @@ def freshest_profile(spark, sf):
 
 
 @query("view_click_rate", W("""
-SELECT day, viewed, clicked, CAST(CASE WHEN viewed > 0 THEN ROUND(100.0 * clicked / viewed) ELSE 0 END AS BIGINT) AS rate
-FROM (SELECT CAST(ts AS DATE) AS day,
-        count(DISTINCT CASE WHEN event_name = 'banner_opened' THEN profile_id END) AS viewed,
-        count(DISTINCT CASE WHEN event_name = 'click' THEN profile_id END) AS clicked
-      FROM f_events GROUP BY CAST(ts AS DATE)) x"""))
+seen AS (SELECT DISTINCT CAST(ts AS DATE) AS day, campaign, profile_id, event_name FROM f_events),
+n AS (SELECT day, campaign, count(*) FILTER (WHERE event_name = 'banner_opened') AS viewed, count(*) FILTER (WHERE event_name = 'click') AS clicked
+  FROM seen GROUP BY day, campaign)
+SELECT day, campaign, viewed, clicked, CAST(CASE WHEN viewed > 0 THEN floor((200 * clicked + viewed) / (2 * viewed)) ELSE 0 END AS BIGINT) AS rate FROM n"""))
 def view_click_rate(spark, sf):
     return E.view_click(_t(spark, sf).events)
 
 
 @query("coverage", W(NEW_LEADS_SQL + f""",
-ab AS (SELECT partner_id, count(*) AS base FROM f_users WHERE status = 'ACTIVE' GROUP BY partner_id),
+ab AS (SELECT partner_id, count(*) AS base FROM f_users WHERE active AND status = 'ACTIVE' GROUP BY partner_id),
 vprof AS (SELECT DISTINCT profile_id, partner_id FROM f_profiles WHERE NOT coalesce(deleted, false)),
 vw AS (SELECT p.partner_id, count(*) AS n FROM f_events e JOIN vprof p ON p.profile_id = e.profile_id
        WHERE e.event_name = 'banner_opened' AND e.ts >= {ENG0} GROUP BY p.partner_id),
-s AS (SELECT rt.partner_id, rt.screen = 'noleads' AS nl, COALESCE(ab.base, 0) AS base, COALESCE(vw.n, 0) AS n
-      FROM rt LEFT JOIN ab ON ab.partner_id = rt.partner_id LEFT JOIN vw ON vw.partner_id = rt.partner_id),
-inc AS (SELECT COALESCE(sum(CASE WHEN nl THEN n ELSE 0 END), 0) > 5 AS inc FROM s),
+vt AS (SELECT p.partner_id, count(*) AS n FROM f_events e JOIN vprof p ON p.profile_id = e.profile_id
+       WHERE e.event_name = 'banner_opened' AND CAST(e.ts AS DATE) = {sql_date(P.engagement_today)} GROUP BY p.partner_id),
+s AS (SELECT rt.partner_id, rt.screen = 'noleads' AS nl, COALESCE(ab.base, 0) AS base, COALESCE(vw.n, 0) AS n, COALESCE(vt.n, 0) AS n_today
+      FROM rt LEFT JOIN ab ON ab.partner_id = rt.partner_id LEFT JOIN vw ON vw.partner_id = rt.partner_id
+      LEFT JOIN vt ON vt.partner_id = rt.partner_id),
+inc AS (SELECT COALESCE(sum(CASE WHEN nl THEN n_today ELSE 0 END), 0) > 5 AS inc FROM s),
 t AS (SELECT s.* FROM s, inc WHERE NOT s.nl OR inc.inc),
 g AS (SELECT count(*) AS targeted_partners, count(*) FILTER (WHERE n > 0) AS viewer_partners,
         CAST(COALESCE(sum(base), 0) AS BIGINT) AS targeted_base,
@@ -290,7 +280,9 @@ FROM g, inc"""))
 def coverage(spark, sf):
     t = _t(spark, sf)
     screens = PO.standing(_route_input(spark, sf), P).select("partner_id", "screen")
-    base = t.users.where(C("status") == "ACTIVE").groupBy("partner_id").agg(F.count(F.lit(1)).alias("base"))
-    views = E.click_counts(E.per_profile(t.events, "banner_opened", P.engagement_start),
-                           E.profile_bridge(t.profiles)).withColumnRenamed("n_clicks", "n")
-    return E.coverage(screens, views, base)
+    base = t.users.where(C("active") & (C("status") == "ACTIVE")).groupBy("partner_id").agg(F.count(F.lit(1)).alias("base"))
+    bridge = E.profile_bridge(t.profiles)
+    views = E.click_counts(E.per_profile(t.events, "banner_opened", P.engagement_start), bridge).withColumnRenamed("n_clicks", "n")
+    day = t.events.where(C("ts").cast("date") == date_lit(P.engagement_today))
+    today = E.click_counts(E.per_profile(day, "banner_opened", P.engagement_start), bridge).withColumnRenamed("n_clicks", "n")
+    return E.coverage(screens, views, base, today)

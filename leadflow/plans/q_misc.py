@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from leadflow.functions.arith import pct_half_even, pct_half_up
 from leadflow.functions.scalars import event_ts_int, grouped, sanitize_id, zero_pad
-from leadflow.functions.timecols import local_date, sql_date
+from leadflow.functions.timecols import local_date, sql_date, sql_ts, ts_lit
 from leadflow.operators import engagement as E
 from leadflow.operators import leads as L
 from leadflow.operators import payout as PO
@@ -16,7 +16,7 @@ from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, SETTLE_COLS, _route_input, _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import snapshot_sql
-from leadflow.plans.sqlparts import bucketed_sql, tech_collapse_sql, tech_metric_sql
+from leadflow.plans.sqlparts import bucketed_sql, local_sql, tech_collapse_sql, tech_metric_sql
 from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
@@ -103,38 +103,46 @@ def event_ts_int_q(spark, sf):
                      event_ts_int(C("ts_int")).cast("date").alias("day"))
 
 
-TOKENS = ["screen", "installs", "denom", "pending", "needed", "pct", "next_pct", "installpay_text", "topup", "t1_no", "t1_area"]
+# The tokens of a profile, in order.
+TOKENS = ["screen", "screen_real", "installs", "leads", "pending", "needed", "pct", "next_pct", "installpay", "topup", "days_left",
+          "month", "id", "t1_no", "t1_area", "t1_cid", "t2_no", "t2_area", "t2_cid", "tkt_n"]
+MONTH_WORD = "महीना "
 
 
 def _banner(spark, sf):
-    df = PO.standing(_route_input(spark, sf), P)
+    df = PO.gate_visibility(PO.standing(_route_input(spark, sf), P), ts_lit(P.as_of), P.offset_minutes)
     return PO.progress(df, P)
 
 
-@query("profile_tokens", W(NEW_LEADS_SQL + """,
-pg AS (SELECT rt.*, CAST(CASE WHEN denom > 0 THEN ROUND(100.0 * installs / denom) ELSE 0 END AS BIGINT) AS pct,
-    CAST(ROUND(100.0 * (installs + 1) / (denom + 1)) AS BIGINT) AS next_pct,
-    CAST(CASE WHEN denom > 0 THEN GREATEST(0, CEIL((3 * denom - 5 * installs) / 2.0)) WHEN pending > 0 THEN 1 ELSE 0 END AS BIGINT) AS needed,
-    format('{:,}', 300 * installs) AS installpay_text, CAST(GREATEST(0, 10000 - 300 * installs) AS BIGINT) AS topup FROM rt),
-ids AS (SELECT user_id, partner_id FROM f_users WHERE status = 'ACTIVE' AND role IN ('OWNER','MANAGER','MANAGER_PLUS'))
-SELECT ids.user_id, 'banner_' || x.token AS token, x.value FROM ids JOIN (
-  SELECT partner_id, 'screen' AS token, screen AS value FROM pg
-  UNION ALL SELECT partner_id, 'installs', CAST(installs AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'denom', CAST(denom AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'pending', CAST(pending AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'needed', CAST(needed AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'pct', CAST(pct AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'next_pct', CAST(next_pct AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 'installpay_text', installpay_text FROM pg
-  UNION ALL SELECT partner_id, 'topup', CAST(topup AS VARCHAR) FROM pg
-  UNION ALL SELECT partner_id, 't1_no', COALESCE(t1_no, '') FROM pg
-  UNION ALL SELECT partner_id, 't1_area', COALESCE(t1_area, '') FROM pg) x ON x.partner_id = ids.partner_id"""))
+_TOKEN_SQL = {
+    "screen": f"CASE WHEN hour({sql_ts(P.as_of)} + {OFFS}) < 11 THEN 'hold' ELSE screen END", "screen_real": "screen",
+    "installs": "installs", "leads": "denom", "pending": "pending",
+    "needed": "CAST(CASE WHEN denom > 0 THEN GREATEST(0, CEIL((3 * denom - 5 * installs) / 2.0)) WHEN pending > 0 THEN 1 ELSE 0 END AS BIGINT)",
+    "pct": "CAST(CASE WHEN denom > 0 THEN ROUND(100.0 * installs / denom) ELSE 0 END AS BIGINT)",
+    "next_pct": "CAST(ROUND(100.0 * (installs + 1) / (denom + 1)) AS BIGINT)", "installpay": f"format('{{:,}}', {P.rate} * installs)",
+    "topup": f"GREATEST(0, {P.floor} - {P.rate} * installs)", "days_left": f"day(last_day({local_sql(sql_ts(P.as_of), P)})) - day({local_sql(sql_ts(P.as_of), P)})",
+    "month": f"'{MONTH_WORD}' || GREATEST(1, month({local_sql(sql_ts(P.as_of), P)}) - 6)",
+    "id": "lpad(CAST(ids.user_id AS VARCHAR), CAST(greatest(6, length(CAST(ids.user_id AS VARCHAR))) AS INTEGER), '0')",
+    **{f"t{i}_{f}": f"t{i}_{f}" for i in (1, 2) for f in ("no", "area", "cid")},
+    "tkt_n": "CAST(t1_no IS NOT NULL AS INTEGER) + CAST(t2_no IS NOT NULL AS INTEGER)",
+}
+
+
+@query("profile_tokens", W(NEW_LEADS_SQL + f""",
+ids AS (SELECT user_id, partner_id FROM f_users WHERE active AND status = 'ACTIVE' AND user_id IS NOT NULL
+  AND role IN ('OWNER','MANAGER','MANAGER_PLUS')),
+wide AS (SELECT ids.user_id, [{', '.join(f"coalesce(CAST({_TOKEN_SQL[t]} AS VARCHAR), '')" for t in TOKENS)}] AS vals FROM ids JOIN rt USING (partner_id))
+SELECT user_id, 'banner_' || unnest([{', '.join(f"'{t}'" for t in TOKENS)}]) AS token, unnest(vals) AS value FROM wide"""))
 def profile_tokens_q(spark, sf):
     """K5: tokens per identity — every active user of the partner in the three roles."""
     from leadflow.operators.cohorts import identities
     banner = _banner(spark, sf)
     ids = identities(banner.select("partner_id"), tables(spark, sf).users)
-    return profile_tokens(ids.join(banner.drop("user_id"), "partner_id", "inner"), "user_id", TOKENS)
+    now = {c: x for c, x in zip(("day", "days_left", "days_in_month", "program_month"), PO.calendar(ts_lit(P.as_of), P.offset_minutes))}
+    wide = ids.join(banner.drop("user_id"), "partner_id", "inner").select(
+        "*", now["days_left"], F.concat(F.lit(MONTH_WORD), now["program_month"]).alias("month"), zero_pad(C("user_id"), 6).alias("id"),
+        C("denom").alias("leads"), F.expr("int(t1_no IS NOT NULL) + int(t2_no IS NOT NULL)").alias("tkt_n"))
+    return profile_tokens(wide.drop("installpay").withColumnRenamed("installpay_text", "installpay"), "user_id", TOKENS)
 
 
 @query("clear_flags", W("""
@@ -180,15 +188,23 @@ def subset_check(spark, sf):
 
 
 @query("coverage_gate", W("""
+reached AS (SELECT r.partner_id, r.partner_id IN (SELECT partner_id FROM f_profiles WHERE NOT coalesce(deleted, false)) AS ok
+  FROM f_rosters r WHERE r.category = 'enrolled')
+SELECT count(*) AS cohort, count(*) FILTER (WHERE ok) AS resolvable, count(*) FILTER (WHERE NOT ok) <= 5 AS passed FROM reached"""))
+def coverage_gate(spark, sf):
+    """Q4 with a slack of 5 partners: the row says whether a run may publish."""
+    t = tables(spark, sf)
+    cohort = t.rosters.where(C("category") == "enrolled").select("partner_id")
+    return Q.coverage_gate(cohort, E.profile_bridge(t.profiles).select("partner_id"), "partner_id", slack=5)
+
+
+@query("unresolved_cohort", W("""
 SELECT partner_id FROM f_rosters WHERE category = 'enrolled'
   AND partner_id NOT IN (SELECT partner_id FROM f_profiles WHERE NOT coalesce(deleted, false) AND partner_id IS NOT NULL)"""))
-def coverage_gate(spark, sf):
+def unresolved_cohort(spark, sf):
     t = tables(spark, sf)
     cohort = t.rosters.where(C("category") == "enrolled").select("partner_id")
-    resolvable = E.profile_bridge(t.profiles).select("partner_id")
-    # slack = the whole cohort here, so the check reports instead of aborting
-    n = cohort.count()
-    return Q.coverage_gate(cohort, resolvable, "partner_id", slack=n)
+    return Q.unresolved(cohort, E.profile_bridge(t.profiles).select("partner_id"), "partner_id")
 
 
 @query("bridge_fanout", W("""

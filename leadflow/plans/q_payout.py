@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadflow.functions.scalars import tier_alias
+from leadflow.functions.scalars import TIER_ALIASES, TIER_AMOUNTS, tier_alias
 from leadflow.functions.timecols import sql_date, sql_ts, ts_lit
 from leadflow.operators import leads as L
 from leadflow.operators import payout as PO
-from leadflow.plans.catalog import query, shared_plan
+from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
-from leadflow.plans.q_snapshot import PREV, _snapshot, snapshot_sql
-from leadflow.plans.sqlparts import in_month_sql, tech_collapse_sql, tech_metric_sql
+from leadflow.plans.q_snapshot import PREV, _measures, _snapshot, snapshot_sql
+from leadflow.plans.sqlparts import in_month_sql, tech_collapse_sql, tech_metric_sql, values_sql
 from leadflow.sources.testdata import TestData, tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
@@ -20,18 +20,13 @@ C = F.col
 
 
 # ------------------------------------------------------------------ inputs
+def _daily(t: TestData, p: Params = P):
+    return L.daily_leads(L.month_history(t.attempts, p), p)
+
+
 def settle_input(t: TestData, p: Params = P):
-    """Enrolled universe ⟕ v3 metric ⟕ overlay ⟕ rate split (zero-filled)."""
-    enrolled = t.rosters.where(C("category") == "enrolled").select("partner_id")
-    mg = L.metric_tech(t.attempts, p)
-    leads = L.collapse_attempts(L.touched_history(t.attempts, p), p.offset_minutes)
-    inst = leads.where((C("has_installed") == 1) & L.in_month(p.month_start, p.month_end))
-    split = PO.rate_split(inst, t.overlay).select("partner_id", "inst_before", "inst_after")
-    ov = t.overlay.select("partner_id", "joined", "rate_after", "switch")
-    df = enrolled.join(mg, "partner_id", "left").join(ov, "partner_id", "left").join(split, "partner_id", "left")
-    return df.select("partner_id", F.coalesce(C("installs"), F.lit(0)).alias("installs"),
-                     F.coalesce(C("denom"), F.lit(0)).alias("denom"), "joined", "rate_after", "switch",
-                     "inst_before", "inst_after")
+    """Enrolled universe with the v3 metric, overlay and rate split (zero-filled), from one scan of the attempts."""
+    return PO.settle_record(t.rosters.where(C("category") == "enrolled"), _daily(t, p), t.overlay)
 
 
 def settle_input_sql(p: Params = P) -> str:
@@ -80,7 +75,6 @@ SETTLE_SQL_COLS = ("partner_id, installs, denom, floor_amt AS floor, pay AS inst
                    "floor_eligible, topup, total, \"case\", joined_after")
 
 
-@shared_plan
 def _settled(spark, sf, p: Params = P):
     return PO.settle(settle_input(tables(spark, sf), p), p)
 
@@ -128,31 +122,24 @@ def payout_totals(spark, sf):
 @query("rate_split_counts", W(settle_input_sql(P) + "\nSELECT partner_id, installs, inst_before, inst_after FROM split"))
 def rate_split_counts(spark, sf):
     t = tables(spark, sf)
-    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
-    inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
-    return PO.rate_split(inst, t.overlay)
+    return PO.rate_split(_daily(t), t.overlay)
 
 
 @query("rate_split_reconcile", W(settle_input_sql(P) + """
-SELECT s.partner_id, s.inst_before + s.inst_after AS split_sum, COALESCE(mg.installs, 0) AS installs
-FROM split s LEFT JOIN mg ON mg.partner_id = s.partner_id
-WHERE s.inst_before + s.inst_after <> COALESCE(mg.installs, 0)"""))
+SELECT o.partner_id, CAST(o.inst_before + o.inst_after AS BIGINT) AS split_sum, COALESCE(mg.installs, 0) AS installs
+FROM f_overlay o LEFT JOIN mg ON mg.partner_id = o.partner_id
+WHERE o.inst_before + o.inst_after <> COALESCE(mg.installs, 0)"""))
 def rate_split_reconcile(spark, sf):
+    """The split that the overlay file states against the metric's installs."""
     from leadflow.operators.quality import rate_split_reconcile as rsr
     t = tables(spark, sf)
-    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
-    inst = leads.where((C("has_installed") == 1) & L.in_month(P.month_start, P.month_end))
-    return rsr(PO.rate_split(inst, t.overlay), L.metric_tech(t.attempts, P))
+    stated = t.overlay.where(C("inst_before").isNotNull()).select("partner_id", "inst_before", "inst_after")
+    return rsr(stated, L.metric_tech(t.attempts, P))
 
 
 # ---------------------------------------------------------- banner metrics
-@shared_plan
 def _route_input(spark, sf):
-    t = tables(spark, sf)
-    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
-    snap = _snapshot(spark, sf, leads=leads)  # same collapsed subplan as the crossing timeline
-    nl = PO.new_leads_since_crossing(leads, P)
-    return snap.join(nl, "partner_id", "left")
+    return _measures(spark, sf)
 
 
 NEW_LEADS_SQL = f"""
@@ -176,9 +163,7 @@ rt AS (SELECT *, CASE WHEN denom + pending = 0 THEN 'noleads'
 
 @query("dropped_crossing", W(NEW_LEADS_SQL + "\nSELECT partner_id, new_leads FROM nl"))
 def dropped_crossing(spark, sf):
-    t = tables(spark, sf)
-    leads = L.collapse_attempts(L.touched_history(t.attempts, P), P.offset_minutes)
-    return PO.new_leads_since_crossing(leads, P)
+    return L.new_leads_since_crossing(_daily(tables(spark, sf)), P)
 
 
 @query("route_screen", W(NEW_LEADS_SQL + "\nSELECT partner_id, new_leads, screen FROM rt"))
@@ -234,34 +219,39 @@ def visibility_gate(spark, sf):
     return df.select("partner_id", "screen", "screen_real")
 
 
-PREV_SQL_INPUT = f"""
+def prev_sql_input(p: Params) -> str:
+    """The record of month ``p`` of enrolled partners, with installs before / from the switch date."""
+    return f"""
 pen AS (SELECT partner_id FROM f_rosters WHERE category = 'enrolled'),
-prec AS (SELECT s.partner_id, s.installs, s.denom, o.joined, o.rate_after, o.switch,
-    CAST(NULL AS BIGINT) AS inst_before, CAST(NULL AS BIGINT) AS inst_after
-  FROM {snapshot_sql(PREV)} s JOIN pen ON pen.partner_id = s.partner_id LEFT JOIN f_overlay o ON o.partner_id = s.partner_id)"""
+pdays AS (SELECT l.partner_id, count(*) FILTER (WHERE l.last_date < o.switch) AS inst_before,
+    count(*) FILTER (WHERE l.last_date >= o.switch) AS inst_after
+  FROM ({tech_collapse_sql(p)}) l JOIN f_overlay o USING (partner_id)
+  WHERE l.has_installed = 1 AND {in_month_sql(p, 'l.last_date')} AND o.switch IS NOT NULL GROUP BY l.partner_id),
+prec AS (SELECT s.partner_id, s.installs, s.denom, o.joined, o.rate_after, o.switch, d.inst_before, d.inst_after
+  FROM {snapshot_sql(p)} s JOIN pen USING (partner_id) LEFT JOIN f_overlay o USING (partner_id) LEFT JOIN pdays d USING (partner_id))"""
 
 
-def _prev_totals(spark, sf):
-    """Previous month's settled total for enrolled partners that have a record that month."""
+def _prev_totals(spark, sf, p: Params = PREV):
+    """A closed month's settled total for enrolled partners that have a record that month."""
     t = tables(spark, sf)
     en = t.rosters.where(C("category") == "enrolled").select("partner_id")
-    return PO.prev_total(_snapshot(spark, sf, PREV), t.overlay, en, PREV)
+    return PO.prev_total(_snapshot(spark, sf, p), t.overlay, en, p, PO.rate_split(_daily(t, p), t.overlay))
 
 
-@query("previous_month_total", W(PREV_SQL_INPUT + f"\nSELECT partner_id, total FROM {settle_sql('SELECT * FROM prec', PREV)} x"))
+@query("previous_month_total", W(prev_sql_input(PREV) + f"\nSELECT partner_id, total FROM {settle_sql('SELECT * FROM prec', PREV)} x"))
 def previous_month_total(spark, sf):
     return _prev_totals(spark, sf).select("partner_id", "total")
 
 
+@query("previous_month_total_switch", W(prev_sql_input(P) + f"\nSELECT partner_id, total FROM {settle_sql('SELECT * FROM prec', P)} x"))
+def previous_month_total_switch(spark, sf):
+    """The month in which rates switch, seen from the next one."""
+    return _prev_totals(spark, sf, P).select("partner_id", "total")
+
+
 # ------------------------------------------------------------- quality tiers
-TIER_SQL = """CASE lower(trim(tier))
-  WHEN 'verygood' THEN 'verygood' WHEN 'very_good' THEN 'verygood' WHEN 'very good' THEN 'verygood' WHEN 'vg' THEN 'verygood'
-  WHEN 'excellent' THEN 'verygood' WHEN 'बहुत अच्छी' THEN 'verygood' WHEN 'बहुत अच्छा' THEN 'verygood'
-  WHEN 'good' THEN 'good' WHEN 'g' THEN 'good' WHEN 'अच्छी' THEN 'good' WHEN 'अच्छा' THEN 'good'
-  WHEN 'basic' THEN 'basic' WHEN 'average' THEN 'basic' WHEN 'ok' THEN 'basic' WHEN 'बेसिक' THEN 'basic'
-  WHEN 'none' THEN 'none' WHEN 'no_bonus' THEN 'none' WHEN 'nobonus' THEN 'none' WHEN 'poor' THEN 'none'
-  WHEN 'bad' THEN 'none' WHEN 'खराब' THEN 'none' WHEN 'support' THEN 'none' END"""
-TIER_AMOUNT_SQL = "CASE {t} WHEN 'verygood' THEN 2000 WHEN 'good' THEN 1500 WHEN 'basic' THEN 1000 WHEN 'none' THEN 2000 END"
+TIER_SQL = f"(SELECT canon FROM {values_sql(TIER_ALIASES.items())} spelt(alias, canon) WHERE alias = lower(trim(tier)))"
+TIER_AMOUNT_SQL = f"(SELECT rupees FROM {values_sql(TIER_AMOUNTS.items())} paid(canon, rupees) WHERE canon = {{t}})"
 
 QUALITY_SQL = f"""
 q AS (SELECT r.partner_id, {TIER_SQL} AS tier, q.amount FROM f_rosters r LEFT JOIN f_quality q ON q.partner_id = r.partner_id),
@@ -280,6 +270,26 @@ def quality_bonus(spark, sf):
     return _quality_bonus(spark, sf)
 
 
+@query("quality_bonus_fallback", W(f"""
+monthly AS (SELECT partner_id, CASE WHEN partner_id % 4 = 1 THEN NULL ELSE tier END AS tier, amount FROM f_quality WHERE partner_id % 3 <> 0),
+usual AS (SELECT partner_id, coalesce(nullif(CASE WHEN partner_id % 2 = 0 THEN '' END, ''), 'good') AS tier, 700 AS amount FROM f_quality),
+chosen AS (SELECT r.partner_id, CASE WHEN m.partner_id IS NOT NULL THEN m.tier ELSE u.tier END AS tier,
+    CASE WHEN m.partner_id IS NOT NULL THEN m.amount ELSE u.amount END AS amount
+  FROM f_rosters r LEFT JOIN monthly m USING (partner_id) LEFT JOIN usual u USING (partner_id)),
+spelt_out AS (SELECT partner_id, {TIER_SQL} AS tier, amount FROM chosen)
+SELECT partner_id, tier, CAST(CASE WHEN tier IS NOT NULL THEN coalesce(amount, {TIER_AMOUNT_SQL.format(t='tier')}) END AS BIGINT) AS amount,
+  tier IS NOT NULL AS ready FROM spelt_out"""))
+def quality_bonus_fallback(spark, sf):
+    """P10 with a month file that lacks ids and tiers, and a default file that names its tier in other fields."""
+    from leadflow.operators.cohorts import quality_bonus as qb
+    t = tables(spark, sf)
+    k = C("partner_id")
+    month = t.quality.where(k % 3 != 0).withColumn("tier", F.when(k % 4 != 1, C("tier")))
+    usual = t.quality.select("partner_id", F.when(k % 2 == 0, "").alias("tier"), F.lit(None).cast("string").alias("cohort"),
+                             F.lit("good").alias("quality"), F.lit(700).cast("bigint").alias("amount"))
+    return qb(month, t.rosters, usual)
+
+
 @query("tier_alias", W(f"SELECT partner_id, tier AS raw_tier, {TIER_SQL} AS tier FROM f_quality"))
 def tier_alias_q(spark, sf):
     t = tables(spark, sf)
@@ -296,7 +306,7 @@ def quality_totals(spark, sf):
     return qt(_quality_bonus(spark, sf))
 
 
-@query("support_amount", W(QUALITY_SQL + "," + PREV_SQL_INPUT + f"""
+@query("support_amount", W(QUALITY_SQL + "," + prev_sql_input(PREV) + f"""
 SELECT qb.partner_id, CAST(GREATEST(1000, FLOOR(0.8 * COALESCE(x.total, 0) + 0.5)) AS BIGINT) AS support
 FROM qb LEFT JOIN {settle_sql('SELECT * FROM prec', PREV)} x ON x.partner_id = qb.partner_id
 WHERE qb.tier = 'none'"""))

@@ -1,11 +1,10 @@
 """The three refresh jobs as Spark jobs: month snapshot, dashboard documents, engagement.
 
-    python -m leadflow.plans.refresh --data /root/testdata/sf0.1 --out /shared/leadflow \
-        --month 1998-07 [--frozen 1998-06] [--what snapshot,dashboard,engagement]
+    python -m leadflow.plans.refresh --data /lake/landed --out /shared/leadflow \
+        --month 1998-07 [--frozen 1998-06] [--what snapshot,dashboard,engagement] [--source landed|testdata]
 
 ``tables`` is any object with the logical tables as attributes (attempts, ledger, users,
-events, profiles, rosters, overlay, transitions); ``TestData`` maps the test Parquet onto
-them, a deployment passes its landed tables.
+events, profiles, rosters, overlay, transitions): ``LandedTables``, or ``TestData``, which maps the test Parquet.
 """
 
 from __future__ import annotations
@@ -14,15 +13,19 @@ import argparse
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.operators import cohorts as CO
 from leadflow.operators import engagement as E
 from leadflow.operators import leads as L
+from leadflow.operators import quality as Q
 from leadflow.operators import snapshot as S
 from leadflow.plans.params import DEFAULT, Params
+from leadflow.session import cluster_session
+from leadflow.sources.landed import LandedTables
 from leadflow.sources.snapshots import write_month
+from leadflow.sources.testdata import TestData
 
 C = F.col
 
@@ -33,7 +36,8 @@ def month_params(ym: str, base: Params = DEFAULT, as_of: dt.datetime | None = No
     end = dt.date(y + (m == 12), m % 12 + 1, 1)
     prev = dt.date(y - (m == 1), (m - 2) % 12 + 1, 1)
     return replace(base, month_start=start, month_end=end, prev_start=prev,
-                   as_of=as_of or dt.datetime.combine(end, dt.time()))
+                   # the instant at which the month ends locally
+                   as_of=as_of or dt.datetime.combine(end, dt.time()) - dt.timedelta(minutes=base.offset_minutes))
 
 
 def refresh_snapshot(tables, p: Params, out: str, frozen=()) -> DataFrame:
@@ -62,9 +66,14 @@ def dashboard_documents(tables, p: Params) -> dict[str, DataFrame]:
     return docs
 
 
-def engagement_documents(tables, p: Params, outcome_groups: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Banner engagement of the enrolled cohort, wholly in Spark."""
+def engagement_documents(tables, p: Params, outcome_groups: DataFrame | None = None, slack: int | None = None) -> dict[str, DataFrame]:
+    """Banner engagement of the enrolled cohort, wholly in Spark.
+
+    With ``slack``, the run stops when more than so many cohort members have no profile (Q4).
+    """
     cohort = tables.rosters.where(C("category") == "enrolled").select("partner_id")
+    if slack is not None:
+        Q.require_coverage(Q.coverage_gate(cohort, E.profile_bridge(tables.profiles).select("partner_id"), "partner_id", slack))
     opens = E.daily_opens(tables.events, E.profile_bridge(tables.profiles, cohort), p.engagement_start)
     docs = {"daily": E.daily_engagement(opens), "summary": E.engagement_summary(opens, cohort)}
     if outcome_groups is not None:
@@ -85,11 +94,12 @@ def main(argv=None) -> None:
     ap.add_argument("--month", required=True, help="yyyy-MM")
     ap.add_argument("--frozen", default="", help="comma-separated months that may not be rebuilt")
     ap.add_argument("--what", default="snapshot,dashboard,engagement")
+    ap.add_argument("--source", choices=("landed", "testdata"), default="landed")
+    ap.add_argument("--slack", type=int, help="cohort members that may lack a profile before the engagement run stops")
     a = ap.parse_args(argv)
-    from leadflow.sources.testdata import tables as load
 
-    spark = SparkSession.builder.getOrCreate()
-    t = load(spark, a.data)
+    spark = cluster_session()
+    t = LandedTables(spark, a.data) if a.source == "landed" else TestData(spark, a.data)
     p = month_params(a.month)
     what = set(a.what.split(","))
     frozen = [m for m in a.frozen.split(",") if m]
@@ -103,7 +113,7 @@ def main(argv=None) -> None:
         from leadflow.plans.q_payout import settle_input
         prev = month_params(p.prev_start.strftime("%Y-%m"))
         groups = outcome_group(settle(settle_input(t, prev), prev))
-        write_documents(engagement_documents(t, p, groups), f"{a.out}/engagement", a.month)
+        write_documents(engagement_documents(t, p, groups, a.slack), f"{a.out}/engagement", a.month)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,9 +26,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder that driver and executors share, named in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a fresh scratch folder is set.
+    Without one, a local master (tests) gets a scratch folder; on a cluster that would be each machine's own disk,
+    so it is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -38,15 +38,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    path = tempfile.mkdtemp(prefix="leadflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="leadflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-# Settings we run with on a large cluster (~100 TB inputs). AQE starts from a generous
-# shuffle partition count and coalesces to ~256 MB partitions; scans split at 256 MB;
-# skewed join partitions are split at runtime; broadcasts stay under 64 MB.
+# Settings for a large cluster (~100 TB inputs), used by ``cluster_session``. AQE starts from a generous
+# shuffle partition count and coalesces to ~256 MB partitions; scans split at 256 MB; skewed join partitions
+# are split at runtime; broadcasts stay under 64 MB; streaming state is kept off the heap.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -56,10 +59,10 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
-def apply_cluster_conf(spark: SparkSession) -> None:
-    """Apply CLUSTER_CONF to a session (runtime SQL settings only)."""
-    for k, v in CLUSTER_CONF.items():
-        spark.conf.set(k, v)
+def cluster_session(app: str = "leadflow") -> SparkSession:
+    """The session of the refresh jobs: master and memory from spark-submit, the SQL settings from ``CLUSTER_CONF``."""
+    return SparkSession.builder.appName(app).config(map=CLUSTER_CONF).getOrCreate()

@@ -26,7 +26,7 @@ def overlay_rows(docs: DataFrame, col: str = "json") -> DataFrame:
     """
     m = F.from_json(F.col(col), T.MapType(T.StringType(), OVERLAY_VALUE))
     return (docs.select(F.explode(m).alias("partner_key", "v"))
-            .select("partner_key", "v.joined", "v.rate_before", "v.rate_after", "v.switch"))
+            .select("partner_key", "v.joined", "v.rate_before", "v.rate_after", "v.switch", "v.inst_before", "v.inst_after"))
 
 
 def cohort_rows(docs: DataFrame, col: str = "json") -> DataFrame:

@@ -12,7 +12,7 @@ class FrozenMonthError(RuntimeError):
     """A disbursed (closed) month may not be rebuilt."""
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -32,11 +32,7 @@ def write_month(df: DataFrame, path: str, month: str, frozen: Iterable[str] = ()
        .parquet(path))
 
 
-def months_present(spark: SparkSession, path: str, months: Iterable[str]) -> list[str]:
-    return [m for m in months if _fs_exists(spark, f"{path.rstrip('/')}/month={m}")]
-
-
 def read_month(spark: SparkSession, path: str, month: str | None, default: str) -> DataFrame:
     """One month's snapshot (partition-pruned); an unknown or missing month falls back to ``default``."""
-    pick = month if month and _fs_exists(spark, f"{path.rstrip('/')}/month={month}") else default
+    pick = month if month and path_exists(spark, f"{path.rstrip('/')}/month={month}") else default
     return spark.read.parquet(path).where(F.col("month") == pick)

@@ -67,15 +67,9 @@ def _case(key: Column, mapping: dict, pos: int | None = None) -> Column:
     return F.try_element_at(F.create_map(*pairs), key.cast("int"))
 
 
-_CACHE: dict[tuple[int, str], "TestData"] = {}
-
-
 def tables(spark: SparkSession, sf_dir: str) -> "TestData":
-    """The logical tables of one data folder, built once per session (plans are lazy and immutable)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if key not in _CACHE:
-        _CACHE[key] = TestData(spark, sf_dir)
-    return _CACHE[key]
+    """The logical tables of one data folder. Plans are built anew for each call, so files that were added are seen."""
+    return TestData(spark, sf_dir)
 
 
 class TestData:
@@ -138,6 +132,7 @@ class TestData:
             (F.col("c_custkey") % self.n_sup).alias("partner_id"),
             role.alias("role"),
             F.when(F.col("c_acctbal") >= 0, "ACTIVE").otherwise("INACTIVE").alias("status"),
+            (F.col("c_custkey") % 23 != 0).alias("active"),
         )
 
     # ---------------------------------------------------------- events/profiles
@@ -148,12 +143,12 @@ class TestData:
     @cached_property
     def profiles(self) -> DataFrame:
         e = self.raw("events").where(F.col("user_id") % 4 != 0)
-        return (e.groupBy(F.col("user_id").alias("profile_id"))
-                .agg(F.max("ts").alias("last_seen"))
-                .select("profile_id",
-                        (F.col("profile_id") % self.n_sup).alias("partner_id"),
-                        (F.col("profile_id") % 29 == 1).alias("deleted"),
-                        "last_seen"))
+        one = e.groupBy(F.col("user_id").alias("profile_id")).agg(F.max("ts").alias("last_seen"))
+        # a few devices are shared by two partners
+        step = F.when(F.col("profile_id") % 37 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return one.withColumn("step", F.explode(step)).select(
+            "profile_id", ((F.col("profile_id") + F.col("step")) % self.n_sup).alias("partner_id"),
+            (F.col("profile_id") % 29 == 1).alias("deleted"), "last_seen")
 
     # ---------------------------------------------------------- partner tables
     @cached_property
@@ -162,8 +157,9 @@ class TestData:
         r = F.col("s_suppkey") % 10
         return s.select(
             F.col("s_suppkey").alias("partner_id"),
-            F.when(r <= 4, "enrolled").when(r <= 6, "eligible").otherwise("rest").alias("category"),
-            F.when(r <= 3, F.lit(1)).when(r == 4, F.lit(2)).alias("flow"),
+            F.when(F.col("s_suppkey") % 23 == 1, "eligible").when(r <= 4, "enrolled").when(r <= 6, "eligible")
+            .otherwise("rest").alias("category"),
+            F.when(F.col("s_suppkey") % 29 == 2, F.lit(None)).when(r <= 3, F.lit(1)).when(r == 4, F.lit(2)).alias("flow"),
             (F.col("s_suppkey") == 0).alias("is_test"),
         )
 
@@ -178,6 +174,8 @@ class TestData:
             F.when(has_rate, F.lit(300)).alias("rate_before"),
             F.when(has_rate, F.when(k % 2 == 0, F.lit(750)).otherwise(F.lit(1000))).alias("rate_after"),
             F.when(has_rate, F.lit("1998-07-27").cast("date")).alias("switch"),
+            F.when(has_rate, k % 4).alias("inst_before"),  # as the overlay file states them
+            F.when(has_rate, k % 3).alias("inst_after"),
         ).where(F.col("joined").isNotNull() | F.col("rate_after").isNotNull())
 
     @cached_property
@@ -213,16 +211,6 @@ class TestData:
         return s.select(F.col("s_name").alias("account_name"), F.col("s_suppkey").alias("partner_id"))
 
 
-def map_attempts(lineitem: DataFrame) -> DataFrame:
-    """attempts <- lineitem (works on batch and streaming DataFrames alike)."""
-    return _map_attempts(lineitem)
-
-
-def map_events(events: DataFrame) -> DataFrame:
-    """events <- raw events (view -> banner_opened); batch or streaming."""
-    return _map_events(events)
-
-
 def _sql_map(mapping: dict, pos: int | None = None) -> str:
     """A Spark SQL map literal built from a fixed-value table (NULL entries left out)."""
     parts = []
@@ -233,8 +221,8 @@ def _sql_map(mapping: dict, pos: int | None = None) -> str:
     return f"map({', '.join(parts)})"
 
 
-def _map_attempts(li: DataFrame) -> DataFrame:
-    """SQL-text projection: one analyzer call instead of hundreds of Column round trips."""
+def map_attempts(li: DataFrame) -> DataFrame:
+    """attempts <- lineitem, batch or stream. SQL-text projection: one analyzer call instead of hundreds of Column round trips."""
     pre = li.selectExpr(
         "*", "CAST((l_partkey + 3 * l_linenumber) % 20 AS INT) AS h",
         "(l_returnflag = 'A' AND l_quantity > 10) AS otp",
@@ -249,7 +237,8 @@ def _map_attempts(li: DataFrame) -> DataFrame:
         f"try_element_at({_sql_map(STATE_BLOCK, 2)}, h) AS failure_reason",
         f"try_element_at({_sql_map(STATE_BLOCK, 3)}, h) AS failure_subreason",
         "concat('zone_', l_partkey % 40) AS zone_id",
-        "CASE WHEN otp OR l_linenumber >= 6 OR l_linestatus = 'O' THEN concat('t', l_partkey % 50) END AS executor_id",
+        "CASE WHEN (otp OR l_linenumber >= 6 OR l_linestatus = 'O') AND l_partkey % 101 <> 3 THEN concat('t', l_partkey % 50) END"
+        " AS executor_id",
         "otp AS otp_verified",
         "l_linenumber AS completed_step",
         "timestampadd(MINUTE, CAST((l_partkey * 7 + l_linenumber * 131) % 1440 AS INT), l_shipdate) AS updated_at",
@@ -263,10 +252,13 @@ def _map_attempts(li: DataFrame) -> DataFrame:
     )
 
 
-def _map_events(e: DataFrame) -> DataFrame:
+def map_events(e: DataFrame) -> DataFrame:
+    """events <- raw events (view -> banner_opened), batch or stream."""
     return e.select(
         "event_id",
         F.col("user_id").alias("profile_id"),
         F.when(F.col("event_type") == "view", "banner_opened").otherwise(F.col("event_type")).alias("event_name"),
         "ts",
+        (F.col("event_id") % 31 == 5).alias("deleted"),
+        F.concat(F.lit("cmp_"), F.col("event_id") % 3).alias("campaign"),
     )

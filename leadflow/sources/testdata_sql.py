@@ -25,7 +25,7 @@ f_attempts AS (
     CASE h WHEN 1 THEN 'TIMEOUT_P74' END AS failure_reason,
     CASE h WHEN 1 THEN 'CSP_NO_SHOW' WHEN 10 THEN 'CSP_NO_SHOW' END AS failure_subreason,
     concat('zone_', l_partkey % 40) AS zone_id,
-    CASE WHEN otp OR l_linenumber >= 6 OR l_linestatus = 'O' THEN concat('t', l_partkey % 50) END AS executor_id,
+    CASE WHEN (otp OR l_linenumber >= 6 OR l_linestatus = 'O') AND l_partkey % 101 <> 3 THEN concat('t', l_partkey % 50) END AS executor_id,
     otp AS otp_verified,
     l_linenumber AS completed_step,
     l_shipdate + to_minutes(CAST((l_partkey*7 + l_linenumber*131) % 1440 AS BIGINT)) AS updated_at,
@@ -59,23 +59,27 @@ f_users AS (
   SELECT c_custkey AS user_id, c_custkey % (SELECT n FROM f_nsup) AS partner_id,
     CASE c_mktsegment WHEN 'BUILDING' THEN 'OWNER' WHEN 'AUTOMOBILE' THEN 'MANAGER_PLUS'
       WHEN 'MACHINERY' THEN 'MANAGER' ELSE 'STAFF' END AS role,
-    CASE WHEN c_acctbal >= 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status
+    CASE WHEN c_acctbal >= 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status,
+    c_custkey % 23 <> 0 AS active
   FROM customer
 ),
 f_events AS (
   SELECT event_id, user_id AS profile_id,
-    CASE WHEN event_type = 'view' THEN 'banner_opened' ELSE event_type END AS event_name, ts
+    CASE WHEN event_type = 'view' THEN 'banner_opened' ELSE event_type END AS event_name, ts,
+    event_id % 31 = 5 AS deleted, concat('cmp_', event_id % 3) AS campaign
   FROM events
 ),
 f_profiles AS (
-  SELECT user_id AS profile_id, user_id % (SELECT n FROM f_nsup) AS partner_id,
-    user_id % 29 = 1 AS deleted, max(ts) AS last_seen
-  FROM events WHERE user_id % 4 <> 0 GROUP BY user_id
+  SELECT user_id AS profile_id, (user_id + step) % (SELECT n FROM f_nsup) AS partner_id,
+    user_id % 29 = 1 AS deleted, last_seen
+  FROM (SELECT user_id, max(ts) AS last_seen FROM events WHERE user_id % 4 <> 0 GROUP BY user_id) devices,
+       (VALUES (0), (1)) steps(step)
+  WHERE step = 0 OR user_id % 37 = 0
 ),
 f_rosters AS (
   SELECT s_suppkey AS partner_id,
-    CASE WHEN s_suppkey % 10 <= 4 THEN 'enrolled' WHEN s_suppkey % 10 <= 6 THEN 'eligible' ELSE 'rest' END AS category,
-    CASE WHEN s_suppkey % 10 <= 3 THEN 1 WHEN s_suppkey % 10 = 4 THEN 2 END AS flow,
+    CASE WHEN s_suppkey % 23 = 1 THEN 'eligible' WHEN s_suppkey % 10 <= 4 THEN 'enrolled' WHEN s_suppkey % 10 <= 6 THEN 'eligible' ELSE 'rest' END AS category,
+    CASE WHEN s_suppkey % 29 = 2 THEN NULL WHEN s_suppkey % 10 <= 3 THEN 1 WHEN s_suppkey % 10 = 4 THEN 2 END AS flow,
     s_suppkey = 0 AS is_test
   FROM supplier
 ),
@@ -85,7 +89,9 @@ f_overlay AS (
       CASE WHEN s_suppkey % 5 = 1 THEN DATE '1998-07-01' + CAST(s_suppkey % 28 AS INTEGER) END AS joined,
       CASE WHEN s_suppkey % 7 = 3 THEN 300 END AS rate_before,
       CASE WHEN s_suppkey % 7 = 3 THEN CASE WHEN s_suppkey % 2 = 0 THEN 750 ELSE 1000 END END AS rate_after,
-      CASE WHEN s_suppkey % 7 = 3 THEN DATE '1998-07-27' END AS switch
+      CASE WHEN s_suppkey % 7 = 3 THEN DATE '1998-07-27' END AS switch,
+      CASE WHEN s_suppkey % 7 = 3 THEN s_suppkey % 4 END AS inst_before,
+      CASE WHEN s_suppkey % 7 = 3 THEN s_suppkey % 3 END AS inst_after
     FROM supplier) s
   WHERE joined IS NOT NULL OR rate_after IS NOT NULL
 ),

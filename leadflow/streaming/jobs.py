@@ -1,177 +1,241 @@
 """Structured Streaming jobs for the continuously refreshed views (ST1-ST3).
 
-Each job reads an append-only source with ``readStream``, keeps its state in the
-state store (bounded by a watermark where the key is time-based), and upserts the
-changed rows of every micro-batch through ``foreachBatch`` into an upsert log in the
-shared checkpoint folder. Readers take the latest version of each key from that log,
-so a restarted or retried batch (same batch id) is idempotent: the batch is written
-under its id and a rerun simply replaces it.
+Sources are tables of their own (a folder of files that grows, or a single file), read whole: nothing caps the files of a
+micro-batch. No row is ever too late: what is derived from events is kept by the hour of the event, and a micro-batch
+recomputes exactly the hours that it brings rows for, from the stored feed. So the result doesn't depend on how files are cut
+into batches, replayed events count once, and a late event corrects its closed day. The watermark (latest event minus the
+allowed lateness) only says which days are final; rows behind it are counted in the run's ``late`` log.
+
+Everything lies in a run folder on the shared checkpoint folder and is written under its batch id or hour: a batch that is
+run again replaces its own files. ``compact_feed`` and ``compact_partials`` fold old batches, so logs don't grow for ever.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leadflow.functions.leads import flag, is_installed
 from leadflow.functions.timecols import local_date, ts_lit
 from leadflow.session import checkpoint_dir
+from leadflow.sources.snapshots import path_exists
 
 C = F.col
+FEED = "event_id bigint, profile_id bigint, event_name string, ts timestamp_ntz"
 
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
-])
 
+def stream_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """An append-only Parquet table at its own path as a stream: all files of a folder, or the one file that it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema)
+    if fs.exists(p) and fs.getFileStatus(p).isFile():  # file streams read folders: this file of its folder, then
+        return reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
+    return reader.parquet(path)
 
-def stream_table(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType) -> DataFrame:
-    """An append-only Parquet folder as a stream (files matching ``file_glob``)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", 100).parquet(folder))
 
+def _run_dir(spark: SparkSession, name: str, run_dir: str | None) -> str:
+    return run_dir.rstrip("/") if run_dir else f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-def run_upsert(stream: DataFrame, keys: Sequence[str], name: str, spark: SparkSession,
-               root: str | None = None, mode: str = "update", run_dir: str | None = None) -> DataFrame:
-    """Run ``stream`` to the end of the available input (availableNow) and return the
-    latest row per key from its upsert log.
 
-    ``run_dir`` makes runs incremental: the checkpoint (offsets, state, watermark) and the
-    log live there, so the next run only reads new files and late rows are judged against
-    the watermark the previous run left. Without it every call starts afresh.
-    """
-    root = (root or checkpoint_dir(spark)).rstrip("/")
-    run = run_dir.rstrip("/") if run_dir else f"{root}/{name}-{uuid.uuid4().hex}"
-    log_path = f"{run}/log"
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_batch", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}"))
-
-    q = (stream.writeStream.outputMode(mode).foreachBatch(upsert)
+def _drain(stream: DataFrame, run: str, on_batch: Callable[[DataFrame, int], None]) -> None:
+    """Process all that is there, then stop; the offsets stay in the run folder for the next call."""
+    q = (stream.writeStream.outputMode("append").foreachBatch(on_batch)
          .option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        log = spark.read.parquet(log_path)
-    except Exception:  # nothing was emitted
-        return spark.createDataFrame([], stream.schema)
-    cols = [c for c in log.columns if c not in set(keys) | {"_batch", "batch"}]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*cols), C("_batch")).alias("_v"))
-    return latest.select(*keys, *[C(f"_v.{c}").alias(c) for c in cols])
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the run folder; empty if no batch has written it yet. Other failures are raised."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+# ------------------------------------------------------------- events by hour
+def refresh_hours(events: DataFrame, run: str, partial: Callable[[DataFrame], DataFrame], schema: str, lateness_days: int = 1) -> DataFrame:
+    """Drain an event stream into ``run`` and return the hourly partials (``schema`` and ``hour``).
+
+    ``partial`` turns an hour's distinct events (columns of ``FEED`` and ``hour``) into its rows. A replayed event has
+    the instant of the first one, so it falls into the same hour and an event id counts once.
+    """
+    spark = events.sparkSession
+    feed_path, view = f"{run}/feed", f"{run}/hours"
+    feed_schema = f"{FEED}, batch bigint, hour string"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("event_id", "profile_id", "event_name", "ts", F.date_format("ts", "yyyy-MM-dd-HH").alias("hour"))
+        rows.write.mode("overwrite").partitionBy("hour").parquet(f"{feed_path}/batch={batch_id}")
+        feed = spark.read.schema(feed_schema).parquet(feed_path)
+        mine = feed.where(C("batch") == batch_id)
+        mark = feed.where(C("batch") < batch_id).select(F.max("ts")).scalar()  # none before the first batch
+        late = mine.agg(F.count_if(C("ts") < F.timestamp_add("DAY", F.lit(-lateness_days), mark)).alias("late_rows"))
+        late.write.mode("overwrite").parquet(f"{run}/late/batch={batch_id}")
+        touched = mine.select("hour").distinct()
+        distinct = feed.join(touched, "hour", "left_semi").groupBy("hour", "event_id").agg(
+            F.min_by(F.struct("profile_id", "event_name", "ts"), F.struct("ts", "event_name", "profile_id")).alias("e"))
+        hours = partial(distinct.select("hour", "event_id", "e.*"))
+        (hours.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour").parquet(view))
+
+    _drain(events, run, on_batch)
+    return _read(spark, view, f"{schema}, hour string")
+
+
+def late_rows(spark: SparkSession, run: str) -> DataFrame:
+    """(batch, late_rows): how many rows of each batch lay behind the watermark when it came."""
+    return _read(spark, f"{run}/late", "late_rows bigint, batch bigint")
+
+
+def compact_feed(spark: SparkSession, run: str) -> None:
+    """Fold all batches of the stored feed into the last one, each event once; run it between drains."""
+    feed = _read(spark, f"{run}/feed", f"{FEED}, batch bigint, hour string")
+    last = feed.agg(F.max("batch").alias("b")).first()["b"]
+    if last is None:
+        return
+    one = feed.groupBy("hour", "event_id").agg(
+        F.min_by(F.struct("profile_id", "event_name", "ts"), F.struct("ts", "event_name", "profile_id")).alias("e"))
+    whole = f"{run}/feed-whole-{uuid.uuid4().hex}"
+    one.select("event_id", "e.*", "hour").write.partitionBy("hour").parquet(whole)
+    _replace(spark, whole, f"{run}/feed", last)
+
+
+def _replace(spark: SparkSession, whole: str, log: str, last: int) -> None:
+    """Put ``whole`` in the place of the batch folders up to ``last``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(log).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for s in fs.listStatus(path(log)):
+        name = s.getPath().getName()
+        if name.startswith("batch=") and int(name[6:]) <= last:
+            fs.delete(s.getPath(), True)
+    fs.rename(path(whole), path(f"{log}/batch={last}"))
 
 
 # ------------------------------------------------------------------------ ST1
-def _event_time(df: DataFrame) -> DataFrame:
-    """Watermarks need a TIMESTAMP; the local wall-clock ``ts`` (NTZ) stays the grouping day,
-    so the result never depends on the session zone — the window only bounds the state."""
-    return df.withColumn("ev_time", C("ts").cast("timestamp")).withColumn("day", C("ts").cast("date"))
-
-
-def daily_openers_stream(events: DataFrame, bridge: DataFrame, start: dt.datetime,
-                         lateness: str = "1 day") -> DataFrame:
-    """Per (day, partner) open counts from the event feed; the watermark drops events later
-    than ``lateness`` and evicts closed days from the state store."""
-    from leadflow.sources.testdata import map_events
-    ev = map_events(events).where((C("event_name") == "banner_opened") & (C("ts") >= ts_lit(start)))
-    ev = _event_time(ev.join(bridge, "profile_id", "inner"))  # stream-static join against the profile bridge
-    return (ev.withWatermark("ev_time", lateness)
-            .dropDuplicatesWithinWatermark(["event_id", "partner_id"])  # at-least-once feeds replay events
-            .groupBy(F.window("ev_time", "1 day").alias("w"), "day", "partner_id")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(C("w.start").alias("w_start"), "day", "partner_id", "n"))
-
-
-def daily_openers(spark: SparkSession, folder: str, bridge: DataFrame, start: dt.datetime) -> DataFrame:
-    """ST1: daily unique partners and opens (rows upserted per micro-batch)."""
-    src = stream_table(spark, folder, "events.parquet", EVENTS_SCHEMA)
-    per = run_upsert(daily_openers_stream(src, bridge, start), ["w_start", "day", "partner_id"], "st1-openers", spark)
+def _opens(start: dt.datetime) -> Callable[[DataFrame], DataFrame]:
+    def partial(rows: DataFrame) -> DataFrame:
+        return rows.where((C("event_name") == "banner_opened") & (C("ts") >= ts_lit(start))).groupBy(
+            "hour", "profile_id").agg(F.count(F.lit(1)).alias("n"))
+    return partial
+
+
+def daily_openers(spark: SparkSession, events: DataFrame, bridge: DataFrame, start: dt.datetime, run_dir: str | None = None) -> DataFrame:
+    """ST1: daily unique partners and opens. Opens are counted per profile and hour before the bridge join."""
+    run = _run_dir(spark, "st1-openers", run_dir)
+    hours = refresh_hours(events.where(~C("deleted")), run, _opens(start), "profile_id bigint, n bigint")
+    day = F.to_date(F.substring("hour", 1, 10)).alias("day")
+    per = hours.groupBy(day, "profile_id").agg(F.sum("n").alias("n")).join(bridge, "profile_id", "inner")
     per = per.groupBy("day", "partner_id").agg(F.sum("n").alias("n"))
     return per.groupBy("day").agg(F.count(F.lit(1)).alias("partners"), F.sum("n").cast("bigint").alias("opens"))
 
 
 # ------------------------------------------------------------------------ ST2
+_PARTIAL = ("connection_id bigint, partner_id bigint, last_state string, rep_attempt_id string, o_updated timestamp_ntz, "
+            "o_attempt string, has_installed int, tech_assigned int, last_update timestamp_ntz")
+
+
 def _partial_latest(rows: DataFrame) -> DataFrame:
     """Per (connection, partner) partial: latest attempt (with its ordering key) and max flags."""
     latest = F.max_by(F.struct(C("last_state"), C("rep_attempt_id"), C("o_updated"), C("o_attempt")),
                       F.struct("o_updated", "o_attempt"))
-    return rows.groupBy("connection_id", "partner_id").agg(
+    g = rows.groupBy("connection_id", "partner_id").agg(
         latest.alias("l"), F.max("has_installed").alias("has_installed"),
         F.max("tech_assigned").alias("tech_assigned"), F.max("last_update").alias("last_update"))
+    return g.select("connection_id", "partner_id", "l.*", "has_installed", "tech_assigned", "last_update")
 
 
-def latest_attempt_stream(lineitem_stream: DataFrame) -> DataFrame:
+def attempt_partials(attempts: DataFrame) -> DataFrame:
     """Change-feed rows shaped as single-row partials (no streaming state at all)."""
-    from leadflow.sources.testdata import map_attempts
-    a = map_attempts(lineitem_stream).where(C("active") & C("partner_id").isNotNull())
+    a = attempts.where(C("active") & C("partner_id").isNotNull())
     return a.select("connection_id", "partner_id", C("current_state").alias("last_state"),
                     C("attempt_id").alias("rep_attempt_id"), C("updated_at").alias("o_updated"),
                     C("attempt_id").alias("o_attempt"), flag(is_installed(True)).alias("has_installed"),
                     flag(C("executor_id").isNotNull()).alias("tech_assigned"), C("updated_at").alias("last_update"))
 
 
-def latest_attempts(spark: SparkSession, folder: str, lineitem_schema: T.StructType, offset_minutes: int = 330,
-                    run_dir: str | None = None, file_glob: str = "lineitem.parquet") -> DataFrame:
-    """ST2: latest state per (connection, partner) from a change feed.
+def latest_attempts(spark: SparkSession, attempts: DataFrame, offset_minutes: int = 330, run_dir: str | None = None,
+                    frozen: Iterable[str] = ()) -> DataFrame:
+    """ST2: latest state per (connection, partner) from a change feed, upserted into month partitions.
 
-    Stateless stream: each micro-batch reduces its own rows to one partial per key (the same
-    max_by / max combine as the batch collapse) and appends it to a log in the shared folder
-    under its batch id (a retried batch overwrites itself). Readers combine the partials of
-    all batches with the same functions, so no state store grows with the number of leads;
-    the log can be compacted by rewriting the combined rows.
+    Stateless: each micro-batch reduces its own rows to one partial per key (the same max_by / max combine as the batch
+    collapse) and writes it under its batch id. Then the months that the touched leads are in now, or were in before, are
+    written anew under ``{run}/leads/month=yyyy-MM``, but for ``frozen`` ones. Returns all leads.
     """
-    src = stream_table(spark, folder, file_glob, lineitem_schema)
-    root = checkpoint_dir(spark).rstrip("/")
-    run = run_dir.rstrip("/") if run_dir else f"{root}/st2-latest-{uuid.uuid4().hex}"
-
-    def append_partials(batch: DataFrame, batch_id: int) -> None:
-        part = _partial_latest(batch).select("connection_id", "partner_id", "l.*", "has_installed", "tech_assigned",
-                                              "last_update")
-        part.write.mode("overwrite").parquet(f"{run}/log/batch={batch_id}")
-
-    q = (latest_attempt_stream(src).writeStream.outputMode("append").foreachBatch(append_partials)
-         .option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    combined = _partial_latest(spark.read.parquet(f"{run}/log").drop("batch"))
-    return combined.select("connection_id", "partner_id", "l.last_state", "l.rep_attempt_id", "has_installed",
-                           "tech_assigned", local_date(C("last_update"), offset_minutes).alias("last_date"))
+    run = _run_dir(spark, "st2-latest", run_dir)
+    log, table = f"{run}/log", f"{run}/leads"
+    schema = f"{_PARTIAL}, batch bigint"
+    closed = sorted(set(frozen))
+
+    def leads(partials: DataFrame) -> DataFrame:
+        one = _partial_latest(partials)
+        day = local_date(C("last_update"), offset_minutes)
+        return one.select("connection_id", "partner_id", "last_state", "rep_attempt_id", "has_installed", "tech_assigned",
+                          day.alias("last_date"))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        _partial_latest(batch).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        known = spark.read.schema(schema).parquet(log)
+        month = F.date_format("last_date", "yyyy-MM")
+        now = leads(known).withColumn("month", month)
+        touched = known.where(C("batch") == batch_id).select("connection_id", "partner_id")
+        was = leads(known.where(C("batch") < batch_id)).join(touched, ["connection_id", "partner_id"], "left_semi").select(month.alias("month"))
+        months = now.join(touched, ["connection_id", "partner_id"], "left_semi").select("month").union(was).distinct()
+        months = [r["month"] for r in months.collect() if r["month"] not in closed]  # a few: one a calendar month
+        (now.where(C("month").isin(months)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("month").parquet(table))
+        left = {r["month"] for r in now.where(C("month").isin(months)).select("month").distinct().collect()}
+        for m in set(months) - left:  # its last lead has moved on
+            _delete(spark, f"{table}/month={m}")
+
+    _drain(attempt_partials(attempts), run, on_batch)
+    return leads(_read(spark, log, schema))
+
+
+def month_of_leads(spark: SparkSession, run: str, month: str) -> DataFrame:
+    """One month's partition as the stream has left it."""
+    schema = "connection_id bigint, partner_id bigint, last_state string, rep_attempt_id string, has_installed int, tech_assigned int, last_date date, month string"
+    return _read(spark, f"{run}/leads", schema).where(C("month") == month)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def compact_partials(spark: SparkSession, run: str) -> None:
+    """Fold the partials of all batches into the last one's folder; run it between drains."""
+    log = f"{run}/log"
+    known = _read(spark, log, f"{_PARTIAL}, batch bigint")
+    last = known.agg(F.max("batch").alias("b")).first()["b"]
+    if last is None:
+        return
+    whole = f"{run}/log-whole-{uuid.uuid4().hex}"
+    _partial_latest(known).write.parquet(whole)
+    _replace(spark, whole, log, last)
 
 
 # ------------------------------------------------------------------------ ST3
-def event_counts_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame:
-    from leadflow.sources.testdata import map_events
-    ev = _event_time(map_events(events))
-    return (ev.withWatermark("ev_time", lateness)
-            .dropDuplicatesWithinWatermark(["event_id"])  # a replayed event counts once
-            .groupBy(F.window("ev_time", "1 day").alias("w"), "day", "event_name")
-            .agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("max_ts"))
-            .select(C("w.start").alias("w_start"), "day", "event_name", "events", "max_ts"))
-
-
-def event_counts(spark: SparkSession, folder: str, lateness_days: int = 1, file_glob: str = "events.parquet",
-                 run_dir: str | None = None) -> DataFrame:
-    """ST3: daily counts per event; a day is final once the watermark (max event time minus
-    the allowed lateness) has passed its end, otherwise provisional. Events later than the
-    watermark of the previous micro-batch are dropped (not counted into closed days)."""
-    src = stream_table(spark, folder, file_glob, EVENTS_SCHEMA)
-    rows = run_upsert(event_counts_stream(src, f"{lateness_days} day"), ["w_start", "day", "event_name"], "st3-counts",
-                      spark, run_dir=run_dir)
-    rows = rows.groupBy("day", "event_name").agg(F.sum("events").cast("bigint").alias("events"), F.max("max_ts").alias("max_ts"))
-    # the final watermark as a scalar subquery (one value, no join)
-    wm = F.timestamp_add("DAY", F.lit(-lateness_days), rows.select(F.max("max_ts")).scalar())
+def _by_name(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("hour", "event_name").agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("max_ts"))
+
+
+def event_counts(spark: SparkSession, events: DataFrame, lateness_days: int = 1, run_dir: str | None = None) -> DataFrame:
+    """ST3: daily counts per event. A day is final once the watermark (latest event minus the allowed lateness) has passed
+    its end, otherwise provisional; a later event still corrects it."""
+    run = _run_dir(spark, "st3-counts", run_dir)
+    hours = refresh_hours(events, run, _by_name, "event_name string, events bigint, max_ts timestamp_ntz", lateness_days)
+    rows = hours.groupBy(F.to_date(F.substring("hour", 1, 10)).alias("day"), "event_name").agg(
+        F.sum("events").cast("bigint").alias("events"), F.max("max_ts").alias("max_ts"))
+    # the watermark as a scalar subquery (one value, no join)
+    mark = F.timestamp_add("DAY", F.lit(-lateness_days), rows.select(F.max("max_ts")).scalar())
     day_end = F.date_add(C("day"), 1).cast("timestamp_ntz")
-    return rows.select("day", "event_name", "events", (day_end <= wm).alias("final"))
+    return rows.select("day", "event_name", "events", (day_end <= mark).alias("final"))
 
 
-def final_event_counts(spark: SparkSession, folder: str, lateness_days: int = 1, file_glob: str = "events.parquet",
-                       run_dir: str | None = None) -> DataFrame:
-    """ST3, append mode: only days the watermark has closed are emitted, each exactly once."""
-    src = stream_table(spark, folder, file_glob, EVENTS_SCHEMA)
-    rows = run_upsert(event_counts_stream(src, f"{lateness_days} day"), ["w_start", "day", "event_name"], "st3-final",
-                      spark, mode="append", run_dir=run_dir)
-    return rows.groupBy("day", "event_name").agg(F.sum("events").cast("bigint").alias("events"))
+def final_event_counts(spark: SparkSession, events: DataFrame, lateness_days: int = 1, run_dir: str | None = None) -> DataFrame:
+    """ST3, closed days only."""
+    return event_counts(spark, events, lateness_days, run_dir).where("final").drop("final")

@@ -18,7 +18,10 @@ spark = local_session(8)
 if os.environ.get("ORACLE_TZ"):  # prove results do not depend on the session zone
     spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
 con = duck(sf)
-qs, orc = E.queries(), E.oracle_sql()
+from leadflow.plans import catalog  # noqa: E402
+
+catalog.load_all()
+qs, orc = (catalog.QUERIES, catalog.ORACLES) if not os.environ.get("ORACLE_ALL") else (E.queries(), E.oracle_sql())
 bad = 0
 for k, fn in qs.items():
     if only and k not in only:

@@ -70,3 +70,37 @@ def test_ist_rollover(spark):
 def test_zero_pad_never_truncates(spark):
     df = spark.createDataFrame([(42,), (1234567,)], "u long")
     assert [r[0] for r in df.select(zero_pad(F.col("u"))).collect()] == ["000042", "1234567"]
+
+
+def test_idiv_is_exact_beyond_doubles(spark):
+    from leadflow.functions.arith import idiv
+    df = spark.createDataFrame([(9007199254740993, 1), (9007199254740993, 2), (-7, 2), (7, 2)], "a long, b long")
+    assert [r[0] for r in df.select(idiv(F.col("a"), F.col("b"))).collect()] == [9007199254740993, 4503599627370496, -4, 3]
+
+
+def test_previous_total_in_the_switch_month(spark):
+    """60 installs, 40 at 300 and 20 at 750: 12,000 + 15,000."""
+    july = replace(DEFAULT, month_start=dt.date(1998, 7, 1), month_end=dt.date(1998, 8, 1))
+    snap = spark.createDataFrame([(7, 60, 70)], "partner_id long, installs long, denom long")
+    overlay = spark.createDataFrame([(7, None, 750, dt.date(1998, 7, 27))], "partner_id long, joined date, rate_after int, switch date")
+    enrolled = spark.createDataFrame([(7,)], "partner_id long")
+    split = spark.createDataFrame([(7, 40, 20)], "partner_id long, inst_before long, inst_after long")
+    assert PO.prev_total(snap, overlay, enrolled, july, split).first()["total"] == 27000
+
+
+def test_settlement_record_splits_at_the_switch_day(spark):
+    daily = spark.createDataFrame([(7, dt.date(1998, 7, 26), 40, 45), (7, dt.date(1998, 7, 27), 20, 25), (8, dt.date(1998, 7, 2), 1, 2)],
+                                  "partner_id long, last_date date, i_d long, d_d long")
+    overlay = spark.createDataFrame([(7, None, 750, dt.date(1998, 7, 27))], "partner_id long, joined date, rate_after int, switch date")
+    enrolled = spark.createDataFrame([(7,), (8,), (9,)], "partner_id long")
+    got = {r["partner_id"]: (r["installs"], r["denom"], r["inst_before"], r["inst_after"]) for r in PO.settle_record(enrolled, daily, overlay).collect()}
+    assert got == {7: (60, 70, 40, 20), 8: (1, 2, None, None), 9: (0, 0, None, None)}
+
+
+def test_metric_since_enrolment(spark):
+    from leadflow.operators import leads as L
+    leads = spark.createDataFrame([(1, 7, dt.date(1998, 7, 5), 1, 1), (2, 7, dt.date(1998, 7, 20), 1, 1), (3, 8, dt.date(1998, 7, 5), 0, 1), (4, 7, dt.date(1998, 6, 5), 1, 1)],
+                                  "connection_id long, partner_id long, last_date date, has_installed int, tech_assigned int")
+    dates = spark.createDataFrame([(7, dt.date(1998, 7, 10))], "partner_id long, joined date")
+    run = lambda **k: {r["partner_id"]: (r["installs"], r["denom"]) for r in L.metric_tech(None, DEFAULT, leads=leads, **k).collect()}
+    assert run() == {7: (2, 2), 8: (0, 1)} and run(since_enrolment=dates) == {7: (1, 1), 8: (0, 1)}

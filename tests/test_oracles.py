@@ -4,16 +4,21 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
+from leadflow.plans import catalog
 from oracle import compare, type_mismatches
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+catalog.load_all()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_driver_contract_lists_them_all():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0

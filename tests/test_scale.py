@@ -77,16 +77,101 @@ def test_ticket_topk_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_size_check_broadcasts_small_sides_only(spark):
-    from leadflow.functions.joins import estimated_bytes, small
+def _static_plan(spark, df) -> str:
+    """The plan with neither AQE, broadcasts nor runtime filters to help it."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def _raw_exchanges(plan: str, table: str) -> list[str]:
+    """Exchanges that rows of ``table`` reach before any aggregate."""
+    lines = plan.split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if "FileScan" not in line or f"/{table}.parquet" not in line:
+            continue
+        at = depth[i]
+        for j in range(i - 1, -1, -1):  # upwards along the parents
+            if depth[j] >= at:
+                continue
+            at = depth[j]
+            if "Aggregate(" in lines[j]:
+                break
+            if "Exchange hashpartitioning" in lines[j]:
+                out.append(lines[j])
+                break
+    return out
+
+
+def test_no_exchange_on_raw_attempts(spark):
+    from leadflow.operators import payout as PO
     t = TestData(spark, MID)
-    assert 0 < estimated_bytes(t.rosters) < 1 << 20
-    hinted = small(t.rosters)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower() or \
-        "BroadcastHint" in hinted._jdf.queryExecution().logical().toString() or \
-        "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
-    assert small(t.attempts, limit=1024) is not None
-    assert "ResolvedHint" not in small(t.attempts, limit=1024)._jdf.queryExecution().analyzed().toString()
+    daily = L.daily_leads(L.month_history(t.attempts, P), P)
+    for df in (L.metric_tech(t.attempts, P), L.partner_month(t.attempts, P), L.metric_tech(t.attempts, P, impacted=t.ledger.select("connection_id")),
+               PO.settle_record(t.rosters, daily, t.overlay), PO.rate_split(daily, t.overlay)):
+        plan = _static_plan(spark, df)
+        assert plan.count("lineitem.parquet") == 1
+        assert _raw_exchanges(plan, "lineitem") == []
+
+
+def test_hot_keys_are_combined_before_joins(spark):
+    from leadflow.operators import cohorts as CO
+    from leadflow.operators import engagement as E
+    t = TestData(spark, MID)
+    assert _raw_exchanges(_static_plan(spark, CO.enrolment_dates(t.optins, t.audits, t.rosters)), "orders") == []
+    assert _raw_exchanges(_static_plan(spark, E.variant_totals(t.events, t.inventory)), "events") == []
+    assert _raw_exchanges(_static_plan(spark, E.view_click(t.events)), "events") == []
+    funnel = _static_plan(spark, E.segment_funnel(t.events, t.profiles, t.attempts, t.rosters, P.events_since, P.funnel_since))
+    assert funnel.count("lineitem.parquet") == 1 and _raw_exchanges(funnel, "lineitem") == []
+    lapse = CO.lapse_breakdown(L.bucketed_window(t.attempts, P), t.rosters, P.month_start, P.month_end)
+    assert _raw_exchanges(_static_plan(spark, lapse), "lineitem") == []
+    snap = S.month_snapshot(t.attempts, t.ledger, t.users, t.overlay, P)
+    assert _static_plan(spark, snap).count("lineitem.parquet") == 2
+
+
+def test_attempt_bounds_reach_parquet(spark):
+    import uuid
+
+    from leadflow.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/attempts-{uuid.uuid4().hex}"
+    TestData(spark, SMALL).attempts.write.parquet(path)
+    stored = spark.read.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        one = _plan(L.active_attempts(stored, P.as_of, P.window_days)).split("PushedFilters: [")[1].split("]")[0]
+        two = _plan(stored.where(F.col("active") & (F.col("created_at") >= F.lit("1998-07-09").cast("timestamp_ntz")))).split("PushedFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThan(updated_at,1998-08-15T00:00)" in one and "GreaterThanOrEqual(updated_at,1998-04-17T00:00)" in one
+    assert "GreaterThanOrEqual(created_at,1998-07-09T00:00)" in two
+
+
+def test_a_new_part_file_is_seen(spark, tmp_path):
+    """Nothing of an earlier call is kept: the same query in the same session reads files that came since."""
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from leadflow.plans import catalog
+    catalog.load_all()
+    for name in ("events", "lineitem", "orders", "customer", "supplier"):
+        (tmp_path / f"{name}.parquet").mkdir()
+        shutil.copyfile(f"{SMALL}/{name}.parquet", tmp_path / f"{name}.parquet" / "a.parquet")
+    query = catalog.QUERIES["scan_named_events"]
+    before = query(spark, str(tmp_path)).count()
+    raw = pq.read_table(f"{SMALL}/events.parquet")
+    pq.write_table(raw, str(tmp_path / "events.parquet" / "b.parquet"))
+    assert before > 0 and query(spark, str(tmp_path)).count() == 2 * before
+    total = catalog.QUERIES["stream_event_counts"](spark, str(tmp_path))
+    assert total.agg(F.sum("events")).first()[0] == raw.num_rows  # replayed events count once
 
 
 def test_hot_profile_click_counts_match_brute_force(spark):
