@@ -47,15 +47,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a stored table that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        target = jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(conf).delete(target, True)
-
-
 def ship(spark: SparkSession) -> None:
     """Give this package's code to the Python workers, once for each application, wherever the driver runs."""
     app = spark.sparkContext.applicationId
@@ -191,23 +182,24 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links (src, dst) lead to.
 
-    Labels go down along links and then jump to their label's label until nothing changes; both joins have a plainly
-    shuffled table on either side, so that AQE can split a node or label that holds a large part of the rows.
+    Labels go down along links, from the third round on also to their label's label, until nothing changes; the joins have a
+    plainly shuffled table on either side, so that AQE can split a node or label that holds a large part of the rows.
     """
     spark = nodes.sparkSession
     both = store(links.select("src", "dst").union(links.select(F.col("dst"), F.col("src"))).distinct(), "links")
     # nodes without links keep their own label and stay out of the loop
     labels = store(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")), "labels")
+    rounds = 0
     while True:
+        rounds += 1
         near = both.join(labels, both["src"] == labels["node"]).groupBy(F.col("dst").alias("at")).agg(F.min("component").alias("low"))
-        down = labels.join(near, labels["node"] == near["at"]).select("node", F.least("component", "low").alias("component"), F.col("component").alias("was"))
-        down = store(down, "labels")
-        jump = down.select(F.col("node").alias("at"), F.col("component").alias("low"))
-        new = down.join(jump, down["component"] == jump["at"], "left").select("node", F.least("component", "low").alias("component"), "was")
+        new = labels.join(near, labels["node"] == near["at"]).select("node", F.least("component", "low").alias("component"), F.col("component").alias("was"))
+        if rounds > 2:  # chains, not only stars
+            down = store(new, "labels")
+            jump = down.select(F.col("node").alias("at"), F.col("component").alias("low"))
+            new = down.join(jump, down["component"] == jump["at"], "left").select("node", F.least("component", "low").alias("component"), "was")
         new = store(new, "labels")
         moved = new.filter(F.col("component") != F.col("was")).limit(1).count()
-        discard(labels)
-        discard(down)
         labels = new.select("node", "component")
         if not moved:
             break
