@@ -128,6 +128,17 @@ def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix64(value + (ends - starts).astype(np.uint64) * _MUL2)
 
 
+def gram_hashes(body: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of each string of ``size`` bytes."""
+    sums = np.zeros(len(body) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((body.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(body)), out=sums[1:])
+        value = sums[size:]
+        value = value - sums[: len(value)]
+        value *= _powers(_BASE_INVERSE, len(value))
+        return mix64(value)
+
+
 #: The bytes that separate words: ASCII white space.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
