@@ -2,7 +2,7 @@
 
 A text is read as runs of letters, digits and other signs. Two streams of n-grams are hashed into one table: runs folded to
 lower case (1- and 2-grams), and their shapes (1- to 3-grams): kind, case of the first and last letter, whether a blank stands
-before, and for other signs the run itself. A gram's value is its share of the stream, so long and short texts score alike.
+before, whether it is the same run again, and for other signs the run itself. A gram's value is its share of the stream, so long and short texts score alike.
 
 Labels come from a bounded sample (``sample`` rows, chosen by a hash of the id), split among ``learners`` tasks whose weights
 are averaged; the weight table has ``2 ** bits`` rows whatever the input. Scoring reads every text once and shuffles nothing.
@@ -71,7 +71,10 @@ def features(body: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     before = kind[np.maximum(starts - 1, 0)] == 0
     before |= np.isin(starts, offsets)  # a text begins as if behind a blank
     shape = kind[starts] + 4 * _UPPER[body[starts]] + 8 * _UPPER[body[ends - 1]] + 16 * before.astype(np.uint64)
-    shape = shape.astype(np.uint64) + np.where(kind[starts] == 3, words << np.uint64(8), np.uint64(0))
+    again = np.zeros(len(words), bool)
+    again[1:] = words[1:] == words[:-1]
+    again[rows[:-1][rows[:-1] < len(words)]] = False
+    shape = shape.astype(np.uint64) + np.uint64(32) * again + np.where(kind[starts] == 3, words << np.uint64(8), np.uint64(0))
     a = _grams(words, rows, 2, 1, bits)
     b = _grams(shape, rows, 3, 2, bits)
     return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
