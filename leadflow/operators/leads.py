@@ -115,17 +115,18 @@ def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame |
         leads = month_history(attempts, p)
     if impacted is not None:
         leads = drop_impacted(leads, impacted)
-    day = F.when(in_month(p.month_start, p.month_end), F.col("last_date"))  # one NULL day for all other months
-    daily = leads.groupBy("partner_id", day.alias("day")).agg(
-        F.count_if(day.isNotNull() & (F.col("has_installed") == 1)).alias("i_d"),
-        F.count_if(day.isNotNull() & (F.col("tech_assigned") == 1)).alias("d_d"))
-    if since_enrolment is not None:
-        dates = since_enrolment.groupBy("partner_id").agg(F.min("joined").alias("_joined"))
-        early = F.coalesce(F.col("day") < F.col("_joined"), F.lit(False))
-        daily = daily.join(dates, "partner_id", "left").select(
-            "partner_id", *[F.when(early, 0).otherwise(F.col(c)).alias(c) for c in ("i_d", "d_d")])
-    return daily.groupBy("partner_id").agg(F.sum("i_d").cast("bigint").alias("installs"),
-                                           F.sum("d_d").cast("bigint").alias("denom"))
+    closed = in_month(p.month_start, p.month_end)
+    wins, counts = closed & (F.col("has_installed") == 1), closed & (F.col("tech_assigned") == 1)
+    if since_enrolment is None:
+        return leads.groupBy("partner_id").agg(F.count_if(wins).alias("installs"), F.count_if(counts).alias("denom"))
+    # by day before the join with the dates: a hot partner meets it as a row a day
+    day = F.when(closed, F.col("last_date"))  # one NULL day for all other months
+    daily = leads.groupBy("partner_id", day.alias("day")).agg(F.count_if(wins).alias("i_d"), F.count_if(counts).alias("d_d"))
+    dates = since_enrolment.groupBy("partner_id").agg(F.min("joined").alias("_joined"))
+    early = F.coalesce(F.col("day") < F.col("_joined"), F.lit(False))
+    kept = [F.when(early, 0).otherwise(F.col(c)) for c in ("i_d", "d_d")]
+    return daily.join(dates, "partner_id", "left").groupBy("partner_id").agg(
+        F.sum(kept[0]).cast("bigint").alias("installs"), F.sum(kept[1]).cast("bigint").alias("denom"))
 
 
 def partner_month(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
