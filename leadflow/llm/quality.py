@@ -26,6 +26,8 @@ from leadflow.llm.ftrl import fit, sampled
 BITS = 18
 SAMPLE = 12_000
 LEARNERS = 6
+#: Bytes of text whose grams a worker holds at a time (some 100 bytes each).
+CHUNK = 1 << 18
 
 #: Kind of a byte: 0 white space, 1 letter (or part of one), 2 digit, 3 other sign.
 _KIND = np.full(256, 3, np.uint8)
@@ -91,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.chunks(batch, "_text"):
+            for part in C.chunks(batch, "_text", CHUNK):
                 at, value, own = features(*C.text_bytes(part.column("_text")), bits)
                 out_at, out_value = [], []
                 order = np.lexsort((at, own))
@@ -118,7 +120,7 @@ def scorer(spark: SparkSession, weights: np.ndarray):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         w, out = table.value, [np.zeros(0)]
-        for part in C.chunks(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text"):
+        for part in C.chunks(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text", CHUNK):
             at, value, own = features(*C.text_bytes(part.column("_text")), bits)
             margin = np.bincount(own, w[at] * value, part.num_rows) + w[-1]
             out.append(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
