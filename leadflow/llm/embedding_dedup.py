@@ -3,7 +3,10 @@
 Each half of a vector has its own codebook; the product of the two is a grid of cells. A vector lives in the cell of its two
 nearest codewords and looks for neighbours in the nearest cells of the grid, visited in order of the summed squared distances
 by the multi-sequence algorithm, as many as a calibration says. The calibration compares ``queries`` vectors with all rows by
-brute force (a bounded set of queries, in blocks) and counts at which place of the traversal the true neighbours live.
+brute force (a bounded set of queries, in blocks) and counts at which place of the traversal their neighbours live, other
+vectors than the query itself; each query that has neighbours weighs alike. Where fewer than ``SEEN`` queries have some, all
+vectors of the sample are queries; where these are too few as well, nothing is known, and every cell is probed that can hold
+a neighbour. In any case cells too far away for one, by the distance to the bisector of two codewords, are left out.
 
 Codebooks come from a bounded sample (``sample`` vectors, chosen by a hash of the id); the number of codewords grows with the
 root of the rows, so that a cell's share stays alike. Equal vectors of a label are one class with a weight. A cell's members
@@ -32,6 +35,8 @@ THRESHOLD = 0.93
 RECALL = 0.999
 SAMPLE = 8192
 QUERIES = 512
+#: Queries with neighbours that a calibration needs.
+SEEN = 256
 BLOCK = 1024
 CELL_ROWS = 2000
 
@@ -103,8 +108,18 @@ class Index:
         a, b = self.books[dim]
         return distances(x[:, : dim // 2], a), distances(x[:, dim // 2 :], b)
 
-    def cells(self, dim: int) -> tuple[int, int]:
-        return tuple(len(b) for b in self.books[dim]) if dim in self.books else (1, 1)
+    def least(self, dim: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower bounds of the squared distances from vectors, whose halves are given, to any vector of each codeword."""
+        if dim not in self.books:
+            return np.zeros(a.shape), np.zeros(b.shape)
+        return tuple(_beyond(x, words) for x, words in zip((a, b), self.books[dim], strict=True))
+
+
+def _beyond(near: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Squared distance to the half space nearer to each codeword than to the nearest one."""
+    own = near.argmin(axis=1)
+    apart = np.sqrt(np.maximum(distances(words, words), 0))[own]
+    return np.divide(near - near[np.arange(len(near)), own][:, None], 2 * apart, out=np.zeros_like(near), where=apart > 1e-9) ** 2
 
 
 def matrix(column) -> np.ndarray:
@@ -118,40 +133,54 @@ def by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield int(d), batch.filter(pa.array(dims == d))
 
 
-def calibrated(classes: DataFrame, index: Index, queries: list[tuple[str, np.ndarray]], threshold: float, recall: float) -> int:
-    """How many cells hold ``recall`` of the true neighbours of the queries, by brute force against all classes."""
+def calibrated(classes: DataFrame, index: Index, queries: list[tuple[str, np.ndarray]], threshold: float, recall: float) -> int | None:
+    """How many cells hold ``recall`` of the other neighbours of a query, by brute force against all classes; None if too few have any."""
     spark = classes.sparkSession
     shared = spark.sparkContext.broadcast((index, queries))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, queries = shared.value
+        asked: dict[int, dict[str, list[int]]] = {}
+        for k, (label, q) in enumerate(queries):
+            asked.setdefault(len(q), {}).setdefault(label, []).append(k)
         orders: dict[int, np.ndarray] = {}
         for whole in batches:
             for dim, batch in by_dim(whole):
                 x, labels = matrix(batch.column("unit")), np.array(batch.column("label").to_pylist(), object)
                 a, b = index.halves(dim, x)
                 cell = a.argmin(axis=1) * b.shape[1] + b.argmin(axis=1)
-                places = []
-                for k, (label, q) in enumerate(queries):
-                    if len(q) != dim:
-                        continue
-                    near = np.flatnonzero((x @ q >= threshold) & (labels == label))
-                    if len(near):
-                        if k not in orders:
-                            qa, qb = index.halves(dim, q[None])
-                            order = (qa[0][:, None] + qb[0][None, :]).ravel().argsort(kind="stable")
-                            orders[k] = np.empty(len(order), int)
-                            orders[k][order] = np.arange(len(order))
-                        places += orders[k][cell[near]].tolist()
-                yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.int32())})
-
-    found = classes.select("label", "dim", "unit").mapInArrow(read, "place int").groupBy("place").count().orderBy("place").collect()  # a row a cell at most
-    total, reached = sum(r["count"] for r in found), 0
-    for r in found:
-        reached += r["count"]
-        if reached >= recall * total:
+                who, places = [], []
+                for label, ks in asked.get(dim, {}).items():
+                    mine = np.flatnonzero(labels == label)
+                    for low in range(0, len(ks), BLOCK):
+                        part = ks[low : low + BLOCK]
+                        near = x[mine] @ np.array([queries[k][1] for k in part]).T >= threshold
+                        for c in np.flatnonzero(near.any(axis=0)):
+                            k, rows = part[c], mine[near[:, c]]
+                            rows = rows[(x[rows] != queries[k][1]).any(axis=1)]  # not the query itself
+                            if not len(rows):
+                                continue
+                            if k not in orders:
+                                qa, qb = index.halves(dim, queries[k][1][None])
+                                order = (qa[0][:, None] + qb[0][None, :]).ravel().argsort(kind="stable")
+                                orders[k] = np.empty(len(order), int)
+                                orders[k][order] = np.arange(len(order))
+                            who += [k] * len(rows)
+                            places += orders[k][cell[rows]].tolist()
+                yield pa.RecordBatch.from_pydict({"query": pa.array(who, pa.int32()), "place": pa.array(places, pa.int32())})
+
+    found = C.store(classes.select("label", "dim", "unit").mapInArrow(read, "query int, place int").groupBy("query", "place").count(), "places")
+    each = found.groupBy("query").agg(F.sum("count").alias("all"))  # a row a query at most
+    seen = each.count()
+    if seen < SEEN:
+        return None
+    share = found.join(F.broadcast(each), "query").groupBy("place").agg(F.sum(F.col("count") / F.col("all")).alias("share"))
+    reached = 0.0
+    for r in share.orderBy("place").collect():  # a row a cell at most
+        reached += r["share"]
+        if reached >= recall * seen - 1e-9:
             return r["place"] + 1
-    return 1
+    return None
 
 
 def local_components(linked: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,21 +196,28 @@ def local_components(linked: np.ndarray, low: np.ndarray, high: np.ndarray) -> t
     return a, b
 
 
-def link_counts(classes: DataFrame, index: Index, visits: int, threshold: float) -> DataFrame:
-    """(_id, n, low): of each pair of blocks and each class in it that has links, their weight and the smallest id of its group."""
+def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold: float) -> DataFrame:
+    """(_id, n, low), ``visits`` None for all cells that can hold links: of each pair of blocks and each class in it that has links, their weight and the smallest id of its group."""
     spark = classes.sparkSession
     shared = spark.sparkContext.broadcast(index)
+    widest = 2 - 2 * threshold + 1e-6  # squared distance of unit vectors that link, and room for rounding
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for whole in batches:
             for dim, batch in by_dim(whole):
                 a, b = index.halves(dim, matrix(batch.column("unit")))
+                least_a, least_b = index.least(dim, a, b)
                 take, targets, homes = [], [], []
                 for k in range(batch.num_rows):
                     home = int(a[k].argmin()) * b.shape[1] + int(b[k].argmin())
+                    allowed = (least_a[k][:, None] + least_b[k][None, :] <= widest).ravel()
+                    if visits is None:
+                        reach = np.flatnonzero(allowed).tolist()
+                    else:
+                        reach = [c for i, j in multi_sequence(a[k], b[k], visits) if allowed[c := i * b.shape[1] + j]]
                     # of two cells the lower one's vectors probe the other, so a pair meets once
-                    cells = {home, *(c for i, j in multi_sequence(a[k], b[k], visits) if (c := i * b.shape[1] + j) > home)}
+                    cells = {home, *(c for c in reach if c > home)}
                     take += [k] * len(cells)
                     homes += [home] * len(cells)
                     targets += cells
@@ -243,7 +279,9 @@ def near_vectors(
     drawn = [(r["label"], np.frombuffer(r["unit"], np.float64)) for r in drawn]
     words = max(4, round((total / CELL_ROWS) ** 0.5))
     index = Index([v for _, v in drawn], words)
-    visits = calibrated(classes, index, drawn[:queries], threshold, recall) if drawn else 1
+    visits = calibrated(classes, index, drawn[:queries], threshold, recall) if recall < 1 and drawn else None
+    if visits is None and recall < 1 and len(drawn) > queries:
+        visits = calibrated(classes, index, drawn, threshold, recall)
     found = C.store(link_counts(classes, index, visits, threshold), "link-counts")
     linked = components(classes, found)
     per_class = classes.join(linked, "_id").select("label", "dim", "unit", (F.col("n") + F.col("weight") - 1).alias("n_links"), F.col("component").alias("component_id"))

@@ -88,6 +88,21 @@ def test_embedding_blocks_and_cases(spark, monkeypatch):
     assert E.near_vectors(df.limit(0)).count() == 0
 
 
+def test_rare_neighbours_are_found(spark, monkeypatch):
+    monkeypatch.setattr(E, "CELL_ROWS", 40)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(x)]
+    for k in range(40):  # a neighbour at cosine 0.94 of few vectors only
+        side = rng.normal(size=64)
+        side -= (side @ x[k]) * x[k]
+        rows.append((10_000 + k, (0.94 * x[k] + (1 - 0.94**2) ** 0.5 * side / np.linalg.norm(side)).tolist(), 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["_id"]: (r["n_links"], r["component_id"]) for r in E.near_vectors(df, queries=16).collect()}
+    assert {i: v for i, v in got.items() if v[0]} == {i: (1, k) for k in range(40) for i in (k, 10_000 + k)}
+
+
 def test_multi_sequence_is_in_order():
     rng = np.random.default_rng(2)
     a, b = rng.random(9), rng.random(7)
