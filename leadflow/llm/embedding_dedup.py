@@ -8,7 +8,7 @@ vectors than the query itself; each query that has neighbours weighs alike. Wher
 vectors of the sample are queries; where these are too few as well, nothing is known, and every cell is probed that can hold
 a neighbour. In any case cells too far away for one, by the distance to the bisector of two codewords, are left out.
 
-Codebooks come from a bounded sample (``sample`` vectors, chosen by a hash of the id); the number of codewords grows with the
+Codebooks come from a bounded sample (``sample`` vectors, chosen by a hash of the vector); the number of codewords grows with the
 root of the rows, so that a cell's share stays alike. Equal vectors of a label are one class with a weight. A cell's members
 and its probing vectors are dealt into blocks of a bounded number of rows; a task multiplies two blocks and gives back one
 row for each vector: how many it links with, and the smallest id of its group of links within the two blocks. So no list of
@@ -197,7 +197,7 @@ def local_components(linked: np.ndarray, low: np.ndarray, high: np.ndarray) -> t
 
 
 def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold: float) -> DataFrame:
-    """(_id, n, low), ``visits`` None for all cells that can hold links: of each pair of blocks and each class in it that has links, their weight and the smallest id of its group."""
+    """(key, n, low), ``visits`` None for all cells that can hold links: of each pair of blocks and each class in it that has links, their weight and the smallest key of its group."""
     spark = classes.sparkSession
     shared = spark.sparkContext.broadcast(index)
     widest = 2 - 2 * threshold + 1e-6  # squared distance of unit vectors that link, and room for rounding
@@ -223,20 +223,20 @@ def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold:
                     targets += cells
                 out = batch.take(pa.array(take, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*out.columns, pa.array(homes, pa.int32()), pa.array(targets, pa.int32())], ["_id", "label", "dim", "unit", "weight", "home", "cell"]
+                    [*out.columns, pa.array(homes, pa.int32()), pa.array(targets, pa.int32())], ["key", "label", "dim", "unit", "weight", "home", "cell"]
                 )
 
     probes = C.store(
-        classes.select("_id", "label", "dim", "unit", "weight").mapInArrow(probe, "_id long, label string, dim int, unit binary, weight long, home int, cell int"), "probes"
+        classes.select("key", "label", "dim", "unit", "weight").mapInArrow(probe, "key long, label string, dim int, unit binary, weight long, home int, cell int"), "probes"
     )
-    key = ["label", "dim", "cell"]
+    place = ["label", "dim", "cell"]
     own = F.col("home") == F.col("cell")
-    sizes = C.store(probes.groupBy(*key).agg(F.count_if(own).alias("members"), F.count_if(~own).alias("visitors")), "cells")
+    sizes = C.store(probes.groupBy(*place).agg(F.count_if(own).alias("members"), F.count_if(~own).alias("visitors")), "cells")
 
     def blocks(rows: DataFrame, count: str, name: str) -> DataFrame:
         n = F.ceil(F.col(count) / F.lit(BLOCK))
-        dealt = rows.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("_id"), n))
-        packed = dealt.groupBy(*key, "block").agg(F.collect_list(F.struct("_id", "unit", "weight")).alias(name))
+        dealt = rows.join(sizes, place).withColumn("block", F.pmod(F.xxhash64("key"), n))
+        packed = dealt.groupBy(*place, "block").agg(F.collect_list(F.struct("key", "unit", "weight")).alias(name))
         return C.store(packed.withColumnRenamed("block", f"{name}_block"), name)
 
     members, visitors = blocks(probes.filter(own), "members", "a"), blocks(probes.filter(~own), "visitors", "b")
@@ -245,7 +245,7 @@ def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold:
         for batch in batches:
             for k in range(batch.num_rows):
                 one, two = batch.column("one")[k].as_py(), batch.column("two")[k].as_py()
-                ids = [np.array([r["_id"] for r in x], np.int64) for x in (one, two)]
+                ids = [np.array([r["key"] for r in x], np.int64) for x in (one, two)]
                 weight = [np.array([r["weight"] for r in x], np.int64) for x in (one, two)]
                 x, y = (np.frombuffer(b"".join(r["unit"] for r in v), np.float64).reshape(len(v), -1) for v in (one, two))
                 linked = x @ y.T >= threshold
@@ -255,26 +255,27 @@ def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold:
                 n = linked.astype(np.int64) @ weight[1], weight[0] @ linked.astype(np.int64)
                 for s in (0, 1):
                     has = n[s] > 0
-                    yield pa.RecordBatch.from_pydict({"_id": ids[s][has], "n": n[s][has], "low": low[s][has]})
+                    yield pa.RecordBatch.from_pydict({"key": ids[s][has], "n": n[s][has], "low": low[s][has]})
 
     m2 = members.withColumnRenamed("a", "two").withColumnRenamed("a_block", "two_block")
-    within = members.join(m2, key).filter(F.col("a_block") <= F.col("two_block"))
+    within = members.join(m2, place).filter(F.col("a_block") <= F.col("two_block"))
     within = within.select(F.col("a").alias("one"), "two", (F.col("a_block") == F.col("two_block")).alias("same"))
-    across = members.join(visitors, key).select(F.col("a").alias("one"), F.col("b").alias("two"), F.lit(False).alias("same"))
-    shape = "_id long, n long, low long"
+    across = members.join(visitors, place).select(F.col("a").alias("one"), F.col("b").alias("two"), F.lit(False).alias("same"))
+    shape = "key long, n long, low long"
     return within.mapInArrow(multiply, shape).union(across.mapInArrow(multiply, shape))
 
 
 def near_vectors(
     rows: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, sample: int = SAMPLE, queries: int = QUERIES, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"
 ) -> DataFrame:
-    """(_id, n_links, component_id) of every vector."""
+    """(_id, n_links, component_id, kept) of every vector; of each component the smallest id's vector is kept, one if it has several."""
     vectors = C.store(unit_vectors(rows, id_col, vector_col, label_col), "vectors")
     usable = vectors.filter(F.col("unit").isNotNull())
-    # numbers of equal vectors; their smallest id stands for them
-    classes = C.store(usable.groupBy("label", "dim", "unit").agg(F.min("_id").alias("_id"), F.count("*").alias("weight")), "classes")
+    # numbers of equal vectors; ids may repeat (all null ones are NO_ID), so a number of its own stands for each class
+    classes = usable.groupBy("label", "dim", "unit").agg(F.min("_id").alias("_id"), F.count("*").alias("weight"))
+    classes = C.store(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
     total = classes.count()
-    share = F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(1 << 24))
+    share = F.pmod(F.xxhash64(F.lit(5), "unit"), F.lit(1 << 24))
     drawn = classes.filter(share < int(min(1.0, sample / max(total, 1)) * (1 << 24))).select("label", "unit").limit(2 * sample).collect()
     drawn = [(r["label"], np.frombuffer(r["unit"], np.float64)) for r in drawn]
     words = max(4, round((total / CELL_ROWS) ** 0.5))
@@ -283,16 +284,20 @@ def near_vectors(
     if visits is None and recall < 1 and len(drawn) > queries:
         visits = calibrated(classes, index, drawn, threshold, recall)
     found = C.store(link_counts(classes, index, visits, threshold), "link-counts")
-    linked = components(classes, found)
-    per_class = classes.join(linked, "_id").select("label", "dim", "unit", (F.col("n") + F.col("weight") - 1).alias("n_links"), F.col("component").alias("component_id"))
+    linked = C.store(components(classes, found), "components")
+    named = linked.join(classes.select("key", "label", "dim", "unit", "_id", "weight"), "key")
+    firsts = C.store(named.groupBy("component").agg(F.min(F.struct("_id", "key")).alias("first")), "firsts")
+    per_class = named.join(firsts, "component").select(
+        "label", "dim", "unit", (F.col("n") + F.col("weight") - 1).alias("n_links"), F.col("first._id").alias("component_id"), (F.col("first.key") == F.col("key")).alias("kept")
+    )
     per_class = C.store(per_class, "linked-classes")
-    out = usable.join(per_class, ["label", "dim", "unit"]).select("_id", "n_links", "component_id")
-    alone = vectors.filter(F.col("unit").isNull()).select("_id", F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
+    out = usable.join(per_class, ["label", "dim", "unit"]).select("_id", "n_links", "component_id", (F.col("kept") & (F.col("_id") == F.col("component_id"))).alias("kept"))
+    alone = vectors.filter(F.col("unit").isNull()).select("_id", F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"), F.lit(True).alias("kept"))
     return out.union(alone)
 
 
 def components(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """(_id, n, component) of each class."""
-    counts = found.groupBy("_id").agg(F.sum("n").alias("n"))
-    groups = C.components(classes.select(F.col("_id").alias("node")), found.filter(F.col("_id") != F.col("low")).select(F.col("_id").alias("src"), F.col("low").alias("dst")))
-    return groups.withColumnRenamed("node", "_id").join(counts, "_id", "left").select("_id", F.coalesce("n", F.lit(0)).alias("n"), "component")
+    """(key, n, component) of each class."""
+    counts = found.groupBy("key").agg(F.sum("n").alias("n"))
+    groups = C.components(classes.select(F.col("key").alias("node")), found.filter(F.col("key") != F.col("low")).select(F.col("key").alias("src"), F.col("low").alias("dst")))
+    return groups.withColumnRenamed("node", "key").join(counts, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"), "component")

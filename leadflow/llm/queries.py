@@ -61,7 +61,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_embedding_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
-    return found.select(C.public_id(out="vec_id"), "n_links", C.public_id("component_id", "component_id"), (F.col("_id") == F.col("component_id")).alias("kept"))
+    return found.select(C.public_id(out="vec_id"), "n_links", C.public_id("component_id", "component_id"), "kept")
 
 
 @query("op3_substring_dedup")

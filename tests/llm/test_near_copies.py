@@ -103,6 +103,17 @@ def test_rare_neighbours_are_found(spark, monkeypatch):
     assert {i: v for i, v in got.items() if v[0]} == {i: (1, k) for k in range(40) for i in (k, 10_000 + k)}
 
 
+def test_vectors_without_an_id_or_of_one_id(spark):
+    rng = np.random.default_rng(5)
+    x = np.eye(16)
+    rows = [(None, x[k].tolist(), 1) for k in range(6)] + [(None, None, 1), (7, x[8].tolist(), 1), (7, x[9].tolist(), 1)]
+    rows += [(None, (x[0] + rng.normal(size=16) * 0.01).tolist(), 1), (3, (x[9] + rng.normal(size=16) * 0.01).tolist(), 1)]
+    found = E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    got = sorted((r["_id"], r["n_links"], r["component_id"], r["kept"]) for r in found.collect())
+    alone = [(C.NO_ID, 0, C.NO_ID, True)] * 6
+    assert got == sorted([(3, 1, 3, True), (7, 0, 7, True), (7, 1, 3, False), *alone, (C.NO_ID, 1, C.NO_ID, False), (C.NO_ID, 1, C.NO_ID, True)])
+
+
 def test_multi_sequence_is_in_order():
     rng = np.random.default_rng(2)
     a, b = rng.random(9), rng.random(7)
