@@ -10,8 +10,8 @@ Items of fewer than ``WINDOW`` words, but at least ``LITERAL``, are one window o
 benchmark are counted; up to ``SENT_WINDOWS`` they are sent to all tasks (16 bytes each), so that documents' windows need no
 shuffle; beyond that number the join is a shuffled one.
 
-Null and empty texts and items have no windows. Rows that repeat an id are one document; a null id counts as one that sorts
-last; null item ids don't count. Ties can't arise: every item that a document holds is listed.
+Null and empty texts and items have no windows. ``contamination`` counts by id, null ids as one that sorts last;
+``decontaminated`` judges each text of a null or repeated id by itself. Null item ids don't count. Ties can't arise: every item that a document holds is listed.
 """
 
 from __future__ import annotations
@@ -85,6 +85,11 @@ def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, literal: int = LITERAL, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """(_id, item, n_windows): the items whose windows a document holds with slots that agree, and how many of them."""
+    return _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).groupBy("_id", "item").agg(F.sum("n").alias("n_windows"))
+
+
+def _held(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """(_id, _print, item, n) of each diagonal whose slots agree; ``_print`` tells texts of one id apart."""
     mine = C.id_and_text(docs, id_col, text_col)
     theirs = C.store(benchmark_windows(items, window, literal, item_col, item_text_col), "benchmark-windows")
     keys = theirs.select("n", "h").distinct()
@@ -112,12 +117,14 @@ def _agreeing(mine: DataFrame, items: DataFrame, hits: DataFrame, item_col: str,
     pair = F.transform(places, lambda p: F.struct(F.get("w", p).alias("d"), F.get("v", p - F.col("shift")).alias("b")))
     slot = F.array_distinct(F.filter(pair, lambda x: x["b"].rlike("^[" + NUMBER + NAME + UNIT + "]")))
     one_to_one = (F.size("slot") == F.size(F.array_distinct(F.col("slot.d")))) & (F.size("slot") == F.size(F.array_distinct(F.col("slot.b"))))
-    judged = both.select("_id", "item", F.size("at").alias("n"), slot.alias("slot")).filter(one_to_one)
-    return judged.groupBy("_id", "item").agg(F.sum("n").alias("n_windows"))
+    judged = both.select("_id", "_print", "item", F.size("at").alias("n"), slot.alias("slot")).filter(one_to_one)
+    return judged.select("_id", "_print", "item", "n")
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item's window."""
-    bad = contamination(docs, items, id_col=id_col, text_col=text_col, **options).select("_id").distinct()
-    key = F.coalesce(docs[id_col].cast("long"), F.lit(C.NO_ID))
-    return docs.join(bad, key == bad["_id"], "left_anti")
+def decontaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, literal: int = LITERAL, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item's window; texts of a null or repeated id are judged one by one."""
+    bad = _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).select("_id", "_print").distinct()
+    key, text = F.coalesce(docs[id_col].cast("long"), F.lit(C.NO_ID)), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(bad, (key == bad["_id"]) & (text == bad["_print"]), "left_anti")

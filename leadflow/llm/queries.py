@@ -80,7 +80,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_order_minhash_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))
-    return found.select(C.public_id(), C.public_id("class_id", "class_id"), (F.col("_id") == F.col("class_id")).alias("kept"))
+    return found.select(C.public_id(), C.public_id("class_id", "class_id"), "kept")
 
 
 _OP6_SQL = """

@@ -159,3 +159,9 @@ def test_decontaminated_keeps_columns(spark, awkward):
     out = D.decontaminated(awkward, items)
     assert out.columns == awkward.columns
     assert sorted((r["doc_id"] for r in out.collect()), key=str) == sorted((r["doc_id"] for r in awkward.collect() if r["doc_id"] not in (1, 6)), key=str)
+
+
+def test_null_and_repeated_ids_are_judged_one_by_one(spark):
+    docs = spark.createDataFrame([(None, QUESTION), (None, "a clean text"), (None, None), (4, QUESTION), (4, "another clean text")], "doc_id long, text string")
+    kept = D.decontaminated(docs, spark.createDataFrame([(7, QUESTION)], "item_id long, text string")).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, "a clean text"), (None, None), (4, "another clean text")], key=str)

@@ -220,6 +220,16 @@ def test_near_copies_awkward(spark, awkward, empty):
     assert M.near_duplicates(empty).count() == 0 and M.one_of_each(empty).count() == 0
 
 
+def test_null_and_repeated_ids_are_told_apart(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    docs = spark.createDataFrame([(1, a), (2, b), (None, a), (None, b), (None, c), (None, d), (None, d + " z"), (5, d), (5, e)], "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in M.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (None, c), (5, d), (5, e)], key=str)
+    assert M.near_duplicates(docs).filter("kept").count() == 5
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------------
 
 
