@@ -10,6 +10,9 @@ Items of fewer than ``WINDOW`` words, but at least ``LITERAL``, are one window o
 benchmark are counted; up to ``SENT_WINDOWS`` they are sent to all tasks (16 bytes each), so that documents' windows need no
 shuffle; beyond that number the join is a shuffled one.
 
+``decontaminated`` also looks for word-for-word copies: windows of ``WINDOW`` plain words, values included, whatever their case,
+line breaks or blanks. Items of fewer words are one window. ``contamination`` counts template windows only, as its SQL does.
+
 Null and empty texts and items have no windows. ``contamination`` counts by id, null ids as one that sorts last;
 ``decontaminated`` judges each text of a null or repeated id by itself. Null item ids don't count. Ties can't arise: every item that a document holds is listed.
 """
@@ -63,6 +66,11 @@ def template(text: Column) -> Column:
     return words(F.regexp_replace(text, *_VALUE))
 
 
+def plain(text: Column) -> Column:
+    """The words of a text in lower case, values as they are."""
+    return words(F.lower(text))
+
+
 def _window_hashes(t: Column, n) -> Column:
     """Hash of each window of ``n`` words, in order; none where there are fewer words."""
     count = F.size(t) - n + 1
@@ -121,10 +129,26 @@ def _agreeing(mine: DataFrame, items: DataFrame, hits: DataFrame, item_col: str,
     return judged.select("_id", "_print", "item", "n")
 
 
+def verbatim(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col: str, text_col: str, item_text_col: str, item_col: str) -> DataFrame:
+    """(_id, _print) of documents that hold a window of an item word for word."""
+    mine = C.id_and_text(docs, id_col, text_col)
+    asked = items.select(items[item_col].cast("long").alias("item"), items[item_text_col].alias("text")).dropna().select(plain(F.col("text")).alias("t"))
+    asked = asked.withColumn("n", F.least(F.size("t"), F.lit(window))).filter(F.col("n") >= literal)
+    keys = C.store(asked.select("n", F.explode(_window_hashes(F.col("t"), F.col("n"))).alias("h")).distinct(), "verbatim-windows")
+    sent = F.broadcast(keys) if keys.count() <= SENT_WINDOWS else keys
+    sizes = sorted(r["n"] for r in keys.select("n").distinct().collect())  # at most window lengths
+    t = mine.select("_id", F.xxhash64("_text").alias("_print"), "_text", plain(F.col("_text")).alias("t"))
+    found = mine.sparkSession.createDataFrame([], "_id long, _print long, n int, h long")
+    for n in sizes:
+        found = found.union(t.select("_id", "_print", F.lit(n).alias("n"), F.explode(_window_hashes(F.col("t"), n)).alias("h")))
+    return found.join(sent, ["n", "h"], "left_semi").select("_id", "_print")
+
+
 def decontaminated(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, literal: int = LITERAL, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item's window; texts of a null or repeated id are judged one by one."""
-    bad = _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).select("_id", "_print").distinct()
+    bad = _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).select("_id", "_print")
+    bad = bad.union(verbatim(docs, items, window, literal, id_col, text_col, item_text_col, item_col)).distinct()
     key, text = F.coalesce(docs[id_col].cast("long"), F.lit(C.NO_ID)), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     return docs.join(bad, (key == bad["_id"]) & (text == bad["_print"]), "left_anti")

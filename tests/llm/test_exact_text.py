@@ -165,3 +165,11 @@ def test_null_and_repeated_ids_are_judged_one_by_one(spark):
     docs = spark.createDataFrame([(None, QUESTION), (None, "a clean text"), (None, None), (4, QUESTION), (4, "another clean text")], "doc_id long, text string")
     kept = D.decontaminated(docs, spark.createDataFrame([(7, QUESTION)], "item_id long, text string")).collect()
     assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, "a clean text"), (None, None), (4, "another clean text")], key=str)
+
+
+def test_word_for_word_copies(spark):
+    docs = [(1, QUESTION.upper()), (2, QUESTION.lower()), (3, QUESTION.replace(" ", "\n")), (4, QUESTION.replace(" ", "  "))]
+    docs += [(10, "clean")]
+    items = spark.createDataFrame([(1, QUESTION), (5, None), (6, "")], "item_id long, text string")
+    kept = D.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted(r["doc_id"] for r in kept) == [10]
