@@ -11,7 +11,8 @@ benchmark are counted; up to ``SENT_WINDOWS`` they are sent to all tasks (16 byt
 shuffle; beyond that number the join is a shuffled one.
 
 ``decontaminated`` also looks for word-for-word copies: windows of ``WINDOW`` plain words, values included, whatever their case,
-line breaks or blanks. Items of fewer words are one window. ``contamination`` counts template windows only, as its SQL does.
+line breaks or blanks; signs of scripts without blanks are words. Items of fewer words are one window, those of fewer than
+``LITERAL`` words count where they are a whole line. ``contamination`` counts template windows only, as its SQL does.
 
 Null and empty texts and items have no windows. ``contamination`` counts by id, null ids as one that sorts last;
 ``decontaminated`` judges each text of a null or repeated id by itself. Null item ids don't count. Ties can't arise: every item that a document holds is listed.
@@ -47,6 +48,8 @@ _RULES = (
     ("(?i)(" + NUMBER + "[0-9" + INNER + "]+) ?(" + UNITS + r")([^\p{L}\p{N}]|$)", "$1 " + UNIT + "$2$3"),
 )
 _VALUE = ("([" + NUMBER + NAME + UNIT + r"])[\p{L}\p{N}%" + INNER + "]+", "$1")
+#: Signs of scripts that put no blanks between words.
+_SPACELESS = (r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])", " $1 ")
 _GAP = r"[^\p{L}\p{N}" + NUMBER + NAME + UNIT + INNER + "%]+"
 
 
@@ -68,7 +71,7 @@ def template(text: Column) -> Column:
 
 def plain(text: Column) -> Column:
     """The words of a text in lower case, values as they are."""
-    return words(F.lower(text))
+    return words(F.regexp_replace(F.lower(text), *_SPACELESS))
 
 
 def _window_hashes(t: Column, n) -> Column:
@@ -130,17 +133,21 @@ def _agreeing(mine: DataFrame, items: DataFrame, hits: DataFrame, item_col: str,
 
 
 def verbatim(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col: str, text_col: str, item_text_col: str, item_col: str) -> DataFrame:
-    """(_id, _print) of documents that hold a window of an item word for word."""
+    """(_id, _print) of documents that hold a window of an item word for word, or a shorter item as a line."""
     mine = C.id_and_text(docs, id_col, text_col)
     asked = items.select(items[item_col].cast("long").alias("item"), items[item_text_col].alias("text")).dropna().select(plain(F.col("text")).alias("t"))
-    asked = asked.withColumn("n", F.least(F.size("t"), F.lit(window))).filter(F.col("n") >= literal)
+    asked = asked.withColumn("n", F.least(F.size("t"), F.lit(window))).filter("n > 0")
     keys = C.store(asked.select("n", F.explode(_window_hashes(F.col("t"), F.col("n"))).alias("h")).distinct(), "verbatim-windows")
     sent = F.broadcast(keys) if keys.count() <= SENT_WINDOWS else keys
     sizes = sorted(r["n"] for r in keys.select("n").distinct().collect())  # at most window lengths
     t = mine.select("_id", F.xxhash64("_text").alias("_print"), "_text", plain(F.col("_text")).alias("t"))
     found = mine.sparkSession.createDataFrame([], "_id long, _print long, n int, h long")
     for n in sizes:
-        found = found.union(t.select("_id", "_print", F.lit(n).alias("n"), F.explode(_window_hashes(F.col("t"), n)).alias("h")))
+        if n >= literal:
+            found = found.union(t.select("_id", "_print", F.lit(n).alias("n"), F.explode(_window_hashes(F.col("t"), n)).alias("h")))
+    if sizes and sizes[0] < literal:
+        lines = t.select("_id", "_print", F.explode(F.split("_text", "[\r\n]+")).alias("line")).select("_id", "_print", plain(F.col("line")).alias("t"))
+        found = found.union(lines.filter(F.size("t").between(1, literal - 1)).select("_id", "_print", F.size("t").alias("n"), F.xxhash64("t").alias("h")))
     return found.join(sent, ["n", "h"], "left_semi").select("_id", "_print")
 
 

@@ -168,8 +168,9 @@ def test_null_and_repeated_ids_are_judged_one_by_one(spark):
 
 
 def test_word_for_word_copies(spark):
+    short, spaceless = "Compute 12 + 35 * 4 - 7", "一辆汽车以每小时六十公里的速度行驶三个小时后停下"
     docs = [(1, QUESTION.upper()), (2, QUESTION.lower()), (3, QUESTION.replace(" ", "\n")), (4, QUESTION.replace(" ", "  "))]
-    docs += [(10, "clean")]
-    items = spark.createDataFrame([(1, QUESTION), (5, None), (6, "")], "item_id long, text string")
+    docs += [(5, f"So: {short}."), (6, "So: Compute 13 + 36 * 5 - 8."), (7, "前文" + spaceless + "后文"), (8, "first\n 2 + 2 =  4\nlast"), (9, "all of 2 2 4 here"), (10, "clean")]
+    items = spark.createDataFrame([(1, QUESTION), (2, short), (3, spaceless), (4, "2 + 2 = 4"), (5, None), (6, "")], "item_id long, text string")
     kept = D.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
-    assert sorted(r["doc_id"] for r in kept) == [10]
+    assert sorted(r["doc_id"] for r in kept) == [6, 9, 10]
