@@ -12,7 +12,8 @@ shuffle; beyond that number the join is a shuffled one.
 
 ``decontaminated`` also looks for word-for-word copies: windows of ``WINDOW`` plain words, values included, whatever their case,
 line breaks or blanks; signs of scripts without blanks are words. Items of fewer words are one window, those of fewer than
-``LITERAL`` words count where they are a whole line. ``contamination`` counts template windows only, as its SQL does.
+``LITERAL`` words count where they are a whole line. It judges the slots of each
+template window by themselves. ``contamination`` counts template windows only and judges diagonals, as its SQL does.
 
 Null and empty texts and items have no windows. ``contamination`` counts by id, null ids as one that sorts last;
 ``decontaminated`` judges each text of a null or repeated id by itself. Null item ids don't count. Ties can't arise: every item that a document holds is listed.
@@ -99,8 +100,8 @@ def contamination(
     return _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).groupBy("_id", "item").agg(F.sum("n").alias("n_windows"))
 
 
-def _held(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
-    """(_id, _print, item, n) of each diagonal whose slots agree; ``_print`` tells texts of one id apart."""
+def _held(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col: str, text_col: str, item_col: str, item_text_col: str, each: bool = False) -> DataFrame:
+    """(_id, _print, item, n) of each diagonal whose slots agree, or ``each`` window's; ``_print`` tells texts of one id apart."""
     mine = C.id_and_text(docs, id_col, text_col)
     theirs = C.store(benchmark_windows(items, window, literal, item_col, item_text_col), "benchmark-windows")
     keys = theirs.select("n", "h").distinct()
@@ -114,21 +115,30 @@ def _held(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col:
         found = p if found is empty else found.union(p)
     hits = C.store(found.join(keys, ["n", "h"]), "window-hits")
     hits = hits.join(theirs, ["n", "h"]).select("_id", "_print", "item", "n", "pos", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"))
-    return _agreeing(mine, items, C.store(hits, "hits"), item_col, item_text_col)
+    return _agreeing(mine, items, C.store(hits, "hits"), item_col, item_text_col, each)
 
 
-def _agreeing(mine: DataFrame, items: DataFrame, hits: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+def _agreeing(mine: DataFrame, items: DataFrame, hits: DataFrame, item_col: str, item_text_col: str, each: bool) -> DataFrame:
     """Hits by (document, item) along diagonals on which the slots' values stand for each other one to one."""
     spans = hits.groupBy("_id", "_print", "item", "shift").agg(F.collect_set("pos").alias("at"), F.max("n").alias("n"))
     texts = mine.withColumn("_print", F.xxhash64("_text")).join(hits.select("_id", "_print").distinct(), ["_id", "_print"], "left_semi")
     texts = texts.select("_id", "_print", words(marked(F.col("_text"))).alias("w")).dropDuplicates(["_id", "_print"])
     asked = items.select(items[item_col].cast("long").alias("item"), words(marked(items[item_text_col])).alias("v")).dropna().dropDuplicates(["item", "v"])
     both = spans.join(texts, ["_id", "_print"]).join(asked, "item")
-    places = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.col("n") - 1))))
-    pair = F.transform(places, lambda p: F.struct(F.get("w", p).alias("d"), F.get("v", p - F.col("shift")).alias("b")))
-    slot = F.array_distinct(F.filter(pair, lambda x: x["b"].rlike("^[" + NUMBER + NAME + UNIT + "]")))
-    one_to_one = (F.size("slot") == F.size(F.array_distinct(F.col("slot.d")))) & (F.size("slot") == F.size(F.array_distinct(F.col("slot.b"))))
-    judged = both.select("_id", "_print", "item", F.size("at").alias("n"), slot.alias("slot")).filter(one_to_one)
+
+    def slots(places: Column) -> Column:
+        pair = F.transform(places, lambda p: F.struct(F.get("w", p).alias("d"), F.get("v", p - F.col("shift")).alias("b")))
+        return F.array_distinct(F.filter(pair, lambda x: x["b"].rlike("^[" + NUMBER + NAME + UNIT + "]")))
+
+    def one_to_one(slot: Column) -> Column:
+        return (F.size(slot) == F.size(F.array_distinct(slot["d"]))) & (F.size(slot) == F.size(F.array_distinct(slot["b"])))
+
+    if each:  # a conflict rejects only the windows that hold it
+        agreeing = F.filter("at", lambda p: one_to_one(slots(F.sequence(p, p + F.col("n") - 1))))
+        judged = both.select("_id", "_print", "item", F.size(agreeing).alias("n")).filter("n > 0")
+    else:
+        places = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.col("n") - 1))))
+        judged = both.select("_id", "_print", "item", F.size("at").alias("n"), slots(places).alias("slot")).filter(one_to_one(F.col("slot")))
     return judged.select("_id", "_print", "item", "n")
 
 
@@ -155,7 +165,7 @@ def decontaminated(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, literal: int = LITERAL, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item's window; texts of a null or repeated id are judged one by one."""
-    bad = _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col).select("_id", "_print")
+    bad = _held(docs, items, window, literal, id_col, text_col, item_col, item_text_col, each=True).select("_id", "_print")
     bad = bad.union(verbatim(docs, items, window, literal, id_col, text_col, item_text_col, item_col)).distinct()
     key, text = F.coalesce(docs[id_col].cast("long"), F.lit(C.NO_ID)), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     return docs.join(bad, (key == bad["_id"]) & (text == bad["_print"]), "left_anti")

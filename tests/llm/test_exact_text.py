@@ -174,3 +174,18 @@ def test_word_for_word_copies(spark):
     items = spark.createDataFrame([(1, QUESTION), (2, short), (3, spaceless), (4, "2 + 2 = 4"), (5, None), (6, "")], "item_id long, text string")
     kept = D.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
     assert sorted(r["doc_id"] for r in kept) == [6, 9, 10]
+
+
+def test_a_conflict_rejects_its_windows_only(spark):
+    item = "Tom has 12 apples and then he walks along the road to the market where people sell 12 old books to him"
+    one_changed = "Sue has 31 pears or so. Sue has 31 apples and then he walks along the river to the market where people sell 32 old books to him"
+    docs = [(1, item.replace("12 old", "13 old").replace("road", "lane").replace("and then he", "and so she")), (2, one_changed), (3, "Sue has 31 pears")]
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    near = spark.createDataFrame([(8, "the 5 red cats saw the 5 red dogs")], "item_id long, text string")
+    conflict = spark.createDataFrame([(1, "the 6 red cats saw the 7 red dogs"), (2, "the 6 red cats saw the 6 red dogs")], "doc_id long, text string")
+    assert [r["doc_id"] for r in D.decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()] == [3]
+    assert [r["doc_id"] for r in D.decontaminated(conflict, near).collect()] == [1]
+    # template windows agree though no eight plain words do
+    far = "We know that Sue has 31 apples in the box and Mary gives 8 km of rope to Karl, how many apples does old Sue have after 32 days of work?"
+    b = spark.createDataFrame([(7, QUESTION)], "item_id long, text string")
+    assert D.decontaminated(spark.createDataFrame([(1, far)], "doc_id long, text string"), b).count() == 0
