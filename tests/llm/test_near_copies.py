@@ -197,6 +197,22 @@ def test_near_copies(spark):
     assert got == near_by_hand(rows) == planted
 
 
+def test_links_well_below_equal_shingles(spark):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for k in range(80):  # pairs at a word edit similarity of 0.85
+        base = [word() for _ in range(300)]
+        other = list(base)
+        for i in rng.sample(range(300), 45):
+            other[i] = word()
+        rows += [(k, " ".join(base)), (1000 + k, " ".join(other))]
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[1000 + k] == k for k in range(80))
+    print("FOUND", found)
+    assert found >= 72 and all(got[i] in (i, i - 1000) for i in got)
+
+
 def test_near_copies_on_documents(spark, texts):
     got = {r["doc_id"]: r["class_id"] for r in Q.QUERIES["op5_order_minhash_dedup"](spark, MID).collect()}
     rows = [(i, t) for i, t in texts.items() if len(t) < 2500]
