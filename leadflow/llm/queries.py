@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators over whole tables, with their DuckDB SQL where SQL can express them."""
+"""The registered queries of the thirteen operators over whole tables, with their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from leadflow.llm.decontaminate import INNER, NAME, NUMBER, UNIT, UNITS, contami
 from leadflow.llm.embedding_dedup import near_vectors
 from leadflow.llm.langid import predict
 from leadflow.llm.langid import train as train_langid
+from leadflow.llm.lexical import ranked
 from leadflow.llm.line_dedup import line_dedup
 from leadflow.llm.order_minhash import near_duplicates
 from leadflow.llm.packing import pack
@@ -177,3 +178,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), default_vocabulary())
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP11_SQL = f"""
+WITH told AS (SELECT doc_id, unnest({_TERMS}) AS t FROM documents),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM told GROUP BY doc_id, t),
+sizes AS (SELECT doc_id, count(*) AS n FROM told GROUP BY doc_id),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tfs WHERE t IN (SELECT t FROM asked) GROUP BY t), whole),
+lengths AS (SELECT doc_id, 100 - 50 + ((50 * n * n_docs) // n_terms) AS m FROM sizes, whole),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN tfs USING (t) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id),
+placed AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
+
+
+@query("op11_lexical_search", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked(documents(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("item_id", "rank", C.public_id(), "score")
