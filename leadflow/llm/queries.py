@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadflow.llm import common as C
 from leadflow.llm.decontaminate import INNER, NAME, NUMBER, UNIT, UNITS, contamination
 from leadflow.llm.embedding_dedup import near_vectors
+from leadflow.llm.fingerprints import edited_likeness, text_of
 from leadflow.llm.langid import predict
 from leadflow.llm.langid import train as train_langid
 from leadflow.llm.lexical import ranked
@@ -204,3 +205,10 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ranked(documents(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return found.select("item_id", "rank", C.public_id(), "score")
+
+
+@query("op13_document_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_likeness(documents(spark, sf_dir))
+    prints = [text_of(F.col(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    return found.select(C.public_id(), "n_chars", *prints, "near_edited", "near_next")
