@@ -11,6 +11,7 @@ from leadflow.llm import common as C
 from leadflow.llm.decontaminate import INNER, NAME, NUMBER, UNIT, UNITS, contamination
 from leadflow.llm.embedding_dedup import near_vectors
 from leadflow.llm.fingerprints import edited_likeness, text_of
+from leadflow.llm.hard_negatives import hard_negatives
 from leadflow.llm.langid import predict
 from leadflow.llm.langid import train as train_langid
 from leadflow.llm.lexical import ranked
@@ -207,6 +208,35 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "rank", C.public_id(), "score")
 
 
+_OP12_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike, CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM pairs WHERE alike) WHERE place <= 5),
+placed AS (
+  SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS place
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT alike
+       AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM placed WHERE place <= 10
+"""
+
+
+@query("op12_hard_negatives", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives(rows.withColumn("label", moved))
+    return found.select("anchor_id", C.public_id("positive_id", "positive_id"), "rank", C.public_id("negative_id", "negative_id"), "positive_score", "negative_score")
+
+
 @query("op13_document_fingerprints")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edited_likeness(documents(spark, sf_dir))
