@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.functions.arith import pct1_half_up, pct_half_even, pct_half_up, round_half_up_ratio
-from leadflow.functions.joins import left_fill
+from leadflow.functions.joins import heavy_keys, left_fill, salted_join
 from leadflow.functions.leads import flag, is_installed
 from leadflow.functions.timecols import ts_lit
 
@@ -50,6 +50,12 @@ def attribute(events: DataFrame, bridge: DataFrame) -> DataFrame:
     return events.join(bridge, "profile_id", "inner")
 
 
+def attribute_skewed(events: DataFrame, bridge: DataFrame, share: float = 0.005) -> DataFrame:
+    """J1 where single profiles may hold a large part of the events: those above ``share`` are salted before the join."""
+    spark = events.sparkSession
+    return salted_join(events, bridge, "profile_id", heavy_keys(events, "profile_id", share), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def per_profile(events: DataFrame, name: str, start: dt.datetime, by_day: bool = False) -> DataFrame:
     """Named events reduced to (profile[, day]) counts and first/last time BEFORE any join.
 

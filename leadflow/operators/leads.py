@@ -129,12 +129,9 @@ def metric_tech(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame |
         F.sum(kept[0]).cast("bigint").alias("installs"), F.sum(kept[1]).cast("bigint").alias("denom"))
 
 
-def partner_month(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
-    """The month metric (A3), the open pipeline (A7) and the leads since the last crossing (W5), from one scan.
-
-    One aggregation by lead holds both views: sticky flags over the whole history, and the latest state and flags of the
-    rolling window (conditional aggregates). Leads then become (partner, day) rows, partners one row.
-    """
+def lead_views(attempts: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """One row a lead that holds both views: sticky flags over the whole history, and the latest state and flags of the
+    rolling window (conditional aggregates)."""
     recent = F.col("updated_at") >= ts_lit(p.as_of.date() - dt.timedelta(days=p.window_days))
     order = F.when(recent, F.struct("updated_at", "attempt_id"))
     state = F.when(recent, F.struct(
@@ -148,9 +145,21 @@ def partner_month(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame
         F.max(flag(is_installed(True))).alias("ever_installed"),
         F.max(flag(F.col("executor_id").isNotNull())).alias("ever_tech"),
         F.max("updated_at").alias("last_update"))
-    leads = g.select("connection_id", "partner_id", "l.last_state", "l.rc", "l.fr", "l.fsc", "l.own", "in_window",
-                     "has_installed", "reached_slot", "ever_installed", "ever_tech",
-                     local_date(F.col("last_update"), p.offset_minutes).alias("last_date"))
+    return g.select("connection_id", "partner_id", "l.last_state", "l.rc", "l.fr", "l.fsc", "l.own", "in_window",
+                    "has_installed", "reached_slot", "ever_installed", "ever_tech",
+                    local_date(F.col("last_update"), p.offset_minutes).alias("last_date"))
+
+
+def partner_month(attempts: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+    """The month metric (A3), the open pipeline (A7) and the leads since the last crossing (W5), from one scan.
+
+    One aggregation by lead (``lead_views``); leads then become (partner, day) rows, partners one row.
+    """
+    return partner_month_of(lead_views(attempts, p), p, impacted)
+
+
+def partner_month_of(leads: DataFrame, p: Params = DEFAULT, impacted: DataFrame | None = None) -> DataFrame:
+    """``partner_month`` from the rows of ``lead_views``, computed or merged from stored partials."""
     excused = F.lit(False)
     if impacted is not None:
         leads = with_flag(leads, impacted, "connection_id", "_impacted")

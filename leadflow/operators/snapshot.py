@@ -25,11 +25,14 @@ def top_tickets(attempts: DataFrame, k: int = 2) -> DataFrame:
     so each map task forwards at most k rows per partner — a hot partner costs k rows
     per task, not all of its tickets.
     """
-    w = Window.partitionBy("partner_id").orderBy(F.col("rnk").desc(), F.col("updated_at").asc(), F.col("attempt_id").asc())
-    return (attempts.where(is_open_ticket())
-            .select("partner_id", "attempt_id", "zone_id", "updated_at", ticket_rank().alias("rnk"))
-            .withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= k))
+    return foremost(attempts.where(is_open_ticket())
+                    .select("partner_id", "attempt_id", "zone_id", "updated_at", ticket_rank().alias("rnk")), k)
+
+
+def foremost(tickets: DataFrame, k: int, *more: str) -> DataFrame:
+    """The k foremost of ranked tickets for each partner (and ``more``); those of parts of the tickets combine to those of all."""
+    w = Window.partitionBy("partner_id", *more).orderBy(F.col("rnk").desc(), F.col("updated_at").asc(), F.col("attempt_id").asc())
+    return tickets.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
 def pivot_tickets(ranked: DataFrame) -> DataFrame:
@@ -72,11 +75,23 @@ def month_snapshot(attempts: DataFrame, ledger: DataFrame, users: DataFrame, enr
     Kept: any activity, or enrolled (a 0/0/0 enrolled partner must still be found). Attempts are scanned twice: once for
     metric, pipeline and crossing together, once for the top tickets, of which a task forwards two rows a partner.
     """
+    tk = top_tickets(L.active_attempts(attempts, p.as_of, None))
+    return assemble(L.partner_month(attempts, p, impacted), tk, ledger, users, enrol, p)
+
+
+def month_snapshot_of(partials, ledger: DataFrame, users: DataFrame, enrol: DataFrame, p: Params = DEFAULT,
+                      impacted: DataFrame | None = None) -> DataFrame:
+    """``month_snapshot`` from stored ``LeadPartials``: no attempt is read, and leads merge without an exchange."""
+    return assemble(L.partner_month_of(partials.lead_views(p), p, impacted), partials.top_tickets(p), ledger, users, enrol, p)
+
+
+def assemble(month: DataFrame, tickets: DataFrame, ledger: DataFrame, users: DataFrame, enrol: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The month record from the partners' month (``partner_month``) and their foremost tickets."""
     led = L.metric_ontime(ledger, p).select("partner_id", F.col("ontime").alias("ontime_m1"),
                                             F.col("late").alias("late_m1"), F.col("denom").alias("leads_m1"))
-    agg = L.partner_month(attempts, p, impacted).join(led, "partner_id", "full_outer")
+    agg = month.join(led, "partner_id", "full_outer")
     agg = agg.select("partner_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in (*METRIC_COLS, "new_leads")])
-    tk = pivot_tickets(top_tickets(L.active_attempts(attempts, p.as_of, None)))
+    tk = pivot_tickets(tickets)
     own = owner_of(users)
     en = enrol.select("partner_id").distinct().withColumn("_enrolled", F.lit(True))
     out = (agg.join(tk, "partner_id", "left").join(own, "partner_id", "left")

@@ -89,6 +89,13 @@ def events_to_partner(spark, sf):
     return _clicks_ev(_t(spark, sf)).select("event_id", "partner_id")
 
 
+@query("events_to_partner_skewed", W(FACTS_SQL + f"\nSELECT event_id, partner_id FROM f_events JOIN device USING (profile_id) WHERE event_name = 'banner_opened' AND ts >= {EV0}"))
+def events_to_partner_skewed(spark, sf):
+    t = _t(spark, sf)
+    events = E.events_since(t.events, "banner_opened", P.events_since)
+    return E.attribute_skewed(events, _bridge_all(t)).select("event_id", "partner_id")
+
+
 @query("click_counts", W(FACTS_SQL + "\nSELECT * FROM clicks"))
 def click_counts(spark, sf):
     t = _t(spark, sf)

@@ -8,8 +8,10 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from leadflow.functions.timecols import ts_lit
 from leadflow.operators import leads as L
 from leadflow.operators import snapshot as S
+from leadflow.operators.partials import LeadPartials, touched_days
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
@@ -101,6 +103,30 @@ def final_assemble(spark, sf):
     return _snapshot(spark, sf)
 
 
+def _lead_partials(spark, sf, p: Params = P) -> LeadPartials:
+    """The store as two refreshes leave it: all attempts up to a day of July, then the days that later attempts touch."""
+    t = tables(spark, sf)
+    name = f"partials_{uuid.uuid4().hex}"
+    window = p.as_of.date() - dt.timedelta(days=p.window_days)
+    store = LeadPartials.create(spark, name, f"{checkpoint_dir(spark).rstrip('/')}/{name}", buckets=2, folded_before=window.replace(day=1))
+    first = dt.datetime.combine(p.month_start, dt.time(9, 30)) + dt.timedelta(days=19)
+    store.refresh(t.attempts, first)
+    later = L.active_attempts(t.attempts.where(F.col("updated_at") >= ts_lit(first)), p.as_of, days=None)
+    store.refresh(t.attempts, p.as_of, touched_days(later))
+    return store
+
+
+@query("metric_tech_partials", W(f"SELECT * FROM {tech_metric_sql(P)} m"))
+def metric_tech_partials(spark, sf):
+    return L.metric_tech(None, P, leads=_lead_partials(spark, sf).month_history(P))
+
+
+@query("final_assemble_partials", W(f"SELECT * FROM {snapshot_sql(P)} s"))
+def final_assemble_partials(spark, sf):
+    t = tables(spark, sf)
+    return S.month_snapshot_of(_lead_partials(spark, sf), t.ledger, t.users, t.overlay.where(F.col("joined").isNotNull()), P).drop("new_leads")
+
+
 @query("rank_output", W(f"SELECT partner_id, installs, denom FROM {snapshot_sql(P)} s ORDER BY installs DESC, denom DESC, partner_id"))
 def rank_output(spark, sf):
     return S.rank_output(_snapshot(spark, sf)).select("partner_id", "installs", "denom")
@@ -129,8 +155,8 @@ def _frozen_store(spark, sf) -> str:
     path = f"{checkpoint_dir(spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
     SNAP.write_month(_snapshot(spark, sf, PREV), path, PREV.month_ym)
     SNAP.write_month(_snapshot(spark, sf, P), path, P.month_ym, frozen=[PREV.month_ym])
-    try:  # a rebuild of the disbursed month must be refused, and leave it untouched
-        SNAP.write_month(_snapshot(spark, sf, P), path, PREV.month_ym, frozen=[PREV.month_ym])
+    try:  # a rebuild of the disbursed month must be refused, whoever asks, and leave it untouched
+        SNAP.write_month(_snapshot(spark, sf, P), path, PREV.month_ym)
         raise AssertionError("frozen month was rewritten")
     except SNAP.FrozenMonthError:
         pass
@@ -154,8 +180,7 @@ SELECT *, '{PREV.month_ym}' AS month FROM {snapshot_sql(PREV)} a
 UNION ALL SELECT *, '{P.month_ym}' AS month FROM {snapshot_sql(P)} b"""))
 def snapshot_month_freeze(spark, sf):
     path = _frozen_store(spark, sf)
-    return spark.read.parquet(path).select("partner_id", "user_id", *S.METRIC_COLS, *S.TICKET_COLS,
-                                           F.col("month").cast("string").alias("month"))
+    return SNAP.read_months(spark, path).select("partner_id", "user_id", *S.METRIC_COLS, *S.TICKET_COLS, "month")
 
 
 @query("read_month", W(f"SELECT *, '{PREV.month_ym}' AS month FROM {snapshot_sql(PREV)} a"))
@@ -175,4 +200,5 @@ SELECT COALESCE(o.partner_id, n.partner_id) AS partner_id,
 FROM {snapshot_sql(PREV)} o FULL OUTER JOIN {snapshot_sql(P)} n ON o.partner_id = n.partner_id
 WHERE o.partner_id IS NULL OR n.partner_id IS NULL OR NOT ({' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in _CMP)})"""))
 def snapshot_change_detect(spark, sf):
-    return S.snapshot_changed(_snapshot(spark, sf, PREV), _snapshot(spark, sf, P), "partner_id", _CMP)
+    # both months as they were published, by their checksums first
+    return SNAP.changed_between(spark, _frozen_store(spark, sf), PREV.month_ym, P.month_ym, _CMP)

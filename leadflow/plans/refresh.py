@@ -24,7 +24,7 @@ from leadflow.operators import snapshot as S
 from leadflow.plans.params import DEFAULT, Params
 from leadflow.session import cluster_session
 from leadflow.sources.landed import LandedTables
-from leadflow.sources.snapshots import write_month
+from leadflow.sources.snapshots import FrozenMonthError, frozen_months, write_month
 from leadflow.sources.testdata import TestData
 
 C = F.col
@@ -41,7 +41,7 @@ def month_params(ym: str, base: Params = DEFAULT, as_of: dt.datetime | None = No
 
 
 def refresh_snapshot(tables, p: Params, out: str, frozen=()) -> DataFrame:
-    """Build the month record and replace only that month's partition (frozen months refused)."""
+    """Build the month record and publish only that month (frozen months refused)."""
     enrol = tables.overlay.where(C("joined").isNotNull())
     snap = S.to_snapshot(S.month_snapshot(tables.attempts, tables.ledger, tables.users, enrol, p))
     write_month(snap, f"{out.rstrip('/')}/snapshot", p.month_ym, frozen)
@@ -82,7 +82,10 @@ def engagement_documents(tables, p: Params, outcome_groups: DataFrame | None = N
     return docs
 
 
-def write_documents(docs: dict[str, DataFrame], out: str, ym: str) -> None:
+def write_documents(docs: dict[str, DataFrame], out: str, ym: str, frozen=()) -> None:
+    """The documents of a month as JSON; a frozen month's are refused before any is written."""
+    if ym in set(frozen):
+        raise FrozenMonthError(f"month {ym} is frozen (disbursed); refusing to rewrite its documents")
     for name, df in docs.items():
         df.write.mode("overwrite").json(f"{out.rstrip('/')}/{name}/month={ym}")
 
@@ -103,17 +106,19 @@ def main(argv=None) -> None:
     p = month_params(a.month)
     what = set(a.what.split(","))
     frozen = [m for m in a.frozen.split(",") if m]
+    # the sink remembers the months that were frozen by earlier runs
+    closed = {*frozen, *frozen_months(spark, f"{a.out.rstrip('/')}/snapshot")}
     if "snapshot" in what:
         refresh_snapshot(t, p, a.out, frozen)
     if "dashboard" in what:
-        write_documents(dashboard_documents(t, p), f"{a.out}/dashboard", a.month)
+        write_documents(dashboard_documents(t, p), f"{a.out}/dashboard", a.month, closed)
     if "engagement" in what:
         # outcome groups = how the previous month settled (guarantee applied vs piece rate)
         from leadflow.operators.payout import outcome_group, settle
         from leadflow.plans.q_payout import settle_input
         prev = month_params(p.prev_start.strftime("%Y-%m"))
         groups = outcome_group(settle(settle_input(t, prev), prev))
-        write_documents(engagement_documents(t, p, groups, a.slack), f"{a.out}/engagement", a.month)
+        write_documents(engagement_documents(t, p, groups, a.slack), f"{a.out}/engagement", a.month, closed)
 
 
 if __name__ == "__main__":

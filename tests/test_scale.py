@@ -188,3 +188,35 @@ def test_hot_profile_click_counts_match_brute_force(spark):
     plan = _plan(E.click_counts(E.per_profile(ev, "banner_opened", P.events_since), bridge))
     # events are combined per profile before the join's exchange
     assert plan.index("partial_count") > plan.index("Join")
+
+
+def test_a_hot_profile_is_dealt_evenly_without_aqe(spark):
+    """A third of the events on one profile: every partition of the salted join holds at most twice the median's rows."""
+    import statistics
+
+    from leadflow.functions.joins import heavy_keys, salted_join
+    from leadflow.operators import engagement as E
+    n, parts = 200_000, 16
+    ev = spark.range(n).select(F.col("id").alias("event_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(5000))).cast("bigint").alias("profile_id"))
+    bridge = spark.range(5000).select(F.col("id").alias("profile_id"), (F.col("id") % 50).alias("partner_id")).union(spark.createDataFrame([(7, 99)], "profile_id bigint, partner_id bigint"))
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": str(parts)}
+    was = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        heavy = heavy_keys(ev, "profile_id", 0.01)
+        assert set(heavy) == {7} and abs(heavy[7] - 1 / 3) < 0.01
+
+        def sizes(df):
+            return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        plain, salted = sizes(E.attribute(ev, bridge)), sizes(salted_join(ev, bridge, "profile_id", heavy, parts))
+        assert max(plain) > 5 * statistics.median(plain)
+        assert len(salted) == parts and max(salted) <= 2 * statistics.median(salted)
+        got = E.attribute_skewed(ev, bridge).groupBy("partner_id").count().collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, E.attribute(ev, bridge).groupBy("partner_id").count().collect()))
+        same = spark.range(9000).select(F.lit(3).cast("bigint").alias("profile_id"))  # equal rows spread as well
+        assert len(sizes(salted_join(same, bridge, "profile_id", {3: 1.0}, parts))) == parts
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert heavy_keys(ev.limit(0), "profile_id", 0.01) == {}
