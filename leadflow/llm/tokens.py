@@ -2,8 +2,10 @@
 
 A byte-level BPE first cuts a text into words. No word reaches over the border between a character that is not white space
 and a following blank or newline, nor from a letter to an ASCII sign (but the apostrophe). Texts are cut there, in whole
-batches; each different word is encoded once by the library and kept, under a hash of its bytes, in a table of bounded size.
-Texts in which borders aren't sure (runs of white space, other white space, special strings) are encoded by themselves.
+batches; each different word is encoded once by the library and kept in a table of bounded size. A word is found by a hash and told
+by its bytes: it is compared with the word that the hash stands for, in the batch and in the table, and texts that hold another
+word of the same hash are encoded by themselves. So are texts with words of more than ``LONG`` bytes, and those in which
+borders aren't sure (runs of white space, other white space, special strings).
 """
 
 from __future__ import annotations
@@ -21,8 +23,11 @@ _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+\Z")
 #: White space other than blank and newline: then only borders after printable ASCII are sure.
 _ODD = re.compile("[^\\S \n]|\u180e")
 _SURE = re.compile(r"(?<=[!-~])(?=[ \n])")
-#: Most words that a worker keeps (some 30 bytes each).
+#: Most words that a worker keeps (some 40 bytes each), and most bytes of them.
 TABLE_WORDS = 2_500_000
+TABLE_BYTES = 64 << 20
+#: Longer words aren't kept.
+LONG = 256
 
 _GAP = np.zeros(256, bool)
 _GAP[[10, 32]] = True
@@ -65,36 +70,73 @@ def unsure(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return seen[offsets[1:]] > seen[offsets[:-1]]
 
 
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def eights(body: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros behind the end."""
+    padded = np.zeros(len(body) + 8, np.uint8)
+    padded[: len(body)] = body
+    return np.ndarray((len(body) + 1,), "<u8", padded, 0, (1,))
+
+
+def equal_spans(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of ``size`` bytes hold the same bytes; ``a`` and ``b`` as ``eights`` gives them."""
+    same = np.ones(len(size), bool)
+    at, done = np.arange(len(size)), 0
+    while len(at):
+        left = size[at] - done
+        same[at] &= ((a[a_at[at] + done] ^ b[b_at[at] + done]) & _MASK[np.clip(left, 0, 8)]) == 0
+        at, done = at[left > 8], done + 8
+    return same
+
+
 class Table:
-    """Ids of words by (hash, check): a sorted part, and a small recent one that is merged into it now and then."""
+    """Ids of words by hash, and the words' bytes: a sorted part, and a small recent one that is merged into it now and then."""
 
     def __init__(self) -> None:
         self.parts = [self._empty(), self._empty()]
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
+        self.words = np.zeros(1 << 16, np.uint8)
+        self.filled = 0
 
     @staticmethod
     def _empty() -> list[np.ndarray]:
-        return [np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        """Hashes; starts and numbers of ids; starts, sizes and leading gaps of words."""
+        return [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint8)]
 
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start in ``flat`` or -1, length) of each key."""
+    def find(self, keys: np.ndarray, body: np.ndarray, at: np.ndarray, sizes: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start in ``flat``, number of ids) of words of ``sizes`` bytes at ``at`` of ``body`` (as ``eights``); start is -1 for
+        a word that isn't there, -2 where another word has its hash."""
         start, size = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
-        for have, check, begin, length in self.parts:
+        # a copy of the bytes and eight zeros: reading behind the end is safe
+        words = np.ndarray((len(self.words) - 7,), "<u8", self.words, 0, (1,))
+        for have, begin, length, place, width, gap in self.parts:
             if len(have):
                 k = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-                hit = (have[k] == keys) & (check[k] == checks)
-                start[hit], size[hit] = begin[k[hit]], length[k[hit]]
+                hit = np.flatnonzero(have[k] == keys)
+                k = k[hit]
+                same = (width[k] == sizes[hit]) & (gap[k] == lead[hit])
+                same[same] = equal_spans(words, place[k[same]], body, at[hit[same]], sizes[hit[same]])
+                start[hit], size[hit] = np.where(same, begin[k], -2), np.where(same, length[k], 0)
         return start, size
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Starts of new keys, given in order, whose ids follow each other in ``ids``."""
+    def add(self, keys: np.ndarray, words: list[bytes], lead: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Starts of new words, given in the order of their hashes, whose ids follow each other in ``ids``."""
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(self.flat), len(ids)), np.uint32)])
         begin = self.used + np.cumsum(lengths) - lengths
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.parts[1] = self._merge(self.parts[1], [keys, checks, begin, lengths.astype(np.int32)])
+        joined = np.frombuffer(b"".join(words), np.uint8)
+        if self.filled + len(joined) + 8 > len(self.words):
+            self.words = np.concatenate([self.words[: self.filled], np.zeros(max(len(self.words), len(joined) + 8), np.uint8)])
+        width = np.array([len(w) for w in words], np.int64)
+        place = self.filled + np.cumsum(width) - width
+        self.words[self.filled : self.filled + len(joined)] = joined
+        self.filled += len(joined)
+        self.parts[1] = self._merge(self.parts[1], [keys, begin, lengths.astype(np.int32), place, width.astype(np.int32), lead.astype(np.uint8)])
         if len(self.parts[1][0]) > 100_000:
             self.parts = [self._merge(*self.parts), self._empty()]
         return begin
@@ -144,7 +186,10 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(lengths)
 
     def _found(self, body: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start in the table's ids, length, n+1 row offsets) of each word of the rows that aren't odd."""
+        """(start in the table's ids, length, n+1 row offsets) of each word of the rows that aren't odd.
+
+        Rows with words that are too long, or that share a hash with other words, become odd.
+        """
         n = len(body)
         gap = _GAP[body]
         begin = np.zeros(n, bool)
@@ -166,24 +211,34 @@ class Encoder:
         # 0: no gap before it, 10 or 32: that one
         before = np.where((starts > offsets[:-1][row]) & gap[np.maximum(starts - 1, 0)], body[np.maximum(starts - 1, 0)], 0)
         keys = C.span_hashes(body, starts, ends) + before.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        checks = body[starts].astype(np.uint32) | body[ends - 1].astype(np.uint32) << np.uint32(8) | (ends - starts).astype(np.uint32) << np.uint32(16)
+        sizes = ends - starts
         keys, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        start, size = self.table.find(keys, checks[first])
+        loads = eights(body)
+        # a hash stands for its first word here: all others must be that word
+        one = first[place]
+        other = (sizes != sizes[one]) | (before != before[one]) | (sizes > LONG)
+        same = np.flatnonzero(~other)
+        other[same] = ~equal_spans(loads, starts[same], loads, starts[one[same]], sizes[same])
+        start, size = self.table.find(keys, loads, starts[first], sizes[first], before[first])
+        other |= (start == -2)[place]
+        if other.any():
+            odd[row[other]] = True
+            return self._found(body, offsets, odd)
         new = np.flatnonzero(start < 0)
         if len(new):
-            if len(self.table) + len(new) > TABLE_WORDS:
+            if len(self.table) + len(new) > TABLE_WORDS or self.table.filled + int(sizes[first[new]].sum()) > TABLE_BYTES:
                 self.table = Table()
                 new = np.arange(len(keys))
             at = first[new]
             raw = body.tobytes()
-            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             lead = before[at]
-            ids, lengths = self.words([f" {w}" if x == 32 else w for w, x in zip(words, lead.tolist(), strict=True)])
+            ids, lengths = self.words([f" {w.decode()}" if x == 32 else w.decode() for w, x in zip(words, lead.tolist(), strict=True)])
             if (lead == 10).any():  # the newline is a word of its own before them
                 where = (np.cumsum(lengths) - lengths)[lead == 10]
                 ids = np.insert(ids, where, self.newline[0])
                 lengths = lengths + (lead == 10)
-            start[new], size[new] = self.table.add(keys[new], checks[first[new]], ids, lengths), lengths
+            start[new], size[new] = self.table.add(keys[new], words, lead, ids, lengths), lengths
         return start[place], size[place], rows
 
     def counts(self, column: pa.Array) -> np.ndarray:
