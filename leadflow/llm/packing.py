@@ -230,19 +230,22 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
 
 
 def ranked(pieces: DataFrame, rows: int, bucket_rows: int = 4096) -> DataFrame:
-    """``pieces`` with ``rank``: 0, 1, ... within each length; (bucket, length) bounds what a task must sort together."""
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("_id", "piece"), F.lit(max(1, -(-rows // bucket_rows)))))
+    """``pieces`` with ``rank``: 0, 1, ... within each length; (bucket, length) bounds what a task must sort together.
+
+    ``row`` tells the pieces of null and repeated ids apart, so that they are dealt like all others.
+    """
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("_id", "piece", "row"), F.lit(max(1, -(-rows // bucket_rows)))))
     sizes = dealt.groupBy("bucket", "length").count()
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bucket", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("bucket", "length").orderBy("_id", "piece", "start", "ids_crc32")
     numbered = dealt.withColumn("rank", F.row_number().over(inside) - 1)
-    return numbered.join(sizes, ["bucket", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("bucket", "before")
+    return numbered.join(sizes, ["bucket", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("bucket", "before", "row")
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, groups: int = GROUPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
-    pieces = C.store(token_pieces(docs, vocabulary, capacity, id_col=id_col, text_col=text_col), "pieces")
+    pieces = C.store(token_pieces(docs, vocabulary, capacity, id_col=id_col, text_col=text_col).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     slots = np.array(sorted(plan(counts, capacity, groups).slots), np.int64).reshape(-1, 5)
     shared = docs.sparkSession.sparkContext.broadcast(slots)

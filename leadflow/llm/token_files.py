@@ -7,8 +7,8 @@ Documents are dealt by ranges of their ids and sorted within them; each task wri
 
 A file is written under another name and then moved, so that a task that is run again leaves the same files. A row for each
 shard comes back; the shards' sizes are summed up to the place of each in the whole. The folder must be one that all
-executors share. Null and empty texts hold the end id only; a null id sorts last; repeated rows are documents of their own,
-side by side.
+executors share. Null and empty texts hold the end id only; a null id sorts last; rows that share an id are documents of their
+own, side by side in the order of a hash of their texts, over as many shards as they fill.
 """
 
 from __future__ import annotations
@@ -76,7 +76,9 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
             store.move(spare + end_of, name + end_of)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": [len(owners)], "n_ids": [n], "width": pa.array([width], pa.int32())})
 
-    rows = C.id_and_text(docs, id_col, text_col).repartitionByRange("_id").sortWithinPartitions("_id", "_text")
+    # null and repeated ids are dealt by their texts, equal rows by their places: no key fills a shard
+    keyed = C.id_and_text(docs, id_col, text_col).select("_id", "_text", F.xxhash64("_text").alias("_print"), F.monotonically_increasing_id().alias("_row"))
+    rows = keyed.repartitionByRange("_id", "_print", "_row").sortWithinPartitions("_id", "_print", "_text").select("_id", "_text")
     shards = C.store(rows.mapInArrow(write, _SHARD), "shards")
     # a row for each shard: few, whatever the documents
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,13 +5,15 @@ and a following blank or newline, nor from a letter to an ASCII sign (but the ap
 batches; each different word is encoded once by the library and kept in a table of bounded size. A word is found by a hash and told
 by its bytes: it is compared with the word that the hash stands for, in the batch and in the table, and texts that hold another
 word of the same hash are encoded by themselves. So are texts with words of more than ``LONG`` bytes, and those in which
-borders aren't sure (runs of white space, other white space, special strings).
+borders aren't sure (runs of white space, other white space, special strings). A text of more than ``BIG`` bytes is encoded in
+blocks of about ``BLOCK`` bytes, cut where white space follows another character.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ TABLE_WORDS = 2_500_000
 TABLE_BYTES = 64 << 20
 #: Longer words aren't kept.
 LONG = 256
+BIG, BLOCK = 1 << 20, 1 << 18
 
 _GAP = np.zeros(256, bool)
 _GAP[[10, 32]] = True
@@ -244,6 +247,14 @@ class Encoder:
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         body, offsets = C.text_bytes(column)
+        sizes = np.diff(offsets)
+        if (sizes > BIG).any():
+            out = np.zeros(len(sizes), np.int64)
+            small = np.flatnonzero(sizes <= BIG)
+            out[small] = self.counts(column.take(pa.array(small)))
+            for k in np.flatnonzero(sizes > BIG):
+                out[k] = sum(len(self.alone(t)) for t in blocks(body[offsets[k] : offsets[k + 1]]))
+            return out
         odd = unsure(body, offsets)
         _, size, rows = self._found(body, offsets, odd)
         sums = np.concatenate([[0], np.cumsum(size)])
@@ -255,6 +266,16 @@ class Encoder:
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, n+1 offsets of the texts)."""
         body, offsets = C.text_bytes(column)
+        sizes = np.diff(offsets)
+        if (sizes > BIG).any():
+            small = np.flatnonzero(sizes <= BIG)
+            some, cut = self.ids(column.take(pa.array(small)))
+            each: list[np.ndarray] = [np.zeros(0, "<u4")] * len(sizes)
+            for k, a, b in zip(small.tolist(), cut[:-1], cut[1:], strict=True):
+                each[k] = some[a:b]
+            for k in np.flatnonzero(sizes > BIG):
+                each[k] = np.concatenate([self.alone(t) for t in blocks(body[offsets[k] : offsets[k + 1]])])
+            return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
         odd = unsure(body, offsets)
         start, size, rows = self._found(body, offsets, odd)
         total = int(size.sum())
@@ -267,6 +288,34 @@ class Encoder:
         return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
 
 
+def blocks(body: np.ndarray, size: int | None = None) -> Iterator[str]:
+    """A text's bytes in blocks of about ``size``, each but the first begun by a blank or newline behind another character.
+
+    Where there is no such place in sight a block is longer.
+    """
+    size, low, n = size or BLOCK, 0, len(body)
+    while low < n:
+        high, look = min(n, low + size), min(n, low + size)
+        while look < n:
+            # the first gap from here on that follows a character which isn't white space
+            part = body[look : look + size]
+            here = np.flatnonzero(_GAP[part])
+            here = next((int(look + k) for k in here if _word_ends(body, int(look + k))), None)
+            if here is not None:
+                high = here
+                break
+            look = high = min(n, look + size)
+        yield body[low:high].tobytes().decode()
+        low = high
+
+
+def _word_ends(body: np.ndarray, at: int) -> bool:
+    """Whether the character before ``at`` is no white space."""
+    if body[at - 1] < 128:
+        return 32 < body[at - 1] < 127
+    return not body[max(0, at - 4) : at].tobytes().endswith(tuple(_WIDE))
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import ROOT
 from llm_cases import awkward, empty, shipped, texts  # noqa: F401
 from tokenizers import Tokenizer
 
@@ -17,6 +18,7 @@ from leadflow.llm import token_files as W
 from leadflow.llm.elias_fano import EliasFano
 from leadflow.llm.token_counts import token_counts
 from leadflow.llm.tokens import Encoder, default_vocabulary, encoder
+from leadflow.llm.tokens import blocks as P_blocks
 
 MID = "/root/testdata/sf0.01"
 
@@ -100,6 +102,70 @@ def test_spans_of_all_sizes():
     assert got.tolist() == [bytes(body[i : i + n]) == bytes(body[j : j + n]) for i, j, n in zip(at, other, size)] and got.any() and not got.all()
 
 
+def test_big_texts_are_encoded_in_blocks(library, monkeypatch):
+    rng = random.Random(9)
+    parts = ["word", "Zwei,", "é", "中文", "  ", "\n", "\n\n", "\u00a0", "\u3000", "\t", "<|endoftext|>", "1,000", "don't", "x" * 300]
+    for seed in range(40):
+        text = "".join(rng.choice(parts) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 200)))
+        body = np.frombuffer(text.encode(), np.uint8)
+        assert "".join(list(P_blocks(body, 64))) == text
+        monkeypatch.setattr("leadflow.llm.tokens.BIG", 100)
+        monkeypatch.setattr("leadflow.llm.tokens.BLOCK", 64)
+        column = pa.array(["a b", text, "", "c"])
+        want = [e.ids for e in library.encode_batch(column.to_pylist(), add_special_tokens=False)]
+        ids, at = encoder(default_vocabulary()).ids(column)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+        assert encoder(default_vocabulary()).counts(column).tolist() == [len(w) for w in want]
+
+
+def test_memory_of_a_very_long_text(tmp_path):
+    """Counting a text of 16 MB takes less than 400 MB beside it."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import pyarrow as pa
+from leadflow.llm.tokens import default_vocabulary, encoder
+one = encoder(default_vocabulary())
+one.counts(pa.array(["a few words to begin with"]))
+column = pa.array(["some words, of many kinds and sizes; number %d\\n" % k * 20 for k in range(100)])
+text = pa.array(["".join(column.to_pylist()) * 200])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = one.counts(text)[0]
+print(len(text[0].as_py()), n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, env={**os.environ, "PYTHONPATH": ROOT})
+    size, n, grown = map(int, out.stdout.split())
+    assert size > 16_000_000 and n > size / 10 and grown < 400, out.stdout
+
+
+def test_a_third_without_an_id(spark, library):
+    """Null ids and equal rows fill several shards and buckets, and come back whole."""
+    rows = [(None, f"text number {k}") for k in range(2000)] + [(None, "one and the same")] * 2000 + [(k, f"text {k}") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = C.scratch_dir(spark, "files-test")
+        shards = W.write_shards(docs, folder, default_vocabulary())
+        sizes = [r["n_docs"] for r in shards.collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 1800
+        got = Counter((r["_id"], r["ids_crc32"]) for r in W.read_shards(spark, shards, folder).collect())
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    crc = {t: zlib.crc32(ids_of(library, t).tobytes()) for t in {t for _, t in rows}}
+    assert got == Counter((C.NO_ID if i is None else i, crc[t]) for i, t in rows)
+    pieces = C.store(P.token_pieces(docs, default_vocabulary(), 64).withColumn("row", P.F.monotonically_increasing_id()), "pieces")
+    buckets = pieces.groupBy(P.F.pmod(P.F.xxhash64("_id", "piece", "row"), P.F.lit(6))).count().collect()
+    assert max(r["count"] for r in buckets) < 1300
+    ranks = P.ranked(pieces, 6000, 1000).groupBy("length").agg(P.F.count("*").alias("n"), P.F.countDistinct("rank").alias("d"), P.F.max("rank").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in ranks)
+
+
 def test_the_table_is_bounded(monkeypatch):
     monkeypatch.setattr("leadflow.llm.tokens.TABLE_WORDS", 50)
     small = Encoder(default_vocabulary())
