@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadflow.functions.arith import pct_half_even, pct_half_up
@@ -17,6 +19,8 @@ from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.q_payout import NEW_LEADS_SQL, SETTLE_SQL_COLS, SETTLE_COLS, _route_input, _settled, settle_input_sql, settle_sql
 from leadflow.plans.q_snapshot import snapshot_sql
 from leadflow.plans.sqlparts import bucketed_sql, local_sql, tech_collapse_sql, tech_metric_sql
+from leadflow.session import checkpoint_dir
+from leadflow.sources import token_sink as TK
 from leadflow.sources.testdata import tables
 from leadflow.sources.testdata_sql import with_fixtures as W
 
@@ -128,11 +132,14 @@ _TOKEN_SQL = {
 }
 
 
-@query("profile_tokens", W(NEW_LEADS_SQL + f""",
+_TOKENS_SQL = W(NEW_LEADS_SQL + f""",
 ids AS (SELECT user_id, partner_id FROM f_users WHERE active AND status = 'ACTIVE' AND user_id IS NOT NULL
   AND role IN ('OWNER','MANAGER','MANAGER_PLUS')),
 wide AS (SELECT ids.user_id, [{', '.join(f"coalesce(CAST({_TOKEN_SQL[t]} AS VARCHAR), '')" for t in TOKENS)}] AS vals FROM ids JOIN rt USING (partner_id))
-SELECT user_id, 'banner_' || unnest([{', '.join(f"'{t}'" for t in TOKENS)}]) AS token, unnest(vals) AS value FROM wide"""))
+SELECT user_id, 'banner_' || unnest([{', '.join(f"'{t}'" for t in TOKENS)}]) AS token, unnest(vals) AS value FROM wide""")
+
+
+@query("profile_tokens", _TOKENS_SQL)
 def profile_tokens_q(spark, sf):
     """K5: tokens per identity — every active user of the partner in the three roles."""
     from leadflow.operators.cohorts import identities
@@ -145,6 +152,17 @@ def profile_tokens_q(spark, sf):
     return profile_tokens(wide.drop("installpay").withColumnRenamed("installpay_text", "installpay"), "user_id", TOKENS)
 
 
+@query("token_delivery", _TOKENS_SQL)
+def token_delivery(spark, sf):
+    """K5 through the sink: what has arrived of a run that was sent twice."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    tokens = profile_tokens_q(spark, sf)
+    for _ in range(2):  # as after a failure: the second time every batch is known
+        TK.push(tokens, "banner", f"{out}/box", f"{out}/receipts", partitions=4)
+    TK.receipt(spark, f"{out}/receipts", "banner")
+    return TK.delivered(spark, f"{out}/box", "user_id bigint, token string, value string")
+
+
 @query("clear_flags", W("""
 fl AS (SELECT profile_id, 'opened_last_day' AS flag,
     CASE WHEN max(CASE WHEN event_name = 'banner_opened' THEN CAST(ts AS DATE) END) = (SELECT max(CAST(ts AS DATE)) FROM f_events)

@@ -2,6 +2,7 @@
 
     python -m leadflow.plans.refresh --data /lake/landed --out /shared/leadflow \
         --month 1998-07 [--frozen 1998-06] [--what snapshot,dashboard,engagement] [--source landed|testdata]
+        [--partials /shared/leadflow/partials [--days 1998-07-14,1998-07-15]]
 
 ``tables`` is any object with the logical tables as attributes (attempts, ledger, users,
 events, profiles, rosters, overlay, transitions): ``LandedTables``, or ``TestData``, which maps the test Parquet.
@@ -16,15 +17,17 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadflow.functions.timecols import ts_lit
 from leadflow.operators import cohorts as CO
 from leadflow.operators import engagement as E
 from leadflow.operators import leads as L
 from leadflow.operators import quality as Q
 from leadflow.operators import snapshot as S
+from leadflow.operators.partials import LeadPartials, touched_days
 from leadflow.plans.params import DEFAULT, Params
 from leadflow.session import cluster_session
 from leadflow.sources.landed import LandedTables
-from leadflow.sources.snapshots import FrozenMonthError, frozen_months, write_month
+from leadflow.sources.snapshots import FrozenMonthError, frozen_months, path_exists, write_month
 from leadflow.sources.testdata import TestData
 
 C = F.col
@@ -40,14 +43,42 @@ def month_params(ym: str, base: Params = DEFAULT, as_of: dt.datetime | None = No
                    as_of=as_of or dt.datetime.combine(end, dt.time()) - dt.timedelta(minutes=base.offset_minutes))
 
 
-def refresh_snapshot(tables, p: Params, out: str, frozen=()) -> DataFrame:
-    """Build the month record and publish only that month (frozen months refused)."""
+def refresh_snapshot(tables, p: Params, out: str, frozen=(), partials: LeadPartials | None = None, days=None) -> DataFrame:
+    """Build the month record and publish only that month, if it differs from the published one (frozen months refused).
+
+    With ``partials`` the attempts of the touched ``days`` alone are read (``touched_since``), and the record is made from the store.
+    """
+    path = f"{out.rstrip('/')}/snapshot"
+    refuse_frozen(p.month_ym, frozen, path, tables.rosters.sparkSession)
     enrol = tables.overlay.where(C("joined").isNotNull())
-    snap = S.to_snapshot(S.month_snapshot(tables.attempts, tables.ledger, tables.users, enrol, p))
-    write_month(snap, f"{out.rstrip('/')}/snapshot", p.month_ym, frozen)
+    if partials is None:
+        record = S.month_snapshot(tables.attempts, tables.ledger, tables.users, enrol, p)
+    else:
+        partials.refresh(tables.attempts, p.as_of, touched_since(tables.attempts, partials, p) if days is None else days)
+        record = S.month_snapshot_of(partials, tables.ledger, tables.users, enrol, p)
+    snap = S.to_snapshot(record)
+    write_month(snap, path, p.month_ym, frozen, only_if_changed=True)
     return snap
 
 
+def refuse_frozen(ym: str, frozen, path: str, spark) -> None:
+    """Stop before any work where the month is frozen, by the caller or in the sink."""
+    if ym in {*frozen, *frozen_months(spark, path)}:
+        raise FrozenMonthError(f"month {ym} is frozen (disbursed); refusing to rebuild it")
+
+
+def touched_since(attempts: DataFrame, partials: LeadPartials, p: Params) -> list[dt.date] | None:
+    """The days of attempts written since the store's last refresh; all days (None) for a new store.
+
+    Where attempts are updated in place, the days that they have left must be given as well, from the change feed.
+    """
+    seen = partials.as_of
+    if seen is None:
+        return None
+    new = attempts.where(C("updated_at") >= ts_lit(seen - dt.timedelta(days=1)))
+    return touched_days(L.active_attempts(new, p.as_of, days=None))
+
+
 def dashboard_documents(tables, p: Params) -> dict[str, DataFrame]:
     """The four dashboard queries sharing one lead collapse definition, plus the full grid."""
     roster = tables.rosters.where(C("category") == "enrolled").select("partner_id")
@@ -99,6 +130,9 @@ def main(argv=None) -> None:
     ap.add_argument("--what", default="snapshot,dashboard,engagement")
     ap.add_argument("--source", choices=("landed", "testdata"), default="landed")
     ap.add_argument("--slack", type=int, help="cohort members that may lack a profile before the engagement run stops")
+    ap.add_argument("--partials", help="folder of stored lead partials: made by the first run, refreshed by the touched days after it")
+    ap.add_argument("--days", help="touched days, comma-separated; without it the days written to since the last refresh")
+    ap.add_argument("--buckets", type=int, default=256, help="buckets of a new store of partials")
     a = ap.parse_args(argv)
 
     spark = cluster_session()
@@ -109,7 +143,14 @@ def main(argv=None) -> None:
     # the sink remembers the months that were frozen by earlier runs
     closed = {*frozen, *frozen_months(spark, f"{a.out.rstrip('/')}/snapshot")}
     if "snapshot" in what:
-        refresh_snapshot(t, p, a.out, frozen)
+        store, days = None, None
+        if a.partials:
+            window = p.as_of.date() - dt.timedelta(days=p.window_days)
+            made = path_exists(spark, f"{a.partials.rstrip('/')}/settings")
+            store = LeadPartials.open(spark, "lead_partials", a.partials) if made else LeadPartials.create(
+                spark, "lead_partials", a.partials, a.buckets, window.replace(day=1))
+            days = [dt.date.fromisoformat(d) for d in a.days.split(",")] if a.days else None
+        refresh_snapshot(t, p, a.out, frozen, store, days)
     if "dashboard" in what:
         write_documents(dashboard_documents(t, p), f"{a.out}/dashboard", a.month, closed)
     if "engagement" in what:

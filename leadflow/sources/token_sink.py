@@ -1,6 +1,6 @@
 """Profile token sink as a Spark data source (K5): batches with idempotency keys, committed by the driver.
 
-    spark.dataSource.register(TokenSink)
+    register(spark)
     tokens.write.format("leadflow_tokens").mode("append").options(run="2024-07-01T05:00", to="file:///shared/outbox").save()
 
 Rows (identity, token, value) are sent in batches of ``batch`` rows. A batch's key is a digest of the run's name and its rows, so
@@ -8,8 +8,8 @@ a task that is run again, or a job that is, sends batches that the receiver alre
 the same batches again, so ``push`` deals the rows by identity and sorts them first. When all tasks have ended well the driver
 writes the run's receipt, with what each task sent; a run without a receipt has not been delivered whole, and is run again.
 
-``to`` names where batches go: a folder, in which a batch is a file named by its key, or ``module:function``, called with (key, rows).
-On a cluster the package must be on the executors' path (``--py-files``).
+``to`` names where batches go: a folder, in which a batch is a file named by its key, or ``module:function``, called with (key, rows);
+such a module must be on the executors' path (``--py-files``). This module itself goes to them with the job.
 """
 
 from __future__ import annotations
@@ -17,12 +17,15 @@ from __future__ import annotations
 import hashlib
 import importlib
 import json
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from leadflow.sources.snapshots import path_exists
+
 FORMAT = "leadflow_tokens"
 
 
@@ -129,10 +132,25 @@ def receipt_name(run: str) -> str:
     return f"receipt-{hashlib.sha256(run.encode()).hexdigest()[:20]}.json"
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session; workers get this module's code with it."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(TokenSink)
+
+
+def delivered(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows that have arrived in a folder."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(folder)
+
+
 def push(tokens: DataFrame, run: str, to: str, receipts: str, batch: int = 1000, partitions: int | None = None) -> None:
     """Deliver the tokens of a run; to be called again with the same rows if it fails. ``partitions``: how many tasks send."""
     spark = tokens.sparkSession
-    spark.dataSource.register(TokenSink)
+    register(spark)
     identity = tokens.columns[0]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = tokens.repartition(n, identity).sortWithinPartitions(*tokens.columns)

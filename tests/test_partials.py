@@ -157,3 +157,27 @@ def test_folded_months_and_another_session(spark):
     assert got(store) == want
     again = LeadPartials.open(spark, f"{store.name}_again", store.path)
     assert got(again) == want and again.folded_before == dt.date(1998, 7, 1)
+
+
+def test_a_refresh_from_partials_publishes_the_same_month(spark):
+    from leadflow.plans import refresh as R
+    from leadflow.sources import snapshots as SNAP
+    from leadflow.sources.versions import Versions
+
+    t = TestData(spark, SMALL)
+    t.__dict__["attempts"] = recent_attempts(spark)
+    out = f"{checkpoint_dir(spark)}/out-{uuid.uuid4().hex}"
+    store = new_store(spark, folded_before=dt.date(1998, 3, 1))
+    early = R.month_params("1998-07", as_of=dt.datetime(1998, 7, 20))
+    p = R.month_params("1998-07", as_of=dt.datetime(1998, 8, 15))
+    R.refresh_snapshot(t, early, f"{out}/a", partials=store)
+    assert R.touched_since(t.attempts, store, p)[0] == dt.date(1998, 7, 19)
+    R.refresh_snapshot(t, p, f"{out}/a", partials=store)
+    R.refresh_snapshot(t, p, f"{out}/b")
+    a, b = (SNAP.read_month(spark, f"{out}/{x}/snapshot", "1998-07", "1998-07") for x in "ab")
+    assert rows(a) == rows(b) and a.count() > 0
+    R.refresh_snapshot(t, p, f"{out}/a", partials=store)  # nothing has changed: nothing is published
+    assert Versions(spark, f"{out}/a/snapshot").numbers() == [1, 2]
+    SNAP.freeze(spark, f"{out}/a/snapshot", ["1998-07"])
+    with pytest.raises(SNAP.FrozenMonthError):
+        R.refresh_snapshot(t, p, f"{out}/a", partials=store)

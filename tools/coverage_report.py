@@ -14,7 +14,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 MODULES = {"FN": "funnels", "L": "leads", "S": "snapshot", "PO": "payout", "E": "engagement", "CO": "cohorts", "Q": "quality",
-           "ST": "streaming.jobs", "SNAP": "sources.snapshots"}
+           "ST": "streaming.jobs", "SNAP": "sources.snapshots", "TK": "sources.token_sink"}
 
 
 def expand(fn, depth: int = 3) -> str:
@@ -45,11 +45,11 @@ def main() -> None:
     for k in order:
         src = expand(qs[k])
         calls = []
-        for alias, fn in re.findall(r"\b(FN|L|S|PO|E|CO|Q|ST|SNAP)\.([a-z0-9_]+)\(", src):
+        for alias, fn in re.findall(r"\b(FN|L|S|PO|E|CO|Q|ST|SNAP|TK)\.([a-z0-9_]+)\(", src):
             name = f"{MODULES[alias]}.{fn}"
             if name not in calls:
                 calls.append(name)
-        for fn in re.findall(r"\b(profile_tokens|clear_flags|overlay_rows|cohort_rows|roster|tier_alias|sanitize_id|"
+        for fn in re.findall(r"\b(touched_days|profile_tokens|clear_flags|overlay_rows|cohort_rows|roster|tier_alias|sanitize_id|"
                              r"event_ts_int|zero_pad|grouped|quality_bonus|quality_totals|in_roster|not_in_roster|"
                              r"identities|rate_split_reconcile|roster_drift|local_date|in_local_range|is_installed|"
                              r"is_on_time|is_open_ticket|lead_bucket|flag|pct_half_up|pct_half_even)\(", src):
