@@ -93,6 +93,22 @@ def multi_sequence(a: np.ndarray, b: np.ndarray, most: int) -> Iterator[tuple[in
                 heapq.heappush(heap, (a[p[x]] + b[q[y]], x, y))
 
 
+def places_of(a: np.ndarray, b: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The place of each cell in the order of ``multi_sequence``, behind those of equal sums, without making the grid."""
+    some, back = np.unique(cells, return_inverse=True)
+    rising = np.sort(b)
+    sums = a[some // len(b)] + b[some % len(b)]
+    return np.array([int(np.searchsorted(rising, t - a + 1e-12, "right").sum()) - 1 for t in sums], np.int64)[back]
+
+
+def cells_within(a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
+    """The cells (as i * len(b) + j) with a[i] + b[j] <= most, at the cost of their number."""
+    order = np.argsort(b, kind="stable")
+    many = np.searchsorted(b[order], most - a, "right")
+    row = np.repeat(np.arange(len(a)), many)
+    return row * len(b) + order[np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)]
+
+
 class Index:
     """The two codebooks of each vector length; lengths that the sample lacks have one cell."""
 
@@ -161,12 +177,9 @@ def calibrated(classes: DataFrame, index: Index, queries: list[tuple[str, np.nda
                             if not len(rows):
                                 continue
                             if k not in orders:
-                                qa, qb = index.halves(dim, queries[k][1][None])
-                                order = (qa[0][:, None] + qb[0][None, :]).ravel().argsort(kind="stable")
-                                orders[k] = np.empty(len(order), int)
-                                orders[k][order] = np.arange(len(order))
+                                orders[k] = [x[0] for x in index.halves(dim, queries[k][1][None])]
                             who += [k] * len(rows)
-                            places += orders[k][cell[rows]].tolist()
+                            places += places_of(*orders[k], cell[rows]).tolist()
                 yield pa.RecordBatch.from_pydict({"query": pa.array(who, pa.int32()), "place": pa.array(places, pa.int32())})
 
     found = C.store(classes.select("label", "dim", "unit").mapInArrow(read, "query int, place int").groupBy("query", "place").count(), "places")
@@ -211,11 +224,10 @@ def link_counts(classes: DataFrame, index: Index, visits: int | None, threshold:
                 take, targets, homes = [], [], []
                 for k in range(batch.num_rows):
                     home = int(a[k].argmin()) * b.shape[1] + int(b[k].argmin())
-                    allowed = (least_a[k][:, None] + least_b[k][None, :] <= widest).ravel()
                     if visits is None:
-                        reach = np.flatnonzero(allowed).tolist()
+                        reach = cells_within(least_a[k], least_b[k], widest).tolist()
                     else:
-                        reach = [c for i, j in multi_sequence(a[k], b[k], visits) if allowed[c := i * b.shape[1] + j]]
+                        reach = [i * b.shape[1] + j for i, j in multi_sequence(a[k], b[k], visits) if least_a[k, i] + least_b[k, j] <= widest]
                     # of two cells the lower one's vectors probe the other, so a pair meets once
                     cells = {home, *(c for c in reach if c > home)}
                     take += [k] * len(cells)
