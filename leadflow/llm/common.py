@@ -40,11 +40,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's own setting: shuffle files of a job go when it ends, and not only once the driver's memory is cleaned.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    ``free`` gives the disk of the job's shuffles back as soon as the table is written; nothing reads them afterwards.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    was = spark.conf.get(_FREE, None)
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(_FREE) if was is None else spark.conf.set(_FREE, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ from llm_cases import AWKWARD, awkward, empty, shipped, texts  # noqa: F401
 from oracle import compare
 from pyspark.sql import functions as F
 
+from leadflow.llm import common as C
 from leadflow.llm import decontaminate as D
 from leadflow.llm import line_dedup as L
 from leadflow.llm import queries as Q
@@ -189,3 +190,21 @@ def test_a_conflict_rejects_its_windows_only(spark):
     far = "We know that Sue has 31 apples in the box and Mary gives 8 km of rope to Karl, how many apples does old Sue have after 32 days of work?"
     b = spark.createDataFrame([(7, QUESTION)], "item_id long, text string")
     assert D.decontaminated(spark.createDataFrame([(1, far)], "doc_id long, text string"), b).count() == 0
+
+
+def test_stored_tables_free_their_shuffles(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def files() -> set[str]:
+        blocks = env.blockManager().diskBlockManager().getAllBlocks()
+        return {n for k in range(blocks.size()) if (n := blocks.apply(k).name()).startswith("shuffle_")}
+
+    rows = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    before, setting = files(), spark.conf.get(C._FREE, None)
+    kept = C.store(rows, "kept")
+    with_kept = files()
+    assert with_kept - before
+    freed = C.store(rows.withColumn("k", F.col("k") + 1), "freed", free=True)
+    assert not files() - with_kept
+    assert spark.conf.get(C._FREE, None) == setting
+    assert kept.count() == freed.count() == 100
