@@ -1,5 +1,9 @@
 """Quality classifier and language ID: held-out accuracy, FTRL against a reference, defined cases."""
 
+import math
+import zlib
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from llm_cases import awkward, empty, shipped, texts  # noqa: F401
@@ -11,7 +15,7 @@ from leadflow.llm import quality as A
 from leadflow.llm import queries as Q
 from leadflow.llm.ftrl import Ftrl
 
-MID = "/root/testdata/sf0.01"
+SMALL, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def test_ftrl_learns_and_l1_is_sparse():
@@ -97,3 +101,91 @@ def test_samples_are_bounded(spark):
     rows = spark.range(20000).select(F.col("id").alias("_id"))
     assert 1700 < sampled(rows, "_id", 20000, 2000).count() < 2300
     assert sampled(rows, "_id", 20000, 20000).count() == 20000
+
+
+def mixed(x: int) -> int:
+    """``common.mix64`` of one integer."""
+    ones = (1 << 64) - 1
+    x = ((x ^ x >> 31) * 0x9E3779B97F4A7C15) & ones
+    x = ((x ^ x >> 29) * 0xBF58476D1CE4E5B9) & ones
+    return x ^ x >> 32
+
+
+def grams_by_hand(text: str, bits: int) -> dict[int, float]:
+    """{coordinate: value} of a text, run by run."""
+    body, ones = text.encode(), (1 << 64) - 1
+
+    def kind(c: int) -> int:
+        return 0 if c <= 32 else 2 if 48 <= c <= 57 else 1 if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 3
+
+    words, shapes, at = [], [], 0
+    while at < len(body):
+        end = at + 1
+        while end < len(body) and kind(body[end]) == kind(body[at]):
+            end += 1
+        if sort := kind(body[at]):
+            run = np.frombuffer(body[at:end].lower(), np.uint8)
+            word = int(C.span_hashes(run, np.array([0]), np.array([len(run)]))[0])
+            shape = sort + 4 * (65 <= body[at] <= 90) + 8 * (65 <= body[end - 1] <= 90) + 16 * (at == 0 or kind(body[at - 1]) == 0)
+            shape += 32 * bool(words and words[-1] == word) + (word << 8 if sort == 3 else 0)
+            words.append(word)
+            shapes.append(shape & ones)
+        at = end
+    out: dict[int, float] = defaultdict(float)
+    for codes, orders, seed in ((words, 2, 1), (shapes, 3, 2)):
+        found = []
+        for k in range(len(codes)):
+            left = mixed((codes[k] + seed) & ones)
+            found.append(left)
+            for code in codes[k + 1 : k + orders]:
+                left = mixed((left * 31 + code) & ones)
+                found.append(left)
+        for h in found:
+            out[h >> (64 - bits)] += 1 / len(found)
+    return out
+
+
+def learner_by_hand(rows: list[tuple[int, dict[int, float]]], epochs: int, alpha: float) -> dict[int, float]:
+    """Weights by coordinate (-1: the bias) of logistic regression by FTRL without penalties, a coordinate at a time."""
+    rows = sorted(((y, dict(sorted(x.items()))) for y, x in rows), key=lambda r: (r[0], len(r[1]), np.array(list(r[1]), np.int64).tobytes()))
+    z: dict[int, float] = defaultdict(float)
+    n: dict[int, float] = defaultdict(float)
+
+    def weight(i: int) -> float:
+        return -z[i] / ((1 + math.sqrt(n[i])) / alpha)
+
+    order = np.random.default_rng(5)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            y, x = rows[r]
+            x = x | {-1: 1.0}
+            w = {i: weight(i) for i in x}
+            error = 1 / (1 + math.exp(-min(35, max(-35, sum(v * w[i] for i, v in x.items()))))) - y
+            for i, v in x.items():
+                g = v * error
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_quality_against_brute_force(spark):
+    got = {r["doc_id"]: r for r in Q.QUERIES["op1_quality_classifier"](spark, SMALL).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect() if r["quality"] is not None}
+    assert set(got) == set(texts)
+    seen = {i: y for i, y in labels.items() if zlib.crc32(str(i).encode()) % 3 != 1 and i in texts}
+    assert len(seen) > 20 and len(set(seen.values())) == 2
+    ids = spark.createDataFrame([(i,) for i in seen], "id long")
+    shards = defaultdict(list)
+    for r in ids.select("id", F.pmod(F.xxhash64("id"), F.lit(A.LEARNERS)).alias("shard")).collect():
+        shards[r["shard"]].append((seen[r["id"]], {k: float(np.float32(v)) for k, v in grams_by_hand(texts[r["id"]], A.BITS).items()}))
+    mean: dict[int, float] = defaultdict(float)
+    for rows in shards.values():
+        for i, w in learner_by_hand(rows, 3, 3.0).items():
+            mean[i] += w / len(shards)
+    for i, text in texts.items():
+        margin = sum(v * mean[k] for k, v in grams_by_hand(text, A.BITS).items() if k in mean) + mean[-1]
+        score = 1 / (1 + math.exp(-margin))
+        assert got[i]["score"] == pytest.approx(score, abs=1e-4), i
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+        assert got[i]["predicted"] == int(score >= 0.5) or abs(score - 0.5) < 1e-4
