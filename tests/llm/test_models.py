@@ -189,3 +189,82 @@ def test_quality_against_brute_force(spark):
         assert got[i]["score"] == pytest.approx(score, abs=1e-4), i
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
         assert got[i]["predicted"] == int(score >= 0.5) or abs(score - 0.5) < 1e-4
+
+
+def characters_by_hand(text: str, bits: int) -> list[int]:
+    """Coordinates of the 1- to 3-grams of a text's characters, a sign that is no letter counting as a blank."""
+    ones = (1 << 32) - 1
+    codes = [ord(c) if ord(c) >= 128 or "a" <= c <= "z" else 32 for c in text.lower()]
+    out = []
+    for i in range(len(codes)):
+        h = 0
+        for k, code in enumerate(codes[i : i + 3]):
+            h = (h * 0x85EBCA77 & ones) ^ (code * 0x9E3779B1 & ones)
+            x = (h + k * 0x3C6EF372) & ones
+            out.append(((x ^ x >> 15) * 0x2C1B3C6D & ones) >> (32 - bits))
+    return out
+
+
+def softmax_learner_by_hand(rows: list[tuple[int, dict[int, float]]], classes: int, epochs: int, alpha: float, l1: float, l2: float) -> dict[int, list[float]]:
+    """Weights by coordinate (-1: the bias) of multinomial regression by FTRL with elastic net."""
+    rows = sorted(((y, dict(sorted(x.items()))) for y, x in rows), key=lambda r: (r[0], len(r[1]), np.array(list(r[1]), np.int64).tobytes()))
+    z: dict[int, list[float]] = defaultdict(lambda: [0.0] * classes)
+    n: dict[int, list[float]] = defaultdict(lambda: [0.0] * classes)
+
+    def weight(i: int) -> list[float]:
+        return [-math.copysign(max(abs(a) - l1, 0), a) / ((1 + math.sqrt(b)) / alpha + l2) for a, b in zip(z[i], n[i], strict=True)]
+
+    order = np.random.default_rng(5)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            y, x = rows[r]
+            x = x | {-1: 1.0}
+            w = {i: weight(i) for i in x}
+            margin = [sum(v * w[i][c] for i, v in x.items()) for c in range(classes)]
+            error = [math.exp(m - max(margin)) for m in margin]
+            error = [e / sum(error) - (c == y) for c, e in enumerate(error)]
+            for i, v in x.items():
+                for c in range(classes):
+                    g = v * error[c]
+                    z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / alpha * w[i][c]
+                    n[i][c] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_language_against_brute_force(spark):
+    got = {r["doc_id"]: r for r in Q.QUERIES["op8_language_id"](spark, SMALL).collect()}
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()}
+    assert set(got) == set(docs)
+    used = {i: d for i, d in docs.items() if d["text"] is not None and d["lang"] is not None and zlib.crc32(str(i).encode()) % 5}
+    langs = sorted({d["lang"] for d in used.values()})
+    assert len(langs) > 1
+    counts = {i: defaultdict(int) for i in docs}
+    for i, d in docs.items():
+        for at in characters_by_hand(d["text"] or "", G.BITS):
+            counts[i][at] += 1
+    df: dict[int, int] = defaultdict(int)
+    for i in used:
+        for at in counts[i]:
+            df[at] += 1
+    idf = {at: math.log((1 + len(used)) / (1 + k)) + 1 for at, k in df.items()}
+    ids = spark.createDataFrame([(i,) for i in used], "id long")
+    learners, unseen = defaultdict(list), []
+    for r in ids.select("id", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(10 * G.LEARNERS)).alias("shard")).collect():
+        mine = counts[r["id"]]
+        row = (langs.index(used[r["id"]]["lang"]), {at: float(np.float32(k / sum(mine.values()) * idf[at])) for at, k in mine.items()})
+        (learners[r["shard"] // 10] if r["shard"] % 10 else unseen).append(row)
+    mean: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(len(langs)))
+    for rows in learners.values():
+        for at, w in softmax_learner_by_hand(rows, len(langs), 3, 3.0, 1e-4, 1e-4).items():
+            mean[at] = mean[at] + np.array(w) / len(learners)
+    margins = np.array([sum((v * mean[at] for at, v in x.items()), mean[-1]) for _, x in unseen])
+    temperature = G.fit_temperature(margins, np.array([y for y, _ in unseen])) if unseen else 1.0
+    for i, d in docs.items():
+        if not any(c.isalpha() for c in d["text"] or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 1.0)
+            continue
+        margin = sum((k * idf.get(at, 0.0) * mean[at] for at, k in counts[i].items()), 0 * mean[-1]) / sum(counts[i].values()) + mean[-1]
+        p = G.softmax(margin[None] / temperature)[0]
+        assert got[i]["score"] == pytest.approx(p.max(), abs=1e-3), i
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert p[langs.index(got[i]["lang_pred"])] > p.max() - 1e-3
