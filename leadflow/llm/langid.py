@@ -27,6 +27,9 @@ BITS = 16
 ORDERS = 3
 SAMPLE = 6_000
 LEARNERS = 6
+#: Bytes from which a text is read by blocks of so many characters.
+LONG = 1 << 20
+BLOCK = 1 << 18
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -49,16 +52,34 @@ def grams(texts: list[str], bits: int = BITS) -> Iterator[tuple[np.ndarray, np.n
             break
 
 
+def long_grams(text: str, bits: int = BITS, block: int = BLOCK) -> Iterator[np.ndarray]:
+    """Hashes of a text's grams of all orders, by those that begin in a block of ``block`` characters."""
+    low = text.lower()
+    for a in range(0, len(low), block):
+        for h, _ in grams([low[a : a + block + ORDERS - 1]], bits):
+            yield h[:block]
+
+
+def _is_long(part: pa.RecordBatch) -> bool:
+    """Whether a slice of ``common.chunks`` is one long text."""
+    return part.num_rows == 1 and len(C.text_bytes(part.column("_text"))[0]) > LONG
+
+
 def _table(docs: DataFrame, bits: int) -> DataFrame:
     """(shard, lang, at, n): the distinct grams of each text and their counts."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.chunks(batch, "_text"):
-                found = list(grams(part.column("_text").to_pylist(), bits))
-                at = np.concatenate([g for g, _ in found]).astype(np.int64)
-                own = np.concatenate([r for _, r in found]).astype(np.int64)
-                key, n = np.unique(own << bits | at, return_counts=True)
+                if _is_long(part):
+                    seen = sum((np.bincount(h, minlength=1 << bits) for h in long_grams(part.column("_text")[0].as_py(), bits)), np.zeros(1 << bits, np.int64))
+                    key = np.flatnonzero(seen)
+                    n = seen[key]
+                else:
+                    found = list(grams(part.column("_text").to_pylist(), bits))
+                    at = np.concatenate([g for g, _ in found]).astype(np.int64)
+                    own = np.concatenate([r for _, r in found]).astype(np.int64)
+                    key, n = np.unique(own << bits | at, return_counts=True)
                 cut = np.searchsorted(key, np.arange(part.num_rows + 1) << bits)
                 ats = [(key[a:b] & ((1 << bits) - 1)).astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 counts = [n[a:b].astype(np.float32) / max(1, n[a:b].sum()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
@@ -136,12 +157,17 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 texts, n = part.column("_text").to_pylist(), part.num_rows
                 total, margin = np.zeros(n), np.zeros((n, len(langs)))
                 if langs:
-                    for h, own in grams(texts, bits):
-                        total += np.bincount(own, minlength=n)
-                        cut = np.searchsorted(own, np.arange(n + 1))
-                        for k, w in enumerate(table):
-                            sums = np.concatenate([[0.0], np.cumsum(w[h], dtype=np.float64)])
-                            margin[:, k] += sums[cut[1:]] - sums[cut[:-1]]
+                    if _is_long(part):
+                        for h in long_grams(texts[0], bits):
+                            total += len(h)
+                            margin += [w[h].sum(dtype=np.float64) for w in table]
+                    else:
+                        for h, own in grams(texts, bits):
+                            total += np.bincount(own, minlength=n)
+                            cut = np.searchsorted(own, np.arange(n + 1))
+                            for k, w in enumerate(table):
+                                sums = np.concatenate([[0.0], np.cumsum(w[h], dtype=np.float64)])
+                                margin[:, k] += sums[cut[1:]] - sums[cut[:-1]]
                     p = softmax((margin / np.maximum(total, 1)[:, None] + bias) / temperature)
                     best = p.argmax(axis=1)
                 names, scores = [], []

@@ -231,6 +231,22 @@ def softmax_learner_by_hand(rows: list[tuple[int, dict[int, float]]], classes: i
     return {i: weight(i) for i in z}
 
 
+def test_language_of_long_texts(spark):
+    text = "Der Hund und die Katze, ein İ Σ und 12 Häuser. "
+    whole = np.bincount(np.concatenate([h for h, _ in G.grams([text], 12)]), minlength=1 << 12)
+    for block in (1, 2, 7, 1000):
+        assert (sum(np.bincount(h, minlength=1 << 12) for h in G.long_grams(text, 12, block)) == whole).all()
+    long = text * (3 * G.LONG // len(text))
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 20)]
+    train = spark.createDataFrame([*rows, (50, long, "de")], "doc_id long, text string, lang string")
+    model = G.train(train, bits=12)
+    count = np.bincount(np.concatenate([h for h, _ in G.grams([long], 12)]), minlength=1 << 12)
+    margin = (count @ model["weights"][:-1] / count.sum() + model["weights"][-1]) / model["temperature"]
+    asked = spark.createDataFrame([(1, long), (2, "the dog")], "doc_id long, text string")
+    got = {r["_id"]: (r["lang_pred"], r["score"]) for r in G.predict(asked, model).collect()}
+    assert got[1] == ("de", pytest.approx(G.softmax(margin[None]).max(), abs=1e-5)) and got[2][0] == "en"
+
+
 def test_language_against_brute_force(spark):
     got = {r["doc_id"]: r for r in Q.QUERIES["op8_language_id"](spark, SMALL).collect()}
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()}
