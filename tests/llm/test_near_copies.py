@@ -223,6 +223,69 @@ def test_links_well_below_equal_shingles(spark):
     assert found >= 72 and all(got[i] in (i, i - 1000) for i in got)
 
 
+def edited(rng, base, most, word):
+    """A text at an edit distance of at most ``most`` words."""
+    other = list(base)
+    for _ in range(most):
+        i, how = rng.randrange(len(other) + 1), rng.choice("sid")
+        if how == "i":
+            other.insert(i, word())
+        elif i < len(other):
+            other[i : i + 1] = [word()] if how == "s" else []
+    return other
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9, 0.75, 0.6])
+def test_texts_that_align_share_rare_grams(similarity):
+    import pyarrow as pa
+
+    rng = random.Random(int(100 * similarity))
+    lists = []
+    for _ in range(400):
+        letters = rng.choice(["ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz"])
+        word = lambda: "".join(rng.choice(letters) for _ in range(rng.choice([1, 1, 2])))  # noqa: B023, E731
+        base = [word() for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 9, 10, 19, 20, 21, 40, 120]))]
+        lists += [base, edited(rng, base, int((1 - similarity) * len(base) + 1e-9), word)]
+    column = pa.array([" ".join(x) for x in lists])
+    words, rows = C.word_hashes(*C.text_bytes(column))
+    levels = np.random.default_rng(1).integers(0, 2000, 1 << M.SLOT_BITS).astype(np.uint16)
+    levels[np.random.default_rng(2).random(len(levels)) < 0.5] = 0
+    grams, owner = M.rare_grams(words, rows, levels, similarity)
+    of = [set(grams[owner == k].tolist()) for k in range(len(lists))]
+    assert all(len(x) == (owner == k).sum() for k, x in enumerate(of))
+    tried = 0
+    for k in range(0, len(lists), 2):
+        longer = max(len(lists[k]), len(lists[k + 1]))
+        if M.similar(lists[k], lists[k + 1], similarity):
+            tried += 1
+            assert len(of[k] & of[k + 1]) >= 1 + longer // M.WORDS_A_SHARED
+    assert tried > 300
+
+
+def test_no_link_is_missed(spark):
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for k in range(60):  # pairs right at the threshold, of long and short texts
+        n = rng.choice([5, 10, 25, 100, 300])
+        base = [word() for _ in range(n)]
+        other = list(base)
+        for i in rng.sample(range(n), n // 5):
+            other[i] = word()
+        rows += [(k, " ".join(base)), (1000 + k, " ".join(other))]
+    for k in range(20):  # a chain: the first and the last don't align
+        base = [word() for _ in range(100)]
+        for c in range(4):
+            rows.append((2000 + 10 * k + c, " ".join(base)))
+            base = [word() if 15 * c <= i < 15 * c + 15 else w for i, w in enumerate(base)]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (None, rows[3][1] + " more"), (None, rows[3][1] + " more")]
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").filter("doc_id is not null")).collect()}
+    assert got == near_by_hand([r for r in rows if r[0] is not None])
+    assert all(got[1000 + k] == k for k in range(60)) and all(got[2003 + 10 * k] == 2000 + 10 * k for k in range(20))
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.count() == len(rows) and sorted(r["class_id"] for r in found.filter(F.col("_id") == C.NO_ID).collect()) == [0, 0, 1, 1] and found.filter("class_id = _id and not kept").count() == 0
+
+
 def test_near_copies_on_documents(spark, texts):
     got = {r["doc_id"]: r["class_id"] for r in Q.QUERIES["op5_order_minhash_dedup"](spark, MID).collect()}
     rows = [(i, t) for i, t in texts.items() if len(t) < 2500]
