@@ -32,6 +32,8 @@ _LEADS = ("connection_id bigint, partner_id bigint, last_state string, rc string
           "offered timestamp_ntz, own boolean, last_update timestamp_ntz, installed int, slot int, tech int")
 _TICKETS = "partner_id bigint, attempt_id string, zone_id string, updated_at timestamp_ntz, rnk int"
 _EPOCH = dt.date(1900, 1, 1)
+#: Attempts whose leads one bucket takes: its task sorts them, 150 to 250 bytes each.
+ATTEMPTS_A_BUCKET = 1_000_000
 _LATEST = ("last_state", "rc", "fr", "fsc", "rep_attempt_id", "offered", "own")
 
 
@@ -228,6 +230,11 @@ def _partial_tickets(a: DataFrame) -> DataFrame:
     return S.foremost(rows, 2, "slice").drop("rn")
 
 
+def buckets_for(attempts: DataFrame, least: int = 2) -> int:
+    """Buckets of a new store, so that a task's share stays the same however many attempts there are."""
+    return max(least, -(-attempts.count() // ATTEMPTS_A_BUCKET))
+
+
 def touched_days(changes: DataFrame, at: Column | str = "updated_at") -> list[dt.date]:
     """The days that changed rows lie on: a few, one a day of the feed."""
     return sorted(r[0] for r in changes.select(F.col(at).cast("date") if isinstance(at, str) else at.cast("date")).distinct().collect() if r[0] is not None)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from leadflow.functions.timecols import ts_lit
 from leadflow.operators import leads as L
 from leadflow.operators import snapshot as S
-from leadflow.operators.partials import LeadPartials, touched_days
+from leadflow.operators.partials import LeadPartials, buckets_for, touched_days
 from leadflow.plans.catalog import query
 from leadflow.plans.params import DEFAULT as P
 from leadflow.plans.params import Params
@@ -108,7 +108,7 @@ def _lead_partials(spark, sf, p: Params = P) -> LeadPartials:
     t = tables(spark, sf)
     name = f"partials_{uuid.uuid4().hex}"
     window = p.as_of.date() - dt.timedelta(days=p.window_days)
-    store = LeadPartials.create(spark, name, f"{checkpoint_dir(spark).rstrip('/')}/{name}", buckets=2, folded_before=window.replace(day=1))
+    store = LeadPartials.create(spark, name, f"{checkpoint_dir(spark).rstrip('/')}/{name}", buckets=buckets_for(t.attempts), folded_before=window.replace(day=1))
     first = dt.datetime.combine(p.month_start, dt.time(9, 30)) + dt.timedelta(days=19)
     store.refresh(t.attempts, first)
     later = L.active_attempts(t.attempts.where(F.col("updated_at") >= ts_lit(first)), p.as_of, days=None)

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from leadflow.operators import leads as L
+from leadflow.operators import partials
 from leadflow.operators import snapshot as S
 from leadflow.operators.partials import LeadPartials, touched_days
+from leadflow.plans import q_snapshot
 from leadflow.plans.params import DEFAULT as P
 from leadflow.session import checkpoint_dir
 from leadflow.sources.testdata import TestData
@@ -51,6 +53,15 @@ def filled(spark):
     return store
 
 
+def test_buckets_grow_with_the_attempts(spark, monkeypatch):
+    attempts = TestData(spark, SMALL).attempts.count()
+    assert partials.buckets_for(TestData(spark, SMALL).attempts) == 2
+    monkeypatch.setattr(partials, "ATTEMPTS_A_BUCKET", attempts // 4)
+    store = q_snapshot._lead_partials(spark, SMALL)
+    assert store._setting("buckets") == 5
+    assert rows(store.month_history(P)) == rows(L.month_history(TestData(spark, SMALL).attempts, P))
+
+
 def test_merged_partials_equal_the_attempts(spark, filled):
     a, t = recent_attempts(spark), TestData(spark, SMALL)
     assert rows(filled.month_history(P)) == rows(L.month_history(a, P))
