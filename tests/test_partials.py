@@ -56,7 +56,7 @@ def filled(spark):
 def test_buckets_grow_with_the_attempts(spark, monkeypatch):
     attempts = TestData(spark, SMALL).attempts.count()
     assert partials.buckets_for(TestData(spark, SMALL).attempts) == 2
-    monkeypatch.setattr(partials, "ATTEMPTS_A_BUCKET", attempts // 4)
+    monkeypatch.setattr(partials, "ATTEMPTS_A_BUCKET", attempts // 5 + 1)
     store = q_snapshot._lead_partials(spark, SMALL)
     assert store._setting("buckets") == 5
     assert rows(store.month_history(P)) == rows(L.month_history(TestData(spark, SMALL).attempts, P))
