@@ -286,6 +286,59 @@ def test_no_link_is_missed(spark):
     assert found.count() == len(rows) and sorted(r["class_id"] for r in found.filter(F.col("_id") == C.NO_ID).collect()) == [0, 0, 1, 1] and found.filter("class_id = _id and not kept").count() == 0
 
 
+def stored_rows(monkeypatch):
+    """{name: rows of the tables of that name} as they are stored from now on."""
+    rows, store = Counter(), C.store
+
+    def counted(df, name, free=False):
+        out = store(df, name, free)
+        rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(C, "store", counted)
+    return rows
+
+
+@pytest.mark.parametrize("hot, block", [(3, 4), (1, 1000), (64, 128)])
+def test_crowds_lose_no_link(spark, monkeypatch, hot, block):
+    monkeypatch.setattr(M, "HOT", hot)
+    monkeypatch.setattr(M, "BLOCK", block)
+    rng = random.Random(hot)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = []
+    for g, n in enumerate([12, 60, 100]):  # copies of one text whose edits take them to both sides of the threshold
+        base = [word() for _ in range(n)]
+        for c in range(60):
+            rows.append((100 * g + c, " ".join(edited(rng, base, int(n * rng.choice([0.05, 0.1, 0.12, 0.2, 0.3])), word))))
+    passage = [word() for _ in range(20)]
+    rows += [(1000 + k, " ".join(passage + [word() for _ in range(rng.choice([5, 6, 9, 20]))])) for k in range(40)]
+    rows += [(2000, rows[0][1]), (2001, None), (2002, "")]
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_by_hand(rows)
+
+
+def test_a_common_passage_makes_no_row_for_each_pair(spark, monkeypatch):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    passage = [word() for _ in range(60)]  # of 90 words: no two documents align
+    docs = spark.createDataFrame([(k, " ".join(passage + [word() for _ in range(30)])) for k in range(200)], "doc_id long, text string")
+    rows = stored_rows(monkeypatch)
+    assert M.near_duplicates(docs).filter("class_id = _id").count() == 200
+    assert rows["candidates"] < 200 and 0 < rows["crowd-blocks"] < 3000 and rows["crowded-links"] == 0
+
+
+def test_shared_grams():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    lists = [[rng.choice("abcde") for _ in range(rng.randint(1, 40))] for _ in range(30)]
+    words, rows = C.word_hashes(*C.text_bytes(pa.array([" ".join(x) for x in lists])))
+    one, two = np.arange(12), np.arange(12, 30)
+    for q in (1, 2):
+        grams = [Counter(tuple(x[i : i + q]) for i in range(max(1, len(x) - q + 1))) for x in lists]
+        assert M.shared_grams(words, rows, one, two, q).tolist() == [[sum((grams[a] & grams[b]).values()) for b in two] for a in one]
+
+
 def test_near_copies_on_documents(spark, texts):
     got = {r["doc_id"]: r["class_id"] for r in Q.QUERIES["op5_order_minhash_dedup"](spark, MID).collect()}
     rows = [(i, t) for i, t in texts.items() if len(t) < 2500]
@@ -341,6 +394,16 @@ def test_pipeline_stages(spark):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_pipeline_keeps_one_of_each_class(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        before, docs = docs, C.store(stage(spark, docs, MID), name)
+    rows = [(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()]
+    want = near_by_hand(rows)
+    assert len(set(want.values())) < len(rows)
+    assert sorted(r["doc_id"] for r in docs.select("doc_id").collect()) == sorted(set(want.values()))
+
+
 def test_pipeline_on_awkward_rows(spark):
     rows = [(1, "a b c d e f g", "en", "s", 13), (1, "a b c d e f g", "en", "s", 13), (None, None, None, None, None), (2, "", None, None, 0), (3, "word " * 4000, "en", "s", 20000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
