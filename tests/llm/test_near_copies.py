@@ -327,6 +327,22 @@ def test_a_common_passage_makes_no_row_for_each_pair(spark, monkeypatch):
     assert rows["candidates"] < 200 and 0 < rows["crowd-blocks"] < 3000 and rows["crowded-links"] == 0
 
 
+def test_a_group_of_links_is_soon_a_star(spark, monkeypatch):
+    rows = stored_rows(monkeypatch)
+    links = spark.createDataFrame([(a, b) for a in range(60) for b in range(a)], "src long, dst long")
+    got = C.components(spark.range(62).select(F.col("id").alias("node")), links).collect()
+    assert sorted(map(tuple, got)) == [(n, 0 if n < 60 else n) for n in range(62)]
+    assert rows["links"] < 60 * 59 // 2 + 10 * 60
+
+
+def test_unrelated_texts_of_common_words_share_few_grams(spark, monkeypatch):
+    rng = random.Random(37)
+    docs = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(60)}" for _ in range(200))) for k in range(300)], "doc_id long, text string")
+    rows = stored_rows(monkeypatch)
+    assert M.near_duplicates(docs).filter("class_id = _id").count() == 300
+    assert rows["mixed-grams"] < 3000 and not rows["candidates"] and not rows["crowd-blocks"]
+
+
 def test_shared_grams():
     import pyarrow as pa
 
