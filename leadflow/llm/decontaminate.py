@@ -109,7 +109,7 @@ def _held(docs: DataFrame, items: DataFrame, window: int, literal: int, id_col:
     short = [r["n"] for r in theirs.select("n").distinct().collect()]  # at most window - literal + 1 lengths
     t = mine.select("_id", F.xxhash64("_text").alias("_print"), template(marked(F.col("_text"))).alias("t"))
     parts = [t.select("_id", "_print", F.lit(n).alias("n"), F.posexplode(_window_hashes(F.col("t"), n)).alias("pos", "h")) for n in sorted(short)]
-    empty = mine.sparkSession.createDataFrame([], "_id long, _print long, n int, pos int, h long")
+    empty = C.empty(mine.sparkSession, "_id long, _print long, n int, pos int, h long")
     found = empty
     for p in parts:
         found = p if found is empty else found.union(p)
@@ -151,7 +151,7 @@ def verbatim(docs: DataFrame, items: DataFrame, window: int, literal: int, id_co
     sent = F.broadcast(keys) if keys.count() <= SENT_WINDOWS else keys
     sizes = sorted(r["n"] for r in keys.select("n").distinct().collect())  # at most window lengths
     t = mine.select("_id", F.xxhash64("_text").alias("_print"), "_text", plain(F.col("_text")).alias("t"))
-    found = mine.sparkSession.createDataFrame([], "_id long, _print long, n int, h long")
+    found = C.empty(mine.sparkSession, "_id long, _print long, n int, h long")
     for n in sizes:
         if n >= literal:
             found = found.union(t.select("_id", "_print", F.lit(n).alias("n"), F.explode(_window_hashes(F.col("t"), n)).alias("h")))

@@ -391,6 +391,70 @@ def test_null_and_repeated_ids_are_told_apart(spark):
 # --- the pipeline ------------------------------------------------------------------------------------------------------
 
 
+def test_rows_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    texts = spark.range(0, 20_000, numPartitions=1).select(F.repeat(F.lit("word "), 400).alias("text"))
+
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    def sizes():
+        return C.store(texts.mapInArrow(size, "n long"), "sizes").agg(F.max("n"), F.sum("n")).first()
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    most, total = sizes()
+    assert total >= 20_000 * 2000 and most < 1.25 * C.BATCH_BYTES
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, str(1 << 16))
+    try:
+        assert sizes()[0] < 1 << 17 and spark.conf.get(key) == str(1 << 16)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_no_rows_need_no_python(spark):
+    made = C.empty(spark, f"src {M.NODE}, n int")
+    assert dict(made.dtypes) == {"src": "struct<_id:bigint,d1:bigint,d2:bigint>", "n": "int"} and made.count() == 0
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
+    assert "ExistingRDD" not in M.links(spark.createDataFrame([], "doc_id long, text string"), one_each_of_none(spark), 0.8, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+
+
+def one_each_of_none(spark):
+    return C.store(C.empty(spark, f"d1 long, d2 long, node {M.NODE}, n_words long, sketch array<long>, copies long"), "none")
+
+
+def test_gram_levels_are_counts(spark):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    rows = [" ".join(rng.choice("abcdef") for _ in range(300)) for _ in range(4000)]
+    levels = M.gram_levels(spark.createDataFrame([(x,) for x in rows], "_text string").repartition(3), 0.8)
+    grams = M.kmer_hashes(*C.word_hashes(*C.text_bytes(pa.array(rows))), M.gram_size(0.8))[0]
+    n = np.bincount(M._slots(grams), minlength=1 << M.SLOT_BITS)
+    assert np.array_equal(levels, np.where(n >= M.COUNTED_FROM, np.minimum(255, np.round(8 * np.log2(1.0 + n))), 0).astype(np.uint8))
+
+
+def test_holders_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs, each = 4000, 100
+    grams = np.random.default_rng(3).integers(0, 1 << 40, docs * each, dtype=np.uint64)
+    ids = np.arange(docs, dtype=np.int64)
+    columns = [ids.tobytes(), np.zeros(docs, np.int64).tobytes(), np.full(docs, each, np.int32).tobytes(), grams[:, None].view(np.uint8)[:, : M.GRAM_BYTES].tobytes()]
+    blobs = pa.table([pa.array([c], pa.binary()) for c in columns], ["doc", "part", "n", "gram"])
+    M.holders(blobs)
+    tracemalloc.start()
+    M.holders(blobs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(grams), peak / len(grams)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{MID}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
