@@ -343,6 +343,100 @@ def test_unrelated_texts_of_common_words_share_few_grams(spark, monkeypatch):
     assert rows["mixed-grams"] < 3000 and not rows["candidates"] and not rows["crowd-blocks"]
 
 
+def random_word(rng):
+    return lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+
+
+def test_texts_that_share_phrases_with_many_make_no_rows(spark, monkeypatch):
+    rng = random.Random(41)
+    phrases = [[random_word(rng)() for _ in range(5)] for _ in range(1500)]  # each in some 20 texts, no two of which share many
+    lists = [sum(rng.sample(phrases, 60), []) for _ in range(500)]
+    lists += [edited(rng, lists[k], 55, random_word(rng)) for k in range(20)]
+    rows = [(k, " ".join(x)) for k, x in enumerate(lists)]
+    stored = stored_rows(monkeypatch)
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - 500 if k >= 500 else k for k in range(520)}
+    assert stored["mixed-grams"] < 5000  # some 30,000 rows if all texts stay
+
+
+def test_texts_with_common_lines_are_compared_by_what_else_they_hold(spark, monkeypatch):
+    rng = random.Random(43)
+    word = random_word(rng)
+    lines = [word() for _ in range(40)]
+    lists = [lines + [word() for _ in range(80)] for _ in range(300)]
+    lists += [edited(rng, lists[k], 23, word) for k in range(30)]
+    rows = [(k, " ".join(x)) for k, x in enumerate(lists)]
+    stored = stored_rows(monkeypatch)
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_by_hand(rows) and sum(got[300 + k] == k for k in range(30)) == 30
+    assert not stored["crowd-blocks"]
+
+
+def test_many_pairs_are_sent_in_turns(spark, monkeypatch):
+    rng = random.Random(47)
+    word = random_word(rng)
+    rows = []
+    for k in range(60):
+        base = [word() for _ in range(40)]
+        rows += [(k, " ".join(base)), (100 + k, " ".join(edited(rng, base, 8, word))), (200 + k, " ".join(edited(rng, base, 2, word)))]
+    monkeypatch.setattr(M, "SENT_PAIRS", 20)
+    stored, plans, store = stored_rows(monkeypatch), [], C.store
+    monkeypatch.setattr(C, "store", lambda df, name, free=False: plans.append(df._jdf.queryExecution().executedPlan().toString() if name == "judged" else "") or store(df, name, free))
+    got = {r["_id"]: r["class_id"] for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_by_hand(rows) and stored["judged"] > 60
+    judged = [p for p in plans if p]
+    assert len(judged) > 3 and all(p.count("BroadcastHashJoin") >= 2 for p in judged)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9, 0.75, 0.6])
+def test_votes_count_no_less_than_is_shared(spark, similarity, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(int(100 * similarity))
+    lists = []
+    for k in range(150):
+        letters = ("ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz")[k % 3]
+        word = lambda: "".join(rng.choice(letters) for _ in range(rng.choice([1, 1, 2])))  # noqa: B023, E731
+        base = [word() for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 9, 10, 19, 20, 21, 26, 40, 120]))]
+        lists += [base, edited(rng, base, int((1 - similarity) * len(base) + 1e-9), word)]
+    words, rows = C.word_hashes(*C.text_bytes(pa.array([" ".join(x) for x in lists])))
+    grams, owner = M.all_grams(words, rows, similarity)
+    of = [set(grams[owner == k].tolist()) for k in range(len(lists))]
+    assert all(len(x) == (owner == k).sum() for k, x in enumerate(of)) and (np.diff(owner) >= 0).all()
+    lengths = sorted({len(x) for x in lists})
+    least = dict(spark.createDataFrame([(n,) for n in lengths], "n int").select("n", M.needed(F.col("n"), similarity)).collect())
+    aligned = [(a, b) for a in range(len(lists)) for b in range(a) if lists[a] and lists[b] and M.similar(lists[a], lists[b], similarity)]
+    assert len(aligned) > 150 and all(len(of[a] & of[b]) >= least[max(len(lists[a]), len(lists[b]))] for a, b in aligned)
+
+    ids = [7 * k + (k % 5 << 32) for k in range(len(lists))]  # some parts of several texts
+    part = [ids[k // 6 * 6] if k % 6 == 2 else ids[k] for k in range(len(lists))]
+    table = [(" ".join(x), i, p) for x, i, p in zip(lists, ids, part, strict=True)]
+    buckets = M.gram_lists(spark.createDataFrame(table, "_text string, doc long, part long").repartition(3), similarity, 4).toArrow()
+    for hot, slices in ((64, 1 << 20), (3, 64), (1, 300)):
+        monkeypatch.setattr(M, "VOTE_GRAMS", slices)
+        cast = [M.votes(buckets.filter(pa.compute.equal(buckets["bucket"], k)), similarity, hot, 2) for k in range(4)]
+        cast = pa.concat_tables(cast)
+        most = pa.concat_tables([M.best_votes(cast.filter(pa.compute.equal(cast["share"], k))) for k in sorted(set(cast["share"].to_pylist()))])
+        got = dict(zip(most["low"].to_pylist(), most["n"].to_pylist(), strict=True))
+        for a, b in aligned:
+            if part[a] != part[b]:
+                assert min(got[ids[a] & 0xFFFFFFFF], got[ids[b] & 0xFFFFFFFF]) >= len(of[a] & of[b])
+
+
+def test_texts_whose_numbers_agree_lose_no_vote():
+    import pyarrow as pa
+
+    def blob(docs, part, n_words, grams):
+        out = [M.planes(np.array(x, t)) for x, t in ((docs, np.uint32), (np.bitwise_xor(part, docs), np.uint32), (n_words, np.int32), ([len(g) for g in grams], np.int32))]
+        return pa.table([pa.array([x], pa.binary()) for x in (*out, np.concatenate(grams).astype(np.uint32).tobytes())], ["doc", "part", "n_words", "n", "gram"])
+
+    # two different texts of the number 5; the second one aligns with 9
+    cast = M.votes(blob([5, 5, 9], [5, 5, 9], [1000, 30, 30], [[1, 2], [10, 11, 12], [10, 11, 12]]), 0.8, 64, 1)
+    assert dict(zip(*M.best_votes(cast).to_pydict().values(), strict=True)) == {5: 3, 9: 3}
+    # lengths that can't align, and one part
+    assert M.votes(blob([5, 9, 8], [5, 9, 9], [1000, 30, 30], [[1, 2], [1, 2, 3], [3]]), 0.8, 64, 1).num_rows == 0
+
+
 def test_shared_grams():
     import pyarrow as pa
 
